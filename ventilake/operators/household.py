@@ -1,10 +1,17 @@
-"""Household aggregates (per household and minute) and their join-back.
+"""Household aggregates (per household and minute).
+
+Two interchangeable forms:
+
+* window form (default): aggregates as window functions over
+  ``partitionBy(logement, date)``.  All phases of the household transform
+  share ONE exchange of the readings and the plan has a single lineage (no
+  self-join, nothing computed twice).  A household-minute holds one reading
+  per sensor of the household, so a window partition stays small.
+* aggregate form: ``groupBy`` aggregates (combined on the map side before the
+  shuffle) joined back on the keys.  No group is ever buffered whole in one
+  task, at the price of a second consumer of the readings; use it when some
+  household-minutes can be very large.
 
-All aggregates are ``groupBy`` aggregates, so Spark combines partially on the
-map side before the shuffle, and a household-minute with very many rows never
-has to be held in one buffer (a window over the group would).  The join-back
-is an equi-join on the group keys; both sides end up hash-partitioned on the
-same keys, so consecutive phases reuse one exchange of the readings.
 Rows with a null household or minute are dropped first, as the inner joins of
 the original drop them.
 """
@@ -13,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import TYPE_AIR_INLET, TYPE_EXTRACT_VENT
@@ -29,6 +36,44 @@ def keyed(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return df.where(cond)
 
 
+def group_window(keys: Sequence[str] = KEYS):
+    return Window.partitionBy(*keys)
+
+
+def fill_virtual_window(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A1/A2 + P4 as windows: virtual rows take the household means."""
+    w = group_window(keys)
+    return df.withColumns(
+        {
+            "temperature": F.when(F.col("reel"), F.col("temperature")).otherwise(F.avg("temperature").over(w)),
+            "hr": F.when(F.col("reel"), F.col("hr")).otherwise(F.avg("hr").over(w)),
+        }
+    )
+
+
+def household_totals_window(df: DataFrame, surface_factor: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A3 + F15 + A5 + A6 + J6 as windows, in the original's order: the group
+    sum is given to extract vents, then the maxima are taken over the rows."""
+    w = group_window(keys)
+    vent = F.coalesce(F.col("type") == TYPE_EXTRACT_VENT, F.lit(False))
+    inlet = F.coalesce(F.col("type") == TYPE_AIR_INLET, F.lit(False))
+    factor = surface_factor.groupBy("logement_facteur").agg(F.max("fct1").alias("__fct"))
+    out = df.join(factor, df["logement"] == factor["logement_facteur"], "left").drop("logement_facteur")
+    out = out.withColumns(
+        {
+            "__sde_row": F.when(vent, F.sum("debit_produit").over(w)).otherwise(F.lit(0.0)),
+            "__sse_row": F.when(inlet, F.col("__fct") + F.col("debit_produit")).otherwise(F.lit(0.0)),
+        }
+    )
+    out = out.withColumns(
+        {
+            "somme_debits_extraits": F.max("__sde_row").over(w),
+            "somme_surface_equivalente": F.max("__sse_row").over(w),
+        }
+    )
+    return out.drop("__fct", "__sde_row", "__sse_row")
+
+
 def household_means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A1/A2: mean temperature and hr per household and minute.
 

@@ -26,6 +26,26 @@ def _good(c: str, sentinel: float) -> Column:
     return F.nullif(F.col(c), F.lit(sentinel))
 
 
+def order_key(date: str, tiebreak: Sequence[str] = ()) -> Column:
+    """One sortable value for the order (date, tiebreak).
+
+    With no tiebreak, the timestamp itself; with one integral tiebreak, the
+    exact decimal ``micros * 10^20 + tiebreak`` (a primitive-like key keeps
+    ``max_by`` in a hash aggregate; a struct key would force a sort-based
+    aggregate that sorts all raw rows on the map side).  Other tiebreaks fall
+    back to a struct.  Micros are taken in the session time zone (UTC by
+    default), where wall-clock order and instant order agree.
+    """
+    if not tiebreak:
+        return F.col(date)
+    if len(tiebreak) == 1:
+        micros = F.unix_micros(F.col(date).cast("timestamp")).cast("decimal(20,0)")
+        shift = F.lit("100000000000000000000").cast("decimal(21,0)")
+        tb = F.coalesce(F.col(tiebreak[0]).cast("decimal(20,0)"), F.lit(-1).cast("decimal(20,0)"))
+        return (micros * shift + tb).cast("decimal(38,0)")
+    return F.struct(F.col(date), *[F.col(c) for c in tiebreak])
+
+
 def lag_previous(
     df: DataFrame,
     columns: Sequence[str],
@@ -66,7 +86,7 @@ def repair_seeded(
     """T3 over a whole history: per-day fill, then seeds carried from earlier days.
 
     1. forward fill inside each (sensor, day) -- the per-file repair;
-    2. per (sensor, day): the last filled value of the day (one row per day);
+    2. per (sensor, day): the last good value of the day (one row per day);
     3. per sensor, over those day rows only: last non-null value of the
        *previous* days -- the seed;
     4. ``coalesce(fill, seed)``.
@@ -75,13 +95,14 @@ def repair_seeded(
     without putting a whole sensor history into one window partition.
     """
     day = "__day"
-    order = [F.col(date)] + [F.col(c) for c in tiebreak]
     base = df.withColumn(day, day_of(date))
     filled = repair_sentinels(base, measures, by=(sensor, day), order=[date, *tiebreak], sentinel=sentinel)
 
-    position = F.struct(*order)
-    per_day = filled.groupBy(sensor, day).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(c) for c in measures]
+    # last good value of each (sensor, day), straight from the raw rows: a
+    # plain aggregate, combined on the map side before its (small) shuffle
+    position = order_key(date, tiebreak)
+    per_day = base.groupBy(sensor, day).agg(
+        *[F.max_by(_good(c, sentinel), F.when(_good(c, sentinel).isNotNull(), position)).alias(c) for c in measures]
     )
     earlier = Window.partitionBy(sensor).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     seeds = per_day.select(

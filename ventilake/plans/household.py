@@ -7,11 +7,13 @@ database lookups and six aggregate join-backs:
    temperature/hr for real sensors, 0.0 for virtual ones (F2, F3);
 2. household means (A1, A2) joined back; virtual sensors take them (P4);
 3. flow factors and bands (J3, J4, J5): F4-F11 as column expressions;
-4. one aggregate per household-minute for the extracted flow and the
-   equivalent surface (A3, F15, A5, A6, J6), joined back; F16, F12.
+4. household totals of extracted flow and equivalent surface (A3, F15, A5,
+   A6, J6); F16, F12.
 
-Readings are shuffled once on (logement, date); the aggregates of phases 2
-and 4 are pre-aggregated and co-partitioned with them.
+By default phases 2 and 4 are windows over ``partitionBy(logement, date)``:
+readings are shuffled once on those keys and every later step (band joins
+with broadcast band tables, the per-reading band choice, the totals) runs
+inside that partitioning.  ``strategy="aggregate"`` uses groupBy + join-back.
 """
 
 from __future__ import annotations
@@ -80,8 +82,10 @@ def calibrated_climate(readings: DataFrame, capteur: DataFrame, facteur_temperat
     ).drop("__fct_t")
 
 
-def with_household_fill(climate: DataFrame) -> DataFrame:
+def with_household_fill(climate: DataFrame, strategy: str = "window") -> DataFrame:
     """Phase 2: A1/A2 per household-minute, virtual rows take the means."""
+    if strategy == "window":
+        return hh.fill_virtual_window(climate)
     return hh.fill_virtual(climate, hh.household_means(climate))
 
 
@@ -142,10 +146,13 @@ def calibrated_flow(
     return stage.drop(*[c for c in stage.columns if c.startswith("__")])
 
 
-def balance(flow: DataFrame, facteur_surface: DataFrame) -> DataFrame:
-    """Phase 4: household totals joined back, real pressure and real flow."""
-    totals = hh.household_totals(flow, facteur_surface)
-    out = flow.join(totals, list(hh.KEYS), "inner")
+def balance(flow: DataFrame, facteur_surface: DataFrame, strategy: str = "window") -> DataFrame:
+    """Phase 4: household totals, real pressure and real flow."""
+    if strategy == "window":
+        out = hh.household_totals_window(flow, facteur_surface)
+    else:
+        totals = hh.household_totals(flow, facteur_surface)
+        out = flow.join(totals, list(hh.KEYS), "inner")
     out = out.withColumn("pression_reelle", fx.real_pressure("somme_debits_extraits", "somme_surface_equivalente"))
     return out.withColumn("debit_reelle", fx.real_flow("somme_surface_equivalente", "pression_reelle"))
 
@@ -159,21 +166,31 @@ def day_range(df: DataFrame, day_from=None, day_to=None, column: str = "date") -
     return df
 
 
-def household_stages(readings: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All intermediate frames of T4 (used by the operator-level queries)."""
+def household_stages(
+    readings: DataFrame, dims: dict[str, DataFrame], strategy: str = "window"
+) -> dict[str, DataFrame]:
+    """All intermediate frames of T4 (used by the operator-level queries).
+
+    ``strategy``: "window" (one exchange, single lineage) or "aggregate"
+    (pre-aggregated groupBy + join-back, for very large household-minutes).
+    """
+    if strategy not in ("window", "aggregate"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     climate = calibrated_climate(readings, dims["capteur"], dims["facteur_temperature"])
-    filled = with_household_fill(climate)
+    filled = with_household_fill(climate, strategy)
     flow = calibrated_flow(
         filled,
         dims["facteur_debit_position1"],
         dims["facteur_debit_position2"],
         dims["facteur_debit_pression2"],
     )
-    final = balance(flow, dims["facteur_somme_surface_equivalente"])
+    final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy)
     return {"climate": climate, "filled": filled, "flow": flow, "final": final}
 
 
-def household_balance(readings: DataFrame, dims: dict[str, DataFrame], day_from=None, day_to=None) -> DataFrame:
+def household_balance(
+    readings: DataFrame, dims: dict[str, DataFrame], day_from=None, day_to=None, strategy: str = "window"
+) -> DataFrame:
     """T4: test_logement rows for readings of ``[day_from, day_to)``.
 
     The day filter is applied to the readings before the first join, so it
@@ -182,5 +199,5 @@ def household_balance(readings: DataFrame, dims: dict[str, DataFrame], day_from=
     the same rows as the original's filter at the end.
     """
     readings = day_range(readings, day_from, day_to)
-    final = household_stages(readings, dims)["final"]
+    final = household_stages(readings, dims, strategy)["final"]
     return final.select(*OUTPUT_COLUMNS)

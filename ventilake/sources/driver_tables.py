@@ -35,8 +35,21 @@ STATION_MEASURES = ("temperature", "hr", "orientation", "vitesse_vent", "co2")
 CAISSON_MEASURES = ("puissance", "pression", "consommation")
 
 
+# Declared schemas of the driver tables read here: no footer reads to infer them.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _err(cond: Column, value: Column) -> Column:
