@@ -75,13 +75,21 @@ def jdbc_replace_day(
     date: str = "date",
 ) -> None:
     """K2 over JDBC for databases without partitions: delete the half-open day
-    range through the JDBC data source's session-init statement, then append.
+    range, then append.
 
-    The delete runs in the writer's own connection before its first insert;
-    Spark opens one connection per partition, so ``df`` is written from one
-    partition to run the delete exactly once.
+    The DELETE is issued as the ``sessionInitStatement`` of a one-row read
+    (``SELECT COUNT(*)`` of the table), so it runs once, in the database, from
+    one connection; the append then writes in parallel.  Running it twice
+    gives the same table as running it once.
     """
-    delete = f"DELETE FROM {table} WHERE {date} >= TIMESTAMP '{day_from} 00:00:00' AND {date} < TIMESTAMP '{day_to} 00:00:00'"
-    opts = dict(properties)
-    opts["sessionInitStatement"] = delete
-    df.coalesce(1).write.mode("append").options(**opts).jdbc(url, table)
+    delete = f"DELETE FROM {table} WHERE {date} >= {{ts '{day_from} 00:00:00'}} AND {date} < {{ts '{day_to} 00:00:00'}}"
+    (
+        df.sparkSession.read.format("jdbc")
+        .options(**properties)
+        .option("url", url)
+        .option("query", f"SELECT COUNT(*) AS N FROM {table}")
+        .option("sessionInitStatement", delete)
+        .load()
+        .collect()
+    )
+    jdbc_append(df, url, table, properties)

@@ -60,5 +60,6 @@ def read_jdbc_days(
     for i in range(max(1, splits)):
         a = start + span * i
         b = start + span * (i + 1)
-        predicates.append(f"{date} >= TIMESTAMP '{a:%Y-%m-%d %H:%M:%S}' AND {date} < TIMESTAMP '{b:%Y-%m-%d %H:%M:%S}'")
+        # JDBC escape syntax for timestamp literals: understood by every driver
+        predicates.append(f"{date} >= {{ts '{a:%Y-%m-%d %H:%M:%S}'}} AND {date} < {{ts '{b:%Y-%m-%d %H:%M:%S}'}}")
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
