@@ -1,0 +1,47 @@
+"""The file-to-output daily job on a small fixture; re-running is idempotent."""
+
+from ventilake.plans.daily import run_files
+from ventilake.sinks import tables as sink
+from ventilake.sources import acq
+from ventilake.sources.tables import read_table
+
+from test_household import _dims
+from test_sources_sinks import STATION_LINES, _write
+
+
+def test_run_files_idempotent(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [
+        "03/02/2021 10:00\t2600\t400\t100\t200\t409",
+        "03/02/2021 10:01\t61440\t410\t100\t200\t409",
+    ])
+    _write(root, "Salle 2 093 le 03 02 2021.acq", ["03/02/2021 10:00\t2400\t420\t280\t100\t409"])
+    _write(root, "Station météo 05 le 03 02 2021.acq", STATION_LINES)
+    _write(root, "caisson 12 le 03 02 2021.acq", ["03/02/2021 10:00\t0\t0\t0\t100\t200\t5"])
+    dims = _dims(spark)
+    cap = dims["capteur"].union(
+        spark.createDataFrame([("162", "L1", "Sejour", "EA", True), ("093", "L1", "Sejour", "Bouche", True)],
+                              dims["capteur"].schema)
+    )
+    dims["capteur"] = cap
+    store = sink.shared_dir(spark, "job_store")
+    paths = run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+
+    def snapshot():
+        out = {}
+        for name in ("test_logement", "test_station", "test_caisson"):
+            out[name] = sorted(tuple(r) for r in spark.read.parquet(paths[name]).collect())
+        brut = read_table(spark, paths["brut_logement"], acq.brut_schema("logement"))
+        out["brut_logement"] = sorted(tuple(sorted(r.asDict().items(), key=lambda kv: kv[0])) for r in brut.collect())
+        out["brut_sensors"] = {r["capteur"] for r in brut.collect()}
+        return out
+
+    first = snapshot()
+    # the two household boxes + the virtual sensor's ghost rows (first minute, and 10:00 when the household has readings)
+    assert first["brut_sensors"] >= {"162", "093", "gv"}
+    assert len(first["test_station"]) == len(STATION_LINES) - 1  # unparsable date dropped by the day filter
+    assert len(first["test_caisson"]) == 1
+    logement_sensors = {r[0] for r in first["test_logement"]}
+    assert {"162", "093", "gv"} <= logement_sensors
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    assert snapshot() == first

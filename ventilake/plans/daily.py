@@ -27,3 +27,96 @@ def run_range(readings: DataFrame, dims: dict[str, DataFrame], day_from, day_to)
     brut_all = brut.unionByName(ghosts, allowMissingColumns=True)
     out = household_balance(brut_all, dims, day_from, day_to)
     return out.withColumn("day", F.col("date").cast("date"))
+
+
+def run_files(
+    spark,
+    acq_root: str,
+    store: str,
+    dims: dict[str, DataFrame],
+    day_from,
+    day_to,
+    boxes=None,
+) -> dict[str, str]:
+    """The whole daily chain for ``[day_from, day_to)``, from .acq files to outputs.
+
+    ``store`` holds parquet tables ``brut_logement``, ``brut_station``,
+    ``brut_caisson`` (partitioned by day and sensor) and ``test_logement``,
+    ``test_station``, ``test_caisson`` (partitioned by day).  Every step
+    replaces exactly the partitions it produces, so re-running a range is
+    idempotent.  Household leading errors are seeded from the stored history.
+    Returns the table paths.
+    """
+    import os
+
+    from ..functions.fixed import HOUSEHOLD_BOXES
+    from ..sinks import tables as sink
+    from ..sources import acq
+    from ..sources.tables import read_table
+    from .ingest import ingest_lines
+    from .weather import calibrate_fanbox, weather_station
+
+    boxes = boxes or HOUSEHOLD_BOXES
+    paths = {
+        name: os.path.join(store, name)
+        for name in ("brut_logement", "brut_station", "brut_caisson", "test_logement", "test_station", "test_caisson")
+    }
+    lo, hi = day_range_bounds(day_from, day_to)
+
+    def stored(kind):
+        p = paths[f"brut_{kind}"]
+        if not _exists(spark, p):
+            return None
+        return read_table(spark, p, acq.brut_schema(kind))
+
+    # 1. raw tables: one scan per kind over all files of the range
+    for kind in ("logement", "station", "caisson"):
+        lines = acq.read_acq(spark, acq_root, kind, lo, hi, boxes)
+        brut = ingest_lines(lines, acq.MEASURES[kind]).drop("file_name")
+        if kind == "logement":
+            history = stored("logement")
+            if history is not None:
+                seeds = rp.seed_values(history, acq.MEASURES[kind], lo)
+                brut = rp.apply_seeds(brut, seeds, acq.MEASURES[kind])
+        sink.replace_days(sink.with_day(brut), paths[f"brut_{kind}"], partition_by=(sink.DAY, "capteur"))
+
+    # 2. ghost readings of virtual sensors, from the household readings just stored
+    logement = day_range(stored("logement"), lo, hi)
+    ghosts = vr.virtual_readings(dims["capteur"], logement, lo, hi)
+    sink.replace_days(sink.with_day(ghosts), paths["brut_logement"], partition_by=(sink.DAY, "capteur"))
+
+    # 3. transforms, each replacing its output days
+    logement = stored("logement")
+    out = household_balance(logement.drop("day"), dims, lo, hi)
+    sink.replace_days(sink.with_day(out), paths["test_logement"])
+    station = stored("station")
+    if station is not None:
+        st = weather_station(station.drop("day"), dims["facteur_temperature"], lo, hi)
+        sink.replace_days(sink.with_day(st), paths["test_station"])
+    caisson = stored("caisson")
+    if caisson is not None:
+        ca = calibrate_fanbox(caisson.drop("day"), lo, hi)
+        sink.replace_days(sink.with_day(ca), paths["test_caisson"])
+    return paths
+
+
+def day_range_bounds(day_from, day_to):
+    import datetime as dt
+
+    def as_date(d):
+        if isinstance(d, dt.datetime):
+            return d.date()
+        if isinstance(d, dt.date):
+            return d
+        return dt.date.fromisoformat(str(d))
+
+    return as_date(day_from), as_date(day_to)
+
+
+def _exists(spark, path: str) -> bool:
+    """Whether a table folder exists, through Hadoop's file system (works for
+    any shared file system the cluster uses)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)

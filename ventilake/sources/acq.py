@@ -40,6 +40,12 @@ MEASURES = {
 }
 
 
+def brut_schema(kind: str) -> str:
+    """Schema of a raw table written by the ingest, with its partition columns."""
+    cols = ", ".join(f"{m} DOUBLE" for m in MEASURES[kind])
+    return f"{cols}, date TIMESTAMP_NTZ, capteur STRING, day DATE"
+
+
 def route_files(names: DataFrame, name: str = "file_name", boxes: Sequence[str] = X.HOUSEHOLD_BOXES) -> DataFrame:
     """Kind flags, box id and day of each file name (decoded)."""
     return names.withColumns(

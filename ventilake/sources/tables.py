@@ -33,9 +33,19 @@ def slice_days(df: DataFrame, day_from, day_to=None, date: str = "date") -> Data
     return out
 
 
-def read_day_table(spark: SparkSession, path: str, day_from, day_to=None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A stored table.  Pass the schema for tables partitioned by a text key
+    (the sensor id): partition values are otherwise type-inferred, and a box
+    id such as '093' would come back as the number 93."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
+
+
+def read_day_table(spark: SparkSession, path: str, day_from, day_to=None, schema=None) -> DataFrame:
     """Default backend: parquet table partitioned by ``day``."""
-    return slice_days(spark.read.parquet(path), day_from, day_to)
+    return slice_days(read_table(spark, path, schema), day_from, day_to)
 
 
 def read_jdbc_days(
