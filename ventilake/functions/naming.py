@@ -34,8 +34,15 @@ def file_day(name) -> Column:
 
 
 def household_pattern(boxes: Sequence[str] = X.HOUSEHOLD_BOXES) -> str:
+    """Household file: one of the boxes, preceded by at least one character,
+    right before ' le <date>.acq' at the end of the name.
+
+    Same matches as the original ``.+(b1|b2|...)+ le <date>.acq$`` searched
+    anywhere in the name (a repeated group matches exactly when its last
+    repetition does), without the nested quantifier that makes the regex
+    engine backtrack."""
     alternatives = "|".join(boxes)
-    return rf".+({alternatives})+ le {X.FILE_DATE_PATTERN}\.acq$"
+    return rf".(?:{alternatives}) le {X.FILE_DATE_PATTERN}\.acq$"
 
 
 def caisson_pattern() -> str:

@@ -95,21 +95,28 @@ def fill_virtual(df: DataFrame, means: DataFrame, keys: Sequence[str] = KEYS) ->
     ).drop("temperature_moyenne", "hr_moyen")
 
 
-def flow_sum(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def _group_sum_to(
+    df: DataFrame, value: str, target: str, typ: str, keys: Sequence[str], strategy: str
+) -> DataFrame:
+    """Sum of ``value`` over the household-minute, given to rows of type ``typ``."""
+    match = F.coalesce(F.col("type") == typ, F.lit(False))
+    if strategy == "window":
+        total = F.sum(value).over(group_window(keys))
+        return df.withColumn(target, F.when(match, total).otherwise(F.lit(0.0)))
+    sums = df.groupBy(*keys).agg(F.sum(value).alias("__s"))
+    out = df.join(sums, list(keys), "inner")
+    return out.withColumn(target, F.when(match, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
+
+
+def flow_sum(df: DataFrame, keys: Sequence[str] = KEYS, strategy: str = "window") -> DataFrame:
     """A3: sum of produced flow over the whole group, given to extract vents
     (``somme_debits_extraits``), 0.0 for the other rows."""
-    sums = df.groupBy(*keys).agg(F.sum("debit_produit").alias("__s"))
-    out = df.join(sums, list(keys), "inner")
-    vent = F.coalesce(F.col("type") == TYPE_EXTRACT_VENT, F.lit(False))
-    return out.withColumn("somme_debits_extraits", F.when(vent, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
+    return _group_sum_to(df, "debit_produit", "somme_debits_extraits", TYPE_EXTRACT_VENT, keys, strategy)
 
 
-def surface_sum(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def surface_sum(df: DataFrame, keys: Sequence[str] = KEYS, strategy: str = "window") -> DataFrame:
     """A4: sum of equivalent surfaces over the group, given to air inlets."""
-    sums = df.groupBy(*keys).agg(F.sum("surface_equivalente_ea").alias("__s"))
-    out = df.join(sums, list(keys), "inner")
-    inlet = F.coalesce(F.col("type") == TYPE_AIR_INLET, F.lit(False))
-    return out.withColumn("somme_surface_equivalente", F.when(inlet, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
+    return _group_sum_to(df, "surface_equivalente_ea", "somme_surface_equivalente", TYPE_AIR_INLET, keys, strategy)
 
 
 def household_totals(df: DataFrame, surface_factor: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
