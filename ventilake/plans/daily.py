@@ -23,7 +23,8 @@ def run_range(readings: DataFrame, dims: dict[str, DataFrame], day_from, day_to)
     history = day_range(readings, None, day_to)
     brut = rp.repair_seeded(history, MEASURES, tiebreak=("rid",))
     brut = day_range(brut, day_from, day_to)
-    ghosts = vr.virtual_readings(dims["capteur"], brut, day_from, day_to)
+    # ghost minutes only need (sensor, date), which the repair does not change
+    ghosts = vr.virtual_readings(dims["capteur"], day_range(readings, day_from, day_to), day_from, day_to)
     brut_all = brut.unionByName(ghosts, allowMissingColumns=True)
     out = household_balance(brut_all, dims, day_from, day_to)
     return out.withColumn("day", F.col("date").cast("date"))
