@@ -75,9 +75,9 @@ def _readings(spark):
     return df.withColumn("date", F.lit(TS).cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("strategy", ["window", "aggregate"])
-def test_fixture_household(spark, strategy):
-    out = t4.household_balance(_readings(spark), _dims(spark), strategy=strategy)
+@pytest.mark.parametrize("strategy,hot_rows", [("window", 0), ("aggregate", 100), ("aggregate", 3), ("auto", 3)])
+def test_fixture_household(spark, strategy, hot_rows):
+    out = t4.household_balance(_readings(spark), _dims(spark), strategy=strategy, hot_rows=hot_rows, salt_buckets=4)
     rows = {r["capteur"]: r for r in out.collect()}
     # the sensor without household is dropped
     assert set(rows) == {"ea", "b1", "bw", "ot", "gv", "x1"}
@@ -113,10 +113,29 @@ def test_strategies_agree_on_driver_tables(spark):
     brut = catalog._brut_logement(spark, SF_SMALL)
     dims = dtab.dimensions(spark, SF_SMALL)
     a = catalog.present(t4.household_balance(brut, dims, strategy="window"))
-    b = catalog.present(t4.household_balance(brut, dims, strategy="aggregate"))
+    # every household-minute with 2+ rows is salted over 3 buckets
+    b = catalog.present(t4.household_balance(brut, dims, strategy="aggregate", hot_rows=1, salt_buckets=3))
     assert _as_set(a) == _as_set(b)
 
 
+def test_auto_strategy_choice(spark):
+    readings, dims = _readings(spark), _dims(spark)
+    assert t4.household_stages(readings, dims, "auto", hot_rows=100)["strategy"] == "window"
+    assert t4.household_stages(readings, dims, "auto", hot_rows=3)["strategy"] == "aggregate"
+
+
+def test_hot_group_is_spread_over_buckets(spark):
+    from ventilake.operators import household as hh
+
+    climate = t4.household_stages(_readings(spark), _dims(spark), "window")["climate"]
+    hot = hh.hot_groups(climate, 3)
+    assert [r["logement"] for r in hot.collect()] == ["L1"]
+    salted = hh.salt_rows(climate, hot, 8)
+    buckets = {r["capteur"]: r[hh.SALT] for r in salted.collect()}
+    assert buckets["x1"] == 0
+    assert len({buckets[c] for c in ("ea", "b1", "bw", "ot", "gv")}) > 1
+
+
 def test_range_equals_union_of_days(spark):
     raw = dtab.logement_readings(spark, SF_SMALL)
     dims = dtab.dimensions(spark, SF_SMALL)

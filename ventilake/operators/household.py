@@ -9,8 +9,9 @@ Two interchangeable forms:
   per sensor of the household, so a window partition stays small.
 * aggregate form: ``groupBy`` aggregates (combined on the map side before the
   shuffle) joined back on the keys.  No group is ever buffered whole in one
-  task, at the price of a second consumer of the readings; use it when some
-  household-minutes can be very large.
+  task.  Hot household-minutes (more rows than a threshold) are salted: their
+  rows are spread over N buckets and their one-row aggregates are replicated
+  per bucket, so a hot group is joined back by N tasks instead of one.
 
 Rows with a null household or minute are dropped first, as the inner joins of
 the original drop them.
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import TYPE_AIR_INLET, TYPE_EXTRACT_VENT
 
 KEYS = ("logement", "date")
+SALT = "__salt"
 
 
 def keyed(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -74,6 +76,32 @@ def household_totals_window(df: DataFrame, surface_factor: DataFrame, keys: Sequ
     return out.drop("__fct", "__sde_row", "__sse_row")
 
 
+def hot_groups(df: DataFrame, threshold: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Household-minutes with more than ``threshold`` rows.
+
+    A pre-aggregated count per group; the result has at most
+    rows / threshold keys and stays a DataFrame (joined, never collected)."""
+    return df.groupBy(*keys).count().where(F.col("count") > F.lit(threshold)).select(*keys)
+
+
+def _flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(hot.withColumn("__hot", F.lit(True)), list(keys), "left")
+
+
+def salt_rows(
+    df: DataFrame, hot: DataFrame, buckets: int, keys: Sequence[str] = KEYS, spread_by: Sequence[str] = ("capteur", "rid")
+) -> DataFrame:
+    """Bucket number per row: a hash of ``spread_by`` for rows of hot groups, 0 otherwise."""
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread_by), F.lit(buckets))).otherwise(F.lit(0))
+    return _flag_hot(df, hot, keys).withColumn(SALT, salt.cast("int")).drop("__hot")
+
+
+def replicate_groups(agg: DataFrame, hot: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One copy of each hot group's aggregate row per bucket (bucket 0 for the others)."""
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    return _flag_hot(agg, hot, keys).withColumn(SALT, F.explode(salts)).drop("__hot")
+
+
 def household_means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A1/A2: mean temperature and hr per household and minute.
 
@@ -85,7 +113,7 @@ def household_means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def fill_virtual(df: DataFrame, means: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """P4 + J8: virtual sensors take the household means."""
+    """P4 + J8: virtual sensors take the household means (joined on ``keys``)."""
     out = df.join(means, list(keys), "inner")
     return out.withColumns(
         {

@@ -27,6 +27,10 @@ from ..operators import household as hh
 from ..operators import lookups as lk
 
 ROW_KEY = ("logement", "date", "capteur", "rid")
+ROW_KEY_SALTED = ("logement", "date", hh.SALT, "capteur", "rid")
+# a household-minute with more rows than this is treated as hot (salted)
+HOT_GROUP_ROWS = 100_000
+SALT_BUCKETS = 32
 POSITION2_COEFFS = ("fct1", "fct2", "fct3", "fct4", "valeur_defaut")
 PRESSURE2_COEFFS = ("fct1", "fct2", "fct3")
 
@@ -94,6 +98,7 @@ def calibrated_flow(
     facteur_debit_position1: DataFrame,
     facteur_debit_position2: DataFrame,
     facteur_debit_pression2: DataFrame,
+    row_key=ROW_KEY,
 ) -> DataFrame:
     """Phase 3: J3, J4, J5 and F4-F11 (debit_*, co2, debit_produit, surface, humidity)."""
     withf = lk.attach_factor(filled, facteur_debit_position1, "capteur", "capteur_facteur", "__fct_p1", default=0.0)
@@ -111,10 +116,10 @@ def calibrated_flow(
         }
     )
     stage = lk.band_lookup(
-        stage, facteur_debit_position2, POSITION2_COEFFS, "capteur", "__key_p2", ROW_KEY, "__p2_"
+        stage, facteur_debit_position2, POSITION2_COEFFS, "capteur", "__key_p2", row_key, "__p2_"
     )
     stage = lk.band_lookup(
-        stage, facteur_debit_pression2, PRESSURE2_COEFFS, "capteur", "raw_debit_position_1", ROW_KEY, "__q2_"
+        stage, facteur_debit_pression2, PRESSURE2_COEFFS, "capteur", "raw_debit_position_1", row_key, "__q2_"
     )
     stage = stage.withColumns(
         {
@@ -143,16 +148,26 @@ def calibrated_flow(
             "surface_equivalente_ea": fx.equivalent_surface("debit_produit", "type"),
         }
     )
-    return stage.drop(*[c for c in stage.columns if c.startswith("__")])
+    return stage.drop(*[c for c in stage.columns if c.startswith("__") and c != hh.SALT])
 
 
-def balance(flow: DataFrame, facteur_surface: DataFrame, strategy: str = "window") -> DataFrame:
+def balance(
+    flow: DataFrame,
+    facteur_surface: DataFrame,
+    strategy: str = "window",
+    hot: DataFrame | None = None,
+    salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
     """Phase 4: household totals, real pressure and real flow."""
     if strategy == "window":
         out = hh.household_totals_window(flow, facteur_surface)
     else:
         totals = hh.household_totals(flow, facteur_surface)
-        out = flow.join(totals, list(hh.KEYS), "inner")
+        if hot is not None and hh.SALT in flow.columns:
+            totals = hh.replicate_groups(totals, hot, salt_buckets)
+            out = flow.join(totals, [*hh.KEYS, hh.SALT], "inner").drop(hh.SALT)
+        else:
+            out = flow.join(totals, list(hh.KEYS), "inner")
     out = out.withColumn("pression_reelle", fx.real_pressure("somme_debits_extraits", "somme_surface_equivalente"))
     return out.withColumn("debit_reelle", fx.real_flow("somme_surface_equivalente", "pression_reelle"))
 
@@ -167,29 +182,73 @@ def day_range(df: DataFrame, day_from=None, day_to=None, column: str = "date") -
 
 
 def household_stages(
-    readings: DataFrame, dims: dict[str, DataFrame], strategy: str = "window"
+    readings: DataFrame,
+    dims: dict[str, DataFrame],
+    strategy: str = "auto",
+    hot_rows: int = HOT_GROUP_ROWS,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> dict[str, DataFrame]:
     """All intermediate frames of T4 (used by the operator-level queries).
 
-    ``strategy``: "window" (one exchange, single lineage) or "aggregate"
-    (pre-aggregated groupBy + join-back, for very large household-minutes).
+    ``strategy``:
+
+    * "window": windows over ``partitionBy(logement, date)``; one exchange,
+      single lineage;
+    * "aggregate": pre-aggregated groupBy + join-back, hot household-minutes
+      (more than ``hot_rows`` rows) salted over ``salt_buckets`` tasks; the
+      rows are checkpointed to the shared checkpoint folder before each
+      aggregate so that the aggregate and its join-back read them once;
+    * "auto" (default): "window" unless some household-minute is hot.  The
+      check is one pre-aggregated count per group over the sensor and day
+      columns only (the repair is pruned away); the hot keys stay a
+      DataFrame, only their emptiness reaches the driver.
     """
-    if strategy not in ("window", "aggregate"):
+    if strategy not in ("auto", "window", "aggregate"):
         raise ValueError(f"unknown strategy {strategy!r}")
     climate = calibrated_climate(readings, dims["capteur"], dims["facteur_temperature"])
-    filled = with_household_fill(climate, strategy)
-    flow = calibrated_flow(
-        filled,
-        dims["facteur_debit_position1"],
-        dims["facteur_debit_position2"],
-        dims["facteur_debit_pression2"],
-    )
-    final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy)
-    return {"climate": climate, "filled": filled, "flow": flow, "final": final}
+    hot = None
+    if strategy != "window":
+        hot = hh.hot_groups(climate, hot_rows)
+        if strategy == "auto":
+            strategy = "window" if hot.isEmpty() else "aggregate"
+    flow_dims = (dims["facteur_debit_position1"], dims["facteur_debit_position2"], dims["facteur_debit_pression2"])
+    if strategy == "window":
+        filled = with_household_fill(climate, "window")
+        flow = calibrated_flow(filled, *flow_dims)
+    else:
+        rows = _checkpoint(hh.salt_rows(climate, hot, salt_buckets))
+        means = hh.replicate_groups(hh.household_means(rows), hot, salt_buckets)
+        filled = hh.fill_virtual(rows, means, (*hh.KEYS, hh.SALT))
+        flow = _checkpoint(calibrated_flow(filled, *flow_dims, row_key=ROW_KEY_SALTED))
+    final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy, hot, salt_buckets)
+    strip = [c for c in (hh.SALT,) if c in filled.columns]
+    return {
+        "climate": climate,
+        "filled": filled.drop(*strip),
+        "flow": flow.drop(*strip),
+        "final": final,
+        "strategy": strategy,
+    }
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (set only
+    when unset, as in local runs): cuts the lineage so that two consumers of
+    ``df`` do not recompute it, and survives lost executors."""
+    from ..sinks.tables import shared_dir
+
+    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is configured
+    return df.checkpoint(eager=True)
 
 
 def household_balance(
-    readings: DataFrame, dims: dict[str, DataFrame], day_from=None, day_to=None, strategy: str = "window"
+    readings: DataFrame,
+    dims: dict[str, DataFrame],
+    day_from=None,
+    day_to=None,
+    strategy: str = "auto",
+    hot_rows: int = HOT_GROUP_ROWS,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """T4: test_logement rows for readings of ``[day_from, day_to)``.
 
@@ -199,5 +258,5 @@ def household_balance(
     the same rows as the original's filter at the end.
     """
     readings = day_range(readings, day_from, day_to)
-    final = household_stages(readings, dims, strategy)["final"]
+    final = household_stages(readings, dims, strategy, hot_rows, salt_buckets)["final"]
     return final.select(*OUTPUT_COLUMNS)
