@@ -186,3 +186,17 @@ def test_day_slice_pushes_filter_and_prunes_columns(spark):
     assert "PushedFilters: [IsNotNull(ts)" in phys or "PushedFilters: [" in phys
     scan = [line for line in phys.splitlines() if "FileScan parquet" in line][0]
     assert "props" not in scan  # unused column not read
+
+
+def test_real_only_means_and_strict(spark):
+    readings, dims = _readings(spark), _dims(spark)
+    out = {r["capteur"]: r for r in t4.household_balance(readings, dims, real_only=True, strategy="window").collect()}
+    temps = [0.01 * t - 1.0 for t in (2600.0, 2400.0, 2200.0, 2000.0)]
+    assert out["gv"]["temperature"] == pytest.approx(sum(temps) / 4)
+    agg = {r["capteur"]: r for r in t4.household_balance(readings, dims, real_only=True, strategy="aggregate").collect()}
+    assert agg["gv"]["temperature"] == pytest.approx(sum(temps) / 4)
+    t4.household_balance(readings, dims, strict=True)  # all factors present
+    dims2 = dict(dims)
+    dims2["facteur_temperature"] = dims["facteur_temperature"].where(F.col("capteur_facteur") != "ea")
+    with pytest.raises(ValueError, match="facteur_temperature:ea"):
+        t4.household_balance(readings, dims2, strict=True)

@@ -42,13 +42,21 @@ def group_window(keys: Sequence[str] = KEYS):
     return Window.partitionBy(*keys)
 
 
-def fill_virtual_window(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def _mean_input(c: str, real_only: bool):
+    """Column averaged for the household means: every row (virtual rows hold
+    0.0, as in the original) or, with ``real_only``, real sensors only."""
+    return F.when(F.col("reel"), F.col(c)) if real_only else F.col(c)
+
+
+def fill_virtual_window(df: DataFrame, keys: Sequence[str] = KEYS, real_only: bool = False) -> DataFrame:
     """A1/A2 + P4 as windows: virtual rows take the household means."""
     w = group_window(keys)
     return df.withColumns(
         {
-            "temperature": F.when(F.col("reel"), F.col("temperature")).otherwise(F.avg("temperature").over(w)),
-            "hr": F.when(F.col("reel"), F.col("hr")).otherwise(F.avg("hr").over(w)),
+            "temperature": F.when(F.col("reel"), F.col("temperature")).otherwise(
+                F.avg(_mean_input("temperature", real_only)).over(w)
+            ),
+            "hr": F.when(F.col("reel"), F.col("hr")).otherwise(F.avg(_mean_input("hr", real_only)).over(w)),
         }
     )
 
@@ -102,13 +110,14 @@ def replicate_groups(agg: DataFrame, hot: DataFrame, buckets: int, keys: Sequenc
     return _flag_hot(agg, hot, keys).withColumn(SALT, F.explode(salts)).drop("__hot")
 
 
-def household_means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def household_means(df: DataFrame, keys: Sequence[str] = KEYS, real_only: bool = False) -> DataFrame:
     """A1/A2: mean temperature and hr per household and minute.
 
-    Virtual sensors hold 0.0 at this point and are counted, as in the original."""
+    Virtual sensors hold 0.0 at this point and are counted, as in the
+    original; ``real_only=True`` averages real sensors only."""
     return df.groupBy(*keys).agg(
-        F.avg("temperature").alias("temperature_moyenne"),
-        F.avg("hr").alias("hr_moyen"),
+        F.avg(_mean_input("temperature", real_only)).alias("temperature_moyenne"),
+        F.avg(_mean_input("hr", real_only)).alias("hr_moyen"),
     )
 
 

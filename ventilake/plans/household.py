@@ -86,11 +86,22 @@ def calibrated_climate(readings: DataFrame, capteur: DataFrame, facteur_temperat
     ).drop("__fct_t")
 
 
-def with_household_fill(climate: DataFrame, strategy: str = "window") -> DataFrame:
+def with_household_fill(climate: DataFrame, strategy: str = "window", real_only: bool = False) -> DataFrame:
     """Phase 2: A1/A2 per household-minute, virtual rows take the means."""
     if strategy == "window":
-        return hh.fill_virtual_window(climate)
-    return hh.fill_virtual(climate, hh.household_means(climate))
+        return hh.fill_virtual_window(climate, real_only=real_only)
+    return hh.fill_virtual(climate, hh.household_means(climate, real_only=real_only))
+
+
+def check_factors(readings_with_dim: DataFrame, facteur_temperature: DataFrame, facteur_surface: DataFrame) -> None:
+    """Strict mode (the original aborted on a missing required factor): raise
+    if any sensor or household lacks one.  Only a handful of keys reach the
+    driver for the message."""
+    missing = lk.missing_factors(readings_with_dim, facteur_temperature, facteur_surface)
+    sample = missing.take(20)
+    if sample:
+        keys = ", ".join(f"{r['factor_table']}:{r['key']}" for r in sample)
+        raise ValueError(f"missing required factors (first {len(sample)}): {keys}")
 
 
 def calibrated_flow(
@@ -187,6 +198,8 @@ def household_stages(
     strategy: str = "auto",
     hot_rows: int = HOT_GROUP_ROWS,
     salt_buckets: int = SALT_BUCKETS,
+    real_only: bool = False,
+    strict: bool = False,
 ) -> dict[str, DataFrame]:
     """All intermediate frames of T4 (used by the operator-level queries).
 
@@ -202,10 +215,16 @@ def household_stages(
       check is one pre-aggregated count per group over the sensor and day
       columns only (the repair is pruned away); the hot keys stay a
       DataFrame, only their emptiness reaches the driver.
+
+    ``real_only``: household means over real sensors only (the original
+    counts virtual sensors as 0.0).  ``strict``: raise on missing required
+    factors instead of producing nulls.
     """
     if strategy not in ("auto", "window", "aggregate"):
         raise ValueError(f"unknown strategy {strategy!r}")
     climate = calibrated_climate(readings, dims["capteur"], dims["facteur_temperature"])
+    if strict:
+        check_factors(climate, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"])
     hot = None
     if strategy != "window":
         hot = hh.hot_groups(climate, hot_rows)
@@ -213,11 +232,11 @@ def household_stages(
             strategy = "window" if hot.isEmpty() else "aggregate"
     flow_dims = (dims["facteur_debit_position1"], dims["facteur_debit_position2"], dims["facteur_debit_pression2"])
     if strategy == "window":
-        filled = with_household_fill(climate, "window")
+        filled = with_household_fill(climate, "window", real_only)
         flow = calibrated_flow(filled, *flow_dims)
     else:
         rows = _checkpoint(hh.salt_rows(climate, hot, salt_buckets))
-        means = hh.replicate_groups(hh.household_means(rows), hot, salt_buckets)
+        means = hh.replicate_groups(hh.household_means(rows, real_only=real_only), hot, salt_buckets)
         filled = hh.fill_virtual(rows, means, (*hh.KEYS, hh.SALT))
         flow = _checkpoint(calibrated_flow(filled, *flow_dims, row_key=ROW_KEY_SALTED))
     final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy, hot, salt_buckets)
@@ -249,6 +268,8 @@ def household_balance(
     strategy: str = "auto",
     hot_rows: int = HOT_GROUP_ROWS,
     salt_buckets: int = SALT_BUCKETS,
+    real_only: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """T4: test_logement rows for readings of ``[day_from, day_to)``.
 
@@ -258,5 +279,5 @@ def household_balance(
     the same rows as the original's filter at the end.
     """
     readings = day_range(readings, day_from, day_to)
-    final = household_stages(readings, dims, strategy, hot_rows, salt_buckets)["final"]
+    final = household_stages(readings, dims, strategy, hot_rows, salt_buckets, real_only, strict)["final"]
     return final.select(*OUTPUT_COLUMNS)

@@ -27,10 +27,21 @@ def wind(readings: DataFrame) -> DataFrame:
     )
 
 
-def weather_station(readings: DataFrame, facteur_temperature: DataFrame, day_from=None, day_to=None) -> DataFrame:
+def weather_station(
+    readings: DataFrame, facteur_temperature: DataFrame, day_from=None, day_to=None, strict: bool = False
+) -> DataFrame:
     """T5: test_station rows.  The temperature factor is required: a station
-    without one gets null temperature/hr (see ``missing_factors``)."""
+    without one gets null temperature/hr, or, with ``strict``, an error
+    naming the first stations without a factor."""
     r = day_range(readings, day_from, day_to)
+    if strict:
+        missing = (
+            r.select(F.col("capteur").alias("__k")).distinct()
+            .join(facteur_temperature.select(F.col("capteur_facteur").alias("__k")), "__k", "left_anti")
+            .take(20)
+        )
+        if missing:
+            raise ValueError("stations without facteur_temperature: " + ", ".join(str(m["__k"]) for m in missing))
     withf = lk.attach_factor(r, facteur_temperature, "capteur", "capteur_facteur", "__fct_t")
     out = withf.withColumn("temperature", fx.temperature("temperature", "__fct_t"))
     out = out.withColumns(
