@@ -97,3 +97,29 @@ def test_lag_previous(spark):
     df = spark.createDataFrame([("s", 1, 1.0), ("s", 2, 2.0), ("t", 1, 5.0)], "capteur string, date int, v double")
     out = {(r["capteur"], r["date"]): r["v_prev"] for r in rp.lag_previous(df, ["v"]).collect()}
     assert out == {("s", 1): None, ("s", 2): 1.0, ("t", 1): None}
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(0, 2),  # sensor
+            st.one_of(st.none(), st.integers(0, 5 * 60)),  # minute of the day, or an unparsable date
+            st.sampled_from([SENTINEL, None, 1.0, 2.0, 3.0]),
+        ),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_bucketed_equals_single_window(spark, rows):
+    data = [
+        (i, str(s), None if m is None else f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00", v)
+        for i, (s, m, v) in enumerate(rows)
+    ]
+    df = spark.createDataFrame(data, "rid long, capteur string, d string, v double").withColumn(
+        "date", F.col("d").cast("timestamp_ntz")
+    ).drop("d")
+    bucket = F.date_trunc("hour", F.col("date")).cast("timestamp_ntz")
+    a = {r["rid"]: r["v"] for r in rp.repair_bucketed(df, ["v"], ("capteur",), bucket, tiebreak=("rid",)).collect()}
+    b = {r["rid"]: r["v"] for r in rp.repair_sentinels(df, ["v"], by=("capteur",), order=["date", "rid"]).collect()}
+    assert a == b

@@ -51,8 +51,7 @@ def present(df: DataFrame) -> DataFrame:
 
 def _per_day_repair(df: DataFrame, measures) -> DataFrame:
     """Per-file repair of driver readings: one file = one sensor-day."""
-    d = df.withColumn("__day", nm.day_of("date"))
-    return rp.repair_sentinels(d, measures, by=("capteur", "__day"), order=["date", "rid"]).drop("__day")
+    return rp.repair_per_day(df, measures, tiebreak=("rid",))
 
 
 def _brut_logement(spark: SparkSession, sf_dir: str) -> DataFrame:

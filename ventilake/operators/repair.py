@@ -26,8 +26,12 @@ def _good(c: str, sentinel: float) -> Column:
     return F.nullif(F.col(c), F.lit(sentinel))
 
 
+# stand-in for a null timestamp in order keys: before any real date (nulls sort first)
+_NULL_MICROS = "-100000000000000000"
+
+
 def order_key(date: str, tiebreak: Sequence[str] = ()) -> Column:
-    """One sortable value for the order (date, tiebreak).
+    """One sortable, non-null value for the order (date NULLS FIRST, tiebreak).
 
     With no tiebreak, the timestamp itself; with one integral tiebreak, the
     exact decimal ``micros * 10^20 + tiebreak`` (a primitive-like key keeps
@@ -37,13 +41,16 @@ def order_key(date: str, tiebreak: Sequence[str] = ()) -> Column:
     default), where wall-clock order and instant order agree.
     """
     if not tiebreak:
-        return F.col(date)
+        return F.coalesce(F.col(date), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
     if len(tiebreak) == 1:
-        micros = F.unix_micros(F.col(date).cast("timestamp")).cast("decimal(20,0)")
+        micros = F.coalesce(
+            F.unix_micros(F.col(date).cast("timestamp")).cast("decimal(20,0)"),
+            F.lit(_NULL_MICROS).cast("decimal(20,0)"),
+        )
         shift = F.lit("100000000000000000000").cast("decimal(21,0)")
         tb = F.coalesce(F.col(tiebreak[0]).cast("decimal(20,0)"), F.lit(-1).cast("decimal(20,0)"))
         return (micros * shift + tb).cast("decimal(38,0)")
-    return F.struct(F.col(date), *[F.col(c) for c in tiebreak])
+    return F.struct(F.col(date).isNotNull(), F.col(date), *[F.col(c) for c in tiebreak])
 
 
 def lag_previous(
@@ -75,48 +82,78 @@ def repair_sentinels(
     return df.withColumns(repaired)
 
 
-def repair_seeded(
+def repair_bucketed(
     df: DataFrame,
     measures: Sequence[str],
-    sensor: str = "capteur",
+    series: Sequence[str],
+    bucket: Column,
     date: str = "date",
     tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
 ) -> DataFrame:
-    """T3 over a whole history: per-day fill, then seeds carried from earlier days.
+    """W3 over each ``series``, computed in ordered buckets of it.
 
-    1. forward fill inside each (sensor, day) -- the per-file repair;
-    2. per (sensor, day): the last good value of the day (one row per day);
-    3. per sensor, over those day rows only: last non-null value of the
-       *previous* days -- the seed;
-    4. ``coalesce(fill, seed)``.
+    ``bucket`` must be a non-decreasing function of the order (e.g. the hour
+    of ``date``).  1. forward fill inside each (series, bucket); 2. per
+    (series, bucket): the last good value (a hash aggregate, combined on the
+    map side); 3. per series, over those bucket rows only: the last non-null
+    value of the *earlier* buckets -- the carry; 4. ``coalesce(fill, carry)``.
 
-    The result equals a forward fill over the whole history of each sensor,
-    without putting a whole sensor history into one window partition.
+    Equal to one forward fill over the whole series, but no window partition
+    holds more than one bucket of one series, however long or hot the series.
     """
-    day = "__day"
-    base = df.withColumn(day, day_of(date))
-    filled = repair_sentinels(base, measures, by=(sensor, day), order=[date, *tiebreak], sentinel=sentinel)
-
-    # last good value of each (sensor, day), straight from the raw rows: a
-    # plain aggregate, combined on the map side before its (small) shuffle
+    b = "__bucket"
+    base = df.withColumn(b, bucket)
+    filled = repair_sentinels(base, measures, by=(*series, b), order=[date, *tiebreak], sentinel=sentinel)
     position = order_key(date, tiebreak)
-    per_day = base.groupBy(sensor, day).agg(
+    per_bucket = base.groupBy(*series, b).agg(
         *[F.max_by(_good(c, sentinel), F.when(_good(c, sentinel).isNotNull(), position)).alias(c) for c in measures]
     )
-    earlier = Window.partitionBy(sensor).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    seeds = per_day.select(
-        F.col(sensor).alias("__s"),
-        F.col(day).alias("__d"),
+    earlier = Window.partitionBy(*series).orderBy(F.col(b).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(series)],
+        F.col(b).alias("__kb"),
         *[F.last(c, ignorenulls=True).over(earlier).alias("__seed_" + c) for c in measures],
     )
-    joined = filled.join(
-        seeds,
-        F.col(sensor).eqNullSafe(F.col("__s")) & F.col(day).eqNullSafe(F.col("__d")),
-        "left",
-    )
+    cond = F.col(b).eqNullSafe(F.col("__kb"))
+    for i, k in enumerate(series):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    joined = filled.join(carry, cond, "left")
     out = joined.withColumns({c: F.coalesce(F.col(c), F.col("__seed_" + c)) for c in measures})
-    return out.drop("__s", "__d", day, *["__seed_" + c for c in measures])
+    return out.drop(b, "__kb", *[f"__k{i}" for i in range(len(series))], *["__seed_" + c for c in measures])
+
+
+def repair_seeded(
+    df: DataFrame,
+    measures: Sequence[str],
+    sensor: str = "capteur",
+    date: str = "date",
+    tiebreak: Sequence[str] = (),
+    sentinel: float = SENTINEL,
+    bucket_unit: str = "hour",
+) -> DataFrame:
+    """T3 over a whole history: errors take the last good value of the sensor,
+    across files and days (leading errors of a day are seeded from earlier
+    days).  Computed per (sensor, ``bucket_unit``) with carried values."""
+    bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")
+    return repair_bucketed(df, measures, (sensor,), bucket, date, tiebreak, sentinel)
+
+
+def repair_per_day(
+    df: DataFrame,
+    measures: Sequence[str],
+    sensor: str = "capteur",
+    date: str = "date",
+    tiebreak: Sequence[str] = (),
+    sentinel: float = SENTINEL,
+    bucket_unit: str = "hour",
+) -> DataFrame:
+    """W3 per (sensor, day) -- one file of the original -- leading errors of
+    each day stay null.  Computed per (sensor, day, ``bucket_unit``)."""
+    tmp = "__series_day"
+    d = df.withColumn(tmp, day_of(date))
+    bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")
+    return repair_bucketed(d, measures, (sensor, tmp), bucket, date, tiebreak, sentinel).drop(tmp)
 
 
 def seed_values(
