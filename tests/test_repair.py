@@ -123,3 +123,30 @@ def test_bucketed_equals_single_window(spark, rows):
     a = {r["rid"]: r["v"] for r in rp.repair_bucketed(df, ["v"], ("capteur",), bucket, tiebreak=("rid",)).collect()}
     b = {r["rid"]: r["v"] for r in rp.repair_sentinels(df, ["v"], by=("capteur",), order=["date", "rid"]).collect()}
     assert a == b
+
+
+def test_per_day_and_ingest_bucket_options_agree(spark):
+    from ventilake.plans import ingest
+
+    rnd = random.Random(3)
+    rows = []
+    for rid in range(200):
+        day = rnd.randint(1, 3)
+        minute = rnd.randint(0, 5 * 60)
+        v = rnd.choice([SENTINEL, None, 1.0, 2.0, 3.0])
+        rows.append((rid, str(rnd.randint(0, 2)), f"2024-01-{day:02d} {minute // 60:02d}:{minute % 60:02d}:00", v))
+    df = spark.createDataFrame(rows, "rid long, capteur string, d string, v double").withColumn(
+        "date", F.col("d").cast("timestamp_ntz")
+    ).drop("d")
+    a = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",)).collect()}
+    b = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",), bucket_unit="hour").collect()}
+    assert a == b
+    lines = df.select(
+        "rid",
+        F.concat(F.lit("Salle 1 "), F.col("capteur"), F.lit(" le "), F.date_format("date", "dd MM yyyy"), F.lit(".acq")).alias("file_name"),
+        F.date_format("date", "dd/MM/yyyy HH:mm").alias("Date"),
+        "v",
+    )
+    c = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",)).collect()}
+    d = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",), bucket_unit="hour").collect()}
+    assert c == d == a

@@ -62,41 +62,68 @@ def prepare_bands(bands: DataFrame, coefficients: Sequence[str]) -> DataFrame:
     return bands.select("capteur_facteur", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
 
 
-def band_lookup(
+def band_matches(
     df: DataFrame,
     bands: DataFrame,
     coefficients: Sequence[str],
     sensor: str,
     value,
-    row_key: Sequence[str],
     prefix: str,
 ) -> DataFrame:
-    """The band of the row's sensor with ``borne_inf <= value < borne_sup``.
-
-    Equi-join on the sensor plus a range condition (a hash join with a
-    residual predicate, broadcast when the band table is small).  When bands
-    overlap, the one with the highest ``borne_inf`` wins; ties are broken by
-    the other band columns so the result is deterministic.  The winner is
-    picked per ``row_key``, which should start with the keys the data is
-    already partitioned by, so this step adds a local sort, not a shuffle.
-    Adds ``<prefix>matched`` and ``<prefix><coefficient>`` columns.
-    """
+    """All bands of the row's sensor with ``borne_inf <= value < borne_sup``
+    (left join: a row without a band keeps null band columns).
+
+    Equi-join on the sensor plus a range condition: a hash join with a
+    residual predicate, broadcast when the band table is small.  Adds
+    ``<prefix>matched`` and ``<prefix><column>`` for the bounds and
+    coefficients.  Use :func:`pick_bands` to keep the winning band per row."""
     b = prepare_bands(bands, coefficients)
     renamed = b.select(
-        F.col("capteur_facteur").alias("__bk"),
+        F.col("capteur_facteur").alias(prefix + "key"),
         *[F.col(c).alias(prefix + c) for c in ["borne_inf", "borne_sup", *coefficients]],
     )
     key = F.col(value) if isinstance(value, str) else value
     cond = (
-        (df[sensor] == renamed["__bk"])
+        (df[sensor] == renamed[prefix + "key"])
         & (key >= renamed[prefix + "borne_inf"])
         & (key < renamed[prefix + "borne_sup"])
     )
     joined = df.join(renamed, cond, "left")
-    order = [F.col(prefix + c).desc_nulls_last() for c in ["borne_inf", "borne_sup", *coefficients]]
+    return joined.withColumn(prefix + "matched", F.col(prefix + "key").isNotNull()).drop(prefix + "key")
+
+
+def pick_bands(df: DataFrame, row_key: Sequence[str], lookups: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """Keep one row per ``row_key``: for each lookup ``(prefix, coefficients)``
+    in turn, the band with the highest ``borne_inf`` (ties broken by the
+    other band columns, so the result is deterministic).
+
+    Several band lookups are resolved by ONE window: within a row the matches
+    of the lookups form a cross product, so the first row in (lookup 1 order,
+    lookup 2 order, ...) holds the best band of every lookup.  ``row_key``
+    should start with the keys the data is already partitioned by, so this is
+    a local sort, not a shuffle."""
+    order = [
+        F.col(prefix + c).desc_nulls_last()
+        for prefix, coefficients in lookups
+        for c in ["borne_inf", "borne_sup", *coefficients]
+    ]
     w = Window.partitionBy(*row_key).orderBy(*order)
-    ranked = joined.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)
-    return ranked.withColumn(prefix + "matched", F.col("__bk").isNotNull()).drop("__rank", "__bk")
+    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1).drop("__rank")
+
+
+def band_lookup(
+    df: DataFrame,
+    bands: DataFrame,
+    coefficients: Sequence[str],
+    sensor: str,
+    value,
+    row_key: Sequence[str],
+    prefix: str,
+) -> DataFrame:
+    """The winning band of the row's sensor for ``value`` (see
+    :func:`band_matches` and :func:`pick_bands`)."""
+    matches = band_matches(df, bands, coefficients, sensor, value, prefix)
+    return pick_bands(matches, row_key, [(prefix, coefficients)])
 
 
 def missing_factors(

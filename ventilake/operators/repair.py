@@ -130,11 +130,12 @@ def repair_seeded(
     date: str = "date",
     tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
-    bucket_unit: str = "hour",
+    bucket_unit: str = "day",
 ) -> DataFrame:
     """T3 over a whole history: errors take the last good value of the sensor,
     across files and days (leading errors of a day are seeded from earlier
-    days).  Computed per (sensor, ``bucket_unit``) with carried values."""
+    days).  Computed per (sensor, ``bucket_unit``) with carried values, so a
+    sensor's history is split into days (or hours)."""
     bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")
     return repair_bucketed(df, measures, (sensor,), bucket, date, tiebreak, sentinel)
 
@@ -146,12 +147,16 @@ def repair_per_day(
     date: str = "date",
     tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
-    bucket_unit: str = "hour",
+    bucket_unit: str | None = None,
 ) -> DataFrame:
     """W3 per (sensor, day) -- one file of the original -- leading errors of
-    each day stay null.  Computed per (sensor, day, ``bucket_unit``)."""
+    each day stay null.  One window per sensor-day (at most one day of one
+    box); with ``bucket_unit="hour"`` it is computed per sensor-hour with
+    carried values, for data with many duplicated deliveries of a day."""
     tmp = "__series_day"
     d = df.withColumn(tmp, day_of(date))
+    if bucket_unit is None:
+        return repair_sentinels(d, measures, by=(sensor, tmp), order=[date, *tiebreak], sentinel=sentinel).drop(tmp)
     bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")
     return repair_bucketed(d, measures, (sensor, tmp), bucket, date, tiebreak, sentinel).drop(tmp)
 

@@ -18,15 +18,18 @@ from ..operators import repair as rp
 
 
 def ingest_lines(
-    lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str] = (), bucket_unit: str = "hour"
+    lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str] = (), bucket_unit: str | None = None
 ) -> DataFrame:
     """Parse ``Date``, take the box id from ``file_name`` as ``capteur``,
     repair error codes within each file (ordered by date, nulls first, then
-    ``tiebreak``), computed per (file, ``bucket_unit``) with carried values."""
+    ``tiebreak``): one window per file (one box, one day), or, with
+    ``bucket_unit="hour"``, per file-hour with carried values."""
     text = lines.withColumnRenamed("Date", "__date_text")
     parsed = text.withColumns(
         {"date": nm.parse_acq_timestamp("__date_text"), "capteur": nm.box_id("file_name")}
     ).drop("__date_text")
+    if bucket_unit is None:
+        return rp.repair_sentinels(parsed, measures, by=("file_name",), order=["date", *tiebreak])
     bucket = F.date_trunc(bucket_unit, F.col("date")).cast("timestamp_ntz")
     return rp.repair_bucketed(parsed, measures, ("file_name",), bucket, "date", tiebreak)
 
