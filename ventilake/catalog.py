@@ -63,6 +63,13 @@ def _stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return t4.household_stages(_brut_logement(spark, sf_dir), dtab.dimensions(spark, sf_dir))
 
 
+def _climate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phase 1 of T4 only (no household phases, no hot-group check)."""
+    return t4.calibrated_climate(
+        _brut_logement(spark, sf_dir), dtab.capteur(spark, sf_dir), dtab.facteur_temperature(spark, sf_dir)
+    )
+
+
 def _day_span(df: DataFrame) -> tuple[dt.date, dt.date]:
     """[first day, last day + 1) of a table: one aggregated row to the driver."""
     lo, hi = df.agg(F.min("date"), F.max("date")).first()
@@ -160,7 +167,7 @@ def q_missing_factors(spark, sf_dir):
 
 
 def q_calibrate_climate(spark, sf_dir):
-    c = _stages(spark, sf_dir)["climate"]
+    c = _climate(spark, sf_dir)
     co2 = F.when(F.col("reel"), fx.co2("raw_co2", "type")).otherwise(F.lit(0.0))
     return c.select("rid", "capteur", "date", "temperature", "hr", co2.alias("co2"))
 
@@ -186,7 +193,7 @@ def q_absolute_humidity(spark, sf_dir):
 
 
 def q_household_mean(spark, sf_dir):
-    return hh.household_means(_stages(spark, sf_dir)["climate"])
+    return hh.household_means(_climate(spark, sf_dir))
 
 
 def q_household_flow_sum(spark, sf_dir):
@@ -204,7 +211,7 @@ def q_household_balance(spark, sf_dir):
 
 
 def q_daily_real_hr(spark, sf_dir):
-    return hh.daily_real_hr(_stages(spark, sf_dir)["climate"])
+    return hh.daily_real_hr(_climate(spark, sf_dir))
 
 
 # -- weather station and fan box -----------------------------------------------
