@@ -45,3 +45,20 @@ def test_run_files_idempotent(spark, tmpdir_fresh):
     assert {"162", "093", "gv"} <= logement_sensors
     run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
     assert snapshot() == first
+
+
+def test_command_line_with_parquet_dimensions(spark, tmpdir_fresh):
+    import os
+
+    from ventilake.__main__ import DIMENSIONS, main
+
+    root = os.path.join(tmpdir_fresh, "acq")
+    _write(root, "Station météo 05 le 03 02 2021.acq", STATION_LINES)
+    _write(root, "Salle 1 162 le 03 02 2021.acq", ["03/02/2021 10:00\t2600\t400\t100\t200\t409"])
+    dims_dir = os.path.join(tmpdir_fresh, "dims")
+    dims = _dims(spark)
+    for name in DIMENSIONS:
+        dims[name].write.parquet(os.path.join(dims_dir, name))
+    store = sink.shared_dir(spark, "cli_store")
+    paths = main(["run", "2021-02-03", "2021-02-04", "--acq", root, "--store", store, "--dims", dims_dir], spark=spark)
+    assert spark.read.parquet(paths["test_station"]).count() == len(STATION_LINES) - 1

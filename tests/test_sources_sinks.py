@@ -135,3 +135,21 @@ def test_jdbc_replace_day(spark):
     sink.jdbc_replace_day(new_day, url, "TEST_LOGEMENT", props, "2024-01-02", "2024-01-03", date="DATE")
     rows = sorted((r["RID"], r["V"]) for r in spark.read.jdbc(url, "TEST_LOGEMENT", properties=props).collect())
     assert rows == [(1, 1.0), (2, 20.0), (4, 4.0)]
+
+
+def test_jdbc_subquery_with_dimension_join(spark):
+    """S3: the day slice of a subquery joining readings and sensors, read by
+    two connections (one predicate each)."""
+    url = "jdbc:derby:memory:ventilake_sub;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = _readings(spark).select(
+        F.col("rid").alias("RID"), F.col("capteur").alias("CAPTEUR"), F.col("date").cast("timestamp").alias("DATE")
+    )
+    sink.jdbc_append(df, url, "BRUT_LOGEMENT", {**props, "createTableColumnTypes": "CAPTEUR VARCHAR(32)"})
+    cap = spark.createDataFrame([("a", "L1"), ("b", "L2")], "ID_CAPTEUR string, LOGEMENT string")
+    sink.jdbc_append(
+        cap, url, "CAPTEUR", {**props, "createTableColumnTypes": "ID_CAPTEUR VARCHAR(32), LOGEMENT VARCHAR(32)"}
+    )
+    query = "(SELECT b.RID, b.DATE, c.LOGEMENT FROM BRUT_LOGEMENT b JOIN CAPTEUR c ON b.CAPTEUR = c.ID_CAPTEUR) AS Q"
+    out = src.read_jdbc_days(spark, url, query, props, "2024-01-02", date="DATE", splits=2)
+    assert sorted((r["RID"], r["LOGEMENT"]) for r in out.collect()) == [(2, "L1"), (3, "L2")]
