@@ -50,6 +50,8 @@ def run_files(
     """
     import os
 
+    from pyspark.errors import AnalysisException
+
     from ..functions.fixed import HOUSEHOLD_BOXES
     from ..sinks import tables as sink
     from ..sources import acq
@@ -65,10 +67,10 @@ def run_files(
     lo, hi = day_range_bounds(day_from, day_to)
 
     def stored(kind):
-        p = paths[f"brut_{kind}"]
-        if not _exists(spark, p):
+        try:
+            return read_table(spark, paths[f"brut_{kind}"], acq.brut_schema(kind))
+        except AnalysisException:  # no such table yet (path not found)
             return None
-        return read_table(spark, p, acq.brut_schema(kind))
 
     # 1. raw tables: one scan per kind over all files of the range
     for kind in ("logement", "station", "caisson"):
@@ -112,12 +114,3 @@ def day_range_bounds(day_from, day_to):
         return dt.date.fromisoformat(str(d))
 
     return as_date(day_from), as_date(day_to)
-
-
-def _exists(spark, path: str) -> bool:
-    """Whether a table folder exists, through Hadoop's file system (works for
-    any shared file system the cluster uses)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
