@@ -200,3 +200,26 @@ def test_real_only_means_and_strict(spark):
     dims2["facteur_temperature"] = dims["facteur_temperature"].where(F.col("capteur_facteur") != "ea")
     with pytest.raises(ValueError, match="facteur_temperature:ea"):
         t4.household_balance(readings, dims2, strict=True)
+
+
+def test_same_result_without_broadcast(spark):
+    """Dimensions above the broadcast threshold fall back to shuffle joins
+    with the same result (forced here by disabling broadcasts)."""
+    brut = catalog._brut_logement(spark, SF_SMALL)
+    dims = dtab.dimensions(spark, SF_SMALL)
+    expected = _as_set(catalog.present(t4.household_balance(brut, dims, strategy="window")))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = catalog.present(t4.household_balance(brut, dims, strategy="window"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert _as_set(df) == expected
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

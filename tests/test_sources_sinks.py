@@ -177,3 +177,12 @@ def test_day_selection_prunes_files(spark, tmpdir_fresh):
     scans = [n for n in nodes(plan) if "Scan" in n.nodeName()]
     assert scans
     assert scans[0].metrics().apply("numFiles").value() == 1
+
+
+def test_day_table_slice_prunes_partitions(spark):
+    path = sink.shared_dir(spark, "test_prune")
+    sink.replace_days(sink.with_day(_readings(spark)), path)
+    df = src.read_day_table(spark, path, "2024-01-02")
+    assert sorted(r["rid"] for r in df.collect()) == [2, 3]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
