@@ -1,0 +1,54 @@
+"""Band (range) lookups and factor joins on small hand-made tables."""
+
+from pyspark.sql import functions as F
+
+from ventilake.functions.fixed import SENTINEL
+from ventilake.operators import lookups as lk
+from ventilake.plans import ingest
+
+
+def test_band_lookup_overlap_gap_and_nulls(spark):
+    readings = spark.createDataFrame(
+        [(1, "s", 100.0), (2, "s", 280.0), (3, "s", 700.0), (4, "t", 10.0), (5, "s", 300.0)],
+        "rid long, capteur string, x double",
+    )
+    bands = spark.createDataFrame(
+        [
+            ("s", 0.0, 300.0, 1.0, None),
+            ("s", 250.0, 400.0, 2.0, 5.0),
+            ("s", 600.0, 600.0, 9.0, 9.0),  # empty band
+        ],
+        "capteur_facteur string, borne_inf double, borne_sup double, fct1 double, fct2 double",
+    )
+    out = {
+        r["rid"]: r
+        for r in lk.band_lookup(readings, bands, ("fct1", "fct2"), "capteur", "x", ("rid",), "b_").collect()
+    }
+    assert out[1]["b_fct1"] == 1.0 and out[1]["b_fct2"] == 0.0  # SQL NULL read as 0.0
+    assert out[2]["b_fct1"] == 2.0  # overlap: the highest lower bound wins
+    assert out[5]["b_fct1"] == 2.0  # upper bound excluded, lower bound included
+    assert not out[3]["b_matched"] and out[3]["b_fct1"] is None  # gap
+    assert not out[4]["b_matched"]  # sensor without bands
+    assert len(out) == 5  # one row per reading
+
+
+def test_attach_factor_dedupes_and_defaults(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "capteur string")
+    factor = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "capteur_facteur string, fct1 double")
+    out = {r["capteur"]: r["f"] for r in lk.attach_factor(df, factor, "capteur", "capteur_facteur", "f", 0.0).collect()}
+    assert out == {"a": 3.0, "b": 0.0}
+
+
+def test_ingest_with_seeds_from_history(spark):
+    history = spark.createDataFrame(
+        [("09", "2021-02-02 23:59:00", 7.0)], "capteur string, d string, v double"
+    ).withColumn("date", F.col("d").cast("timestamp_ntz")).drop("d")
+    lines = spark.createDataFrame(
+        [
+            ("Salle 1 09 le 03 02 2021.acq", "03/02/2021 00:00", SENTINEL),
+            ("Salle 1 09 le 03 02 2021.acq", "03/02/2021 00:01", 8.0),
+        ],
+        "file_name string, Date string, v double",
+    )
+    out = sorted((r["date"].minute, r["v"]) for r in ingest.ingest_with_seeds(lines, history, ["v"]).collect())
+    assert out == [(0, 7.0), (1, 8.0)]
