@@ -41,9 +41,19 @@ def with_day(df: DataFrame, date: str = "date") -> DataFrame:
     return df.withColumn(DAY, F.col(date).cast("date"))
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows by output partition before a partitioned write.
+
+    Without it every task of a wide stage writes one file per day it holds
+    (tasks x days small files).  The ``rebalance`` hint shuffles on the
+    partition columns and lets AQE split a large day into slices of the
+    advisory size and merge small ones, so each task writes one day slice."""
+    return df.hint("rebalance", *partition_by)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,)) -> None:
     """K1: append rows to a parquet table partitioned by ``partition_by``."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace_days(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,)) -> None:
@@ -53,7 +63,8 @@ def replace_days(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,))
     sensor (the fan-box case), so other sensors of the same day stay.
     """
     (
-        df.write.mode("overwrite")
+        rebalanced(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
