@@ -150,3 +150,23 @@ def test_per_day_and_ingest_bucket_options_agree(spark):
     c = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",)).collect()}
     d = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",), bucket_unit="hour").collect()}
     assert c == d == a
+
+
+def test_auto_bucket_choice(spark):
+    from ventilake.plans import ingest
+
+    df = spark.createDataFrame(
+        [(i, "s", f"2024-01-01 {i % 24:02d}:00:00", SENTINEL if i % 3 else float(i)) for i in range(50)],
+        "rid long, capteur string, d string, v double",
+    ).withColumn("date", F.col("d").cast("timestamp_ntz")).drop("d")
+    assert rp.choose_bucket(df, ("capteur",), hot_rows=100) is None
+    assert rp.choose_bucket(df, ("capteur",), hot_rows=10) == "hour"
+    a = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",), bucket_unit="auto", hot_rows=10).collect()}
+    b = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",)).collect()}
+    assert a == b
+    lines = df.select(
+        "rid", F.lit("Salle 1 9 le 01 01 2024.acq").alias("file_name"),
+        F.date_format("date", "dd/MM/yyyy HH:mm").alias("Date"), "v",
+    )
+    c = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",), bucket_unit="auto", hot_rows=10).collect()}
+    assert c == b

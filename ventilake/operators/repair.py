@@ -140,6 +140,18 @@ def repair_seeded(
     return repair_bucketed(df, measures, (sensor,), bucket, date, tiebreak, sentinel)
 
 
+# a series-day with more rows than this is split into hours by bucket_unit="auto"
+HOT_SERIES_ROWS = 100_000
+
+
+def choose_bucket(df: DataFrame, series: Sequence[str], hot_rows: int = HOT_SERIES_ROWS) -> str | None:
+    """``"hour"`` when some series group holds more than ``hot_rows`` rows,
+    else ``None`` (one window per group).  One pre-aggregated count per group
+    over the key columns only; only "any?" reaches the driver."""
+    hot = df.groupBy(*series).count().where(F.col("count") > F.lit(hot_rows))
+    return None if hot.isEmpty() else "hour"
+
+
 def repair_per_day(
     df: DataFrame,
     measures: Sequence[str],
@@ -148,13 +160,17 @@ def repair_per_day(
     tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
     bucket_unit: str | None = None,
+    hot_rows: int = HOT_SERIES_ROWS,
 ) -> DataFrame:
     """W3 per (sensor, day) -- one file of the original -- leading errors of
     each day stay null.  One window per sensor-day (at most one day of one
     box); with ``bucket_unit="hour"`` it is computed per sensor-hour with
-    carried values, for data with many duplicated deliveries of a day."""
+    carried values, for data with many duplicated deliveries of a day;
+    ``"auto"`` picks hours only when some sensor-day exceeds ``hot_rows``."""
     tmp = "__series_day"
     d = df.withColumn(tmp, day_of(date))
+    if bucket_unit == "auto":
+        bucket_unit = choose_bucket(d, (sensor, tmp), hot_rows)
     if bucket_unit is None:
         return repair_sentinels(d, measures, by=(sensor, tmp), order=[date, *tiebreak], sentinel=sentinel).drop(tmp)
     bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")

@@ -75,7 +75,7 @@ def run_files(
     # 1. raw tables: one scan per kind over all files of the range
     for kind in ("logement", "station", "caisson"):
         lines = acq.read_acq(spark, acq_root, kind, lo, hi, boxes)
-        brut = ingest_lines(lines, acq.MEASURES[kind]).drop("file_name")
+        brut = ingest_lines(lines, acq.MEASURES[kind], bucket_unit="auto").drop("file_name")
         if kind == "logement":
             history = stored("logement")
             if history is not None:

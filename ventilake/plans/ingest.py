@@ -18,16 +18,23 @@ from ..operators import repair as rp
 
 
 def ingest_lines(
-    lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str] = (), bucket_unit: str | None = None
+    lines: DataFrame,
+    measures: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    bucket_unit: str | None = None,
+    hot_rows: int = rp.HOT_SERIES_ROWS,
 ) -> DataFrame:
     """Parse ``Date``, take the box id from ``file_name`` as ``capteur``,
     repair error codes within each file (ordered by date, nulls first, then
     ``tiebreak``): one window per file (one box, one day), or, with
-    ``bucket_unit="hour"``, per file-hour with carried values."""
+    ``bucket_unit="hour"``, per file-hour with carried values; ``"auto"``
+    picks hours only when some file exceeds ``hot_rows`` lines."""
     text = lines.withColumnRenamed("Date", "__date_text")
     parsed = text.withColumns(
         {"date": nm.parse_acq_timestamp("__date_text"), "capteur": nm.box_id("file_name")}
     ).drop("__date_text")
+    if bucket_unit == "auto":
+        bucket_unit = rp.choose_bucket(parsed, ("file_name",), hot_rows)
     if bucket_unit is None:
         return rp.repair_sentinels(parsed, measures, by=("file_name",), order=["date", *tiebreak])
     bucket = F.date_trunc(bucket_unit, F.col("date")).cast("timestamp_ntz")
