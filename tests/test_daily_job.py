@@ -31,7 +31,9 @@ def test_run_files_idempotent(spark, tmpdir_fresh):
         out = {}
         for name in ("test_logement", "test_station", "test_caisson"):
             out[name] = sorted(tuple(r) for r in spark.read.parquet(paths[name]).collect())
-        brut = read_table(spark, paths["brut_logement"], acq.brut_schema("logement"))
+        brut = read_table(spark, paths["brut_logement"], acq.brut_schema("logement")).unionByName(
+            read_table(spark, paths["brut_virtuel"], acq.brut_schema("logement"))
+        )
         out["brut_logement"] = sorted(tuple(sorted(r.asDict().items(), key=lambda kv: kv[0])) for r in brut.collect())
         out["brut_sensors"] = {r["capteur"] for r in brut.collect()}
         return out
@@ -62,3 +64,22 @@ def test_command_line_with_parquet_dimensions(spark, tmpdir_fresh):
     store = sink.shared_dir(spark, "cli_store")
     paths = main(["run", "2021-02-03", "2021-02-04", "--acq", root, "--store", store, "--dims", dims_dir], spark=spark)
     assert spark.read.parquet(paths["test_station"]).count() == len(STATION_LINES) - 1
+
+
+def test_ghost_rows_do_not_replace_file_readings(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", ["03/02/2021 10:00\t2600\t400\t100\t200\t409"])
+    # the virtual sensor "gv" (household L1) also delivered a file
+    _write(root, "Salle 1 gv le 03 02 2021.acq", ["03/02/2021 10:00\t2500\t390\t90\t190\t400"])
+    dims = _dims(spark)
+    dims["capteur"] = dims["capteur"].union(
+        spark.createDataFrame([("162", "L1", "Sejour", "EA", True)], dims["capteur"].schema)
+    )
+    store = sink.shared_dir(spark, "ghost_store")
+    paths = run_files(spark, root, store, dims, "2021-02-03", "2021-02-04", boxes=("162", "gv"))
+    raw = read_table(spark, paths["brut_logement"], acq.brut_schema("logement"))
+    ghost = read_table(spark, paths["brut_virtuel"], acq.brut_schema("logement"))
+    assert [r["temperature"] for r in raw.where("capteur = 'gv'").collect()] == [2500.0]
+    assert sorted(r["date"].hour for r in ghost.where("capteur = 'gv'").collect()) == [0, 10]
+    out = spark.read.parquet(paths["test_logement"]).where("capteur = 'gv'")
+    assert out.count() == 3  # file reading + two ghost rows

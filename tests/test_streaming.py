@@ -30,3 +30,20 @@ def test_stream_ingest_available_now(spark):
     q = start_ingest(spark, landing, "station", table, sink.shared_dir(spark, "stream_ckpt2"))
     q.awaitTermination(120)
     assert spark.read.parquet(table).count() == len(STATION_LINES) + 2
+
+
+def test_stream_seeds_leading_errors_from_table(spark):
+    landing = tempfile.mkdtemp(prefix="ventilake-landing-")
+    table = sink.shared_dir(spark, "stream_seed_table")
+    ckpt = sink.shared_dir(spark, "stream_seed_ckpt")
+    _write(landing, "Salle 1 162 le 03 02 2021.acq", ["03/02/2021 23:00\t2600\t400\t100\t200\t409"])
+    start_ingest(spark, landing, "logement", table, ckpt, seeded=True).awaitTermination(120)
+    _write(landing, "Salle 1 162 le 04 02 2021.acq", [
+        "04/02/2021 00:00\t61440\t61440\t61440\t61440\t61440",
+        "04/02/2021 00:01\t2700\t410\t110\t210\t419",
+    ])
+    start_ingest(spark, landing, "logement", table, ckpt, seeded=True).awaitTermination(120)
+    rows = {r["date"].day * 10000 + r["date"].minute: r for r in read_table(spark, table, acq.brut_schema("logement")).collect()}
+    first_of_day = rows[4 * 10000 + 0]
+    assert first_of_day["temperature"] == 2600.0 and first_of_day["co2"] == 409.0
+    assert rows[4 * 10000 + 1]["temperature"] == 2700.0

@@ -42,7 +42,8 @@ def run_files(
     """The whole daily chain for ``[day_from, day_to)``, from .acq files to outputs.
 
     ``store`` holds parquet tables ``brut_logement``, ``brut_station``,
-    ``brut_caisson`` (partitioned by day and sensor) and ``test_logement``,
+    ``brut_caisson``, ``brut_virtuel`` (ghost rows; partitioned by day and
+    sensor, so replacing ghost rows never touches file readings) and ``test_logement``,
     ``test_station``, ``test_caisson`` (partitioned by day).  Every step
     replaces exactly the partitions it produces, so re-running a range is
     idempotent.  Household leading errors are seeded from the stored history.
@@ -53,6 +54,7 @@ def run_files(
     from pyspark.errors import AnalysisException
 
     from ..functions.fixed import HOUSEHOLD_BOXES
+    from ..sinks.tables import shared_dir
     from ..sinks import tables as sink
     from ..sources import acq
     from ..sources.tables import read_table
@@ -60,15 +62,24 @@ def run_files(
     from .weather import calibrate_fanbox, weather_station
 
     boxes = boxes or HOUSEHOLD_BOXES
+    shared_dir(spark)  # a checkpoint folder (the cluster's, or a local one when unset)
     paths = {
         name: os.path.join(store, name)
-        for name in ("brut_logement", "brut_station", "brut_caisson", "test_logement", "test_station", "test_caisson")
+        for name in (
+            "brut_logement",
+            "brut_station",
+            "brut_caisson",
+            "brut_virtuel",
+            "test_logement",
+            "test_station",
+            "test_caisson",
+        )
     }
     lo, hi = day_range_bounds(day_from, day_to)
 
-    def stored(kind):
+    def stored(kind, table=None):
         try:
-            return read_table(spark, paths[f"brut_{kind}"], acq.brut_schema(kind))
+            return read_table(spark, paths[table or f"brut_{kind}"], acq.brut_schema(kind))
         except AnalysisException:  # no such table yet (path not found)
             return None
 
@@ -79,17 +90,21 @@ def run_files(
         if kind == "logement":
             history = stored("logement")
             if history is not None:
-                seeds = rp.seed_values(history, acq.MEASURES[kind], lo)
+                # one row per sensor; checkpointed so that the write below does
+                # not read the table it is overwriting
+                seeds = rp.seed_values(history, acq.MEASURES[kind], lo).checkpoint(eager=True)
                 brut = rp.apply_seeds(brut, seeds, acq.MEASURES[kind])
         sink.replace_days(sink.with_day(brut), paths[f"brut_{kind}"], partition_by=(sink.DAY, "capteur"))
 
-    # 2. ghost readings of virtual sensors, from the household readings just stored
+    # 2. ghost readings of virtual sensors, from the household readings just
+    #    stored, into their own table (a virtual sensor's file readings, if
+    #    any, stay untouched)
     logement = day_range(stored("logement"), lo, hi)
     ghosts = vr.virtual_readings(dims["capteur"], logement, lo, hi)
-    sink.replace_days(sink.with_day(ghosts), paths["brut_logement"], partition_by=(sink.DAY, "capteur"))
+    sink.replace_days(sink.with_day(ghosts), paths["brut_virtuel"], partition_by=(sink.DAY, "capteur"))
 
     # 3. transforms, each replacing its output days
-    logement = stored("logement")
+    logement = stored("logement").unionByName(stored("logement", "brut_virtuel"))
     out = household_balance(logement.drop("day"), dims, lo, hi)
     sink.replace_days(sink.with_day(out), paths["test_logement"])
     station = stored("station")

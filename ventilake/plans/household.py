@@ -26,8 +26,12 @@ from ..functions.naming import ntz_literal
 from ..operators import household as hh
 from ..operators import lookups as lk
 
-ROW_KEY = ("logement", "date", "capteur", "rid")
-ROW_KEY_SALTED = ("logement", "date", hh.SALT, "capteur", "rid")
+# one reading = one __row (unique id given in phase 1); the band choice groups
+# the band matches of a reading by it.  The household keys come first so the
+# grouping extends the (logement, date) partitioning.
+ROW = "__row"
+ROW_KEY = ("logement", "date", "capteur", ROW)
+ROW_KEY_SALTED = ("logement", "date", hh.SALT, "capteur", ROW)
 # a household-minute with more rows than this is treated as hot (salted)
 HOT_GROUP_ROWS = 100_000
 SALT_BUCKETS = 32
@@ -78,6 +82,9 @@ def calibrated_climate(readings: DataFrame, capteur: DataFrame, facteur_temperat
     return withf.withColumns(
         {
             "temperature": F.when(F.col("reel"), t).otherwise(F.lit(0.0)),
+            # unique per reading, also when readings carry no id (file rows,
+            # ghost rows): only its uniqueness is used
+            ROW: F.monotonically_increasing_id(),
         }
     ).withColumns(
         {
@@ -160,7 +167,7 @@ def calibrated_flow(
             "surface_equivalente_ea": fx.equivalent_surface("debit_produit", "type"),
         }
     )
-    return stage.drop(*[c for c in stage.columns if c.startswith("__") and c != hh.SALT])
+    return stage.drop(*[c for c in stage.columns if c.startswith("__") and c not in (hh.SALT, ROW)])
 
 
 def balance(
@@ -236,17 +243,16 @@ def household_stages(
         filled = with_household_fill(climate, "window", real_only)
         flow = calibrated_flow(filled, *flow_dims)
     else:
-        rows = _checkpoint(hh.salt_rows(climate, hot, salt_buckets))
+        rows = _checkpoint(hh.salt_rows(climate, hot, salt_buckets, spread_by=(ROW,)))
         means = hh.replicate_groups(hh.household_means(rows, real_only=real_only), hot, salt_buckets)
         filled = hh.fill_virtual(rows, means, (*hh.KEYS, hh.SALT))
         flow = _checkpoint(calibrated_flow(filled, *flow_dims, row_key=ROW_KEY_SALTED))
     final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy, hot, salt_buckets)
-    strip = [c for c in (hh.SALT,) if c in filled.columns]
     return {
-        "climate": climate,
-        "filled": filled.drop(*strip),
-        "flow": flow.drop(*strip),
-        "final": final,
+        "climate": climate.drop(ROW),
+        "filled": filled.drop(hh.SALT, ROW),
+        "flow": flow.drop(hh.SALT, ROW),
+        "final": final.drop(ROW),
         "strategy": strategy,
     }
 

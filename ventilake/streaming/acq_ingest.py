@@ -14,14 +14,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import fixed as X
 from ..functions import naming as nm
+from ..operators import repair as rp
 from ..plans import ingest
 from ..sinks import tables as sink
 from ..sources import acq
+from ..sources.tables import read_table
 
 
 def acq_stream(
@@ -55,17 +59,31 @@ def start_ingest(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    seeded: bool = False,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops.
 
     ``checkpoint`` defaults to a folder below the shared ``spark.checkpoint.dir``.
+    ``seeded``: leading errors of the new files take the last good value of
+    the stored table before the batch (T3), as the daily job does.
     """
     measures = acq.MEASURES[kind]
     checkpoint = checkpoint or sink.shared_dir(spark, "streams", f"acq_{kind}")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        brut = ingest.ingest_lines(batch, measures)
-        sink.replace_days(sink.with_day(brut).drop("file_name"), table_path, partition_by=(sink.DAY, "capteur"))
+        brut = ingest.ingest_lines(batch, measures, bucket_unit="auto").drop("file_name")
+        if seeded:
+            start = brut.agg(F.min("date")).first()[0]  # one value to the driver
+            try:
+                history = read_table(batch.sparkSession, table_path, acq.brut_schema(kind))
+            except AnalysisException:  # first batch: no table yet
+                history = None
+            if start is not None and history is not None:
+                # one row per sensor, checkpointed: the write below must not
+                # read the table it is overwriting
+                seeds = rp.seed_values(history, measures, start).checkpoint(eager=True)
+                brut = rp.apply_seeds(brut, seeds, measures)
+        sink.replace_days(sink.with_day(brut), table_path, partition_by=(sink.DAY, "capteur"))
 
     writer = acq_stream(spark, landing, kind).writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint
