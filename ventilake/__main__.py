@@ -50,12 +50,13 @@ def main(argv=None, spark=None) -> dict[str, str]:
     run.add_argument("--jdbc-user")
     run.add_argument("--jdbc-password-env")
     run.add_argument("--jdbc-driver")
-    run.add_argument("--master", default=None)
+    run.add_argument("--master", default=None, help="default: the launcher's (spark-submit)")
+    run.add_argument("--shuffle-partitions", type=int, default=200)
     args = parser.parse_args(argv)
     if not args.dims and not args.jdbc_url:
         parser.error("give --dims or --jdbc-url")
     if spark is None:
-        spark = build_session(args.master) if args.master else build_session()
+        spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     dims = load_dimensions(spark, args)
     return run_files(spark, args.acq, args.store, dims, args.day_from, args.day_to)
 

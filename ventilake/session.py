@@ -18,9 +18,15 @@ DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "ventilake", shuffle_partitions: int = 8, **conf) -> SparkSession:
-    """Session with the defaults above; ``conf`` overrides them (e.g. ``**sizing(...)``)."""
-    b = SparkSession.builder.master(master).appName(app)
+def build_session(
+    master: str | None = "local[*]", app: str = "ventilake", shuffle_partitions: int = 8, **conf
+) -> SparkSession:
+    """Session with the defaults above; ``conf`` overrides them (e.g. ``**sizing(...)``).
+
+    ``master=None`` leaves the master to the launcher (spark-submit on a cluster)."""
+    b = SparkSession.builder.appName(app)
+    if master is not None:
+        b = b.master(master)
     settings = dict(DEFAULTS)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update({k: str(v) for k, v in conf.items()})
