@@ -126,10 +126,10 @@ def q_range_run(spark, sf_dir):
 
 
 def q_lag_previous(spark, sf_dir):
-    raw = dtab.logement_readings(spark, sf_dir)
-    return rp.lag_previous(raw, ["temperature", "hr"], by=("capteur",), order=("date", "rid")).select(
-        "rid", "capteur", "date", "temperature", "hr", "temperature_prev", "hr_prev"
-    )
+    """W1 within each file of the original: per sensor-day."""
+    raw = dtab.logement_readings(spark, sf_dir).withColumn("__day", nm.day_of("date"))
+    out = rp.lag_previous(raw, ["temperature", "hr"], by=("capteur", "__day"), order=("date", "rid"))
+    return out.select("rid", "capteur", "date", "temperature", "hr", "temperature_prev", "hr_prev")
 
 
 def q_sentinel_repair(spark, sf_dir):

@@ -351,7 +351,7 @@ FROM lines GROUP BY file_name"""
 
     q["lag_previous"] = with_(RAW) + f"""SELECT rid, capteur, date, {r4('temperature')} AS temperature, {r4('hr')} AS hr,
        {r4('lag(temperature) OVER w')} AS temperature_prev, {r4('lag(hr) OVER w')} AS hr_prev
-FROM raw WINDOW w AS (PARTITION BY capteur ORDER BY date, rid)"""
+FROM raw WINDOW w AS (PARTITION BY capteur, CAST(date AS DATE) ORDER BY date, rid)"""
     q["sentinel_repair"] = with_(RAW, BRUT_DAY) + f"SELECT rid, capteur, date, {log_r} FROM brut_day"
     q["sentinel_seeded"] = with_(RAW, BRUT) + f"SELECT rid, capteur, date, {log_r} FROM brut"
     q["virtual_readings"] = with_(RAW, CAPTEUR, ghosts("raw")) + f"SELECT capteur, date, {log_r} FROM ghost"
