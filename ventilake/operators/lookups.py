@@ -93,15 +93,13 @@ def band_matches(
 
 
 def pick_bands(df: DataFrame, row_key: Sequence[str], lookups: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """Keep one row per ``row_key``: for each lookup ``(prefix, coefficients)``
-    in turn, the band with the highest ``borne_inf`` (ties broken by the
-    other band columns, so the result is deterministic).
-
-    Several band lookups are resolved by ONE window: within a row the matches
-    of the lookups form a cross product, so the first row in (lookup 1 order,
-    lookup 2 order, ...) holds the best band of every lookup.  ``row_key``
-    should start with the keys the data is already partitioned by, so this is
-    a local sort, not a shuffle."""
+    """Keep one row per ``row_key``: the band with the highest ``borne_inf``
+    (ties broken by the other band columns, so the result is deterministic).
+
+    Call it after each lookup (never join a second band table before the
+    first one is resolved: that would pair every match of one lookup with
+    every match of the other).  ``row_key`` should start with the keys the
+    data is already partitioned by, so this is a local sort, not a shuffle."""
     order = [
         F.col(prefix + c).desc_nulls_last()
         for prefix, coefficients in lookups

@@ -133,13 +133,12 @@ def calibrated_flow(
             "__key_p2": F.when(real, F.col("raw_debit_position_1")).otherwise(F.col("hr")),
         }
     )
-    # both band lookups joined first, then one window keeps the winning band
-    # of each per reading (one local sort instead of two)
-    stage = lk.band_matches(stage, facteur_debit_position2, POSITION2_COEFFS, "capteur", "__key_p2", "__p2_")
-    stage = lk.band_matches(
-        stage, facteur_debit_pression2, PRESSURE2_COEFFS, "capteur", "raw_debit_position_1", "__q2_"
+    # each band lookup keeps its winning band before the next one is joined,
+    # so a reading never carries more rows than the matches of one lookup
+    stage = lk.band_lookup(stage, facteur_debit_position2, POSITION2_COEFFS, "capteur", "__key_p2", row_key, "__p2_")
+    stage = lk.band_lookup(
+        stage, facteur_debit_pression2, PRESSURE2_COEFFS, "capteur", "raw_debit_position_1", row_key, "__q2_"
     )
-    stage = lk.pick_bands(stage, row_key, [("__p2_", POSITION2_COEFFS), ("__q2_", PRESSURE2_COEFFS)])
     stage = stage.withColumns(
         {
             "debit_position_2": fx.flow_position_2(
