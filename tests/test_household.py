@@ -223,3 +223,38 @@ def test_same_result_without_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_really_hot_household_minute_salted_equals_window(spark):
+    """20,000 readings in ONE household-minute: the auto strategy salts it and
+    gives the same result as the window form."""
+    sensors = ["ea", "b1", "bw", "ot", "gv"]
+    ids = spark.range(20_000)
+    readings = ids.select(
+        F.col("id").alias("rid"),
+        F.element_at(F.array(*[F.lit(s) for s in sensors]), (F.col("id") % 5 + 1).cast("int")).alias("capteur"),
+        F.lit(TS).cast("timestamp_ntz").alias("date"),
+        (F.lit(2000.0) + F.col("id") % 700).alias("temperature"),
+        (F.lit(300.0) + F.col("id") % 150).alias("hr"),
+        (F.col("id") % 600).cast("double").alias("debit_position_1"),
+        (F.col("id") % 400).cast("double").alias("debit_pression_1"),
+        F.lit(409.0).alias("co2"),
+    )
+    dims = _dims(spark)
+    stages = t4.household_stages(readings, dims, "auto", hot_rows=1_000, salt_buckets=8)
+    assert stages["strategy"] == "aggregate"
+    salted = stages["final"]
+    window = t4.household_stages(readings, dims, "window")["final"]
+    cols = [c for c in t4.OUTPUT_COLUMNS if c not in ("capteur", "date")]
+
+    def totals(df):
+        row = df.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in cols]).first()
+        return row
+
+    a, b = totals(salted), totals(window)
+    assert a["n"] == b["n"] == 20_000
+    for c in cols:
+        if a[c] is None or b[c] is None:
+            assert a[c] is None and b[c] is None, c
+        else:
+            assert a[c] == pytest.approx(b[c], rel=1e-9), c
