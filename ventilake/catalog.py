@@ -48,6 +48,18 @@ def present(df: DataFrame) -> DataFrame:
 
 # -- shared inputs -------------------------------------------------------------
 
+_DIMENSIONS: dict[str, tuple[SparkSession, dict[str, DataFrame]]] = {}
+
+
+def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dimension frames of a folder, built once per session (lazy plans only)."""
+    hit = _DIMENSIONS.get(sf_dir)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    dims = dtab.dimensions(spark, sf_dir)
+    _DIMENSIONS[sf_dir] = (spark, dims)
+    return dims
+
 
 def _per_day_repair(df: DataFrame, measures) -> DataFrame:
     """Per-file repair of driver readings: one file = one sensor-day."""
@@ -60,7 +72,7 @@ def _brut_logement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return t4.household_stages(_brut_logement(spark, sf_dir), dtab.dimensions(spark, sf_dir))
+    return t4.household_stages(_brut_logement(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
 def _climate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +131,7 @@ def q_day_replace(spark, sf_dir):
 def q_range_run(spark, sf_dir):
     raw = dtab.logement_readings(spark, sf_dir)
     lo, hi = _day_span(raw)
-    return daily.run_range(raw, dtab.dimensions(spark, sf_dir), lo, hi)
+    return daily.run_range(raw, _dimensions(spark, sf_dir), lo, hi)
 
 
 # -- windows / repair ----------------------------------------------------------
@@ -207,7 +219,7 @@ def q_household_surface_sum(spark, sf_dir):
 
 
 def q_household_balance(spark, sf_dir):
-    return t4.household_balance(_brut_logement(spark, sf_dir), dtab.dimensions(spark, sf_dir))
+    return t4.household_balance(_brut_logement(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
 def q_daily_real_hr(spark, sf_dir):
