@@ -186,3 +186,22 @@ def test_day_table_slice_prunes_partitions(spark):
     assert sorted(r["rid"] for r in df.collect()) == [2, 3]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_household_and_fanbox_layouts(spark, tmpdir_fresh):
+    _write(tmpdir_fresh, "Salle 1 162 le 03 02 2021.acq", [
+        "03/02/2021 10:00\t2600\t400\t100\t200\t409",
+        "03/02/2021 10:01\t61440\t410\t61440\t210\t419",
+    ])
+    _write(tmpdir_fresh, "caisson 12 le 03 02 2021.acq", [
+        "03/02/2021 10:00\t1\t2\t3\t100\t200\t5",
+        "03/02/2021 10:01\t1\t2\t3\t61440\t201\t6",
+    ])
+    log = ingest.ingest_lines(acq.read_acq(spark, tmpdir_fresh, "logement"), acq.MEASURES["logement"])
+    assert set(log.columns) == {"file_name", "date", "capteur", *acq.MEASURES["logement"]}
+    rows = sorted((r["date"].minute, r["temperature"], r["debit_position_1"], r["co2"]) for r in log.collect())
+    assert rows == [(0, 2600.0, 100.0, 409.0), (1, 2600.0, 100.0, 419.0)]
+    fan = ingest.ingest_lines(acq.read_acq(spark, tmpdir_fresh, "caisson"), acq.MEASURES["caisson"])
+    assert "vide1" not in fan.columns
+    rows = sorted((r["capteur"], r["date"].minute, r["puissance"], r["pression"], r["consommation"]) for r in fan.collect())
+    assert rows == [("12", 0, 100.0, 200.0, 5.0), ("12", 1, 100.0, 201.0, 6.0)]
