@@ -83,3 +83,25 @@ def test_ghost_rows_do_not_replace_file_readings(spark, tmpdir_fresh):
     assert sorted(r["date"].hour for r in ghost.where("capteur = 'gv'").collect()) == [0, 10]
     out = spark.read.parquet(paths["test_logement"]).where("capteur = 'gv'")
     assert out.count() == 3  # file reading + two ghost rows
+
+
+def test_run_files_seeds_from_stored_history(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", ["03/02/2021 23:59\t2600\t400\t100\t200\t409"])
+    _write(root, "Salle 1 162 le 04 02 2021.acq", [
+        "04/02/2021 00:00\t61440\t61440\t61440\t61440\t61440",
+        "04/02/2021 00:01\t2700\t410\t110\t210\t419",
+    ])
+    dims = _dims(spark)
+    dims["capteur"] = dims["capteur"].union(
+        spark.createDataFrame([("162", "L1", "Sejour", "EA", True)], dims["capteur"].schema)
+    )
+    store = sink.shared_dir(spark, "seed_store")
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    paths = run_files(spark, root, store, dims, "2021-02-04", "2021-02-05")
+    raw = read_table(spark, paths["brut_logement"], acq.brut_schema("logement")).where("capteur = '162'")
+    by_minute = {(r["date"].day, r["date"].minute): r for r in raw.collect()}
+    assert by_minute[(4, 0)]["temperature"] == 2600.0  # seeded from the stored day before
+    assert by_minute[(4, 0)]["co2"] == 409.0
+    assert by_minute[(4, 1)]["temperature"] == 2700.0
+    assert by_minute[(3, 59)]["temperature"] == 2600.0  # the earlier day is untouched
