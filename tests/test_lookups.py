@@ -52,3 +52,19 @@ def test_ingest_with_seeds_from_history(spark):
     )
     out = sorted((r["date"].minute, r["v"]) for r in ingest.ingest_with_seeds(lines, history, ["v"]).collect())
     assert out == [(0, 7.0), (1, 8.0)]
+
+
+def test_weather_station_strict_mode(spark):
+    import pytest
+
+    from ventilake.plans.weather import weather_station
+
+    readings = spark.createDataFrame(
+        [("05", "2021-02-03 00:00:00", 4500.0, 400.0, 512.0, 10.0, 400.0)],
+        "capteur string, d string, temperature double, hr double, orientation double, vitesse_vent double, co2 double",
+    ).withColumn("date", F.col("d").cast("timestamp_ntz")).drop("d")
+    factors = spark.createDataFrame([("05", 1.0)], "capteur_facteur string, fct1 double")
+    out = weather_station(readings, factors, strict=True).first()
+    assert out["temperature"] == 44.0 and out["bousole"] == "Sud" and out["orientation"] == 180
+    with pytest.raises(ValueError, match="05"):
+        weather_station(readings, factors.where("capteur_facteur <> '05'"), strict=True)
