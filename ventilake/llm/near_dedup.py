@@ -36,7 +36,7 @@ of any length are read in blocks.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -58,20 +58,29 @@ _BLOCK = 1 << 15
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's five-word shingles."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def words_of(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of the five-word shingles, in order; none for fewer words."""
     n = len(words)
-    if not n:
+    if n < WORDS:
         return np.empty(0, dtype=np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=n)
-    if n < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], dtype=np.uint64)
     s = np.zeros(n - WORDS + 1, dtype=np.uint64)
     for k in range(WORDS):
         part = h[k : n - WORDS + 1 + k] * _MIX[k]
         s = (s ^ (part ^ (part >> np.uint64(32)))) * np.uint64(0x9FB21C651E98DF25)
-    return np.unique(s ^ (s >> np.uint64(29)))
+    return s ^ (s >> np.uint64(29))
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's shingles; fewer than five words are one shingle."""
+    words = words_of(text)
+    if 0 < len(words) < WORDS:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], dtype=np.uint64)
+    return np.unique(shingle_hashes(words))
 
 
 def multipliers(perms: int) -> np.ndarray:
@@ -125,9 +134,9 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(build, "digest binary, shingles array<long>")
 
 
-def _sets_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The sets of ``classes`` (``id, digest, doc_id``), built again from the texts: one row per id."""
-    wanted = checkpointed(classes.select("id", "digest", "doc_id"))
+def _sets_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The sets of the wanted ids of ``classes`` (``id, digest, doc_id``), built again from the texts: one row per id."""
+    wanted = checkpointed(classes.join(wanted, "id", "left_semi").select("id", "digest", "doc_id"))
     ids = wanted.select("doc_id").distinct()
     side = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
     sets = _sets(rows.join(side, "doc_id", "left_semi")).join(wanted.select("id", "digest"), "digest")
@@ -152,12 +161,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def class_components(classes: DataFrame, rows: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``id, component`` of the classes (``id, digest, doc_id, n_shingles, bands``) that are linked with another."""
+def class_components(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: int = THRESHOLD) -> DataFrame:
+    """``id, component`` of the classes (``id, n_shingles, bands``) that are linked with another.
+
+    ``sets_of`` turns a table of ids into ``id, shingles``, the full sets, kept in the shared folder."""
     members = classes.select("id", "n_shingles", F.explode("bands").alias("band"))
     shared = members.groupBy("band").count().where("count > 1").select("band")
     candidates = checkpointed(members.join(shared, "band"))
-    sets = _sets_of(rows, classes.join(candidates.select("id").distinct(), "id", "left_semi"))
+    sets = sets_of(candidates.select("id").distinct())
     own = (
         sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
         .agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
@@ -213,7 +224,8 @@ def near_dedup(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
     )
     classes = checkpointed(classes.withColumn("id", F.xxhash64("digest")))
-    component = class_components(classes.where("doc_id is not null"), rows, threshold)
+    named = classes.where("doc_id is not null")
+    component = class_components(named, lambda ids: _sets_of(rows, named, ids), threshold)
     smallest = component.join(classes, "id").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = component.join(smallest, "component").select("id", "component_id")
     of_class = classes.join(of_class, "id", "left").select("digest", F.coalesce("component_id", "doc_id").alias("component_id"))

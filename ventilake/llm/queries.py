@@ -7,19 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ventilake.llm import license_scan as licenses
 from ventilake.llm.common import table
 from ventilake.llm.decontaminate import decontaminate
 from ventilake.llm.exact_dedup import exact_dedup
+from ventilake.llm.html_extract import extract_main_text
 from ventilake.llm.near_dedup import near_dedup
 from ventilake.llm.packing import default_tokenizer, pack
+from ventilake.llm.paragraph_dedup import repeated_passages
+from ventilake.llm.pii import pii
+from ventilake.llm.quality import quality
 from ventilake.llm.toxicity import toxicity
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +49,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -77,14 +102,19 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_pii": op3_pii,
+        "op4_html_extract": op4_html_extract,
         "op5_toxicity": op5_toxicity,
         "op6_near_dedup": op6_near_dedup,
         "op7_decontaminate": op7_decontaminate,
+        "op8_paragraph_dedup": op8_paragraph_dedup,
+        "op9_quality": op9_quality,
         "op10_packing": op10_packing,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT_SQL, "op7_decontaminate": DECONTAMINATE_SQL}
+    return {"op1_license_scan": licenses.oracle_sql(), "op2_exact_dedup": EXACT_SQL, "op7_decontaminate": DECONTAMINATE_SQL}
