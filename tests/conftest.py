@@ -15,12 +15,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from ventilake.session import build_session
 
-    s = build_session("local[4]", app="ventilake-tests", shuffle_partitions=4)
-    # tests only: the checkpoint dir is unset in a local session
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ventilake-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # tests only: a folder of this machine, which a local session shares with itself
+    folder = tempfile.mkdtemp(prefix="ventilake-test-ckpt-")
+    s = build_session("local[4]", app="ventilake-tests", shuffle_partitions=4, **{"spark.checkpoint.dir": folder})
     yield s
     s.stop()
 

@@ -1,5 +1,7 @@
 """The file-to-output daily job on a small fixture; re-running is idempotent."""
 
+from pyspark.sql import functions as F
+
 from ventilake.plans.daily import run_files
 from ventilake.sinks import tables as sink
 from ventilake.sources import acq
@@ -105,3 +107,115 @@ def test_run_files_seeds_from_stored_history(spark, tmpdir_fresh):
     assert by_minute[(4, 0)]["co2"] == 409.0
     assert by_minute[(4, 1)]["temperature"] == 2700.0
     assert by_minute[(3, 59)]["temperature"] == 2600.0  # the earlier day is untouched
+
+
+def _one_sensor(spark):
+    dims = _dims(spark)
+    dims["capteur"] = dims["capteur"].union(
+        spark.createDataFrame([("162", "L1", "Sejour", "EA", True)], dims["capteur"].schema)
+    )
+    return dims
+
+
+def _line(stamp, t):
+    return f"{stamp}\t{t}\t400\t100\t200\t409"
+
+
+def _table(spark, path, kind="logement"):
+    rows = read_table(spark, path, acq.brut_schema(kind)).collect()
+    return sorted((r["capteur"], r["day"].day, r["date"].day, r["date"].minute, r["temperature"]) for r in rows)
+
+
+def test_rerun_of_a_day_leaves_the_next_one(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [_line("03/02/2021 10:00", 2600), _line("04/02/2021 00:00", 2610)])
+    _write(root, "Salle 1 162 le 04 02 2021.acq", [_line("04/02/2021 00:01", 2700), _line("04/02/2021 00:02", 2710)])
+    dims, store = _one_sensor(spark), sink.shared_dir(spark, "rerun_store")
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    paths = run_files(spark, root, store, dims, "2021-02-04", "2021-02-05")
+    first = _table(spark, paths["brut_logement"])
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    assert _table(spark, paths["brut_logement"]) == first
+    assert [r[4] for r in first] == [2600.0, 2610.0, 2700.0, 2710.0]
+    # the midnight reading belongs to the outputs of 04/02
+    out = spark.read.parquet(paths["test_logement"]).where("capteur = '162'")
+    assert sorted((r["day"].day, r["date"].minute) for r in out.collect()) == [(3, 0), (4, 0), (4, 1), (4, 2)]
+
+
+def test_rows_without_source_go(spark, tmpdir_fresh):
+    import os
+
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [_line("03/02/2021 10:00", 2600)])
+    _write(root, "Salle 2 093 le 03 02 2021.acq", [_line("03/02/2021 10:00", 2400)])
+    dims, store = _one_sensor(spark), sink.shared_dir(spark, "gone_store")
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    # the virtual sensor is real now, and a box delivers no file any more
+    cap = dims["capteur"]
+    dims["capteur"] = cap.withColumn("reel", F.lit(True))
+    os.remove(os.path.join(root, "Salle 2 093 le 03 02 2021.acq"))
+    paths = run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    assert _table(spark, paths["brut_virtuel"]) == []
+    assert {r[0] for r in _table(spark, paths["brut_logement"])} == {"162"}
+    assert {r["capteur"] for r in spark.read.parquet(paths["test_logement"]).collect()} == {"162"}
+    # the whole day is gone
+    os.remove(os.path.join(root, "Salle 1 162 le 03 02 2021.acq"))
+    _write(root, "Salle 1 162 le 09 02 2021.acq", [_line("09/02/2021 10:00", 2600)])
+    run_files(spark, root, store, dims, "2021-02-03", "2021-02-04")
+    assert _table(spark, paths["brut_logement"]) == []
+    assert spark.read.parquet(paths["test_logement"]).count() == 0
+
+
+def test_a_range_equals_its_days(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 02 02 2021.acq", [_line("02/02/2021 10:00", 1111)])
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [_line("03/02/2021 00:00", 61440), _line("03/02/2021 10:00", 2600), _line("04/02/2021 00:00", 2650)])
+    _write(root, "Salle 1 162 le 04 02 2021.acq", [_line("04/02/2021 00:00", 61440), _line("04/02/2021 00:01", 61440)])
+    dims, tables = _one_sensor(spark), []
+    for k, ranges in enumerate(([(2, 3), (3, 4), (4, 5)], [(2, 3), (3, 5)], [(2, 5)])):
+        store = sink.shared_dir(spark, f"range_store_{k}")
+        for a, b in ranges:
+            paths = run_files(spark, root, store, dims, f"2021-02-{a:02d}", f"2021-02-{b:02d}")
+        tables.append({
+            n: sorted(map(str, (r.asDict() for r in spark.read.parquet(paths[n]).collect())))
+            for n in ("brut_logement", "brut_virtuel", "dernier_bon", "test_logement")
+        })
+    assert tables[0] == tables[1] == tables[2]
+    raw = _table(spark, paths["brut_logement"])
+    assert [r[4] for r in raw if r[1] == 4] == [2600.0, 2600.0]
+
+
+def test_reads_of_the_chain_are_pruned_by_day(spark, tmpdir_fresh, monkeypatch):
+    from ventilake.plans import daily
+
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [_line("03/02/2021 10:00", 2600)])
+    _write(root, "Station météo 05 le 03 02 2021.acq", STATION_LINES)
+    plans = []
+    kept = daily.sink.replace_range
+
+    def spy(df, path, *args):
+        plans.append((path.rsplit("/", 1)[1], df._jdf.queryExecution().executedPlan().toString()))
+        kept(df, path, *args)
+
+    monkeypatch.setattr(daily.sink, "replace_range", spy)
+    run_files(spark, root, sink.shared_dir(spark, "pruned_store"), _one_sensor(spark), "2021-02-03", "2021-02-04")
+    for name, plan in plans:
+        if name in ("brut_virtuel", "test_logement", "test_station"):
+            scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "PartitionFilters" in line and "day#" in line]
+            assert scans and all("PartitionFilters: [isnotnull(day" in s for s in scans), name
+
+
+def test_strict_run_writes_the_report_and_stops(spark, tmpdir_fresh):
+    import pytest
+
+    root = tmpdir_fresh
+    _write(root, "Salle 1 162 le 03 02 2021.acq", [_line("03/02/2021 10:00", 2600)])
+    store = sink.shared_dir(spark, "strict_store")
+    dims = _one_sensor(spark)
+    with pytest.raises(ValueError, match="facteur_temperature:162"):
+        run_files(spark, root, store, dims, "2021-02-03", "2021-02-04", strict=True)
+    report = spark.read.parquet(f"{store}/facteurs_manquants").collect()
+    assert ("facteur_temperature", "162") in {(r["factor_table"], r["key"]) for r in report}
+    paths = run_files(spark, root, store, dims, "2021-02-03", "2021-02-04", real_only=True)
+    assert spark.read.parquet(paths["test_logement"]).count() > 0

@@ -75,9 +75,8 @@ def _readings(spark):
     return df.withColumn("date", F.lit(TS).cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("strategy,hot_rows", [("window", 0), ("aggregate", 100), ("aggregate", 3), ("auto", 3)])
-def test_fixture_household(spark, strategy, hot_rows):
-    out = t4.household_balance(_readings(spark), _dims(spark), strategy=strategy, hot_rows=hot_rows, salt_buckets=4)
+def test_fixture_household(spark):
+    out = t4.household_balance(_readings(spark), _dims(spark))
     rows = {r["capteur"]: r for r in out.collect()}
     # the sensor without household is dropped
     assert set(rows) == {"ea", "b1", "bw", "ot", "gv", "x1"}
@@ -109,33 +108,6 @@ def _as_set(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_strategies_agree_on_driver_tables(spark):
-    brut = catalog._brut_logement(spark, SF_SMALL)
-    dims = dtab.dimensions(spark, SF_SMALL)
-    a = catalog.present(t4.household_balance(brut, dims, strategy="window"))
-    # every household-minute with 2+ rows is salted over 3 buckets
-    b = catalog.present(t4.household_balance(brut, dims, strategy="aggregate", hot_rows=1, salt_buckets=3))
-    assert _as_set(a) == _as_set(b)
-
-
-def test_auto_strategy_choice(spark):
-    readings, dims = _readings(spark), _dims(spark)
-    assert t4.household_stages(readings, dims, "auto", hot_rows=100)["strategy"] == "window"
-    assert t4.household_stages(readings, dims, "auto", hot_rows=3)["strategy"] == "aggregate"
-
-
-def test_hot_group_is_spread_over_buckets(spark):
-    from ventilake.operators import household as hh
-
-    climate = t4.household_stages(_readings(spark), _dims(spark), "window")["climate"]
-    hot = hh.hot_groups(climate, 3)
-    assert [r["logement"] for r in hot.collect()] == ["L1"]
-    salted = hh.salt_rows(climate, hot, 8)
-    buckets = {r["capteur"]: r[hh.SALT] for r in salted.collect()}
-    assert buckets["x1"] == 0
-    assert len({buckets[c] for c in ("ea", "b1", "bw", "ot", "gv")}) > 1
-
-
 def test_range_equals_union_of_days(spark):
     raw = dtab.logement_readings(spark, SF_SMALL)
     dims = dtab.dimensions(spark, SF_SMALL)
@@ -170,14 +142,41 @@ def test_plans_stay_in_the_jvm(spark):
         assert "Python" not in plan and "ArrowEval" not in plan, name
 
 
-def test_household_plan_single_readings_exchange(spark):
-    df = catalog.queries()["household_balance"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    # one Window chain per phase, no self-join of the readings
-    assert plan.count("Join Inner") == 1  # the sensor table
-    phys = _plan(df)
-    big = [line for line in phys.splitlines() if "Exchange hashpartitioning(logement#" in line]
-    assert len(big) == 1
+def _moves_of_readings(plan: str) -> int:
+    """Exchanges that move readings: not those of partial aggregates, not those of dimension tables."""
+    lines = plan.splitlines()
+    moves = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    dims = ("id_capteur", "capteur_facteur", "logement_facteur", "__bk", "__fk")
+    return sum("HashAggregate" not in lines[i + 1] and not any(d in lines[i] for d in dims) for i in moves)
+
+
+def test_household_plan_one_join_with_the_dimensions(spark):
+    readings, dims = dtab.logement_readings(spark, SF_SMALL), dtab.dimensions(spark, SF_SMALL)
+    df = t4.household_balance(readings, dims)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in optimized and "Window" not in optimized
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        plan = _plan(t4.household_balance(readings, dims).groupBy().count())
+    finally:
+        spark.conf.set(key, old)
+    # by sensor, then by household-minute, in each of the branches that the two aggregates are joined back to
+    final = t4.household_stages(readings, dims)
+    assert _moves_of_readings(_plan(final["climate"])) <= 1
+    assert plan.count("Window") == 0
+
+
+def test_carry_does_not_shuffle_readings_again(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        plan = _plan(catalog.QUERIES["sentinel_seeded"](spark, SF_SMALL))
+    finally:
+        spark.conf.set(key, old)
+    assert "isnull" not in plan and _moves_of_readings(plan) == 1
 
 
 def test_day_slice_pushes_filter_and_prunes_columns(spark):
@@ -190,11 +189,9 @@ def test_day_slice_pushes_filter_and_prunes_columns(spark):
 
 def test_real_only_means_and_strict(spark):
     readings, dims = _readings(spark), _dims(spark)
-    out = {r["capteur"]: r for r in t4.household_balance(readings, dims, real_only=True, strategy="window").collect()}
+    out = {r["capteur"]: r for r in t4.household_balance(readings, dims, real_only=True).collect()}
     temps = [0.01 * t - 1.0 for t in (2600.0, 2400.0, 2200.0, 2000.0)]
     assert out["gv"]["temperature"] == pytest.approx(sum(temps) / 4)
-    agg = {r["capteur"]: r for r in t4.household_balance(readings, dims, real_only=True, strategy="aggregate").collect()}
-    assert agg["gv"]["temperature"] == pytest.approx(sum(temps) / 4)
     t4.household_balance(readings, dims, strict=True)  # all factors present
     dims2 = dict(dims)
     dims2["facteur_temperature"] = dims["facteur_temperature"].where(F.col("capteur_facteur") != "ea")
@@ -207,13 +204,13 @@ def test_same_result_without_broadcast(spark):
     with the same result (forced here by disabling broadcasts)."""
     brut = catalog._brut_logement(spark, SF_SMALL)
     dims = dtab.dimensions(spark, SF_SMALL)
-    expected = _as_set(catalog.present(t4.household_balance(brut, dims, strategy="window")))
+    expected = _as_set(catalog.present(t4.household_balance(brut, dims)))
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        df = catalog.present(t4.household_balance(brut, dims, strategy="window"))
+        df = catalog.present(t4.household_balance(brut, dims))
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         assert _as_set(df) == expected
@@ -225,9 +222,8 @@ def test_same_result_without_broadcast(spark):
                 spark.conf.set(k, v)
 
 
-def test_really_hot_household_minute_salted_equals_window(spark):
-    """20,000 readings in ONE household-minute: the auto strategy salts it and
-    gives the same result as the window form."""
+def test_hot_household_minute(spark):
+    """20,000 readings in ONE household-minute give the totals computed by hand."""
     sensors = ["ea", "b1", "bw", "ot", "gv"]
     ids = spark.range(20_000)
     readings = ids.select(
@@ -240,21 +236,21 @@ def test_really_hot_household_minute_salted_equals_window(spark):
         (F.col("id") % 400).cast("double").alias("debit_pression_1"),
         F.lit(409.0).alias("co2"),
     )
-    dims = _dims(spark)
-    stages = t4.household_stages(readings, dims, "auto", hot_rows=1_000, salt_buckets=8)
-    assert stages["strategy"] == "aggregate"
-    salted = stages["final"]
-    window = t4.household_stages(readings, dims, "window")["final"]
-    cols = [c for c in t4.OUTPUT_COLUMNS if c not in ("capteur", "date")]
-
-    def totals(df):
-        row = df.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in cols]).first()
-        return row
-
-    a, b = totals(salted), totals(window)
-    assert a["n"] == b["n"] == 20_000
-    for c in cols:
-        if a[c] is None or b[c] is None:
-            assert a[c] is None and b[c] is None, c
-        else:
-            assert a[c] == pytest.approx(b[c], rel=1e-9), c
+    rows = t4.household_stages(readings, _dims(spark))["final"].collect()
+    assert len(rows) == 20_000
+    total = sum(r["debit_produit"] for r in rows)
+    assert {r["somme_debits_extraits"] for r in rows} == {rows[0]["somme_debits_extraits"]}
+    assert rows[0]["somme_debits_extraits"] == pytest.approx(max(total, 0.0), rel=1e-9)
+    mean = sum(0.0 if r["capteur"] == "gv" else r["temperature"] for r in rows) / len(rows)
+    assert {round(r["temperature"], 6) for r in rows if r["capteur"] == "gv"} == {round(mean, 6)}
+
+
+def test_no_job_runs_while_plans_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans")
+    try:
+        for name in ("household_balance", "household_flow_sum", "sentinel_repair", "ingest_readings"):
+            catalog.queries()[name](spark, SF_SMALL)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ventilake.functions.fixed import SENTINEL
 from ventilake.operators import lookups as lk
+from ventilake.operators import repair as rp
 from ventilake.plans import ingest
 
 
@@ -22,7 +23,7 @@ def test_band_lookup_overlap_gap_and_nulls(spark):
     )
     out = {
         r["rid"]: r
-        for r in lk.band_lookup(readings, bands, ("fct1", "fct2"), "capteur", "x", ("rid",), "b_").collect()
+        for r in lk.band_lookup(readings, bands, ("fct1", "fct2"), "capteur", "x", "b_").collect()
     }
     assert out[1]["b_fct1"] == 1.0 and out[1]["b_fct2"] == 0.0  # SQL NULL read as 0.0
     assert out[2]["b_fct1"] == 2.0  # overlap: the highest lower bound wins
@@ -39,19 +40,32 @@ def test_attach_factor_dedupes_and_defaults(spark):
     assert out == {"a": 3.0, "b": 0.0}
 
 
-def test_ingest_with_seeds_from_history(spark):
-    history = spark.createDataFrame(
-        [("09", "2021-02-02 23:59:00", 7.0)], "capteur string, d string, v double"
-    ).withColumn("date", F.col("d").cast("timestamp_ntz")).drop("d")
+def test_seeds_come_from_earlier_days_only(spark):
+    stored = spark.createDataFrame(
+        [("09", "2021-02-02 23:59:00", "2021-02-02", 7.0), ("09", "2021-02-03 00:00:00", "2021-02-02", 9.0)],
+        "capteur string, d string, f string, v double",
+    ).select("capteur", F.col("d").cast("timestamp_ntz").alias("date"), F.col("f").cast("date").alias("day"), "v")
     lines = spark.createDataFrame(
         [
             ("Salle 1 09 le 03 02 2021.acq", "03/02/2021 00:00", SENTINEL),
             ("Salle 1 09 le 03 02 2021.acq", "03/02/2021 00:01", 8.0),
+            ("Salle 1 09 le 05 02 2021.acq", "05/02/2021 00:01", SENTINEL),
         ],
         "file_name string, Date string, v double",
     )
-    out = sorted((r["date"].minute, r["v"]) for r in ingest.ingest_with_seeds(lines, history, ["v"]).collect())
-    assert out == [(0, 7.0), (1, 8.0)]
+    out, _ = ingest.with_seeds(ingest.file_days(lines, ["v"]), rp.last_good(stored, ["v"]), ["v"])
+    rows = sorted((r["date"].day, r["date"].minute, r["v"]) for r in out.collect())
+    # the reading of midnight 03/02 is not before the day 03/02
+    assert rows == [(3, 0, 7.0), (3, 1, 8.0), (5, 1, 8.0)]
+
+
+def test_missing_factors_lists_stations(spark):
+    known = spark.createDataFrame([("a", "L", "EA", True)], "capteur string, logement string, type string, reel boolean")
+    ft = spark.createDataFrame([("a", 1.0)], "capteur_facteur string, fct1 double")
+    fs = spark.createDataFrame([], "logement_facteur string, fct1 double")
+    station = spark.createDataFrame([("05",), ("a",), ("05",)], "capteur string")
+    rows = sorted(tuple(r) for r in lk.missing_factors(known, ft, fs, station).collect())
+    assert rows == [("facteur_somme_surface_equivalente", "L"), ("facteur_temperature (station)", "05")]
 
 
 def test_weather_station_strict_mode(spark):

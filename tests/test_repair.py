@@ -125,7 +125,7 @@ def test_bucketed_equals_single_window(spark, rows):
     assert a == b
 
 
-def test_per_day_and_ingest_bucket_options_agree(spark):
+def test_per_day_and_ingest_equal_one_window_per_file(spark):
     from ventilake.plans import ingest
 
     rnd = random.Random(3)
@@ -138,8 +138,9 @@ def test_per_day_and_ingest_bucket_options_agree(spark):
     df = spark.createDataFrame(rows, "rid long, capteur string, d string, v double").withColumn(
         "date", F.col("d").cast("timestamp_ntz")
     ).drop("d")
-    a = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",)).collect()}
-    b = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",), bucket_unit="hour").collect()}
+    whole = rp.repair_sentinels(df.withColumn("f", F.to_date("date")), ["v"], by=("capteur", "f"), order=["date", "rid"])
+    a = {r["rid"]: r["v"] for r in whole.collect()}
+    b = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",)).collect()}
     assert a == b
     lines = df.select(
         "rid",
@@ -148,25 +149,17 @@ def test_per_day_and_ingest_bucket_options_agree(spark):
         "v",
     )
     c = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",)).collect()}
-    d = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",), bucket_unit="hour").collect()}
-    assert c == d == a
+    assert c == a
 
 
-def test_auto_bucket_choice(spark):
+def test_lines_of_one_minute_have_a_fixed_order(spark):
     from ventilake.plans import ingest
 
-    df = spark.createDataFrame(
-        [(i, "s", f"2024-01-01 {i % 24:02d}:00:00", SENTINEL if i % 3 else float(i)) for i in range(50)],
-        "rid long, capteur string, d string, v double",
-    ).withColumn("date", F.col("d").cast("timestamp_ntz")).drop("d")
-    assert rp.choose_bucket(df, ("capteur",), hot_rows=100) is None
-    assert rp.choose_bucket(df, ("capteur",), hot_rows=10) == "hour"
-    a = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",), bucket_unit="auto", hot_rows=10).collect()}
-    b = {r["rid"]: r["v"] for r in rp.repair_per_day(df, ["v"], tiebreak=("rid",)).collect()}
-    assert a == b
-    lines = df.select(
-        "rid", F.lit("Salle 1 9 le 01 01 2024.acq").alias("file_name"),
-        F.date_format("date", "dd/MM/yyyy HH:mm").alias("Date"), "v",
-    )
-    c = {r["rid"]: r["v"] for r in ingest.ingest_lines(lines, ["v"], ("rid",), bucket_unit="auto", hot_rows=10).collect()}
-    assert c == b
+    rows = [("Salle 1 9 le 01 01 2024.acq", "01/01/2024 00:00", v) for v in (1.0, 2.0, 3.0, SENTINEL)]
+    rows.append(("Salle 1 9 le 01 01 2024.acq", "01/01/2024 00:01", SENTINEL))
+    results = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        lines = spark.createDataFrame(order, "file_name string, Date string, v double").repartition(3)
+        out = ingest.ingest_lines(lines, ["v"])
+        results.add(tuple(sorted((r["date"].minute, r["v"] or 0.0) for r in out.collect())))
+    assert len(results) == 1

@@ -103,6 +103,29 @@ def test_replace_days_is_idempotent(spark):
     assert [r["rid"] for r in sliced.collect()] == [4]
 
 
+def test_replace_range_empties_days_without_rows(spark):
+    import datetime as dt
+
+    path = sink.shared_dir(spark, "test_range")
+    df = sink.with_day(_readings(spark))
+    sink.replace_days(df, path)
+    before = {r["rid"] for r in spark.read.parquet(path).collect()}
+    kept = df.where("rid = 2")
+    for _ in range(2):
+        sink.replace_range(kept, path, dt.date(2024, 1, 2), dt.date(2024, 1, 4))
+        # the day of rid 4 (2024-01-03) has no rows any more, the day of rid 1 is outside the range
+        assert sorted(r["rid"] for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert before == {1, 2, 3, 4}
+
+
+def test_day_predicates_cover_the_range_once():
+    for splits in (1, 2, 13, 100_000):
+        p = src.day_predicates("2024-01-02", splits=splits)
+        bounds = [tuple(x.split("'")[1::2]) for x in p]
+        assert bounds[0][0] == "2024-01-02 00:00:00" and bounds[-1][1] == "2024-01-03 00:00:00"
+        assert all(a[1] == b[0] for a, b in zip(bounds, bounds[1:])) and all(a < b for a, b in bounds)
+
+
 def test_append_partitioned(spark):
     path = sink.shared_dir(spark, "test_append")
     sink.append(sink.with_day(_readings(spark)), path)

@@ -50,6 +50,8 @@ def main(argv=None, spark=None) -> dict[str, str]:
     run.add_argument("--jdbc-user")
     run.add_argument("--jdbc-password-env")
     run.add_argument("--jdbc-driver")
+    run.add_argument("--strict", action="store_true", help="stop before the outputs if a required factor is missing")
+    run.add_argument("--real-only", action="store_true", help="household means over real sensors only")
     run.add_argument("--master", default=None, help="default: the launcher's (spark-submit)")
     run.add_argument("--shuffle-partitions", type=int, default=200)
     args = parser.parse_args(argv)
@@ -58,7 +60,9 @@ def main(argv=None, spark=None) -> dict[str, str]:
     if spark is None:
         spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     dims = load_dimensions(spark, args)
-    return run_files(spark, args.acq, args.store, dims, args.day_from, args.day_to)
+    return run_files(
+        spark, args.acq, args.store, dims, args.day_from, args.day_to, strict=args.strict, real_only=args.real_only
+    )
 
 
 if __name__ == "__main__":

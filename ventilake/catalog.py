@@ -76,10 +76,9 @@ def _stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _climate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phase 1 of T4 only (no household phases, no hot-group check)."""
-    return t4.calibrated_climate(
-        _brut_logement(spark, sf_dir), dtab.capteur(spark, sf_dir), dtab.facteur_temperature(spark, sf_dir)
-    )
+    """Phase 1 of T4 only."""
+    sensors = lk.sensor_dimension(_dimensions(spark, sf_dir), t4.BANDS)
+    return t4.calibrated_climate(_brut_logement(spark, sf_dir), sensors)
 
 
 def _day_span(df: DataFrame) -> tuple[dt.date, dt.date]:
@@ -118,13 +117,14 @@ def q_batch_day(spark, sf_dir):
 
 
 def q_day_replace(spark, sf_dir):
-    """Load all raw days, then reload the sample day (repaired) twice."""
+    """Load all raw days, then reload a range of two days twice: the sample
+    day repaired, the day after it without rows any more."""
     path = sink.shared_dir(spark, "day_replace")
     raw = dtab.logement_readings(spark, sf_dir)
     sink.replace_days(sink.with_day(raw), path)
-    reload = src.slice_days(_per_day_repair(raw, LOG), SAMPLE_DAY)
-    sink.replace_days(sink.with_day(reload), path)
-    sink.replace_days(sink.with_day(reload), path)
+    reload = sink.with_day(src.slice_days(_per_day_repair(raw, LOG), SAMPLE_DAY))
+    for _ in range(2):
+        sink.replace_range(reload, path, SAMPLE_DAY, SAMPLE_DAY + dt.timedelta(days=2))
     return spark.read.parquet(path)
 
 
@@ -174,7 +174,10 @@ def q_join_sensor_dim(spark, sf_dir):
 def q_missing_factors(spark, sf_dir):
     rd = lk.join_sensor_dim(dtab.logement_readings(spark, sf_dir), dtab.capteur(spark, sf_dir))
     return lk.missing_factors(
-        rd, dtab.facteur_temperature(spark, sf_dir), dtab.facteur_somme_surface_equivalente(spark, sf_dir)
+        rd,
+        dtab.facteur_temperature(spark, sf_dir),
+        dtab.facteur_somme_surface_equivalente(spark, sf_dir),
+        dtab.station_readings(spark, sf_dir),
     )
 
 

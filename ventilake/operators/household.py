@@ -1,17 +1,9 @@
 """Household aggregates (per household and minute).
 
-Two interchangeable forms:
-
-* window form (default): aggregates as window functions over
-  ``partitionBy(logement, date)``.  All phases of the household transform
-  share ONE exchange of the readings and the plan has a single lineage (no
-  self-join, nothing computed twice).  A household-minute holds one reading
-  per sensor of the household, so a window partition stays small.
-* aggregate form: ``groupBy`` aggregates (combined on the map side before the
-  shuffle) joined back on the keys.  No group is ever buffered whole in one
-  task.  Hot household-minutes (more rows than a threshold) are salted: their
-  rows are spread over N buckets and their one-row aggregates are replicated
-  per bucket, so a hot group is joined back by N tasks instead of one.
+One form for every size: ``groupBy`` aggregates, combined on the map side
+before the shuffle, joined back on the keys.  No group is ever held whole by
+one task, and in the join-back the readings' side of a hot household-minute is
+split by AQE's skew join (the aggregate has one row per group).
 
 Rows with a null household or minute are dropped first, as the inner joins of
 the original drop them.
@@ -21,13 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import TYPE_AIR_INLET, TYPE_EXTRACT_VENT
 
 KEYS = ("logement", "date")
-SALT = "__salt"
 
 
 def keyed(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -38,78 +29,12 @@ def keyed(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return df.where(cond)
 
 
-def group_window(keys: Sequence[str] = KEYS):
-    return Window.partitionBy(*keys)
-
-
 def _mean_input(c: str, real_only: bool):
     """Column averaged for the household means: every row (virtual rows hold
     0.0, as in the original) or, with ``real_only``, real sensors only."""
     return F.when(F.col("reel"), F.col(c)) if real_only else F.col(c)
 
 
-def fill_virtual_window(df: DataFrame, keys: Sequence[str] = KEYS, real_only: bool = False) -> DataFrame:
-    """A1/A2 + P4 as windows: virtual rows take the household means."""
-    w = group_window(keys)
-    return df.withColumns(
-        {
-            "temperature": F.when(F.col("reel"), F.col("temperature")).otherwise(
-                F.avg(_mean_input("temperature", real_only)).over(w)
-            ),
-            "hr": F.when(F.col("reel"), F.col("hr")).otherwise(F.avg(_mean_input("hr", real_only)).over(w)),
-        }
-    )
-
-
-def household_totals_window(df: DataFrame, surface_factor: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """A3 + F15 + A5 + A6 + J6 as windows, in the original's order: the group
-    sum is given to extract vents, then the maxima are taken over the rows."""
-    w = group_window(keys)
-    vent = F.coalesce(F.col("type") == TYPE_EXTRACT_VENT, F.lit(False))
-    inlet = F.coalesce(F.col("type") == TYPE_AIR_INLET, F.lit(False))
-    factor = surface_factor.groupBy("logement_facteur").agg(F.max("fct1").alias("__fct"))
-    out = df.join(factor, df["logement"] == factor["logement_facteur"], "left").drop("logement_facteur")
-    out = out.withColumns(
-        {
-            "__sde_row": F.when(vent, F.sum("debit_produit").over(w)).otherwise(F.lit(0.0)),
-            "__sse_row": F.when(inlet, F.col("__fct") + F.col("debit_produit")).otherwise(F.lit(0.0)),
-        }
-    )
-    out = out.withColumns(
-        {
-            "somme_debits_extraits": F.max("__sde_row").over(w),
-            "somme_surface_equivalente": F.max("__sse_row").over(w),
-        }
-    )
-    return out.drop("__fct", "__sde_row", "__sse_row")
-
-
-def hot_groups(df: DataFrame, threshold: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Household-minutes with more than ``threshold`` rows.
-
-    A pre-aggregated count per group; the result has at most
-    rows / threshold keys and stays a DataFrame (joined, never collected)."""
-    return df.groupBy(*keys).count().where(F.col("count") > F.lit(threshold)).select(*keys)
-
-
-def _flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(hot.withColumn("__hot", F.lit(True)), list(keys), "left")
-
-
-def salt_rows(
-    df: DataFrame, hot: DataFrame, buckets: int, keys: Sequence[str] = KEYS, spread_by: Sequence[str] = ("capteur", "rid")
-) -> DataFrame:
-    """Bucket number per row: a hash of ``spread_by`` for rows of hot groups, 0 otherwise."""
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread_by), F.lit(buckets))).otherwise(F.lit(0))
-    return _flag_hot(df, hot, keys).withColumn(SALT, salt.cast("int")).drop("__hot")
-
-
-def replicate_groups(agg: DataFrame, hot: DataFrame, buckets: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One copy of each hot group's aggregate row per bucket (bucket 0 for the others)."""
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    return _flag_hot(agg, hot, keys).withColumn(SALT, F.explode(salts)).drop("__hot")
-
-
 def household_means(df: DataFrame, keys: Sequence[str] = KEYS, real_only: bool = False) -> DataFrame:
     """A1/A2: mean temperature and hr per household and minute.
 
@@ -132,39 +57,34 @@ def fill_virtual(df: DataFrame, means: DataFrame, keys: Sequence[str] = KEYS) ->
     ).drop("temperature_moyenne", "hr_moyen")
 
 
-def _group_sum_to(
-    df: DataFrame, value: str, target: str, typ: str, keys: Sequence[str], strategy: str
-) -> DataFrame:
+def _group_sum_to(df: DataFrame, value: str, target: str, typ: str, keys: Sequence[str]) -> DataFrame:
     """Sum of ``value`` over the household-minute, given to rows of type ``typ``."""
     match = F.coalesce(F.col("type") == typ, F.lit(False))
-    if strategy == "window":
-        total = F.sum(value).over(group_window(keys))
-        return df.withColumn(target, F.when(match, total).otherwise(F.lit(0.0)))
     sums = df.groupBy(*keys).agg(F.sum(value).alias("__s"))
     out = df.join(sums, list(keys), "inner")
     return out.withColumn(target, F.when(match, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
 
 
-def flow_sum(df: DataFrame, keys: Sequence[str] = KEYS, strategy: str = "window") -> DataFrame:
+def flow_sum(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A3: sum of produced flow over the whole group, given to extract vents
     (``somme_debits_extraits``), 0.0 for the other rows."""
-    return _group_sum_to(df, "debit_produit", "somme_debits_extraits", TYPE_EXTRACT_VENT, keys, strategy)
+    return _group_sum_to(df, "debit_produit", "somme_debits_extraits", TYPE_EXTRACT_VENT, keys)
 
 
-def surface_sum(df: DataFrame, keys: Sequence[str] = KEYS, strategy: str = "window") -> DataFrame:
+def surface_sum(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """A4: sum of equivalent surfaces over the group, given to air inlets."""
-    return _group_sum_to(df, "surface_equivalente_ea", "somme_surface_equivalente", TYPE_AIR_INLET, keys, strategy)
+    return _group_sum_to(df, "surface_equivalente_ea", "somme_surface_equivalente", TYPE_AIR_INLET, keys)
 
 
-def household_totals(df: DataFrame, surface_factor: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def household_totals(df: DataFrame, keys: Sequence[str] = KEYS, factor: str = "__fct_s") -> DataFrame:
     """A3 + F15 + A5 + A6 + J6 in one aggregate per group.
 
     ``somme_debits_extraits`` = max over rows of (S if extract vent else 0.0)
     with S the sum of produced flow; ``somme_surface_equivalente`` = max over
     rows of (fct1(household) + produced flow if air inlet else 0.0).  Both
     maxima are rebuilt from conditional aggregates, so no per-row value has
-    to be joined back before taking the maximum.  fct1 is constant per
-    household, so max(fct1 + x) = fct1 + max(x) exactly.
+    to be joined back before taking the maximum.  fct1 (column ``factor``) is
+    constant per household, so max(fct1 + x) = fct1 + max(x) exactly.
     """
     vent = F.coalesce(F.col("type") == TYPE_EXTRACT_VENT, F.lit(False))
     inlet = F.coalesce(F.col("type") == TYPE_AIR_INLET, F.lit(False))
@@ -175,9 +95,8 @@ def household_totals(df: DataFrame, surface_factor: DataFrame, keys: Sequence[st
         F.max(F.when(inlet, F.col("debit_produit"))).alias("__max_inlet"),
         F.count(F.when(inlet, 1)).alias("__n_inlet"),
         F.count(F.when(~inlet, 1)).alias("__n_not_inlet"),
+        F.max(factor).alias("__fct"),
     )
-    factor = surface_factor.groupBy("logement_facteur").agg(F.max("fct1").alias("__fct"))
-    agg = agg.join(factor, agg["logement"] == factor["logement_facteur"], "left")
     extracted = (
         F.when(F.col("__n_vent") == 0, F.lit(0.0))
         .when(F.col("__n_other") == 0, F.col("__s"))

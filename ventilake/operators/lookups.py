@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,83 +56,74 @@ def attach_factor(
     return out
 
 
-def prepare_bands(bands: DataFrame, coefficients: Sequence[str]) -> DataFrame:
-    """Band table with SQL NULLs read as 0.0, as a JDBC ``getDouble`` does."""
+def band_arrays(bands: DataFrame, coefficients: Sequence[str]) -> DataFrame:
+    """The bands of each sensor as one array column ``bands`` (dimension-sized work).
+
+    SQL NULLs are read as 0.0, as a JDBC ``getDouble`` does; empty bands can
+    match nothing and are left out.  A sensor has a handful of bands."""
     cols = ["borne_inf", "borne_sup", *coefficients]
-    return bands.select("capteur_facteur", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
+    b = bands.select("capteur_facteur", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
+    b = b.where("borne_inf < borne_sup").groupBy("capteur_facteur")
+    return b.agg(F.collect_list(F.struct(*cols)).alias("bands"))
 
 
-def band_matches(
-    df: DataFrame,
-    bands: DataFrame,
-    coefficients: Sequence[str],
-    sensor: str,
-    value,
-    prefix: str,
+def winning_band(bands: Column, value: Column) -> Column:
+    """The band with ``borne_inf <= value < borne_sup`` (null if none).
+
+    Of several the one with the highest ``borne_inf`` wins, ties go to the
+    larger of the other columns: the order of the structs themselves."""
+    return F.array_max(F.filter(bands, lambda b: (value >= b["borne_inf"]) & (value < b["borne_sup"])))
+
+
+def band_lookup(
+    df: DataFrame, bands: DataFrame, coefficients: Sequence[str], sensor: str, value: str, prefix: str
 ) -> DataFrame:
-    """All bands of the row's sensor with ``borne_inf <= value < borne_sup``
-    (left join: a row without a band keeps null band columns).
-
-    Equi-join on the sensor plus a range condition: a hash join with a
-    residual predicate, broadcast when the band table is small.  Adds
-    ``<prefix>matched`` and ``<prefix><column>`` for the bounds and
-    coefficients.  Use :func:`pick_bands` to keep the winning band per row."""
-    b = prepare_bands(bands, coefficients)
-    renamed = b.select(
-        F.col("capteur_facteur").alias(prefix + "key"),
-        *[F.col(c).alias(prefix + c) for c in ["borne_inf", "borne_sup", *coefficients]],
+    """J4/J5 for a frame without the sensor dimension: adds ``<prefix>matched``
+    and ``<prefix><column>`` of the winning band.  One row per reading."""
+    arrays = band_arrays(bands, coefficients).select(
+        F.col("capteur_facteur").alias(prefix + "key"), F.col("bands").alias(prefix + "bands")
     )
-    key = F.col(value) if isinstance(value, str) else value
-    cond = (
-        (df[sensor] == renamed[prefix + "key"])
-        & (key >= renamed[prefix + "borne_inf"])
-        & (key < renamed[prefix + "borne_sup"])
+    joined = df.join(arrays, df[sensor] == arrays[prefix + "key"], "left")
+    won = joined.withColumn(prefix + "band", winning_band(F.col(prefix + "bands"), F.col(value)))
+    names = ["borne_inf", "borne_sup", *coefficients]
+    won = won.withColumns(
+        {prefix + "matched": F.col(prefix + "band").isNotNull()}
+        | {prefix + c: F.col(prefix + "band")[c] for c in names}
     )
-    joined = df.join(renamed, cond, "left")
-    return joined.withColumn(prefix + "matched", F.col(prefix + "key").isNotNull()).drop(prefix + "key")
-
-
-def pick_bands(df: DataFrame, row_key: Sequence[str], lookups: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """Keep one row per ``row_key``: the band with the highest ``borne_inf``
-    (ties broken by the other band columns, so the result is deterministic).
+    return won.drop(prefix + "key", prefix + "bands", prefix + "band")
 
-    Call it after each lookup (never join a second band table before the
-    first one is resolved: that would pair every match of one lookup with
-    every match of the other).  ``row_key`` should start with the keys the
-    data is already partitioned by, so this is a local sort, not a shuffle."""
-    order = [
-        F.col(prefix + c).desc_nulls_last()
-        for prefix, coefficients in lookups
-        for c in ["borne_inf", "borne_sup", *coefficients]
-    ]
-    w = Window.partitionBy(*row_key).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1).drop("__rank")
 
+def sensor_dimension(dims: dict[str, DataFrame], coefficients: dict[str, Sequence[str]]) -> DataFrame:
+    """Everything the household transform looks up, one row per sensor.
 
-def band_lookup(
-    df: DataFrame,
-    bands: DataFrame,
-    coefficients: Sequence[str],
-    sensor: str,
-    value,
-    row_key: Sequence[str],
-    prefix: str,
-) -> DataFrame:
-    """The winning band of the row's sensor for ``value`` (see
-    :func:`band_matches` and :func:`pick_bands`)."""
-    matches = band_matches(df, bands, coefficients, sensor, value, prefix)
-    return pick_bands(matches, row_key, [(prefix, coefficients)])
+    The sensor table with its temperature and position factors, its band
+    arrays and its household's surface factor: all joins here are between
+    dimension tables, so the readings are joined once."""
+    d = dims["capteur"].select(
+        "id_capteur", "logement", "piece", "type", F.coalesce(F.col("reel"), F.lit(False)).alias("reel")
+    )
+    d = attach_factor(d, dims["facteur_temperature"], "id_capteur", "capteur_facteur", "__fct_t")
+    d = attach_factor(d, dims["facteur_debit_position1"], "id_capteur", "capteur_facteur", "__fct_p1", default=0.0)
+    d = attach_factor(d, dims["facteur_somme_surface_equivalente"], "logement", "logement_facteur", "__fct_s")
+    for table, names in coefficients.items():
+        arrays = band_arrays(dims[table], names).select(
+            F.col("capteur_facteur").alias("__bk"), F.col("bands").alias(f"__bands_{table}")
+        )
+        d = d.join(arrays, d["id_capteur"] == arrays["__bk"], "left").drop("__bk")
+    return d
 
 
 def missing_factors(
     readings_with_dim: DataFrame,
     facteur_temperature: DataFrame,
     facteur_surface: DataFrame,
+    station_readings: DataFrame | None = None,
 ) -> DataFrame:
     """The lookups that abort the original job, listed as data.
 
-    Real sensors with readings but no temperature factor, and households with
-    air-inlet readings but no surface factor.  Keys are pre-aggregated
+    Real sensors with readings but no temperature factor, households with
+    air-inlet readings but no surface factor, and (with ``station_readings``)
+    weather stations without a temperature factor.  Keys are pre-aggregated
     (distinct) before the anti-joins.
     """
     sensors = (
@@ -149,4 +140,14 @@ def missing_factors(
         .join(facteur_surface.select(F.col("logement_facteur").alias("key")), "key", "left_anti")
         .select(F.lit("facteur_somme_surface_equivalente").alias("factor_table"), "key")
     )
-    return sensors.unionByName(households)
+    out = sensors.unionByName(households)
+    if station_readings is None:
+        return out
+    stations = (
+        station_readings.where(F.col("capteur").isNotNull())
+        .select(F.col("capteur").alias("key"))
+        .distinct()
+        .join(facteur_temperature.select(F.col("capteur_facteur").alias("key")), "key", "left_anti")
+        .select(F.lit("facteur_temperature (station)").alias("factor_table"), "key")
+    )
+    return out.unionByName(stations)

@@ -101,26 +101,24 @@ def repair_bucketed(
 
     Equal to one forward fill over the whole series, but no window partition
     holds more than one bucket of one series, however long or hot the series.
+    Rows whose series key is null keep the fill of their bucket only.
     """
     b = "__bucket"
-    base = df.withColumn(b, bucket)
+    # never null, so that the carry is joined by plain equality on the keys the
+    # window is partitioned by, and the readings are shuffled once
+    base = df.withColumn(b, F.coalesce(bucket, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
     filled = repair_sentinels(base, measures, by=(*series, b), order=[date, *tiebreak], sentinel=sentinel)
     position = order_key(date, tiebreak)
     per_bucket = base.groupBy(*series, b).agg(
         *[F.max_by(_good(c, sentinel), F.when(_good(c, sentinel).isNotNull(), position)).alias(c) for c in measures]
     )
-    earlier = Window.partitionBy(*series).orderBy(F.col(b).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*series).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(series)],
-        F.col(b).alias("__kb"),
-        *[F.last(c, ignorenulls=True).over(earlier).alias("__seed_" + c) for c in measures],
+        *series, b, *[F.last(c, ignorenulls=True).over(earlier).alias("__seed_" + c) for c in measures]
     )
-    cond = F.col(b).eqNullSafe(F.col("__kb"))
-    for i, k in enumerate(series):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    joined = filled.join(carry, cond, "left")
+    joined = filled.join(carry, [*series, b], "left")
     out = joined.withColumns({c: F.coalesce(F.col(c), F.col("__seed_" + c)) for c in measures})
-    return out.drop(b, "__kb", *[f"__k{i}" for i in range(len(series))], *["__seed_" + c for c in measures])
+    return out.select(*df.columns)
 
 
 def repair_seeded(
@@ -140,18 +138,6 @@ def repair_seeded(
     return repair_bucketed(df, measures, (sensor,), bucket, date, tiebreak, sentinel)
 
 
-# a series-day with more rows than this is split into hours by bucket_unit="auto"
-HOT_SERIES_ROWS = 100_000
-
-
-def choose_bucket(df: DataFrame, series: Sequence[str], hot_rows: int = HOT_SERIES_ROWS) -> str | None:
-    """``"hour"`` when some series group holds more than ``hot_rows`` rows,
-    else ``None`` (one window per group).  One pre-aggregated count per group
-    over the key columns only; only "any?" reaches the driver."""
-    hot = df.groupBy(*series).count().where(F.col("count") > F.lit(hot_rows))
-    return None if hot.isEmpty() else "hour"
-
-
 def repair_per_day(
     df: DataFrame,
     measures: Sequence[str],
@@ -159,21 +145,12 @@ def repair_per_day(
     date: str = "date",
     tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
-    bucket_unit: str | None = None,
-    hot_rows: int = HOT_SERIES_ROWS,
 ) -> DataFrame:
     """W3 per (sensor, day) -- one file of the original -- leading errors of
-    each day stay null.  One window per sensor-day (at most one day of one
-    box); with ``bucket_unit="hour"`` it is computed per sensor-hour with
-    carried values, for data with many duplicated deliveries of a day;
-    ``"auto"`` picks hours only when some sensor-day exceeds ``hot_rows``."""
+    each day stay null.  Computed per sensor-hour with carried values."""
     tmp = "__series_day"
     d = df.withColumn(tmp, day_of(date))
-    if bucket_unit == "auto":
-        bucket_unit = choose_bucket(d, (sensor, tmp), hot_rows)
-    if bucket_unit is None:
-        return repair_sentinels(d, measures, by=(sensor, tmp), order=[date, *tiebreak], sentinel=sentinel).drop(tmp)
-    bucket = F.date_trunc(bucket_unit, F.col(date)).cast("timestamp_ntz")
+    bucket = F.date_trunc("hour", F.col(date)).cast("timestamp_ntz")
     return repair_bucketed(d, measures, (sensor, tmp), bucket, date, tiebreak, sentinel).drop(tmp)
 
 
@@ -183,25 +160,54 @@ def seed_values(
     before,
     sensor: str = "capteur",
     date: str = "date",
+    tiebreak: Sequence[str] = (),
     sentinel: float = SENTINEL,
 ) -> DataFrame:
     """Per sensor and column, the last good value strictly before ``before``.
 
-    ``history`` should be a day-partitioned table so that the date filter
-    prunes partitions.  One aggregate with one ``max_by`` per column, each
-    restricted to its own good rows.
-    """
+    One hash aggregate with one ``max_by`` per column, each restricted to its
+    own good rows."""
     h = history.where(F.col(date) < F.lit(before))
+    position = order_key(date, tiebreak)
     return h.groupBy(sensor).agg(
-        *[
-            F.max_by(F.col(c), F.when(_good(c, sentinel).isNotNull(), F.col(date))).alias("__seed_" + c)
-            for c in measures
-        ]
+        *[F.max_by(F.col(c), F.when(_good(c, sentinel).isNotNull(), position)).alias("__seed_" + c) for c in measures]
     )
 
 
-def apply_seeds(filled: DataFrame, seeds: DataFrame, measures: Sequence[str], sensor: str = "capteur") -> DataFrame:
-    """Fill the leading nulls of a repaired batch with the seeds of ``seed_values``."""
-    joined = filled.join(seeds, sensor, "left")
+def apply_seeds(
+    filled: DataFrame, seeds: DataFrame, measures: Sequence[str], keys: Sequence[str] = ("capteur",)
+) -> DataFrame:
+    """Fill the leading nulls of a repaired batch with seeds (``__seed_<measure>`` per ``keys``)."""
+    joined = filled.join(seeds, list(keys), "left")
     out = joined.withColumns({c: F.coalesce(F.col(c), F.col("__seed_" + c)) for c in measures})
     return out.drop(*["__seed_" + c for c in measures])
+
+
+def last_good(repaired: DataFrame, measures: Sequence[str], day: str = "day") -> DataFrame:
+    """The state that later days are seeded from: per sensor, file day and
+    ``usable`` (the later of file day and day of the reading: the value may
+    seed files of later days only), the last good value of each measure and
+    its time ``<measure>_date``.  One or two rows per file."""
+    rows = repaired.where(F.col("capteur").isNotNull() & F.col("date").isNotNull() & F.col(day).isNotNull())
+    usable = F.greatest(F.col(day), F.col("date").cast("date")).alias("usable")
+    when = lambda c: F.when(F.col(c).isNotNull(), F.col("date"))
+    aggs = [f for c in measures for f in (F.max_by(c, when(c)).alias(c), F.max(when(c)).alias(c + "_date"))]
+    return rows.groupBy("capteur", day, usable).agg(*aggs)
+
+
+def seeds_by_day(state: DataFrame, targets: DataFrame, measures: Sequence[str], day: str = "day") -> DataFrame:
+    """Seeds of each (sensor, file day) in ``targets``: the last good values of
+    ``state`` (:func:`last_good`) that were usable before that day.
+
+    A running maximum by time over one row per file, never over readings."""
+    events = state.select(
+        "capteur",
+        F.date_add("usable", 1).alias("__at"),
+        F.lit(0).alias("__ask"),
+        *[F.when(F.col(c).isNotNull(), F.struct(F.col(c + "_date").alias("d"), F.col(c).alias("v"))).alias(c) for c in measures],
+    )
+    asks = targets.select("capteur", F.col(day).alias("__at"), F.lit(1).alias("__ask")).distinct()
+    w = Window.partitionBy("capteur").orderBy("__at", "__ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = events.unionByName(asks, allowMissingColumns=True)
+    seen = both.select("capteur", "__at", "__ask", *[F.max(c).over(w)["v"].alias("__seed_" + c) for c in measures])
+    return seen.where("__ask = 1").drop("__ask").withColumnRenamed("__at", day)

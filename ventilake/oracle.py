@@ -10,6 +10,7 @@ from __future__ import annotations
 
 SAMPLE_DAY = "2024-01-10"
 NEXT_DAY = "2024-01-11"
+DAY_AFTER = "2024-01-12"
 
 
 def d(x: float) -> str:
@@ -57,7 +58,7 @@ LINES = """lines AS (
 
 CAPTEUR = f"""capteur AS (
   SELECT CAST(c_custkey AS VARCHAR) AS id_capteur,
-         CAST(c_nationkey AS VARCHAR) AS logement,
+         CAST(CAST(floor(c_custkey / 8) AS BIGINT) AS VARCHAR) AS logement,
          CASE WHEN c_acctbal < {d(1500.0)} THEN 'WC' ELSE 'Sejour' END AS piece,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'EA'
               WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY') THEN 'Bouche'
@@ -88,7 +89,10 @@ FQ2 = f"""fq2 AS (
          (p_partkey % 3) * {d(350.0)} AS borne_inf,
          (p_partkey % 3) * {d(350.0)} + {d(300.0)} + p_size * {d(2.0)} AS borne_sup
   FROM part)"""
-FS = f"""fs AS (SELECT CAST(n_nationkey AS VARCHAR) AS logement_facteur, n_regionkey * {d(0.25)} + {d(0.5)} AS fct1 FROM nation)"""
+FS = f"""fs AS (
+  SELECT CAST(CAST(floor(c_custkey / 8) AS BIGINT) AS VARCHAR) AS logement_facteur,
+         c_nationkey * {d(0.25)} + {d(0.5)} AS fct1
+  FROM customer WHERE c_custkey % 8 = 0 AND c_nationkey <> 3)"""
 
 DIMS = [CAPTEUR, FT, FP1, FP2, FQ2, FS]
 LOG = ("temperature", "hr", "debit_position_1", "debit_pression_1", "co2")
@@ -329,7 +333,7 @@ FROM (SELECT DISTINCT file_name FROM lines)"""
     q["day_slice"] = with_(RAW) + f"""SELECT rid, capteur, date, {log_r} FROM raw
 WHERE date >= TIMESTAMP '{SAMPLE_DAY} 00:00:00' AND date < TIMESTAMP '{NEXT_DAY} 00:00:00'"""
     q["day_replace"] = with_(RAW, BRUT_DAY) + f"""SELECT rid, capteur, date, {log_r}, CAST(date AS DATE) AS day FROM raw
-WHERE NOT (date >= TIMESTAMP '{SAMPLE_DAY} 00:00:00' AND date < TIMESTAMP '{NEXT_DAY} 00:00:00')
+WHERE NOT (date >= TIMESTAMP '{SAMPLE_DAY} 00:00:00' AND date < TIMESTAMP '{DAY_AFTER} 00:00:00')
 UNION ALL
 SELECT rid, capteur, date, {log_r}, CAST(date AS DATE) AS day FROM brut_day
 WHERE date >= TIMESTAMP '{SAMPLE_DAY} 00:00:00' AND date < TIMESTAMP '{NEXT_DAY} 00:00:00'"""
@@ -367,7 +371,10 @@ WHERE NOT EXISTS (SELECT 1 FROM ft WHERE ft.capteur_facteur = k.key)
 UNION ALL
 SELECT 'facteur_somme_surface_equivalente' AS factor_table, k.key
 FROM (SELECT DISTINCT logement AS key FROM rd WHERE type = 'EA' AND logement IS NOT NULL) k
-WHERE NOT EXISTS (SELECT 1 FROM fs WHERE fs.logement_facteur = k.key)"""
+WHERE NOT EXISTS (SELECT 1 FROM fs WHERE fs.logement_facteur = k.key)
+UNION ALL
+SELECT 'facteur_temperature (station)' AS factor_table, k.key FROM (SELECT DISTINCT capteur AS key FROM raw) k
+WHERE NOT EXISTS (SELECT 1 FROM ft WHERE ft.capteur_facteur = k.key)"""
     q["missing_factors"] = q["missing_factors"].replace("\n, rd AS", ",\nrd AS")
     q["calibrate_climate"] = _brut_stages() + f"""SELECT rid, capteur, date, {r4('t1')} AS temperature, {r4('h1')} AS hr,
        {r4(f"CASE WHEN reel AND coalesce(type IN ('EA', 'Station'), false) THEN raw_co2 * {d(2000.0)} / {d(818.0)} ELSE {d(0.0)} END")} AS co2

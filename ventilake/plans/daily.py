@@ -1,32 +1,56 @@
 """A range of days in one job (instead of one driver loop per day).
 
-Raw household readings of the range are repaired (per sensor-day, with
-seeds carried from earlier days), the ghost readings of virtual sensors are
-added, and the household transform runs once over the whole range; every
-output row carries its ``day`` so the sink can replace days idempotently.
+Raw household readings of the range are repaired with seeds carried from
+earlier days, the ghost readings of virtual sensors are added, and the
+household transform runs once over the whole range; every output row carries
+its ``day`` so the sink can replace days idempotently.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fixed import HOUSEHOLD_BOXES
+from ..operators import household as hh
+from ..operators import lookups as lk
 from ..operators import repair as rp
 from ..operators import virtual as vr
-from .household import day_range, household_balance
+from ..sinks import tables as sink
+from ..sources import acq
+from ..sources.tables import read_table
+from .household import check_factors, day_range, household_balance
+from .ingest import file_days, with_seeds
+from .weather import calibrate_fanbox, weather_station
 
 MEASURES = ("temperature", "hr", "debit_position_1", "debit_pression_1", "co2")
+KINDS = ("logement", "station", "caisson")
+TABLES = (
+    *[f"brut_{k}" for k in KINDS],
+    "brut_virtuel",
+    "dernier_bon",
+    *[f"test_{k}" for k in KINDS],
+    "facteurs_manquants",
+)
 
 
 def run_range(readings: DataFrame, dims: dict[str, DataFrame], day_from, day_to) -> DataFrame:
-    """``readings``: raw household readings (rid, capteur, date, measures)."""
-    history = day_range(readings, None, day_to)
-    brut = rp.repair_seeded(history, MEASURES, tiebreak=("rid",))
-    brut = day_range(brut, day_from, day_to)
+    """``readings``: raw household readings (rid, capteur, date, measures).
+
+    The days before the range are read for the last good values only, one
+    aggregated row per sensor; windows run over the range."""
+    raw = day_range(readings, day_from, day_to)
+    lo, _ = day_range_bounds(day_from, day_to)
+    seeds = rp.seed_values(readings, MEASURES, dt.datetime.combine(lo, dt.time()), tiebreak=("rid",))
+    brut = rp.apply_seeds(rp.repair_seeded(raw, MEASURES, tiebreak=("rid",)), seeds, MEASURES)
     # ghost minutes only need (sensor, date), which the repair does not change
-    ghosts = vr.virtual_readings(dims["capteur"], day_range(readings, day_from, day_to), day_from, day_to)
+    ghosts = vr.virtual_readings(dims["capteur"], raw, day_from, day_to)
     brut_all = brut.unionByName(ghosts, allowMissingColumns=True)
-    out = household_balance(brut_all, dims, day_from, day_to)
+    out = household_balance(brut_all, dims)
     return out.withColumn("day", F.col("date").cast("date"))
 
 
@@ -38,89 +62,88 @@ def run_files(
     day_from,
     day_to,
     boxes=None,
+    strict: bool = False,
+    real_only: bool = False,
 ) -> dict[str, str]:
     """The whole daily chain for ``[day_from, day_to)``, from .acq files to outputs.
 
-    ``store`` holds parquet tables ``brut_logement``, ``brut_station``,
-    ``brut_caisson``, ``brut_virtuel`` (ghost rows; partitioned by day and
-    sensor, so replacing ghost rows never touches file readings) and ``test_logement``,
-    ``test_station``, ``test_caisson`` (partitioned by day).  Every step
-    replaces exactly the partitions it produces, so re-running a range is
-    idempotent.  Household leading errors are seeded from the stored history.
+    ``store`` holds parquet tables, all partitioned by ``day``: the raw tables
+    ``brut_logement``, ``brut_station``, ``brut_caisson`` by the day of the
+    *file* (a file may hold a reading of the next midnight; it stays with its
+    file), ``brut_virtuel`` (ghost rows), ``dernier_bon`` (last good values
+    per sensor and file day, which seed later days), ``test_logement``,
+    ``test_station``, ``test_caisson`` and the report ``facteurs_manquants``.
+    Every step replaces all days of the range, also those that have no rows
+    any more, and no other day; transforms read the file days of the range and
+    the one before.  A range gives the same tables as its days run in order.
+
+    ``strict``: stop before the outputs if a required factor is missing (the
+    report is written).  ``real_only``: household means over real sensors only.
     Returns the table paths.
     """
-    import os
-
-    from pyspark.errors import AnalysisException
-
-    from ..functions.fixed import HOUSEHOLD_BOXES
-    from ..sinks.tables import shared_dir
-    from ..sinks import tables as sink
-    from ..sources import acq
-    from ..sources.tables import read_table
-    from .ingest import ingest_lines
-    from .weather import calibrate_fanbox, weather_station
-
     boxes = boxes or HOUSEHOLD_BOXES
-    shared_dir(spark)  # a checkpoint folder (the cluster's, or a local one when unset)
-    paths = {
-        name: os.path.join(store, name)
-        for name in (
-            "brut_logement",
-            "brut_station",
-            "brut_caisson",
-            "brut_virtuel",
-            "test_logement",
-            "test_station",
-            "test_caisson",
-        )
-    }
+    sink.shared_dir(spark)  # a clear error if the cluster names no shared folder
+    paths = {name: os.path.join(store, name) for name in TABLES}
     lo, hi = day_range_bounds(day_from, day_to)
 
-    def stored(kind, table=None):
+    def stored(table, schema):
         try:
-            return read_table(spark, paths[table or f"brut_{kind}"], acq.brut_schema(kind))
+            return read_table(spark, paths[table], schema)
         except AnalysisException:  # no such table yet (path not found)
-            return None
+            return spark.createDataFrame([], schema)
+
+    def readings(table, kind):
+        """Rows of the range by date: file days of the range and the day before."""
+        days = stored(table, acq.brut_schema(kind)).where(
+            (F.col("day") >= F.lit(lo - dt.timedelta(days=1))) & (F.col("day") < F.lit(hi))
+        )
+        return day_range(days, lo, hi).drop("day")
 
     # 1. raw tables: one scan per kind over all files of the range
-    for kind in ("logement", "station", "caisson"):
-        lines = acq.read_acq(spark, acq_root, kind, lo, hi, boxes)
-        brut = ingest_lines(lines, acq.MEASURES[kind], bucket_unit="auto").drop("file_name")
+    for kind in KINDS:
+        measures = acq.MEASURES[kind]
+        brut = file_days(acq.read_acq(spark, acq_root, kind, lo, hi, boxes), measures)
         if kind == "logement":
-            history = stored("logement")
-            if history is not None:
-                # one row per sensor; checkpointed so that the write below does
-                # not read the table it is overwriting
-                seeds = rp.seed_values(history, acq.MEASURES[kind], lo).checkpoint(eager=True)
-                brut = rp.apply_seeds(brut, seeds, acq.MEASURES[kind])
-        sink.replace_days(sink.with_day(brut), paths[f"brut_{kind}"], partition_by=(sink.DAY, "capteur"))
+            state = stored("dernier_bon", last_good_schema(measures)).where(F.col("day") < F.lit(lo))
+            # written once to the shared folder: three steps read it
+            brut, own = with_seeds(brut.checkpoint(eager=True), state, measures)
+            sink.replace_range(own, paths["dernier_bon"], lo, hi, ("capteur",))
+        sink.replace_range(brut.drop("file_name"), paths[f"brut_{kind}"], lo, hi, ("capteur", "date"))
 
     # 2. ghost readings of virtual sensors, from the household readings just
     #    stored, into their own table (a virtual sensor's file readings, if
     #    any, stay untouched)
-    logement = day_range(stored("logement"), lo, hi)
+    logement = readings("brut_logement", "logement")
     ghosts = vr.virtual_readings(dims["capteur"], logement, lo, hi)
-    sink.replace_days(sink.with_day(ghosts), paths["brut_virtuel"], partition_by=(sink.DAY, "capteur"))
-
-    # 3. transforms, each replacing its output days
-    logement = stored("logement").unionByName(stored("logement", "brut_virtuel"))
-    out = household_balance(logement.drop("day"), dims, lo, hi)
-    sink.replace_days(sink.with_day(out), paths["test_logement"])
-    station = stored("station")
-    if station is not None:
-        st = weather_station(station.drop("day"), dims["facteur_temperature"], lo, hi)
-        sink.replace_days(sink.with_day(st), paths["test_station"])
-    caisson = stored("caisson")
-    if caisson is not None:
-        ca = calibrate_fanbox(caisson.drop("day"), lo, hi)
-        sink.replace_days(sink.with_day(ca), paths["test_caisson"])
+    sink.replace_range(sink.with_day(ghosts), paths["brut_virtuel"], lo, hi, ("capteur",))
+
+    # 3. the factors that the readings of the range miss
+    station, caisson = readings("brut_station", "station"), readings("brut_caisson", "caisson")
+    known = hh.keyed(lk.join_sensor_dim(logement, dims["capteur"]))
+    missing = lk.missing_factors(
+        known, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"], station
+    )
+    sink.replace_range(missing.withColumn(sink.DAY, F.lit(lo)), paths["facteurs_manquants"], lo, hi)
+    if strict:
+        report = stored("facteurs_manquants", f"factor_table STRING, key STRING, {sink.DAY} DATE")
+        check_factors(report.where(F.col(sink.DAY) == F.lit(lo)))
+
+    # 4. transforms, each replacing its output days
+    rows = logement.unionByName(readings("brut_virtuel", "logement"))
+    out = household_balance(rows, dims, real_only=real_only)
+    sink.replace_range(sink.with_day(out), paths["test_logement"], lo, hi)
+    st = weather_station(station, dims["facteur_temperature"])
+    sink.replace_range(sink.with_day(st), paths["test_station"], lo, hi)
+    sink.replace_range(sink.with_day(calibrate_fanbox(caisson)), paths["test_caisson"], lo, hi)
     return paths
 
 
-def day_range_bounds(day_from, day_to):
-    import datetime as dt
+def last_good_schema(measures) -> str:
+    values = ", ".join(f"{m} DOUBLE, {m}_date TIMESTAMP_NTZ" for m in measures)
+    return f"capteur STRING, usable DATE, {values}, day DATE"
 
+
+def day_range_bounds(day_from, day_to):
     def as_date(d):
         if isinstance(d, dt.datetime):
             return d.date()

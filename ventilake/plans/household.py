@@ -3,17 +3,14 @@
 One lazy DataFrame plan instead of three row-by-row stages with per-row
 database lookups and six aggregate join-backs:
 
-1. readings x sensor table (J1), temperature factor (J2): calibrated
-   temperature/hr for real sensors, 0.0 for virtual ones (F2, F3);
+1. the dimension tables are joined into one row per sensor (J1-J6), and the
+   readings are joined with it once: calibrated temperature/hr for real
+   sensors, 0.0 for virtual ones (F2, F3);
 2. household means (A1, A2) joined back; virtual sensors take them (P4);
-3. flow factors and bands (J3, J4, J5): F4-F11 as column expressions;
+3. F4-F11 as column expressions; the bands of the sensor are an array, from
+   which each reading takes the winning one;
 4. household totals of extracted flow and equivalent surface (A3, F15, A5,
-   A6, J6); F16, F12.
-
-By default phases 2 and 4 are windows over ``partitionBy(logement, date)``:
-readings are shuffled once on those keys and every later step (band joins
-with broadcast band tables, the per-reading band choice, the totals) runs
-inside that partitioning.  ``strategy="aggregate"`` uses groupBy + join-back.
+   A6), joined back; F16, F12.
 """
 
 from __future__ import annotations
@@ -26,17 +23,10 @@ from ..functions.naming import ntz_literal
 from ..operators import household as hh
 from ..operators import lookups as lk
 
-# one reading = one __row (unique id given in phase 1); the band choice groups
-# the band matches of a reading by it.  The household keys come first so the
-# grouping extends the (logement, date) partitioning.
-ROW = "__row"
-ROW_KEY = ("logement", "date", "capteur", ROW)
-ROW_KEY_SALTED = ("logement", "date", hh.SALT, "capteur", ROW)
-# a household-minute with more rows than this is treated as hot (salted)
-HOT_GROUP_ROWS = 100_000
-SALT_BUCKETS = 32
-POSITION2_COEFFS = ("fct1", "fct2", "fct3", "fct4", "valeur_defaut")
-PRESSURE2_COEFFS = ("fct1", "fct2", "fct3")
+BANDS = {
+    "facteur_debit_position2": ("fct1", "fct2", "fct3", "fct4", "valeur_defaut"),
+    "facteur_debit_pression2": ("fct1", "fct2", "fct3"),
+}
 
 OUTPUT_COLUMNS = (
     "capteur",
@@ -64,8 +54,9 @@ def _with_rid(readings: DataFrame) -> DataFrame:
     return readings.withColumn("rid", F.lit(None).cast("bigint"))
 
 
-def calibrated_climate(readings: DataFrame, capteur: DataFrame, facteur_temperature: DataFrame) -> DataFrame:
-    """Phase 1: J1 + J2 + F2 + F3.  Keeps the raw counts as ``raw_*`` columns."""
+def calibrated_climate(readings: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Phase 1: J1 + J2 + F2 + F3.  ``sensors``: :func:`lookups.sensor_dimension`.
+    Keeps the raw counts as ``raw_*`` columns."""
     r = _with_rid(readings).select(
         "rid",
         "capteur",
@@ -76,52 +67,27 @@ def calibrated_climate(readings: DataFrame, capteur: DataFrame, facteur_temperat
         F.col("debit_pression_1").alias("raw_debit_pression_1"),
         F.col("co2").alias("raw_co2"),
     )
-    joined = hh.keyed(lk.join_sensor_dim(r, capteur))
-    withf = lk.attach_factor(joined, facteur_temperature, "capteur", "capteur_facteur", "__fct_t")
+    joined = hh.keyed(r.join(sensors, r["capteur"] == sensors["id_capteur"], "inner").drop("id_capteur"))
     t = fx.temperature("raw_temperature", "__fct_t")
-    return withf.withColumns(
-        {
-            "temperature": F.when(F.col("reel"), t).otherwise(F.lit(0.0)),
-            # unique per reading, also when readings carry no id (file rows,
-            # ghost rows): only its uniqueness is used
-            ROW: F.monotonically_increasing_id(),
-        }
-    ).withColumns(
-        {
-            "hr": F.when(F.col("reel"), fx.relative_humidity("raw_hr", "temperature")).otherwise(F.lit(0.0)),
-        }
-    ).drop("__fct_t")
-
-
-def with_household_fill(climate: DataFrame, strategy: str = "window", real_only: bool = False) -> DataFrame:
-    """Phase 2: A1/A2 per household-minute, virtual rows take the means."""
-    if strategy == "window":
-        return hh.fill_virtual_window(climate, real_only=real_only)
-    return hh.fill_virtual(climate, hh.household_means(climate, real_only=real_only))
+    return joined.withColumn("temperature", F.when(F.col("reel"), t).otherwise(F.lit(0.0))).withColumn(
+        "hr", F.when(F.col("reel"), fx.relative_humidity("raw_hr", "temperature")).otherwise(F.lit(0.0))
+    )
 
 
-def check_factors(readings_with_dim: DataFrame, facteur_temperature: DataFrame, facteur_surface: DataFrame) -> None:
+def check_factors(missing: DataFrame) -> None:
     """Strict mode (the original aborted on a missing required factor): raise
-    if any sensor or household lacks one.  Only a handful of keys reach the
-    driver for the message."""
-    missing = lk.missing_factors(readings_with_dim, facteur_temperature, facteur_surface)
+    if ``missing`` (:func:`lookups.missing_factors`) has rows.  Only a handful
+    of keys reach the driver for the message."""
     sample = missing.take(20)
     if sample:
         keys = ", ".join(f"{r['factor_table']}:{r['key']}" for r in sample)
         raise ValueError(f"missing required factors (first {len(sample)}): {keys}")
 
 
-def calibrated_flow(
-    filled: DataFrame,
-    facteur_debit_position1: DataFrame,
-    facteur_debit_position2: DataFrame,
-    facteur_debit_pression2: DataFrame,
-    row_key=ROW_KEY,
-) -> DataFrame:
+def calibrated_flow(filled: DataFrame) -> DataFrame:
     """Phase 3: J3, J4, J5 and F4-F11 (debit_*, co2, debit_produit, surface, humidity)."""
-    withf = lk.attach_factor(filled, facteur_debit_position1, "capteur", "capteur_facteur", "__fct_p1", default=0.0)
     real = F.col("reel")
-    stage = withf.withColumns(
+    stage = filled.withColumns(
         {
             "debit_position_1": F.when(
                 real, fx.flow_position_1("raw_debit_position_1", "__fct_p1", "piece")
@@ -130,14 +96,15 @@ def calibrated_flow(
             "co2": F.when(real, fx.co2("raw_co2", "type")).otherwise(F.lit(0.0)),
             # band keys: raw position for real sensors, household hr for virtual ones (J4);
             # always the raw position for the pressure bands
-            "__key_p2": F.when(real, F.col("raw_debit_position_1")).otherwise(F.col("hr")),
+            "__p2": lk.winning_band(
+                F.col("__bands_facteur_debit_position2"),
+                F.when(real, F.col("raw_debit_position_1")).otherwise(F.col("hr")),
+            ),
+            "__q2": lk.winning_band(F.col("__bands_facteur_debit_pression2"), F.col("raw_debit_position_1")),
         }
     )
-    # each band lookup keeps its winning band before the next one is joined,
-    # so a reading never carries more rows than the matches of one lookup
-    stage = lk.band_lookup(stage, facteur_debit_position2, POSITION2_COEFFS, "capteur", "__key_p2", row_key, "__p2_")
-    stage = lk.band_lookup(
-        stage, facteur_debit_pression2, PRESSURE2_COEFFS, "capteur", "raw_debit_position_1", row_key, "__q2_"
+    stage = stage.withColumns(
+        {"__p2_matched": F.col("__p2").isNotNull(), "__q2_matched": F.col("__q2").isNotNull()}
     )
     stage = stage.withColumns(
         {
@@ -147,14 +114,14 @@ def calibrated_flow(
                 "__p2_matched",
                 "debit_position_1",
                 "hr",
-                "__p2_fct1",
-                "__p2_fct2",
-                "__p2_fct3",
-                "__p2_fct4",
-                "__p2_valeur_defaut",
+                "__p2.fct1",
+                "__p2.fct2",
+                "__p2.fct3",
+                "__p2.fct4",
+                "__p2.valeur_defaut",
             ),
             "debit_pression_2": fx.flow_pressure_2(
-                "type", "__q2_matched", "debit_pression_1", "__q2_fct1", "__q2_fct2", "__q2_fct3"
+                "type", "__q2_matched", "debit_pression_1", "__q2.fct1", "__q2.fct2", "__q2.fct3"
             ),
         }
     )
@@ -166,26 +133,12 @@ def calibrated_flow(
             "surface_equivalente_ea": fx.equivalent_surface("debit_produit", "type"),
         }
     )
-    return stage.drop(*[c for c in stage.columns if c.startswith("__") and c not in (hh.SALT, ROW)])
+    return stage.drop(*[c for c in stage.columns if c.startswith("__") and c != "__fct_s"])
 
 
-def balance(
-    flow: DataFrame,
-    facteur_surface: DataFrame,
-    strategy: str = "window",
-    hot: DataFrame | None = None,
-    salt_buckets: int = SALT_BUCKETS,
-) -> DataFrame:
+def balance(flow: DataFrame) -> DataFrame:
     """Phase 4: household totals, real pressure and real flow."""
-    if strategy == "window":
-        out = hh.household_totals_window(flow, facteur_surface)
-    else:
-        totals = hh.household_totals(flow, facteur_surface)
-        if hot is not None and hh.SALT in flow.columns:
-            totals = hh.replicate_groups(totals, hot, salt_buckets)
-            out = flow.join(totals, [*hh.KEYS, hh.SALT], "inner").drop(hh.SALT)
-        else:
-            out = flow.join(totals, list(hh.KEYS), "inner")
+    out = flow.join(hh.household_totals(flow), list(hh.KEYS), "inner")
     out = out.withColumn("pression_reelle", fx.real_pressure("somme_debits_extraits", "somme_surface_equivalente"))
     return out.withColumn("debit_reelle", fx.real_flow("somme_surface_equivalente", "pression_reelle"))
 
@@ -199,71 +152,15 @@ def day_range(df: DataFrame, day_from=None, day_to=None, column: str = "date") -
     return df
 
 
-def household_stages(
-    readings: DataFrame,
-    dims: dict[str, DataFrame],
-    strategy: str = "auto",
-    hot_rows: int = HOT_GROUP_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
-    real_only: bool = False,
-    strict: bool = False,
-) -> dict[str, DataFrame]:
+def household_stages(readings: DataFrame, dims: dict[str, DataFrame], real_only: bool = False) -> dict[str, DataFrame]:
     """All intermediate frames of T4 (used by the operator-level queries).
 
-    ``strategy``:
-
-    * "window": windows over ``partitionBy(logement, date)``; one exchange,
-      single lineage;
-    * "aggregate": pre-aggregated groupBy + join-back, hot household-minutes
-      (more than ``hot_rows`` rows) salted over ``salt_buckets`` tasks; the
-      rows are checkpointed to the shared checkpoint folder before each
-      aggregate so that the aggregate and its join-back read them once;
-    * "auto" (default): "window" unless some household-minute is hot.  The
-      check is one pre-aggregated count per group over the sensor and day
-      columns only (the repair is pruned away); the hot keys stay a
-      DataFrame, only their emptiness reaches the driver.
-
-    ``real_only``: household means over real sensors only (the original
-    counts virtual sensors as 0.0).  ``strict``: raise on missing required
-    factors instead of producing nulls.
-    """
-    if strategy not in ("auto", "window", "aggregate"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    climate = calibrated_climate(readings, dims["capteur"], dims["facteur_temperature"])
-    if strict:
-        check_factors(climate, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"])
-    hot = None
-    if strategy != "window":
-        hot = hh.hot_groups(climate, hot_rows)
-        if strategy == "auto":
-            strategy = "window" if hot.isEmpty() else "aggregate"
-    flow_dims = (dims["facteur_debit_position1"], dims["facteur_debit_position2"], dims["facteur_debit_pression2"])
-    if strategy == "window":
-        filled = with_household_fill(climate, "window", real_only)
-        flow = calibrated_flow(filled, *flow_dims)
-    else:
-        rows = _checkpoint(hh.salt_rows(climate, hot, salt_buckets, spread_by=(ROW,)))
-        means = hh.replicate_groups(hh.household_means(rows, real_only=real_only), hot, salt_buckets)
-        filled = hh.fill_virtual(rows, means, (*hh.KEYS, hh.SALT))
-        flow = _checkpoint(calibrated_flow(filled, *flow_dims, row_key=ROW_KEY_SALTED))
-    final = balance(flow, dims["facteur_somme_surface_equivalente"], strategy, hot, salt_buckets)
-    return {
-        "climate": climate.drop(ROW),
-        "filled": filled.drop(hh.SALT, ROW),
-        "flow": flow.drop(hh.SALT, ROW),
-        "final": final.drop(ROW),
-        "strategy": strategy,
-    }
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (set only
-    when unset, as in local runs): cuts the lineage so that two consumers of
-    ``df`` do not recompute it, and survives lost executors."""
-    from ..sinks.tables import shared_dir
-
-    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is configured
-    return df.checkpoint(eager=True)
+    ``real_only``: household means over real sensors only (the original counts
+    virtual sensors as 0.0).  Nothing runs while the frames are built."""
+    climate = calibrated_climate(readings, lk.sensor_dimension(dims, BANDS))
+    filled = hh.fill_virtual(climate, hh.household_means(climate, real_only=real_only))
+    flow = calibrated_flow(filled)
+    return {"climate": climate, "filled": filled, "flow": flow.drop("__fct_s"), "final": balance(flow)}
 
 
 def household_balance(
@@ -271,19 +168,21 @@ def household_balance(
     dims: dict[str, DataFrame],
     day_from=None,
     day_to=None,
-    strategy: str = "auto",
-    hot_rows: int = HOT_GROUP_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
     real_only: bool = False,
     strict: bool = False,
 ) -> DataFrame:
     """T4: test_logement rows for readings of ``[day_from, day_to)``.
 
-    The day filter is applied to the readings before the first join, so it
-    reaches the scan (partition pruning on a day-partitioned table); a
+    The day filter is applied to the readings before the first join; a
     household-minute lies entirely inside one day, so filtering first gives
-    the same rows as the original's filter at the end.
+    the same rows as the original's filter at the end.  ``strict``: raise on
+    missing required factors instead of producing nulls (this looks at the
+    data, so it runs a job).
     """
     readings = day_range(readings, day_from, day_to)
-    final = household_stages(readings, dims, strategy, hot_rows, salt_buckets, real_only, strict)["final"]
-    return final.select(*OUTPUT_COLUMNS)
+    if strict:
+        known = hh.keyed(lk.join_sensor_dim(readings, dims["capteur"]))
+        check_factors(
+            lk.missing_factors(known, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"])
+        )
+    return household_stages(readings, dims, real_only)["final"].select(*OUTPUT_COLUMNS)

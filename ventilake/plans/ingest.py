@@ -1,9 +1,8 @@
 """Ingest .acq lines into raw tables (parse, box id, sentinel repair).
 
 The repair runs per file (one box, one day), exactly the unit the original
-repaired, and a file is bounded by one day of one box, so no window
-partition grows with the data.  ``ingest_with_seeds`` adds T3: leading
-errors of a batch take the last good value of the stored history.
+repaired, in hour buckets with carried values.  ``with_seeds`` adds T3:
+leading errors of a file take the last good value of the days before.
 """
 
 from __future__ import annotations
@@ -17,28 +16,25 @@ from ..functions import naming as nm
 from ..operators import repair as rp
 
 
-def ingest_lines(
-    lines: DataFrame,
-    measures: Sequence[str],
-    tiebreak: Sequence[str] = (),
-    bucket_unit: str | None = None,
-    hot_rows: int = rp.HOT_SERIES_ROWS,
-) -> DataFrame:
+#: order of lines of the same minute where they carry no line number
+TIE = "__tie"
+
+
+def ingest_lines(lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """Parse ``Date``, take the box id from ``file_name`` as ``capteur``,
-    repair error codes within each file (ordered by date, nulls first, then
-    ``tiebreak``): one window per file (one box, one day), or, with
-    ``bucket_unit="hour"``, per file-hour with carried values; ``"auto"``
-    picks hours only when some file exceeds ``hot_rows`` lines."""
+    repair error codes within each file.
+
+    Lines are taken in order of date (nulls first), then ``tiebreak`` (one
+    integral column); without one, in a fixed order of their measures, so
+    lines of the same minute give the same result in every run."""
     text = lines.withColumnRenamed("Date", "__date_text")
     parsed = text.withColumns(
         {"date": nm.parse_acq_timestamp("__date_text"), "capteur": nm.box_id("file_name")}
     ).drop("__date_text")
-    if bucket_unit == "auto":
-        bucket_unit = rp.choose_bucket(parsed, ("file_name",), hot_rows)
-    if bucket_unit is None:
-        return rp.repair_sentinels(parsed, measures, by=("file_name",), order=["date", *tiebreak])
-    bucket = F.date_trunc(bucket_unit, F.col("date")).cast("timestamp_ntz")
-    return rp.repair_bucketed(parsed, measures, ("file_name",), bucket, "date", tiebreak)
+    if not tiebreak:
+        parsed = parsed.withColumn(TIE, F.xxhash64(*measures))
+    bucket = F.date_trunc("hour", F.col("date")).cast("timestamp_ntz")
+    return rp.repair_bucketed(parsed, measures, ("file_name",), bucket, "date", tiebreak or (TIE,)).drop(TIE)
 
 
 def batch_day(brut: DataFrame, by: Sequence[str] = ("file_name",)) -> DataFrame:
@@ -48,17 +44,18 @@ def batch_day(brut: DataFrame, by: Sequence[str] = ("file_name",)) -> DataFrame:
     )
 
 
-def ingest_with_seeds(
-    lines: DataFrame,
-    history: DataFrame,
-    measures: Sequence[str],
-    tiebreak: Sequence[str] = (),
-) -> DataFrame:
-    """T1 + T3: per-file repair, then leading nulls filled from ``history``
-    (rows strictly before the first timestamp of the batch)."""
-    brut = ingest_lines(lines, measures, tiebreak)
-    start = brut.agg(F.min("date")).first()[0]
-    if start is None:
-        return brut
-    seeds = rp.seed_values(history, measures, start)
-    return rp.apply_seeds(brut, seeds, measures)
+def file_days(lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Raw rows with the ``day`` of their file (a file may end with a reading of the next midnight)."""
+    return ingest_lines(lines, measures, tiebreak).withColumn("day", nm.file_day("file_name"))
+
+
+def with_seeds(brut: DataFrame, state: DataFrame | None, measures: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """T3 for files of one or more days: ``brut`` seeded, and its own last good values.
+
+    Leading errors of a file take the sensor's last good value of earlier
+    days: those of ``state`` (stored last good values of days before the
+    range; None if there are none) and of the earlier files of the range."""
+    own = rp.last_good(brut, measures)
+    known = own if state is None else state.select(*own.columns).unionByName(own)
+    seeds = rp.seeds_by_day(known, brut.select("capteur", "day"), measures)
+    return rp.apply_seeds(brut, seeds, measures, ("capteur", "day")), own

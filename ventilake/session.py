@@ -9,6 +9,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a hot key's join-back is split even where that costs another shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # checkpoint folders go when the frames that read them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # broadcast only sides measured/estimated below this size; larger ones shuffle
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -1,20 +1,21 @@
 """K1-K3: append and idempotent day replacement (parquet by default, JDBC too).
 
-Raw and output tables are stored partitioned by ``day``.  Re-loading a day
-overwrites exactly the partitions present in the new data
-(``partitionOverwriteMode=dynamic``), so running a load twice gives the same
-table as running it once; other days are untouched.  This replaces the
-original's "DELETE ... WHERE date BETWEEN" + append, which also removed the
-next midnight.
+Raw and output tables are stored partitioned by ``day``.  Re-loading a range
+of days replaces exactly those days: partitions with new rows are overwritten
+(``partitionOverwriteMode=dynamic``), stored days of the range without new
+rows are emptied, other days are untouched.  Running a load twice gives the
+same table as running it once.  This replaces the original's "DELETE ...
+WHERE date BETWEEN" + append, which also removed the next midnight.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +25,11 @@ DAY = "day"
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir`` of the cluster.
 
-    The setting is read from the session; only when it is unset (tests, a
-    local run) a temporary folder is created and registered as checkpoint dir.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    The setting must be there: a folder of this machine would not be seen by
+    the executors."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="ventilake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
@@ -56,21 +52,42 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,)) -> No
     rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,)) -> None:
-    """K2/K3: replace the partitions (days, or days x sensors) present in ``df``.
-
-    Add the sensor to ``partition_by`` for raw tables whose reload is per
-    sensor (the fan-box case), so other sensors of the same day stay.
-    """
+def replace_days(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,), sort_by: Sequence[str] = ()) -> None:
+    """K2/K3: replace the partitions present in ``df``; see :func:`replace_range`
+    for days that may have lost all their rows."""
+    out = rebalanced(df, partition_by)
+    if sort_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_by)
     (
-        rebalanced(df, partition_by)
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    try:
+        return set(spark.read.schema("none INT").parquet(folder).inputFiles())
+    except AnalysisException:  # no such folder
+        return set()
+
+
+def replace_range(df: DataFrame, path: str, day_from: dt.date, day_to: dt.date, sort_by: Sequence[str] = ()) -> None:
+    """Replace all days of ``[day_from, day_to)``, also those without new rows.
+
+    The days with rows are overwritten by one write; stored days of the range
+    that it left as they were had no rows and are then overwritten with nothing."""
+    spark = df.sparkSession
+    days = [day_from + dt.timedelta(days=i) for i in range((day_to - day_from).days)]
+    before = {d: _files(spark, f"{path}/{DAY}={d}") for d in days}
+    replace_days(df.where(F.col(DAY).between(days[0], days[-1])), path, (DAY,), sort_by)
+    empty = spark.createDataFrame([], df.drop(DAY).schema)
+    for d in days:
+        if before[d] & _files(spark, f"{path}/{DAY}={d}"):
+            empty.write.mode("overwrite").parquet(f"{path}/{DAY}={d}")
+
+
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """K1 over JDBC; columns are matched by name."""
     df.write.mode("append").jdbc(url, table, properties=properties)

@@ -1,20 +1,22 @@
 """Mapping of the driver's parquet tables onto the sensor data model.
 
 The checks and the benchmark run on generic tables (``events``, ``customer``,
-``supplier``, ``part``, ``nation``).  This module derives, with plain column
+``supplier``, ``part``).  This module derives, with plain column
 expressions, the tables the pipelines expect:
 
 ============================  ==================================================
 readings (brut_*)             ``events``: sensor = user_id, minute grid = hour of
                               ts, raw counts = affine functions of ``value``,
                               error code 61440 for error events
-capteur                       ``customer``: household = nation, type from the
-                              market segment, virtual when the balance is < 0
+capteur                       ``customer``: eight sensors to a household, type
+                              from the market segment, virtual when the balance
+                              is < 0
 facteur_temperature,          ``supplier`` (fewer suppliers than sensors, so
 facteur_debit_position1       some sensors have no factor)
 facteur_debit_position2       ``part``: 4 bands per sensor, with overlaps/gaps
 facteur_debit_pression2       ``part``: 3 bands per sensor
-facteur_somme_surface_eq.     ``nation``
+facteur_somme_surface_eq.     ``customer``: the first sensor of each household
+                              (none where its nation is 3)
 ============================  ==================================================
 
 The same derivations are written in SQL in ``ventilake.oracle`` for the
@@ -41,7 +43,6 @@ SCHEMAS = {
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
-    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
 }
 
 
@@ -128,7 +129,7 @@ def acq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capteur(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     seg = F.col("c_mktsegment")
     typ = (
         F.when(seg == "BUILDING", "EA")
@@ -138,7 +139,7 @@ def capteur(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return c.select(
         F.col("c_custkey").cast("string").alias("id_capteur"),
-        F.col("c_nationkey").cast("string").alias("logement"),
+        F.floor(F.col("c_custkey") / 8).cast("string").alias("logement"),
         F.when(F.col("c_acctbal") < 1500.0, "WC").otherwise("Sejour").alias("piece"),
         typ.alias("type"),
         (F.col("c_acctbal") >= 0.0).alias("reel"),
@@ -193,10 +194,11 @@ def facteur_debit_pression2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facteur_somme_surface_equivalente(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    return n.select(
-        F.col("n_nationkey").cast("string").alias("logement_facteur"),
-        (F.col("n_regionkey") * 0.25 + 0.5).alias("fct1"),
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = c.where((F.col("c_custkey") % 8 == 0) & (F.col("c_nationkey") != 3))
+    return c.select(
+        F.floor(F.col("c_custkey") / 8).cast("string").alias("logement_facteur"),
+        (F.col("c_nationkey") * 0.25 + 0.5).alias("fct1"),
     )
 
 

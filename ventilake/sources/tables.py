@@ -48,6 +48,22 @@ def read_day_table(spark: SparkSession, path: str, day_from, day_to=None, schema
     return slice_days(read_table(spark, path, schema), day_from, day_to)
 
 
+def day_predicates(day_from, day_to=None, date: str = "date", splits: int = 1) -> list[str]:
+    """SQL conditions that split ``[day_from, day_to)`` (one day by default).
+
+    The first and last bound are the midnights themselves and those between
+    are whole seconds, so every reading of the range meets exactly one."""
+    lo, hi = day_bounds(day_from)
+    if day_to is not None:
+        hi = day_bounds(day_to)[0]
+    start = dt.datetime.combine(lo, dt.time())
+    seconds = int((dt.datetime.combine(hi, dt.time()) - start).total_seconds())
+    n = max(1, min(splits, seconds))
+    # JDBC escape syntax for timestamp literals: understood by every driver
+    stamps = [f"{{ts '{start + dt.timedelta(seconds=seconds * i // n):%Y-%m-%d %H:%M:%S}'}}" for i in range(n + 1)]
+    return [f"{date} >= {a} AND {date} < {b}" for a, b in zip(stamps, stamps[1:])]
+
+
 def read_jdbc_days(
     spark: SparkSession,
     url: str,
@@ -59,17 +75,7 @@ def read_jdbc_days(
     splits: int = 1,
 ) -> DataFrame:
     """JDBC backend: the day range is pushed into the database with one
-    predicate per split (hours of the range), so ``splits`` connections read
-    in parallel instead of one."""
-    lo, hi = day_bounds(day_from)
-    if day_to is not None:
-        hi = day_bounds(day_to)[0]
-    start = dt.datetime.combine(lo, dt.time())
-    span = (dt.datetime.combine(hi, dt.time()) - start) / max(1, splits)
-    predicates = []
-    for i in range(max(1, splits)):
-        a = start + span * i
-        b = start + span * (i + 1)
-        # JDBC escape syntax for timestamp literals: understood by every driver
-        predicates.append(f"{date} >= {{ts '{a:%Y-%m-%d %H:%M:%S}'}} AND {date} < {{ts '{b:%Y-%m-%d %H:%M:%S}'}}")
+    predicate per split (:func:`day_predicates`), so ``splits`` connections
+    read in parallel instead of one."""
+    predicates = day_predicates(day_from, day_to, date, splits)
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)

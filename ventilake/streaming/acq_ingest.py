@@ -1,13 +1,10 @@
 """Incremental ingest of .acq files with Structured Streaming.
 
-The daily batch of the original walks a directory and loads the files of a
-day.  Here a file stream picks up every new .acq file of a kind exactly once
-(the stream's checkpoint records which files were processed); each
-micro-batch goes through the same ingest (parse, box id, per-file repair)
-and replaces its (day, sensor) partitions of the raw table.  A file holds one
-box and one day, so replaying a micro-batch after a failure rewrites the same
-partitions with the same rows: the sink is idempotent and the job survives
-lost executors and restarts.
+A file stream picks up every new .acq file of a kind (the stream's checkpoint
+records which files were processed); each micro-batch goes through the same
+ingest as the daily chain.  The table is partitioned by file day and file, so
+a file that comes late or again replaces its own rows and no others, and a
+replayed micro-batch rewrites the same partitions with the same rows.
 """
 
 from __future__ import annotations
@@ -16,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import fixed as X
@@ -51,6 +47,11 @@ def acq_stream(
     return df.where(acq.kind_filter(kind, "file_name", boxes)).select("file_name", "Date", *acq.MEASURES[kind])
 
 
+def stream_schema(kind: str) -> str:
+    """Schema of the stream's table, with its partition columns."""
+    return acq.brut_schema(kind) + ", file_name STRING"
+
+
 def start_ingest(
     spark: SparkSession,
     landing: str,
@@ -65,25 +66,21 @@ def start_ingest(
 
     ``checkpoint`` defaults to a folder below the shared ``spark.checkpoint.dir``.
     ``seeded``: leading errors of the new files take the last good value of
-    the stored table before the batch (T3), as the daily job does.
+    earlier days (T3), as the daily job does.
     """
     measures = acq.MEASURES[kind]
     checkpoint = checkpoint or sink.shared_dir(spark, "streams", f"acq_{kind}")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        brut = ingest.ingest_lines(batch, measures, bucket_unit="auto").drop("file_name")
+        brut = ingest.file_days(batch, measures).checkpoint(eager=True)
         if seeded:
-            start = brut.agg(F.min("date")).first()[0]  # one value to the driver
             try:
-                history = read_table(batch.sparkSession, table_path, acq.brut_schema(kind))
+                stored = read_table(batch.sparkSession, table_path, stream_schema(kind))
+                state = rp.last_good(stored, measures).checkpoint(eager=True)
             except AnalysisException:  # first batch: no table yet
-                history = None
-            if start is not None and history is not None:
-                # one row per sensor, checkpointed: the write below must not
-                # read the table it is overwriting
-                seeds = rp.seed_values(history, measures, start).checkpoint(eager=True)
-                brut = rp.apply_seeds(brut, seeds, measures)
-        sink.replace_days(sink.with_day(brut), table_path, partition_by=(sink.DAY, "capteur"))
+                state = None
+            brut, _ = ingest.with_seeds(brut, state, measures)
+        sink.replace_days(brut, table_path, partition_by=(sink.DAY, "file_name"))
 
     writer = acq_stream(spark, landing, kind).writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint
