@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from ventilake.llm.common import checkpointed
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One contraction of directed edges ``u > v``.
+#: a task of the contractions takes this many links
+LINKS_PER_TASK = 500_000
+
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
+    """One contraction of directed edges ``u > v``, in ``tasks`` partitions.
 
     Large star: every neighbour above ``u`` is tied to the smallest vertex that
     ``u`` sees.  Small star: ``u`` and its smaller neighbours are tied to it."""
@@ -21,22 +25,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         tied = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         tied = tied.union(low.select("u", F.col("m").alias("v")))
-    return tied.where("u != v").distinct()
+    return tied.where("u != v").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """``(id, component)`` for every vertex of ``links``; the component is its smallest id.
 
     Each contraction is written to the checkpoint folder, so the lineage stays
-    short.  Null ends and loops are left out, repeated links count once; an
-    empty table gives an empty result."""
+    short; it is spread over as many tasks as the number of links asks for, so
+    a few links do not leave a file in every shuffle partition.  Null ends and
+    loops are left out, repeated links count once; an empty table gives an
+    empty result."""
     edges = links.select(
         F.greatest(F.col(a), F.col(b)).cast("long").alias("u"), F.least(F.col(a), F.col(b)).cast("long").alias("v")
     ).where("u is not null and v is not null and u != v")
     edges = checkpointed(edges.distinct())
+    tasks = 1 + edges.count() // LINKS_PER_TASK
+    edges = edges.coalesce(tasks)
     state = None
     for _ in range(max_rounds):
-        edges = checkpointed(_star(_star(edges, True), False))
+        edges = checkpointed(_star(_star(edges, True, tasks), False, tasks))
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break
@@ -44,4 +52,4 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).coalesce(tasks)
