@@ -7,7 +7,9 @@ to its set of word bigrams.  The Dice coefficient ``2 c / (a + b)`` of sets of
 ``a`` and ``b`` bigrams reaches ``t`` only if ``a`` lies between ``t b / (2 - t)``
 and ``(2 - t) b / t``: units with fewer words or more distinct words than any
 template allows are left before their bigrams are built, and a template is
-compared only with units within its own bounds.  All of it runs on column
+compared only with units within its own bounds.  The bounds also say how many of
+a template's bigrams a unit may lack, hence which few words a document must hold
+one of to be looked at (``anchors``): nothing that could match is left out.  All of it runs on column
 expressions within the row, without a shuffle.
 
 Defined cases: null text counts as empty and has no notice; a unit of one word
@@ -21,6 +23,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,10 +69,27 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(threshold * size / (2 - threshold) - 1e-9), math.floor((2 - threshold) * size / threshold + 1e-9)
 
 
+def anchors(own: list[str], threshold: float, uses: Counter | None = None) -> set[str]:
+    """Words of which every unit that reaches the threshold with a template has at least one.
+
+    Such a unit lacks at most so many of the template's bigrams; the longest
+    words (of equally long ones those with the fewest ``uses``) that together
+    touch one bigram more are taken."""
+    lo, _ = bounds(len(own), threshold)
+    lacking = len(own) - math.ceil(threshold * (lo + len(own)) / 2 - 1e-9)
+    words, touched = set(), set()
+    uses = uses or Counter()
+    for word in sorted({w for b in own for w in b.split()}, key=lambda w: (-len(w), uses[w], w)):
+        if len(touched) > lacking:
+            break
+        words.add(word)
+        touched |= {b for b in own if word in b.split()}
+    return words
+
+
 def _units(text: Column) -> Column:
     """Words of the whole text, its paragraphs, lines and sentences: an array of arrays."""
-    plain = F.translate(text, _UPPER + _SENTENCE, _LOWER)
-    plain = F.regexp_replace(plain, r"[.!?][ \t\r]+", _SENTENCE)
+    plain = F.regexp_replace(text, r"[.!?][ \t\r]+", _SENTENCE)
     plain = F.regexp_replace(plain, r"[^a-z0-9\x{80}-\x{10FFFF}\n\x01]+", " ")
     units = F.concat(
         F.array(F.translate(plain, "\n" + _SENTENCE, "  ")),
@@ -115,6 +136,11 @@ def license_scan(
                 tests.append(F.struct(dice.alias("dice"), F.lit(name).alias("name")))
             return F.filter(F.array(tests), lambda m: m["dice"] >= threshold)
 
+        rows = rows.select("doc_id", F.translate("text", _UPPER + _SENTENCE, _LOWER).alias("text"))
+        uses = Counter(w for b in known.values() for w in {w for x in b for w in x.split()})
+        needed = sorted(set().union(*(anchors(b, threshold, uses) for b in known.values())))
+        some = reduce(Column.__or__, [F.contains("text", F.lit(w)) for w in needed])
+        rows = rows.select("doc_id", F.when(some, F.col("text")).otherwise("").alias("text"))
         rows = rows.select("doc_id", F.filter(_units(F.col("text")), sized).alias("units"))
         rows = rows.select("doc_id", F.transform("units", pairs).alias("units"))
         rows = rows.select("doc_id", F.filter("units", lambda u: F.arrays_overlap(u, any_of)).alias("units"))
