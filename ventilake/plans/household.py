@@ -28,6 +28,7 @@ BANDS = {
     "facteur_debit_pression2": ("fct1", "fct2", "fct3"),
 }
 
+MEASURES = ("temperature", "hr", "debit_position_1", "debit_pression_1", "co2")
 OUTPUT_COLUMNS = (
     "capteur",
     "date",
@@ -57,17 +58,11 @@ def _with_rid(readings: DataFrame) -> DataFrame:
 def calibrated_climate(readings: DataFrame, sensors: DataFrame) -> DataFrame:
     """Phase 1: J1 + J2 + F2 + F3.  ``sensors``: :func:`lookups.sensor_dimension`.
     Keeps the raw counts as ``raw_*`` columns."""
-    r = _with_rid(readings).select(
-        "rid",
-        "capteur",
-        "date",
-        F.col("temperature").alias("raw_temperature"),
-        F.col("hr").alias("raw_hr"),
-        F.col("debit_position_1").alias("raw_debit_position_1"),
-        F.col("debit_pression_1").alias("raw_debit_pression_1"),
-        F.col("co2").alias("raw_co2"),
-    )
+    # the measures travel as one array: every branch that an aggregate is joined
+    # back to then asks for the same columns, and the shuffles below are reused
+    r = _with_rid(readings).select("rid", "capteur", "date", F.array(*MEASURES).alias("__raw"))
     joined = hh.keyed(r.join(sensors, r["capteur"] == sensors["id_capteur"], "inner").drop("id_capteur"))
+    joined = joined.withColumns({f"raw_{m}": F.col("__raw")[i] for i, m in enumerate(MEASURES)}).drop("__raw")
     t = fx.temperature("raw_temperature", "__fct_t")
     return joined.withColumn("temperature", F.when(F.col("reel"), t).otherwise(F.lit(0.0))).withColumn(
         "hr", F.when(F.col("reel"), fx.relative_humidity("raw_hr", "temperature")).otherwise(F.lit(0.0))
