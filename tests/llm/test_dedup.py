@@ -139,7 +139,22 @@ def test_min_max_estimates_jaccard():
     (la, ha), (lb, hb) = nd.min_max(a, factors), nd.min_max(b, factors)
     both = ((la == lb).mean() + (ha == hb).mean()) / 2
     assert abs(both - truth) < 0.06
-    assert len(nd.band_keys(a, nd.multipliers(nd.PERMS), nd.ROWS)) == 2 * nd.PERMS // nd.ROWS
+    values = np.concatenate(nd.min_max(a, nd.multipliers(nd.PERMS)))
+    assert len(nd.band_keys(values, nd.ROWS)) == 2 * nd.PERMS // nd.ROWS
+
+
+def test_sketches_tell_linked_pairs_from_others(spark):
+    rng = np.random.default_rng(3)
+    factors, rows = nd.multipliers(nd.PERMS), []
+    for k in range(300):
+        pool = rng.integers(0, 2**63, 400, dtype=np.uint64)
+        shift = 30 if k % 2 else 150  # Jaccard 0.86 and 0.45
+        pair = [nd.sketch(np.concatenate(nd.min_max(np.unique(x), factors))).tolist() for x in (pool[: 400 - shift], pool[shift:])]
+        rows.append((k, *pair))
+    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
+    n = 2 * nd.PERMS
+    passed = df.where(nd._agreeing(F.col("a"), F.col("b"), len(rows[0][1]), n, 85)).collect()
+    assert sum(r["k"] % 2 for r in passed) == 150 and sum(r["k"] % 2 == 0 for r in passed) == 0
 
 
 def test_components_of_random_links(spark):
