@@ -227,13 +227,15 @@ def class_components(
         if mixed.isEmpty():
             return component
         open_ = open_.join(mixed, "band")
-        if values:
-            open_ = open_.join(classes.select("id", "sketch"), "id")
+        open_ = open_.join(classes.select("id", "bands", *["sketch"] * bool(values)), "id")
         x = open_.where((F.col("rank") >= low) & (F.col("rank") < high)).select([F.col(c).alias(f"{c}_x") for c in open_.columns])
+        # a pair is looked at in the first band that it shares, and there alone
+        first = F.array_min(F.array_intersect("bands", "bands_x"))
         pairs = open_.join(x, F.col("band") == F.col("band_x")).where(
             (F.struct("rank", "id") > F.struct("rank_x", "id_x"))
             & (F.col("component") != F.col("component_x"))
             & _reachable(F.col("n_shingles"), F.col("own"), F.col("n_shingles_x"), F.col("own_x"), threshold)
+            & (first == F.col("band"))
             & (_agreeing(F.col("sketch"), F.col("sketch_x"), -(-values // 16), values, threshold) if values else F.lit(True))
         )
         pairs = pairs.select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b"))
