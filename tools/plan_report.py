@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -33,6 +34,8 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     flagship = "household_balance"
     spark = build_session("local[8]")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ventilake-"))  # one machine
     print(f"# Physical plans ({sf_dir}, final adaptive plans)\n")
     print("Generated by `python tools/plan_report.py`.  `shuffles` counts hash/range exchanges")
     print("(including the small ones after map-side partial aggregation), `broadcasts` the")
