@@ -220,3 +220,61 @@ def test_passages_of_an_empty_table_and_of_one_document(spark):
     assert pd8.repeated_passages(spark.createDataFrame([], DOCS)).collect() == []
     same = " ".join(f"a{i}" for i in range(80))
     assert pd8.repeated_passages(spark.createDataFrame([(1, same + " b " + same)], DOCS)).collect() == []
+
+
+def test_whole_paragraphs_repeat_short_long_and_edited(spark):
+    rnd = random.Random(21)
+    own = lambda n: " ".join(_words(rnd, n, 10**7))
+    line, edited, block = own(8), own(60).split(), [own(9), own(9)]
+    other = list(edited)
+    other[30] = "changed"  # 51 of 61 shingles: Jaccard 0.84
+    rows = [
+        (1, "\n".join([own(30), line, own(40)])), (2, "\n".join([line, own(50)])), (3, "two words"), (4, "Two  words\n"),
+        (5, own(40) + "\n" + " ".join(edited)), (6, " ".join(other) + "\n" + own(35)),
+        (7, own(40) + "\n\n" + "\n".join(block)), (8, " ".join(block[0].split()[:5]) + "\n" + " ".join(block[0].split()[5:]) + "\n" + block[1] + "\n\n" + own(33)),
+        (9, own(70)), (10, own(10) + "\n" + own(10)), (11, None), (12, " \n\n"), (None, line),
+    ]
+    got = {tuple(r) for r in pd8.repeated_paragraphs(spark.createDataFrame(rows, DOCS)).select("doc_id", "start", "end", "n_docs", "removed").collect()}
+    wanted = {
+        (1, 30, 38, 2, False), (2, 0, 8, 2, True), (3, 0, 2, 2, False), (4, 0, 2, 2, True),
+        (5, 40, 100, 2, False), (6, 0, 60, 2, True), (7, 40, 58, 2, False), (8, 0, 18, 2, True),
+    }
+    assert wanted <= got
+    assert {r[0] for r in got} == set(range(1, 9))
+
+
+def test_passages_are_reported_with_the_whole_shared_run(spark):
+    rnd = random.Random(22)
+    own = lambda n: _words(rnd, n, 10**7)
+    rows, at, passages = [], {}, [own(51), own(90), own(400)]
+    for i in range(24):
+        before, p = own(rnd.randrange(20, 90)), passages[i % 3]
+        rows.append((i, " ".join(before + p + own(60))))
+        at[i] = (len(before), len(before) + len(p))
+    got = pd8.repeated_paragraphs(spark.createDataFrame(rows, DOCS)).collect()
+    for i, (low, high) in at.items():
+        assert i > 2 or not any(r["removed"] for r in got if r["doc_id"] == i)
+        spans = [(r["start"], r["end"]) for r in got if r["doc_id"] == i and r["removed"] == (i > 2)]
+        # all words of the run in one span; a window at its edge may hold a word or two more (Jaccard 0.8)
+        assert any(a <= low and high <= b for a, b in spans)
+        assert min(a for a, _ in spans) >= low - 3 and max(b for _, b in spans) <= high + 3
+
+
+def test_a_run_longer_than_what_is_read_at_once_is_followed(spark):
+    words = [f"a{i}" for i in range(700)]
+    rows = spark.createDataFrame([(1, "x " + " ".join(words)), (2, "y z " + " ".join(words) + " end")], DOCS)
+    one = spark.createDataFrame([(2, 302, 7, (1, 301, 24))], "doc_id long, start int, passage_id long, like struct<doc_id:long,start:int,length:int>")
+    got = pd8._runs(rows, one, 24, 28).collect()
+    assert [(r["low"], r["high"]) for r in got] == [(2, 702)]
+
+
+def test_units_that_overlap_what_is_kept_stay(spark):
+    words = _words(random.Random(23), 60, 10**7)
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words))], DOCS)
+    got = pd8._occurrences(rows, 24, 25, 6, 10, 80).collect()  # a window at every other position or so
+    assert len(got) > 20 and all(r["removed"] == (r["doc_id"] == 2) for r in got)
+
+
+def test_paragraphs_of_an_empty_table_and_of_one_document(spark):
+    assert pd8.repeated_paragraphs(spark.createDataFrame([], DOCS)).collect() == []
+    assert pd8.repeated_paragraphs(spark.createDataFrame([(1, "a b c\na b c")], DOCS)).collect() == []

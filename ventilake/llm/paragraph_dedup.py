@@ -1,28 +1,40 @@
-"""Passages that repeat across documents, by MinHash banding of paragraphs.
-
-Passages are copied into the middle of lines, so lines are no units to compare.
-A paragraph here is a stretch of ``WORDS_PER_UNIT`` words that starts where the
-text itself says so: of every ``stretch`` consecutive positions the one with the
-smallest hash of its five words starts a paragraph.  With 24 words and 28
-positions any run of 51 words or more that two documents share holds at least
-one paragraph that is the same in both, wherever the run begins; a shared line
-of a dozen words is too short to make two paragraphs alike.
-
-1. Each paragraph's set of five-word shingles gets five bands of three MinHash
-   values: a pair at Jaccard 0.8 is missed with probability 0.028, at 0.9 with
-   0.0015, a copy never; and a passage has several paragraphs.
-2. Paragraphs that share a band with one of another document are candidates.  Equal sets
+"""Paragraphs and passages that repeat across documents, by MinHash banding.
+
+Two kinds of units are compared, as one set each of five-word shingles:
+
+- paragraphs: every line, and every block of lines between blank lines; one of
+  fewer than five words is one shingle;
+- windows, for passages that are copied into the middle of lines: stretches of
+  ``WORDS_PER_UNIT`` words that start where the text itself says so.  Of every
+  ``stretch`` consecutive positions the one with the smallest hash of its five
+  words starts a window.  With 24 words and 28 positions any run of 51 words or
+  more that two documents share holds at least one window that is the same in
+  both, wherever the run begins.
+
+1. Each set gets bands of three MinHash values.  A paragraph has ten: a pair at
+   Jaccard 0.8 is missed with probability 7.7e-4, at 0.9 with 2e-6, a copy
+   never.  A window has six (0.013 at 0.8), and a passage has several windows.
+2. Units that share a band with one of another document are candidates.  Equal sets
    form a class, and classes are compared on their full sets (exact Jaccard) by
    the rounds of hubs that ``near_dedup`` describes, never in all pairs.
 3. Components of similar classes that occur in two or more documents are the
-   repeated passages.  One occurrence, in the smallest id at the smallest
-   position, stays; all others are to be removed.
-
-Defined cases: null, empty and short texts (fewer words than a paragraph) have
-no paragraphs; repeats within one document alone are no repeats; rows that
-repeat an id count as one document; a null id is left out; an empty table gives
-an empty result; other columns are not read.  Words are split at
-``[\\x20\\x09-\\x0D]`` and A-Z lower-cased; positions count words.
+   repeats.  One occurrence, in the smallest id at the smallest position, stays;
+   all others are to be removed, save units of the same document that overlap it.
+4. A window to be removed is aligned with the first document that has the same
+   set, or else with what stays.  Windows that follow each other at one distance
+   from there are one run.  Each run is extended word by word as long as both
+   documents go on alike, and every window is reported with the span of its run;
+   a paragraph is reported as it is.
+
+``repeated_paragraphs`` does all of this.  ``repeated_passages`` reports the
+windows alone, without step 4.
+
+Defined cases: null, empty and blank texts have no units; repeats within one
+document alone are no repeats; rows that repeat an id count as one document (a
+run of theirs is extended on one of their texts); a null id is left out; an
+empty table gives an empty result; other columns are not read.  Words are split
+at ``[\\x20\\x09-\\x0D]``, lines at ``\\x0A``, and A-Z lower-cased; positions
+count words.
 """
 
 from __future__ import annotations
@@ -31,26 +43,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ventilake.llm.common import checkpointed, id_text
 from ventilake.llm.near_dedup import BROADCAST_IDS, WORDS, class_components, multipliers, shingle_hashes, words_of
 
 WORDS_PER_UNIT = 24
-#: shared runs of this many words hold a common paragraph for certain
+#: shared runs of this many words hold a common window for certain
 RUN = 51
-BANDS = 5
+BANDS = 6
+#: bands of a paragraph, which has no second unit to be found by
+PARAGRAPH_BANDS = 10
 ROWS = 3
 #: similarity threshold in hundredths
 THRESHOLD = 80
 #: keys of shared bands are broadcast up to this count (16 MB), joined by shuffle beyond it
 BROADCAST_KEYS = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_LENGTH = (1 << 32) - 1
 
 
 def starts_of(hashes: np.ndarray, per_unit: int, stretch: int) -> np.ndarray:
-    """Positions where paragraphs start: the smallest hash of each stretch of positions, the first of equals.
+    """Positions where windows start: the smallest hash of each stretch of positions, the first of equals.
 
     Where equal hashes follow each other closer than a stretch, only the first
     of them starts one, so repeated words do not start one at every position."""
@@ -82,99 +98,270 @@ def unit_sets(hashes: np.ndarray, starts: np.ndarray, per_unit: int) -> tuple[np
     return units, first, ids.view(np.int64)
 
 
-def _units(rows: DataFrame, per_unit: int, run: int, bands: int) -> DataFrame:
-    """One row per paragraph: ``doc_id, start, id, n_shingles, b0, b1, ...``."""
-    names = [f"b{i}" for i in range(bands)]
+def paragraphs(text: str | None) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The words of a text, and start and length in words of its lines and of its blocks of several lines."""
+    words: list[bytes] = []
+    spans: list[tuple[int, int]] = []
+    lines, begin = 0, 0
+    for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n"):
+        own = line.split()
+        if own:
+            spans.append((len(words), len(own)))
+            words += own
+            lines += 1
+            continue
+        if lines > 1:
+            spans.append((begin, len(words) - begin))
+        lines, begin = 0, len(words)
+    if lines > 1:
+        spans.append((begin, len(words) - begin))
+    return words, spans
+
+
+def span_sets(words: list[bytes], hashes: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of all spans one after the other, sorted within each; where each begins; first of equals; ids as ``unit_sets``."""
+    parts = [
+        hashes[a : a + n - WORDS + 1] if n >= WORDS else np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n]))], dtype=np.uint64)
+        for a, n in spans
+    ]
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    every, of = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
+    every = every[np.lexsort((every, of))]
+    first = np.ones(len(every), dtype=bool)
+    first[1:] = every[1:] != every[:-1]
+    first[begins] = True
+    mixed = (every ^ (every >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(29)
+    ids = np.add.reduceat(mixed * first, begins) + np.add.reduceat(first.astype(np.uint64), begins)
+    return every, begins, first, ids.view(np.int64)
+
+
+def _folded(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
+
+
+def _keys(low: list[np.ndarray], bands: int, most: int) -> list[np.ndarray]:
+    """One array of band keys for each of ``most`` bands, 0 beyond the first ``bands``."""
+    keys = []
+    for b in range(bands):
+        key = np.full(len(low[0]), b + 1, dtype=np.uint64)
+        for value in low[ROWS * b : ROWS * (b + 1)]:
+            key = (key ^ value.astype(np.uint64)) * _ODD
+            key ^= key >> np.uint64(29)
+        keys.append(key.view(np.int64))
+    return keys + [np.zeros(len(low[0]), dtype=np.int64)] * (most - bands)
+
+
+def _units(rows: DataFrame, per_unit: int, run: int, bands: int, of_paragraph: int) -> DataFrame:
+    """One row per unit: ``doc_id, start, length, is_window, id, n_shingles, b0, b1, ...``; paragraphs if they have bands."""
+    most = max(bands, of_paragraph)
+    names = [f"b{i}" for i in range(most)]
+    kinds = ["int64", "int32", "int32", "bool", "int64", "int64"] + ["int64"] * most
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        factors = multipliers(bands * ROWS)
+        factors = multipliers(most * ROWS)
         for frame in frames:
             parts = []
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                hashes = shingle_hashes(words_of(text))
+                words, spans = paragraphs(text)
+                hashes = shingle_hashes(words)
+                if of_paragraph and spans:
+                    every, begins, first, ids = span_sets(words, hashes, spans)
+                    x = _folded(every)
+                    low = [np.minimum.reduceat(x * f, begins) for f in factors[: of_paragraph * ROWS]]
+                    at = np.array(spans, dtype=np.int32)
+                    n = np.add.reduceat(first.astype(np.int64), begins)
+                    kind = np.zeros(len(at), dtype=bool)
+                    parts.append((np.full(len(at), doc_id), at[:, 0], at[:, 1], kind, ids, n, *_keys(low, of_paragraph, most)))
                 starts = starts_of(hashes, per_unit, run - per_unit + 1)
                 for i in range(0, len(starts), 50_000):
                     some = starts[i : i + 50_000]
                     units, first, ids = unit_sets(hashes, some, per_unit)
-                    x = (units >> np.uint64(32)).astype(np.uint32) ^ units.astype(np.uint32)
-                    low = [(x * f).min(axis=1).astype(np.uint64) for f in factors]
-                    keys = []
-                    for b in range(bands):
-                        key = np.full(len(some), b + 1, dtype=np.uint64)
-                        for value in low[ROWS * b : ROWS * (b + 1)]:
-                            key = (key ^ value) * _ODD
-                            key ^= key >> np.uint64(29)
-                        keys.append(key.view(np.int64))
-                    parts.append((np.full(len(some), doc_id), some.astype(np.int32), ids, first.sum(axis=1), *keys))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0, dtype=np.int64)] * (4 + bands)
-            yield pd.DataFrame(dict(zip(["doc_id", "start", "id", "n_shingles", *names], columns, strict=True)))
-
-    return rows.where("doc_id is not null").mapInPandas(cut, "doc_id long, start int, id long, n_shingles long, " + ", ".join(f"{n} long" for n in names))
-
-
-def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame, per_unit: int) -> DataFrame:
-    """``id, shingles`` of the wanted ids, built again at one of their places (``id, doc_id, start``)."""
-    chosen = places.join(wanted, "id", "left_semi").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
-    chosen = checkpointed(chosen)
-    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS // 8 else chosen
+                    x = _folded(units)
+                    low = [(x * f).min(axis=1) for f in factors[: bands * ROWS]]
+                    size, kind = np.full(len(some), per_unit), np.ones(len(some), dtype=bool)
+                    parts.append((np.full(len(some), doc_id), some, size, kind, ids, first.sum(axis=1), *_keys(low, bands, most)))
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0)] * len(kinds)
+            columns = [c.astype(k) for c, k in zip(columns, kinds, strict=True)]
+            yield pd.DataFrame(dict(zip(["doc_id", "start", "length", "is_window", "id", "n_shingles", *names], columns, strict=True)))
+
+    schema = "doc_id long, start int, length int, is_window boolean, id long, n_shingles long, " + ", ".join(f"{n} long" for n in names)
+    return rows.where("doc_id is not null").mapInPandas(cut, schema)
+
+
+def _with_text(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, text, wanted``: the texts of the documents of ``wanted`` (``doc_id, wanted``), kept in the shared folder."""
+    wanted = checkpointed(wanted)
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS // 8 else wanted
+    return rows.join(side, "doc_id").select("doc_id", "text", "wanted")
+
+
+def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, shingles`` of the wanted ids, built again at one of their places (``id, doc_id, start, length``)."""
+    place = F.shiftleft(F.col("start").cast("long"), 32) + F.col("length")
+    chosen = places.join(wanted, "id", "left_semi").groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids, sets = [], []
-            for text, starts in zip(frame["text"], frame["starts"], strict=True):
-                hashes = shingle_hashes(words_of(text))
-                at = np.sort(np.asarray(starts, dtype=np.int64))
-                at = at[at + per_unit - WORDS < len(hashes)]
-                if len(at):
-                    units, first, own = unit_sets(hashes, at, per_unit)
+            for text, wanted in zip(frame["text"], frame["wanted"], strict=True):
+                words = words_of(text)
+                spans = [(p >> 32, p & _LENGTH) for p in sorted(map(int, wanted))]
+                spans = [(a, n) for a, n in spans if a + n <= len(words)]
+                if spans:
+                    every, begins, first, own = span_sets(words, shingle_hashes(words), spans)
                     ids += own.tolist()
-                    sets += [u[f].view(np.int64) for u, f in zip(units, first, strict=True)]
+                    ends = [*begins[1:].tolist(), len(every)]
+                    sets += [every[a:b][first[a:b]].view(np.int64) for a, b in zip(begins.tolist(), ends, strict=True)]
             yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "shingles": sets})
 
-    sets = rows.join(side, "doc_id").select("text", "starts").mapInPandas(build, "id long, shingles array<long>")
+    sets = _with_text(rows, chosen).select("text", "wanted").mapInPandas(build, "id long, shingles array<long>")
     return checkpointed(sets.join(places.select("id"), "id", "left_semi").dropDuplicates(["id"]))
 
 
-def repeated_passages(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    per_unit: int = WORDS_PER_UNIT,
-    run: int = RUN,
-    bands: int = BANDS,
-    threshold: int = THRESHOLD,
-) -> DataFrame:
-    """One row per paragraph that repeats: ``doc_id, start, end, passage_id, n_docs, removed`` (positions in words)."""
-    rows = id_text(docs, id_col, text_col)
-    units = _units(rows, per_unit, run, bands)
-    keys = F.explode(F.array(*[f"b{i}" for i in range(bands)])).alias("key")
+def _occurrences(rows: DataFrame, per_unit: int, run: int, bands: int, of_paragraph: int, threshold: int) -> DataFrame:
+    """Units that repeat: ``doc_id, start, length, is_window, passage_id, like, kept, n_docs, removed``.
+
+    ``kept`` (``doc_id, start, length``) is the occurrence that stays, ``like`` the
+    first one with the same set if that is in an earlier document, else ``kept``."""
+    units = _units(rows, per_unit, run, bands, of_paragraph)
+    keys = F.explode(F.filter(F.array(*[f"b{i}" for i in range(max(bands, of_paragraph))]), lambda k: k != 0)).alias("key")
     held = units.select("doc_id", keys).groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = checkpointed(held.where("low != high").select("key"))
     side = F.broadcast(shared) if shared.count() <= BROADCAST_KEYS else shared
-    found = units.select("doc_id", "start", "id", "n_shingles", keys).join(side, "key", "left_semi")
+    found = units.select("doc_id", "start", "length", "is_window", "id", "n_shingles", keys).join(side, "key", "left_semi")
     found = checkpointed(found)
+    unit = F.struct("doc_id", "start", "length")
     classes = checkpointed(
         found.groupBy("id").agg(
             F.first("n_shingles").alias("n_shingles"),
-            F.collect_set("key").alias("bands"),  # at most ``bands`` of them
-            F.min(F.struct("doc_id", "start")).alias("place"),
+            F.collect_set("key").alias("bands"),  # at most as many as a unit has
+            F.min(unit).alias("place"),
         )
     )
-    places = classes.select("id", "place.doc_id", "place.start")
-    component = class_components(classes, lambda ids: _sets_of(rows, places, ids, per_unit), threshold)
-    place = found.select("doc_id", "start", "id").distinct().join(component, "id", "left")
-    place = checkpointed(place.select("doc_id", "start", F.coalesce("component", "id").alias("passage_id")))
-    each = place.groupBy("passage_id").agg(
-        F.min(F.struct("doc_id", "start")).alias("kept"), F.max("doc_id").alias("last")
-    )
+    places = classes.select("id", "place.doc_id", "place.start", "place.length")
+    component = class_components(classes, lambda ids: _sets_of(rows, places, ids), threshold)
+    known = classes.select("id", F.col("place").alias("like")).join(component, "id", "left")
+    known = known.select("id", "like", F.coalesce("component", "id").alias("passage_id"))
+    place = found.select("doc_id", "start", "length", "is_window", "id").distinct().join(known, "id")
+    place = checkpointed(place.drop("id"))
+    each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
     each = each.where(F.col("kept.doc_id") != F.col("last"))
     n_docs = place.select("passage_id", "doc_id").distinct().groupBy("passage_id").agg(F.count("*").alias("n_docs"))
     out = place.join(each.select("passage_id", "kept").join(n_docs, "passage_id"), "passage_id")
+    # units of the document that keeps the passage stay as far as they overlap, one after the other, what is kept
+    order = Window.partitionBy("passage_id", "doc_id").orderBy("start", "length", "is_window")
+    before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    out = out.withColumn("like", F.when(F.col("like.doc_id") < F.col("doc_id"), F.col("like")).otherwise(F.col("kept")))
+    out = out.withColumn("apart", F.when(F.col("start") >= before, 1).otherwise(0))
+    apart = F.max("apart").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return out.withColumn("removed", (F.col("doc_id") != F.col("kept.doc_id")) | (apart > 0)).drop("apart")
+
+
+def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """``doc_id, at, side, words``: hashes of up to ``size`` words after ``at`` (``side`` 1) or before it, nearest first (-1)."""
+    place = F.col("at").cast("long") * 2 + (F.col("side") > 0).cast("long")
+    wanted = places.groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for doc_id, text, wanted in zip(frame["doc_id"], frame["text"], frame["wanted"], strict=True):
+                words = words_of(text)
+                for p in map(int, wanted):
+                    at, after = p >> 1, p & 1
+                    some = words[at : at + size] if after else words[max(0, at - size) : at][::-1]
+                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, some), dtype=np.uint64, count=len(some))
+                    out.append((doc_id, at, 2 * after - 1, hashes.view(np.int64)))
+            yield pd.DataFrame(out, columns=["doc_id", "at", "side", "words"])
+
+    found = _with_text(rows, wanted).mapInPandas(read, "doc_id long, at long, side int, words array<long>")
+    return found.groupBy("doc_id", "at", "side").agg(F.max("words").alias("words"))
+
+
+def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> DataFrame:
+    """The removed windows with the span ``low, high`` that their run shares with the document they are ``like``.
+
+    ``size`` words are read beyond each end, eight times as many in each later
+    round, where the documents were alike to the last of them."""
+    run = ["doc_id", "kept_id", "distance", "run"]
+    windows = removed.select(
+        "doc_id", "start", "passage_id", F.col("like.doc_id").alias("kept_id"), (F.col("start") - F.col("like.start")).alias("distance")
+    ).distinct()
+    order = Window.partitionBy("doc_id", "kept_id", "distance").orderBy("start")
+    gap = F.col("start") - F.lag("start").over(order) > per_unit
+    windows = windows.withColumn("gap", F.coalesce(gap.cast("int"), F.lit(0)))
+    windows = checkpointed(windows.withColumn("run", F.sum("gap").over(order)).drop("gap"))
+    ends = windows.groupBy(*run).agg(F.min("start").alias("low"), F.max(F.col("start") + per_unit).alias("high"))
+    sides = F.array(F.struct(F.lit(-1).alias("side"), F.col("low").alias("at")), F.struct(F.lit(1).alias("side"), F.col("high").alias("at")))
+    open_ = checkpointed(ends.select(*run, F.explode(sides).alias("e")).select(*run, "e.side", F.col("e.at").cast("long").alias("at")))
+    closed = None
+    while True:
+        other = F.col("at") - F.col("distance")
+        places = open_.select("doc_id", "at", "side").union(open_.select("kept_id", other, "side")).distinct()
+        beside = checkpointed(_beside(rows, places, size))
+        own = beside.withColumnRenamed("words", "here")
+        kept = beside.select(F.col("doc_id").alias("kept_id"), F.col("at").alias("other"), "side", F.col("words").alias("there"))
+        pairs = open_.withColumn("other", other).join(own, ["doc_id", "at", "side"]).join(kept, ["kept_id", "other", "side"])
+        unlike = F.array_position(F.zip_with("here", "there", lambda a, b: a.eqNullSafe(b)), False)
+        alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here"))
+        step = checkpointed(pairs.select(*run, "side", (F.col("at") + F.col("side") * alike).alias("at"), (alike == size).alias("on")))
+        done = step.where("not on").drop("on")
+        closed = done if closed is None else closed.union(done)
+        open_ = step.where("on").drop("on")
+        if open_.isEmpty():
+            break
+        size *= 8
+    spans = closed.groupBy(*run).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    return checkpointed(windows.join(spans, run).select("doc_id", "start", "passage_id", "kept_id", "distance", "low", "high"))
+
+
+def repeated_passages(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    per_unit: int = WORDS_PER_UNIT,
+    run: int = RUN,
+    bands: int = BANDS,
+    threshold: int = THRESHOLD,
+) -> DataFrame:
+    """One row per window that repeats: ``doc_id, start, end, passage_id, n_docs, removed`` (positions in words)."""
+    out = _occurrences(id_text(docs, id_col, text_col), per_unit, run, bands, 0, threshold)
+    start = F.col("start").cast("long")
+    return out.select("doc_id", start.alias("start"), (start + F.col("length")).alias("end"), "passage_id", "n_docs", "removed")
+
+
+def repeated_paragraphs(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    per_unit: int = WORDS_PER_UNIT,
+    run: int = RUN,
+    bands: int = BANDS,
+    of_paragraph: int = PARAGRAPH_BANDS,
+    threshold: int = THRESHOLD,
+) -> DataFrame:
+    """One row per paragraph that repeats, and per window that repeats with the span of its run; columns as ``repeated_passages``."""
+    rows = id_text(docs, id_col, text_col)
+    found = checkpointed(_occurrences(rows, per_unit, run, bands, of_paragraph, threshold))
+    removed = found.where("is_window and removed")
+    runs = _runs(rows, removed, per_unit, run - per_unit + 1)
+    own = runs.select("doc_id", "start", "passage_id", F.lit(True).alias("is_window"), "low", "high")
+    # what a run is like reaches as far itself
+    there = [F.col("kept_id").alias("doc_id"), (F.col("start") - F.col("distance")).alias("start"), F.lit(True).alias("is_window")]
+    reach = runs.groupBy(*there).agg(F.min(F.col("low") - F.col("distance")).alias("back"), F.max(F.col("high") - F.col("distance")).alias("ahead"))
+    start, end = F.col("start").cast("long"), (F.col("start") + F.col("length")).cast("long")
+    # within one document a run goes back to the kept unit at most
+    free = F.when(F.col("doc_id") == F.col("kept.doc_id"), F.col("kept.start") + F.col("kept.length")).otherwise(F.lit(0))
+    low = F.when(F.col("low").isNotNull(), F.greatest(F.col("low"), free)).otherwise(F.col("back"))
+    high = F.when(F.col("high").isNotNull(), F.col("high")).otherwise(F.col("ahead"))
+    out = found.join(own, ["doc_id", "start", "passage_id", "is_window"], "left").join(reach, ["doc_id", "start", "is_window"], "left")
     return out.select(
         "doc_id",
-        F.col("start").cast("long").alias("start"),
-        (F.col("start") + per_unit).cast("long").alias("end"),
+        F.least(start, F.coalesce(low, start)).alias("start"),
+        F.greatest(end, F.coalesce(high, end)).alias("end"),
         "passage_id",
         "n_docs",
-        (F.struct("doc_id", "start") != F.col("kept")).alias("removed"),
-    )
+        "removed",
+    ).distinct()

@@ -14,7 +14,7 @@ from ventilake.llm.exact_dedup import exact_dedup
 from ventilake.llm.html_extract import extract_main_text
 from ventilake.llm.near_dedup import near_dedup
 from ventilake.llm.packing import default_tokenizer, pack
-from ventilake.llm.paragraph_dedup import repeated_passages
+from ventilake.llm.paragraph_dedup import repeated_paragraphs
 from ventilake.llm.pii import pii
 from ventilake.llm.quality import quality
 from ventilake.llm.toxicity import toxicity
@@ -50,7 +50,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
