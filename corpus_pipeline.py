@@ -9,7 +9,9 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which
 4. decontamination: documents that hold a passage of the benchmark go;
 5. packing: the rest is tokenised and packed into sequences.
 
-Stages 1 to 4 return the columns of ``docs``.
+Stages 1 to 4 return the columns of ``docs``.  They judge rows, not ids: rows
+with a null id are judged like others, of repeated rows one passes stages 2 and
+3, and rows with one id and different texts are judged one by one.
 """
 
 from __future__ import annotations

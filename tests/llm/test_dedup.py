@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ventilake.llm import near_dedup as nd
 from ventilake.llm import paragraph_dedup as pd8
 from ventilake.llm.components import connected_components
+from ventilake.llm.decontaminate import drop_contaminated
 from ventilake.llm.exact_dedup import drop_exact_copies, exact_dedup
 
 DOCS = "doc_id long, text string"
@@ -278,3 +279,38 @@ def test_units_that_overlap_what_is_kept_stay(spark):
 def test_paragraphs_of_an_empty_table_and_of_one_document(spark):
     assert pd8.repeated_paragraphs(spark.createDataFrame([], DOCS)).collect() == []
     assert pd8.repeated_paragraphs(spark.createDataFrame([(1, "a b c\na b c")], DOCS)).collect() == []
+
+
+# -- the filters of the pipeline, with null and repeated ids ---------------------------
+
+
+def _left(df):
+    return sorted(((r["doc_id"], r["text"], r["lang"]) for r in df.collect()), key=str)
+
+
+def test_exact_filter_judges_rows(spark):
+    rows = [(1, "a b"), (1, "a b"), (2, "ab"), (2, "unique"), (None, "a  b"), (None, "a  b"), (None, "c"), (None, "c"), (5, "C"), (6, None), (6, "")]
+    df = spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("x"))
+    got = _left(drop_exact_copies(df))
+    assert [r for r in got if r[1]] == sorted([(2, "unique", "x"), (None, "a  b", "x"), (None, "c", "x"), (5, "C", "x")], key=str)
+    assert len(got) == 5 and any(r[0] == 6 for r in got)
+
+
+def test_near_filter_judges_rows(spark):
+    rnd = random.Random(31)
+    base, alone, third = _words(rnd, 200, 10**6), _words(rnd, 40, 10**6), _words(rnd, 200, 10**6)
+    near = [" ".join(_edited(rnd, base, 1)) for _ in range(3)]
+    nulls = [" ".join(_edited(rnd, third, 1)) for _ in range(2)]
+    rows = [(3, near[0]), (3, near[0]), (4, near[1]), (4, " ".join(alone)), (None, near[2]), (None, nulls[0]), (None, nulls[1]), (None, nulls[1]), (9, "")]
+    got = _left(nd.drop_near_copies(spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("x"))))
+    assert len(got) == 4 and {(3, near[0], "x"), (4, " ".join(alone), "x"), (9, "", "x")} < set(got)
+    assert [r[0] for r in got if r[1] in nulls] == [None]
+
+
+def test_contaminated_filter_judges_rows(spark):
+    item = " ".join(f"i{k}" for k in range(12))
+    rows = [(1, "x " + item), (1, "clean text"), (1, "clean text"), (None, item + " y"), (None, "clean too"), (2, None)]
+    bench = spark.createDataFrame([(1, item), (2, "another")], "item_id long, text string")
+    df = spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("x"))
+    want = sorted([(1, "clean text", "x"), (1, "clean text", "x"), (None, "clean too", "x"), (2, None, "x")], key=str)
+    assert _left(drop_contaminated(df, bench)) == want and _left(drop_contaminated(df, bench, batch_windows=1)) == want

@@ -19,6 +19,17 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """64-bit key of a row's id and text, never null: the same for repeated rows, another for another text or id."""
+    rank = F.col(id_col).cast("long")
+    return F.xxhash64(rank.isNull(), F.coalesce(rank, F.lit(0)), text_key(text_col))
+
+
+def text_key(text_col: str = "text") -> Column:
+    """64-bit key of a text, a null one as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

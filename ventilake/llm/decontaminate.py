@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import id_text
+from ventilake.llm.common import id_text, text_key
 
 WINDOW = 10
 BATCH_WINDOWS = 500_000
@@ -182,7 +182,7 @@ def decontaminate(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window; all columns stay."""
-    bad = decontaminate(docs, benchmark, id_col, text_col, **options).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_dropped"))
-    return docs.join(bad, docs[id_col] == bad["_dropped"], "left_anti")
+    """``docs`` without the rows whose text holds a benchmark window, whatever their id; all columns stay."""
+    keyed = docs.withColumn("_key", text_key(text_col))
+    bad = decontaminate(keyed, benchmark, "_key", text_col, **options).where("contaminated")
+    return keyed.join(bad.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)

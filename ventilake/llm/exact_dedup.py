@@ -10,8 +10,9 @@ most ``salts`` rows.
 Defined cases: null text counts as empty and all empty texts are copies of each
 other; of equal lengths the smallest id stays; a null id ranks behind all
 others, so ``keep_id`` is null only where a group has no other id; rows that
-repeat an id count one by one and share the fate of that id; an empty table
-gives an empty result; other columns are not read.
+repeat an id count one by one and share the fate of that id (the filter
+``drop_exact_copies`` keeps one row of a group); an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,10 +38,10 @@ def squeezed(text: Column) -> Column:
     return F.translate(text, ASCII_SPACE, "")
 
 
-def _rank() -> Column:
+def _rank(doc_id: Column, text: Column) -> Column:
     """Longest first, then smallest id, as one number (primitive, so hash aggregation applies)."""
-    low = F.lit(Decimal(_TOP)) - F.coalesce(F.col("doc_id"), F.lit(_TOP)).cast("decimal(20,0)")
-    return (F.length("text").cast("decimal(10,0)") * F.lit(_SPAN) + low).cast("decimal(38,0)")
+    low = F.lit(Decimal(_TOP)) - F.coalesce(doc_id, F.lit(_TOP)).cast("decimal(20,0)")
+    return (F.length(text).cast("decimal(10,0)") * F.lit(_SPAN) + low).cast("decimal(38,0)")
 
 
 def _winner(rank: Column) -> Column:
@@ -49,10 +50,10 @@ def _winner(rank: Column) -> Column:
 
 
 def groups(docs: DataFrame, id_col: str, text_col: str, salts: int, digest: Callable[[Column], Column]) -> DataFrame:
-    """One row per distinct text: ``digest``, ``norm``, ``keep_id``, ``group_size``."""
+    """One row per distinct text: ``digest``, ``norm``, ``rank`` (of the row that stays), ``keep_id``, ``group_size``."""
     rows = id_text(docs, id_col, text_col).select(
         squeezed(F.col("text")).alias("norm"),
-        _rank().alias("rank"),
+        _rank(F.col("doc_id"), F.col("text")).alias("rank"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"),
     )
     rows = rows.select("norm", digest(F.col("norm")).alias("digest"), "rank", "salt")
@@ -60,7 +61,7 @@ def groups(docs: DataFrame, id_col: str, text_col: str, salts: int, digest: Call
     return (
         salted.groupBy("digest", "norm")
         .agg(F.max("rank").alias("rank"), F.sum("n").alias("group_size"))
-        .select("digest", "norm", _winner(F.col("rank")).alias("keep_id"), "group_size")
+        .select("digest", "norm", "rank", _winner(F.col("rank")).alias("keep_id"), "group_size")
     )
 
 
@@ -77,7 +78,7 @@ def exact_dedup(
     under one digest (possible only with a weaker ``digest`` than the default)
     they find it by digest and text instead."""
     found = groups(docs, id_col, text_col, salts, digest)
-    small = checkpointed(found.drop("norm"))
+    small = checkpointed(found.drop("norm", "rank"))
     rows = id_text(docs, id_col, text_col).select("doc_id", squeezed(F.col("text")).alias("norm"))
     rows = rows.select("doc_id", "norm", digest(F.col("norm")).alias("digest"))
     if small.groupBy("digest").count().where("count > 1").isEmpty():
@@ -94,6 +95,14 @@ def exact_dedup(
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that an equal text outranks; all columns stay."""
-    out = exact_dedup(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(out, docs[id_col] == out["_dropped"], "left_anti")
+    """``docs`` with one row of each group of equal texts; all columns stay.
+
+    The row that stays has the longest text and of these the smallest id (a null
+    id last).  Rows are told apart by digest and rank, not by id: of repeated rows
+    one stays, and rows with one id and different texts are judged one by one."""
+    best = groups(docs, id_col, text_col, SALTS, sha256).select(F.col("digest").alias("_digest"), F.col("rank").alias("_rank"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.withColumns({"_digest": sha256(squeezed(text)), "_rank": _rank(F.col(id_col).cast("long"), text)})
+    # copies in one input partition are dropped before the shuffle
+    rows = rows.dropDuplicates(["_digest", "_rank"])
+    return rows.join(best, ["_digest", "_rank"], "left_semi").select(*docs.columns)

@@ -32,8 +32,9 @@ sets is decided on a 128-bit digest of the sorted set.
 Defined cases: null, empty and blank texts have the empty set and are linked
 with nothing; rows that repeat an id are documents of their own, told apart by
 their sets; a null id belongs to the component of its set (null where that has
-no other id) and is kept only then; an empty table gives an empty result; texts
-of any length are read in blocks.
+no other id) and is kept only then (the filter ``drop_near_copies`` judges rows, also
+those without an id); an empty table gives an empty result; texts of any length
+are read in blocks.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, id_text
+from ventilake.llm.common import checkpointed, id_text, row_key
 from ventilake.llm.components import connected_components
 
 WORDS = 5
@@ -273,6 +274,14 @@ def near_dedup(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component; all columns stay."""
-    out = near_dedup(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(out, docs[id_col] == out["_dropped"], "left_anti")
+    """``docs`` with one row of each component; all columns stay.
+
+    The row with the smallest id stays (a null id last).  Rows are told apart by a
+    key of id and text: those with a null id are compared like others, of repeated
+    rows one stays, and rows with one id and different texts are judged one by one."""
+    keyed = docs.withColumn("_key", row_key(id_col, text_col))
+    linked = near_dedup(keyed, "_key", text_col, **options).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = keyed.select("_key", F.col(id_col).cast("long").alias("id")).distinct()
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "_key")
+    best = linked.join(ids, "_key").groupBy("component_id").agg(F.min(order).alias("best")).select("best._key")
+    return keyed.dropDuplicates(["_key"]).join(checkpointed(best), "_key", "left_semi").select(*docs.columns)
