@@ -5,7 +5,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which
 
 1. toxicity: documents that the classifier rejects go;
 2. exact_dedup: of equal texts the longest original stays;
-3. near_dedup: one document of each group of near copies stays;
+3. near_dedup: one document of each group of near copies (five words, similarity 0.8) stays;
 4. decontamination: documents that hold a passage of the benchmark go;
 5. packing: the rest is tokenised and packed into sequences.
 
@@ -28,6 +28,12 @@ from ventilake.llm.packing import default_tokenizer, pack
 from ventilake.llm.toxicity import drop_toxic
 
 
+#: near copies from this similarity (in hundredths) go; op6's query has a threshold of its own
+NEAR = 80
+#: 30 bands of five values: a pair at similarity 0.80 shares none with probability 7e-6
+NEAR_PERMS, NEAR_ROWS = 75, 5
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
@@ -37,7 +43,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, threshold=NEAR, perms=NEAR_PERMS, rows_per_band=NEAR_ROWS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

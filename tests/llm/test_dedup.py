@@ -314,3 +314,18 @@ def test_contaminated_filter_judges_rows(spark):
     df = spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("x"))
     want = sorted([(1, "clean text", "x"), (1, "clean text", "x"), (None, "clean too", "x"), (2, None, "x")], key=str)
     assert _left(drop_contaminated(df, bench)) == want and _left(drop_contaminated(df, bench, batch_windows=1)) == want
+
+
+def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
+    import corpus_pipeline
+
+    rows = []
+    for k in range(30):
+        words = [f"d{k}w{i}" for i in range(204)]
+        # 178 shingles in common of 222: 0.802
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:182] + [f"d{k}v{i}" for i in range(22)]))]
+    sets = [nd.shingle_set(t) for _, t in rows]
+    like = lambda a, b: 100 * len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    assert all(80 <= like(sets[2 * k], sets[2 * k + 1]) < 85 for k in range(30))
+    left = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [2 * k for k in range(30)]
