@@ -200,6 +200,16 @@ def test_decontamination_equals_brute_force(spark, batch):
     assert dc.decontaminate(df.limit(0), bench).collect() == []
 
 
+def test_one_and_many_batches_give_the_same_rows(spark):
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(6)]
+    rows = [(1, "a " + items[0][1]), (1, items[5][1] + " b c"), (1, "clean"), (2, items[1][1]), (2, items[1][1]), (None, "clean"), (None, "clean"),
+            (None, items[4][1] + " " + items[0][1]), (None, None), (3, "clean")]
+    df, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(((i, *_brute_hits(t, items)) for i, t in rows), key=str)
+    for batch in (10**6, 30, 1):
+        assert sorted((tuple(r) for r in dc.decontaminate(df, bench, batch_windows=batch).collect()), key=str) == want
+
+
 # -- pages ------------------------------------------------------------------------------
 
 _PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>

@@ -9,27 +9,29 @@ words are then compared directly.  Blocks unknown to the benchmark, nearly all
 of a clean document, move the window by its length less one.
 
 Benchmark windows are read in batches of bounded size (``batch_windows``); each
-batch is broadcast and searched against all documents and the hits are merged,
-so a benchmark of any size works.
+batch is broadcast and searched against all documents, its hits are written to
+the shared folder and the batch is let go, and the hits are merged by id and
+text, so a benchmark of any size works and gives the same rows.
 
 Defined cases: null or wordless texts have no words and no hits; a null item id
 counts as the text ``null``; items with the same text are each reported; an
-empty benchmark leaves every document clean; rows that repeat an id are reported
-one by one while the benchmark fits one batch, and merged into one row beyond
-that; other columns are not read.
+empty benchmark leaves every document clean; rows that repeat an id or have none
+are reported one by one; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import id_text, text_key
+from ventilake.llm.common import checkpointed, id_text, text_key
 
 WINDOW = 10
 BATCH_WINDOWS = 500_000
@@ -110,9 +112,10 @@ def batches(benchmark: DataFrame, id_col: str, text_col: str, size: int, limit:
         yield batch
 
 
-def _hits(docs: DataFrame, items: list[tuple[str, str]], size: int, every: bool) -> DataFrame:
-    """``doc_id, n_words, hits (starts and lengths in turn), items``; documents without hits only if ``every``."""
-    held = docs.sparkSession.sparkContext.broadcast(items)
+def _hits(docs: DataFrame, held: Broadcast, size: int, every: bool) -> DataFrame:
+    """``doc_id, key, n_words, hits (starts and lengths in turn), items``; documents without hits only if ``every``.
+
+    ``key`` is a digest of the text."""
     cache: list = []
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,10 +133,11 @@ def _hits(docs: DataFrame, items: list[tuple[str, str]], size: int, every: bool)
                         spans += (start, s.length)
                         owners.update(s.patterns[p])
                 if every or spans:
-                    out.append((doc_id, len(words), spans, [names[k] for k in owners]))
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "hits", "items"]).astype({"doc_id": "Int64"})
+                    key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    out.append((doc_id, key, len(words), spans, [names[k] for k in owners]))
+            yield pd.DataFrame(out, columns=["doc_id", "key", "n_words", "hits", "items"]).astype({"doc_id": "Int64"})
 
-    return docs.mapInPandas(search, "doc_id long, n_words long, hits array<long>, items array<string>")
+    return docs.mapInPandas(search, "doc_id long, key binary, n_words long, hits array<long>, items array<string>")
 
 
 def _digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,6 +157,27 @@ def _digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_words": frame["n_words"], "n_hit": n_hit, "n_items": n_items, "items_sha256": sha})
 
 
+def _passes(rows: DataFrame, parts: Iterable[list[tuple[str, str]]], size: int) -> DataFrame:
+    """The hits of several batches, merged by id and text: again one row per input row."""
+    found = None
+    for k, items in enumerate(parts):
+        held = rows.sparkSession.sparkContext.broadcast(items)
+        # rows that repeat id and text have the same hits, which are kept once, and counted in the first pass
+        part = _hits(rows, held, size, every=k == 0).groupBy("doc_id", "key").agg(
+            *[F.first(c).alias(c) for c in ("n_words", "hits", "items")], F.count("*").alias("copies")
+        )
+        part = checkpointed(part if k == 0 else part.withColumn("copies", F.lit(0).cast("long")))
+        held.destroy()
+        found = part if found is None else found.union(part)
+    merged = found.groupBy("doc_id", "key").agg(
+        F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_list("items")).alias("items"),
+        F.sum("copies").alias("copies"),
+    )
+    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -165,18 +190,13 @@ def decontaminate(
 ) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
     rows = id_text(docs, id_col, text_col)
-    merged = None
-    for k, items in enumerate(batches(benchmark, item_col, item_text_col, size, batch_windows)):
-        part = _hits(rows, items, size, every=k == 0)
-        merged = part if merged is None else merged.union(part)
-    if merged is None:
-        merged = _hits(rows, [], size, every=True)
-    elif k:
-        merged = merged.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"),
-            F.flatten(F.collect_list("hits")).alias("hits"),
-            F.flatten(F.collect_list("items")).alias("items"),
-        )
+    share = docs.sparkSession.sparkContext.broadcast
+    rest = batches(benchmark, item_col, item_text_col, size, batch_windows)
+    first, second = next(rest, []), next(rest, None)
+    if second is None:
+        merged = _hits(rows, share(first), size, every=True)
+    else:
+        merged = _passes(rows, chain([first, second], rest), size)
     out = merged.mapInPandas(_digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
