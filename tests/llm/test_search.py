@@ -237,6 +237,21 @@ def test_pages_keep_the_article(spark):
     assert hx.extract_main_text(df.limit(0)).collect() == []
 
 
+def test_articles_in_containers_named_like_asides():
+    text = lambda html: hx.main_text(hx.blocks(html), None)
+    article = "<article><h1>T</h1><p>Body</p></article>"
+    for wrapper in ("div class='layout has-sidebar'", "div id='login-wrapper'", "div class='search-page'", "div class=no-header",
+                    "form action='/x'", "div class='search'", "div class='sidebar'", "header"):
+        assert text(f"<body><div class='ad'>Buy</div><{wrapper}>{article}</{wrapper.split()[0]}></body>") == "T\nBody"
+    assert text("<form><main><p>Only main</p></main></form>") == "Only main"
+    inside = "<h2 id='related-work'>Related work</h2><div id='social-contract'>Contract</div><p style='overflow:hidden' title='the hidden layer' data-id='ad'>Shown</p>"
+    assert text(f"<article>{inside}<p hidden>no</p><p class='x comments'>no</p></article>") == "Related work\nContract\nShown"
+    assert text("<article><p>With <math><mi>x</mi><mo>=</mo><mn>1</mn></math> in</p></article>") == "With x=1 in"
+    # articles of others do not come in beside the page's own
+    others = "<section class='comments'><article class='comment'>Reader</article></section><aside><article>Card</article></aside>"
+    assert text(f"<div>{article}{others}</div>") == "T\nBody" and text(f"<main><p>M</p>{others}</main>") == "M"
+
+
 def test_common_lines_is_a_longest_common_subsequence():
     rnd = random.Random(6)
 

@@ -8,7 +8,10 @@ where it cannot be right:
 
 - blocks in containers that are no article by tag, role, class or id (menus,
   page headers, footers, sidebars, notices, adverts, forms, comments) are deleted
-  though no neighbour repeats them, as adverts and menus differ from page to page;
+  though no neighbour repeats them, as adverts and menus differ from page to page.
+  Classes and ids count as whole words; an article or main element inside such a
+  container is read all the same (among comments, adverts and the like only where
+  the page has nothing else);
 - blocks inside the page's article element stay though a neighbour has the same,
   as articles quote and copy each other.
 
@@ -39,14 +42,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: where a block stands
-OPEN, ARTICLE, MAIN, ASIDE = 0, 1, 2, 3
+OPEN, ARTICLE, MAIN, ASIDE, APART, INNER = 0, 1, 2, 3, 4, 5
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|select|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|select|annotation-xml|annotation)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: attributes one after the other, so that no name is looked for inside a value or another name
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = frozenset("class id role itemprop hidden aria-hidden".split())
 _SPACE = re.compile(r"\s+")
 #: elements that start a block of their own (fixed by the HTML standard)
 BLOCKS = frozenset(
@@ -56,6 +61,12 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDE_TAGS = frozenset("nav footer aside form button dialog menu head select option".split())
+#: asides whose articles are others than the page's own
+APART_TAGS = frozenset("nav footer aside dialog menu".split())
+APART_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond reply replies"
+    " related recommended recommendations widget widgets".split()
+)
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menus"
@@ -63,26 +74,36 @@ ASIDE_WORDS = frozenset(
     " newsletter subscribe subscription signup social share sharing related recommended recommendations comment comments disqus"
     " respond reply replies pagination pager toolbar copyright login search".split()
 )
-_WORD = re.compile(r"[A-Za-z]+")
 
 
 def _place(tag: str, attributes: str, inside: int) -> int:
-    """Where the content of an element stands, its parent standing ``inside``."""
-    if inside == ASIDE:
-        return ASIDE
+    """Where the content of an element stands, its parent standing ``inside``.
+
+    Reading starts anew at an article or main element, whatever holds it; what is
+    so found among comments, related pages, adverts and the like is ``INNER``."""
     given = {}
     if attributes:
-        given = {m[1].lower(): next((g for g in m.groups()[1:] if g), "") for m in _ATTRIBUTE.finditer(attributes)}
-    role = given.get("role", "").lower()
-    words = {w.lower() for w in _WORD.findall(given.get("class", "") + " " + given.get("id", ""))}
-    if tag in ASIDE_TAGS or role in ASIDE_ROLES or words & ASIDE_WORDS or "hidden" in given or given.get("aria-hidden") == "true":
-        return ASIDE if tag not in ("html", "body", "main", "article") else inside
+        for m in _ATTRIBUTE.finditer(attributes):
+            if m[1].lower() in _READ:
+                given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    role = given.get("role", "").strip().lower()
+    words = set(given.get("class", "").lower().split()) | {given.get("id", "").strip().lower()}
+    unseen = "hidden" in given or given.get("aria-hidden") == "true"
+    article = tag == "article" or role == "article" or given.get("itemprop", "").lower() == "articlebody"
+    if article or tag == "main" or role == "main":
+        if inside in (APART, INNER) or unseen or words & {"comment", "reply"}:
+            return INNER
+        return ARTICLE if article or inside == ARTICLE else MAIN
+    if inside == APART:
+        return APART
+    if unseen or tag in APART_TAGS or words & APART_WORDS:
+        return APART if tag not in ("html", "body") else inside
+    if inside == ASIDE:
+        return ASIDE
+    if tag in ASIDE_TAGS or role in ASIDE_ROLES or words & ASIDE_WORDS:
+        return ASIDE if tag not in ("html", "body") else inside
     if tag == "header" or "header" in words:
         return inside if inside in (ARTICLE, MAIN) else ASIDE
-    if tag == "article" or role == "article" or given.get("itemprop", "").lower() == "articlebody":
-        return ARTICLE
-    if inside == OPEN and (tag == "main" or role == "main"):
-        return MAIN
     return inside
 
 
@@ -175,7 +196,7 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 def main_text(lines: list[tuple[str, int]], near: list[tuple[str, int]] | None) -> str:
     """What is left of a page once the lines shared with its neighbour and those outside the article are deleted."""
     shared = common_lines([t for t, _ in lines], [t for t, _ in near]) if near else set()
-    best = next((p for p in (ARTICLE, MAIN) if any(q == p for _, q in lines)), OPEN)
+    best = next((p for p in (ARTICLE, MAIN, OPEN) if any(q == p for _, q in lines)), INNER)
     kept = [t for i, (t, p) in enumerate(lines) if p == best and (p == ARTICLE or i not in shared)]
     return "\n".join(kept)
 
