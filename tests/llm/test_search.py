@@ -237,6 +237,21 @@ def test_pages_keep_the_article(spark):
     assert hx.extract_main_text(df.limit(0)).collect() == []
 
 
+def test_copies_and_recrawls_are_no_neighbours(spark):
+    page = "<p>Home and more</p><p>{}</p><p>Legal text of all</p>".format
+    rows = [(1, "http://h.example/a", page("One")), (1, "http://h.example/a", page("One")), (2, "http://h.example/a", page("One, again")),
+            (3, "http://h.example/b", page("Copied")), (4, "http://h.example/c", page("Copied")), (5, "http://h.example/d", page("Four")),
+            (6, "http://same.example/a", page("Same")), (7, "http://same.example/b", page("Same"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    columns = [F.lower(F.regexp_extract("url", "//([^/]*)", 1)).alias("host"), F.regexp_extract("url", "//[^/]*(.*)", 1).alias("path"), "page_id", "url", "html"]
+    out = df.select(*columns).sortWithinPartitions("host", "path", "url", "page_id").mapInPandas(hx._stream, "page_id long, url string, text string, n_chars long")
+    got = [(r["page_id"], r["text"]) for r in out.collect()]
+    whole = "Home and more\nSame\nLegal text of all"
+    assert got == [(1, "One"), (1, "One"), (2, "One, again"), (3, "Copied"), (4, "Copied"), (5, "Four"), (6, whole), (7, whole)]
+    # every page keeps some text, however the pages are dealt out
+    assert all(r["text"] for r in hx.extract_main_text(df).collect())
+
+
 def test_articles_in_containers_named_like_asides():
     text = lambda html: hx.main_text(hx.blocks(html), None)
     article = "<article><h1>T</h1><p>Body</p></article>"

@@ -1,7 +1,8 @@
 """Main text of web pages by differencing pages of nearest URL.
 
 Pages are sorted by host and URL path, and each is paired with the neighbour of
-its host whose path shares the longer beginning.  Both are read as lines, one
+its host whose path shares the longer beginning.  Pages of the same URL or with the
+same text are no such neighbours; the nearest pages beyond them are.  Both are read as lines, one
 for each block of text, and aligned by longest common subsequence; a line that
 both share is template and is deleted.  Two readings of the markup correct this
 where it cannot be right:
@@ -19,13 +20,13 @@ So differencing decides about everything that markup leaves open.
 
 Pages are spread by ranges of (host, path), so a host of any size is split; at
 the edge of a range a page has a neighbour on one side only.  Each partition is
-read as a stream that holds three pages.
+read as a stream that holds three pages, and those that repeat one of them.
 
 Defined cases: null and empty html have no text; a null or relative URL belongs
 to the empty host; a page alone on its host is not differenced; of equally near
 neighbours the earlier is taken; unclosed and crossed tags are read as far as
-they go; two pages with the same URL are neighbours like others (repeated rows
-keep the article's blocks only); an empty table gives an empty result; other
+they go; repeated rows, recrawls of a URL and neighbours with equal texts are not
+differenced against each other; an empty table gives an empty result; other
 columns are not read.
 """
 
@@ -202,14 +203,22 @@ def main_text(lines: list[tuple[str, int]], near: list[tuple[str, int]] | None)
 
 
 def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages in order of host and path; each waits for its follower."""
-    before = here = None  # (host, path, blocks, page_id, url)
-
-    def finished(previous, page, following) -> tuple:
-        near = [p for p in (previous, following) if p and p[0] == page[0]]
-        near = max(near, key=lambda p: len(commonprefix([p[1], page[1]])), default=None)
-        text = main_text(page[2], near[2] if near else None)
-        return page[3], page[4], text, len(text)
+    """Pages in order of host and path; each waits for the next page that can tell its template from its text.
+
+    Such a page has another URL and another text: neighbours of the same URL or the
+    same text wait together (``alike``), and the pages before and after them are
+    their neighbours."""
+    before = None  # (host, path, lines)
+    alike: list[tuple] = []  # (host, path, lines, page_id, url)
+
+    def finished(following: tuple | None) -> list[tuple]:
+        out = []
+        for host, path, lines, page_id, url in alike:
+            near = [p for p in (before, following) if p and p[0] == host]
+            near = max(near, key=lambda p: len(commonprefix([p[1], path])), default=None)
+            text = main_text(lines, near[2] if near else None)
+            out.append((page_id, url, text, len(text)))
+        return out
 
     def frame_of(rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
@@ -217,13 +226,16 @@ def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for host, path, page_id, url, html in zip(frame["host"], frame["path"], frame["page_id"], frame["url"], frame["html"], strict=True):
-            page = (host, path, blocks(html), None if pd.isna(page_id) else int(page_id), url)
-            if here:
-                rows.append(finished(before, here, page))
-            before, here = here, page
+            lines, last = blocks(html), alike[-1] if alike else None
+            if last and host == last[0] and [t for t, _ in lines] == [t for t, _ in last[2]]:
+                lines = last[2] if lines == last[2] else lines  # equal pages share their lines
+            elif last and not (host == last[0] and url is not None and url == last[4]):
+                rows += finished((host, path, lines))
+                before = last[:3]
+                alike.clear()
+            alike.append((host, path, lines, None if pd.isna(page_id) else int(page_id), url))
         yield frame_of(rows)
-    if here:
-        yield frame_of([finished(before, here, None)])
+    yield frame_of(finished(None))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
