@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -65,6 +66,14 @@ def test_license_scan_equals_brute_force(spark):
     assert ls.license_scan(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_standard_notices_are_found(spark):
+    mit, isc, lgpl = (ls.TEMPLATES[n] for n in ("MIT-notice", "ISC-notice", "LGPL-2.1-notice"))
+    rows = [(1, "Copyright (c) A\n\n" + textwrap.fill(mit, 78) + "\n\nThe above"), (2, "Intro\n" + mit), (3, "x\n\n" + textwrap.fill(isc, 60)),
+            (4, textwrap.fill(lgpl, 70) + "\n\nmore"), (5, "# SPDX-License-Identifier: MIT\nimport os"), (6, "// SPDX-License-Identifier: GPL-3.0-or-later\n"), (7, "none")]
+    got = {r["doc_id"]: r["license"] for r in ls.license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: "MIT-notice", 2: "MIT-notice", 3: "ISC-notice", 4: "LGPL-2.1-notice", 5: "SPDX-MIT", 6: "SPDX-GPL-3.0-or-later", 7: None}
+
+
 def test_every_match_has_an_anchor():
     rnd = random.Random(9)
     own = [ls.bigrams(t) for t in ls.TEMPLATES.values()]
