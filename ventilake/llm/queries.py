@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ventilake.llm import license_scan as licenses
 from ventilake.llm.common import table
 from ventilake.llm.decontaminate import decontaminate
-from ventilake.llm.exact_dedup import exact_dedup
+from ventilake.llm.exact_dedup import exact_dedup, sha256
+from ventilake.llm.fill_in_middle import fill_in_middle, restored
 from ventilake.llm.html_extract import extract_main_text
 from ventilake.llm.near_dedup import near_dedup
 from ventilake.llm.packing import default_tokenizer, pack
@@ -61,6 +62,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        *["doc_id", "n", "form", "prefix_chars", "middle_chars"],
+        sha256(F.col("output")).alias("output_sha256"),
+        sha256(restored("output", "form")).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,6 +110,27 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+FILL_IN_MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units, list_transform(range(4), lambda k: CAST('0x' || h[8 * k + 1 : 8 * k + 8] AS BIGINT)) AS h FROM d
+), c AS (
+  SELECT *, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+         greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b FROM u
+), p AS (
+  SELECT doc_id, t, n, array_to_string(units[1 : a], '') AS pre, array_to_string(units[a + 1 : b], '') AS mid, array_to_string(units[b + 1 : n], '') AS suf,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM p
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -112,9 +143,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_paragraph_dedup": op8_paragraph_dedup,
         "op9_quality": op9_quality,
         "op10_packing": op10_packing,
+        "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.oracle_sql(), "op2_exact_dedup": EXACT_SQL, "op7_decontaminate": DECONTAMINATE_SQL}
+    return {
+        "op1_license_scan": licenses.oracle_sql(),
+        "op2_exact_dedup": EXACT_SQL,
+        "op7_decontaminate": DECONTAMINATE_SQL,
+        "op13_fill_in_middle": FILL_IN_MIDDLE_SQL,
+    }
