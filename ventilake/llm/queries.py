@@ -13,6 +13,7 @@ from ventilake.llm.decontaminate import decontaminate
 from ventilake.llm.exact_dedup import exact_dedup, sha256
 from ventilake.llm.fill_in_middle import fill_in_middle, restored
 from ventilake.llm.html_extract import extract_main_text
+from ventilake.llm.importance import importance_resample
 from ventilake.llm.near_dedup import near_dedup
 from ventilake.llm.packing import default_tokenizer, pack
 from ventilake.llm.paragraph_dedup import repeated_paragraphs
@@ -62,6 +63,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fill_in_middle(table(spark, sf_dir, "documents"))
     return out.select(
@@ -110,6 +116,40 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+#: checksums byte by byte, over distinct features
+IMPORTANCE_SQL = r"""
+WITH byte_step AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) AS step
+), w AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), g AS (
+  SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+         list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM w
+), n AS (SELECT side, id, f, count(*) AS n FROM g GROUP BY ALL),
+distinct_f AS (SELECT DISTINCT f FROM n),
+b AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+              lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_f, byte_step
+), c AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM n JOIN b USING (f) GROUP BY bucket
+), total AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM c),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM c, total
+), per_doc AS (
+  SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM n JOIN b USING (f) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || CAST(w.id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM w LEFT JOIN per_doc USING (id) WHERE side = 'd'
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS able FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * able // 100 THEN place END AS rank FROM r
+"""
+
 FILL_IN_MIDDLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
@@ -143,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_paragraph_dedup": op8_paragraph_dedup,
         "op9_quality": op9_quality,
         "op10_packing": op10_packing,
+        "op12_importance_resampling": op12_importance_resampling,
         "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }
@@ -153,5 +194,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": licenses.oracle_sql(),
         "op2_exact_dedup": EXACT_SQL,
         "op7_decontaminate": DECONTAMINATE_SQL,
+        "op12_importance_resampling": IMPORTANCE_SQL,
         "op13_fill_in_middle": FILL_IN_MIDDLE_SQL,
     }
