@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ventilake.llm import license_scan as licenses
 from ventilake.llm.common import table
 from ventilake.llm.decontaminate import decontaminate
+from ventilake.llm.embedding_dedup import embedding_dedup
 from ventilake.llm.exact_dedup import exact_dedup, sha256
 from ventilake.llm.fill_in_middle import fill_in_middle, restored
 from ventilake.llm.html_extract import extract_main_text
@@ -63,6 +64,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
@@ -116,6 +121,24 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+#: all pairs of a label
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(c.c, e.vec_id), e.vec_id) AS component_id,
+       e.vec_id = coalesce(least(c.c, e.vec_id), e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) n ON e.vec_id = n.a
+LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON e.vec_id = c.a
+"""
+
 #: checksums byte by byte, over distinct features
 IMPORTANCE_SQL = r"""
 WITH byte_step AS (
@@ -183,6 +206,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_paragraph_dedup": op8_paragraph_dedup,
         "op9_quality": op9_quality,
         "op10_packing": op10_packing,
+        "op11_embedding_dedup": op11_embedding_dedup,
         "op12_importance_resampling": op12_importance_resampling,
         "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
@@ -194,6 +218,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": licenses.oracle_sql(),
         "op2_exact_dedup": EXACT_SQL,
         "op7_decontaminate": DECONTAMINATE_SQL,
+        "op11_embedding_dedup": EMBEDDING_SQL,
         "op12_importance_resampling": IMPORTANCE_SQL,
         "op13_fill_in_middle": FILL_IN_MIDDLE_SQL,
     }
