@@ -59,6 +59,8 @@ WINDOW = 64
 BITS = 63
 #: classes of a component that are compared with each other in one piece
 PER_BLOCK = 1024
+#: shares that a component is dealt to where its rows meet its size and its smallest id
+SALTS = 64
 
 
 def _value_type(df: DataFrame, vector: str) -> str:
@@ -285,10 +287,20 @@ def _whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
         yield pd.concat(held, ignore_index=True)
 
 
+def _of_group(rows: DataFrame, group: str, part: Column, whole: Column) -> DataFrame:
+    """``rows`` with the value ``whole`` of their group, an aggregate of ``part`` (aggregates of ``SALTS`` shares of it).
+
+    A group's rows meet its value share by share, so a hot group is dealt to many tasks."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(F.col("id")), F.lit(SALTS)))
+    shares = salted.groupBy(group, "salt").agg(part.alias("part"))
+    value = shares.select(group, "salt").join(shares.groupBy(group).agg(whole), group)
+    return salted.join(value, [group, "salt"]).drop("salt")
+
+
 def _link_counts(classes: DataFrame, component: DataFrame, kind: str, threshold: float, per_block: int) -> DataFrame:
     """``cid, linked``: the weight of the other classes of its component that each class is linked with."""
-    sizes = component.groupBy("component").agg(F.ceil(F.count("*") / per_block).cast("int").alias("blocks"))
-    members = component.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = _of_group(component, "component", F.count("*"), F.ceil(F.sum("part") / per_block).cast("int").alias("blocks"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = members.join(classes.select(F.col("cid").alias("id"), "vector", "weight"), "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = members.select("component", "block", other, "id", "vector", "weight").select(
@@ -346,10 +358,10 @@ def embedding_dedup(
         edges = some if edges is None else edges.union(some)
     component = checkpointed(connected_components(edges))
     linked = _link_counts(classes, component, kind, threshold, per_block)
-    own = classes.select("cid", "label", "k1", "k2", "weight", "vec_id").join(component.withColumnRenamed("id", "cid"), "cid", "left")
-    own = own.withColumn("component", F.coalesce("component", "cid"))
-    smallest = own.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    found = own.join(smallest, "component").join(linked, "cid", "left").select(
+    own = classes.select(F.col("cid").alias("id"), "label", "k1", "k2", "weight", "vec_id").join(component, "id", "left")
+    own = own.withColumn("component", F.coalesce("component", "id"))
+    own = _of_group(own, "component", F.min("vec_id"), F.min("part").alias("component_id"))
+    found = own.join(linked.withColumnRenamed("cid", "id"), "id", "left").select(
         "label", "k1", "k2", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
     usable = _usable(F.col("vector")) & F.col("label").isNotNull()
