@@ -43,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -281,11 +282,9 @@ def ranked(rows: DataFrame, order: list[Column], most: int, rank_col: str = "ran
     placed = checkpointed(placed)
     part, within = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = sorted(map(tuple, placed.groupBy(part.alias("part")).count().collect()))
-    before, offsets = 0, []
-    for number, size in sizes:
-        offsets.append((number, before))
-        before += size
-    offsets = rows.sparkSession.createDataFrame(offsets, "part long, before long")
+    numbers, sizes = (np.array(x, dtype=np.int64) for x in (zip(*sizes, strict=True) if sizes else ((), ())))
+    # a local table of known size, one row per partition: no shuffle of the rows
+    offsets = rows.sparkSession.createDataFrame(pa.table({"part": numbers, "before": np.cumsum(sizes) - sizes}))
     rank = F.col("before") + within + 1
     out = placed.withColumn("part", part).join(offsets, "part").withColumn(rank_col, F.when(rank <= most, rank))
     return out.drop("part", "before", "place")
