@@ -5,6 +5,9 @@ before the shuffle, joined back on the keys.  No group is ever held whole by
 one task, and in the join-back the readings' side of a hot household-minute is
 split by AQE's skew join (the aggregate has one row per group).
 
+Sums and means are exact in any order of rows (``functions.exact``), so the same
+readings give the same bits for any partitioning.
+
 Rows with a null household or minute are dropped first, as the inner joins of
 the original drop them.
 """
@@ -16,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_mean, exact_sum
 from ..functions.fixed import TYPE_AIR_INLET, TYPE_EXTRACT_VENT
 
 KEYS = ("logement", "date")
@@ -41,8 +45,8 @@ def household_means(df: DataFrame, keys: Sequence[str] = KEYS, real_only: bool =
     Virtual sensors hold 0.0 at this point and are counted, as in the
     original; ``real_only=True`` averages real sensors only."""
     return df.groupBy(*keys).agg(
-        F.avg(_mean_input("temperature", real_only)).alias("temperature_moyenne"),
-        F.avg(_mean_input("hr", real_only)).alias("hr_moyen"),
+        exact_mean(_mean_input("temperature", real_only)).alias("temperature_moyenne"),
+        exact_mean(_mean_input("hr", real_only)).alias("hr_moyen"),
     )
 
 
@@ -60,7 +64,7 @@ def fill_virtual(df: DataFrame, means: DataFrame, keys: Sequence[str] = KEYS) ->
 def _group_sum_to(df: DataFrame, value: str, target: str, typ: str, keys: Sequence[str]) -> DataFrame:
     """Sum of ``value`` over the household-minute, given to rows of type ``typ``."""
     match = F.coalesce(F.col("type") == typ, F.lit(False))
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("__s"))
+    sums = df.groupBy(*keys).agg(exact_sum(F.col(value)).alias("__s"))
     out = df.join(sums, list(keys), "inner")
     return out.withColumn(target, F.when(match, F.col("__s")).otherwise(F.lit(0.0))).drop("__s")
 
@@ -89,7 +93,7 @@ def household_totals(df: DataFrame, keys: Sequence[str] = KEYS, factor: str = "_
     vent = F.coalesce(F.col("type") == TYPE_EXTRACT_VENT, F.lit(False))
     inlet = F.coalesce(F.col("type") == TYPE_AIR_INLET, F.lit(False))
     agg = df.groupBy(*keys).agg(
-        F.sum("debit_produit").alias("__s"),
+        exact_sum(F.col("debit_produit")).alias("__s"),
         F.count(F.when(vent, 1)).alias("__n_vent"),
         F.count(F.when(~vent, 1)).alias("__n_other"),
         F.max(F.when(inlet, F.col("debit_produit"))).alias("__max_inlet"),
@@ -116,5 +120,5 @@ def daily_real_hr(df: DataFrame) -> DataFrame:
     return (
         df.where(F.col("reel"))
         .groupBy(F.dayofyear("date").alias("jour"), "logement")
-        .agg(F.avg("hr").alias("hr_moyen"))
+        .agg(exact_mean(F.col("hr")).alias("hr_moyen"))
     )

@@ -22,6 +22,16 @@ def r4(expr: str) -> str:
     return f"floor(({expr}) * 10000.0 + 0.5) / 10000.0"
 
 
+def exact_sum(expr: str) -> str:
+    """Sum of doubles as decimals with 10 digits after the point, cast to double once
+    (through text, which rounds correctly)."""
+    return f"CAST(CAST(sum(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
+
+
+def exact_mean(expr: str) -> str:
+    return f"({exact_sum(expr)} / nullif(count({expr}), 0))"
+
+
 E = d(61440.0)
 
 # -- mapping of the driver tables (same rules as sources.driver_tables) --------
@@ -158,7 +168,7 @@ s1b AS (
                                + {d(-0.0000028)} * (raw_hr * raw_hr) - {d(4.0)}
                  ELSE {d(0.0)} END AS h1
   FROM s1),
-m1 AS (SELECT logement, date, avg(t1) AS tm, avg(h1) AS hm FROM s1b GROUP BY logement, date),
+m1 AS (SELECT logement, date, {exact_mean('t1')} AS tm, {exact_mean('h1')} AS hm FROM s1b GROUP BY logement, date),
 s2 AS (
   SELECT s1b.*, CASE WHEN reel THEN t1 ELSE tm END AS temperature, CASE WHEN reel THEN h1 ELSE hm END AS hr
   FROM s1b JOIN m1 ON s1b.logement = m1.logement AND s1b.date = m1.date),
@@ -217,7 +227,7 @@ s8 AS (
          hr / {d(100.0)} * exp({d(18.8161)} - {d(4110.34)} / nullif(temperature + {d(235.0)}, {d(0.0)})) AS ha,
          CASE WHEN {ea} THEN dp / sqrt({d(2.0)}) ELSE {d(0.0)} END AS seq
   FROM s7),
-g1 AS (SELECT logement, date, sum(dp) AS s_dp, sum(seq) AS s_seq FROM s8 GROUP BY logement, date),
+g1 AS (SELECT logement, date, {exact_sum('dp')} AS s_dp, {exact_sum('seq')} AS s_seq FROM s8 GROUP BY logement, date),
 s9 AS (
   SELECT s8.*, CASE WHEN {bouche} THEN g1.s_dp ELSE {d(0.0)} END AS sde_row,
          CASE WHEN {ea} THEN g1.s_seq ELSE {d(0.0)} END AS a4_row
@@ -388,7 +398,7 @@ FROM s1b"""
     q["household_flow_sum"] = _brut_stages() + f"SELECT rid, capteur, logement, date, type, {r4('sde_row')} AS somme_debits_extraits FROM s9"
     q["household_surface_sum"] = _brut_stages() + f"SELECT rid, capteur, logement, date, type, {r4('a4_row')} AS somme_surface_equivalente FROM s9"
     q["household_balance"] = _brut_stages() + household_output()
-    q["daily_real_hr"] = _brut_stages() + f"""SELECT CAST(dayofyear(date) AS INTEGER) AS jour, logement, {r4('avg(h1)')} AS hr_moyen
+    q["daily_real_hr"] = _brut_stages() + f"""SELECT CAST(dayofyear(date) AS INTEGER) AS jour, logement, {r4(exact_mean('h1'))} AS hr_moyen
 FROM s1b WHERE reel GROUP BY dayofyear(date), logement"""
 
     q["wind_sector"] = with_(RAW, STATION_DAY, station_wind("st")) + "SELECT rid, capteur, date, o AS orientation, bousole FROM wind2"
