@@ -183,16 +183,34 @@ def apply_seeds(
     return out.drop(*["__seed_" + c for c in measures])
 
 
-def last_good(repaired: DataFrame, measures: Sequence[str], day: str = "day") -> DataFrame:
-    """The state that later days are seeded from: per sensor, file day and
+def last_good(repaired: DataFrame, measures: Sequence[str], day: str = "day", keys: Sequence[str] = ()) -> DataFrame:
+    """The state that later days are seeded from: per sensor, file day, ``keys`` and
     ``usable`` (the later of file day and day of the reading: the value may
     seed files of later days only), the last good value of each measure and
     its time ``<measure>_date``.  One or two rows per file."""
     rows = repaired.where(F.col("capteur").isNotNull() & F.col("date").isNotNull() & F.col(day).isNotNull())
     usable = F.greatest(F.col(day), F.col("date").cast("date")).alias("usable")
-    when = lambda c: F.when(F.col(c).isNotNull(), F.col("date"))
-    aggs = [f for c in measures for f in (F.max_by(c, when(c)).alias(c), F.max(when(c)).alias(c + "_date"))]
-    return rows.groupBy("capteur", day, usable).agg(*aggs)
+    pairs = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("date").alias("d"), F.col(c).alias("v"))) for c in measures}
+    rows = rows.select("capteur", day, *keys, usable, *[p.alias(c) for c, p in pairs.items()])
+    return _latest(rows, measures, ("capteur", day, "usable", *keys))
+
+
+def _latest(pairs: DataFrame, measures: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per key the latest (time, value) of each measure; of one time the larger value."""
+    best = pairs.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    return best.select(*keys, *[x for c in measures for x in (F.col(c)["v"].alias(c), F.col(c)["d"].alias(c + "_date"))])
+
+
+def compact_state(state: DataFrame, measures: Sequence[str], as_of, day: str = "day") -> DataFrame:
+    """The state (:func:`last_good`) of files before ``as_of``, as the days from ``as_of`` on see it.
+
+    A mergeable maximum: one row per sensor, and one more for values that may
+    not seed ``as_of`` itself yet; merging it with later rows gives the same seeds
+    as all its rows would.  Stored under the day ``as_of``."""
+    usable = F.greatest(F.col("usable"), F.date_sub(F.lit(as_of).cast("date"), 1)).alias("usable")
+    pairs = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c + "_date").alias("d"), F.col(c).alias("v"))) for c in measures}
+    rows = state.select("capteur", usable, *[p.alias(c) for c, p in pairs.items()])
+    return _latest(rows, measures, ("capteur", "usable")).withColumn(day, F.lit(as_of).cast("date"))
 
 
 def seeds_by_day(state: DataFrame, targets: DataFrame, measures: Sequence[str], day: str = "day") -> DataFrame:

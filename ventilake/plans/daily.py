@@ -9,9 +9,7 @@ its ``day`` so the sink can replace days idempotently.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +19,8 @@ from ..operators import lookups as lk
 from ..operators import repair as rp
 from ..operators import virtual as vr
 from ..sinks import tables as sink
+from ..sinks.stores import FolderStore, ManifestStore, as_store
 from ..sources import acq
-from ..sources.tables import read_table
 from .household import check_factors, day_range, household_balance
 from .ingest import file_days, with_seeds
 from .weather import calibrate_fanbox, weather_station
@@ -33,6 +31,7 @@ TABLES = (
     *[f"brut_{k}" for k in KINDS],
     "brut_virtuel",
     "dernier_bon",
+    "etat",
     *[f"test_{k}" for k in KINDS],
     "facteurs_manquants",
 )
@@ -57,7 +56,7 @@ def run_range(readings: DataFrame, dims: dict[str, DataFrame], day_from, day_to)
 def run_files(
     spark,
     acq_root: str,
-    store: str,
+    store: str | FolderStore | ManifestStore,
     dims: dict[str, DataFrame],
     day_from,
     day_to,
@@ -67,11 +66,13 @@ def run_files(
 ) -> dict[str, str]:
     """The whole daily chain for ``[day_from, day_to)``, from .acq files to outputs.
 
-    ``store`` holds parquet tables, all partitioned by ``day``: the raw tables
+    ``store`` (a folder, or a store of ``sinks.stores``) holds parquet tables, all
+    partitioned by ``day``: the raw tables
     ``brut_logement``, ``brut_station``, ``brut_caisson`` by the day of the
     *file* (a file may hold a reading of the next midnight; it stays with its
     file), ``brut_virtuel`` (ghost rows), ``dernier_bon`` (last good values
-    per sensor and file day, which seed later days), ``test_logement``,
+    per sensor and file day, which seed later days), ``etat`` (the same merged to
+    one row per sensor, as of the first day after a run), ``test_logement``,
     ``test_station``, ``test_caisson`` and the report ``facteurs_manquants``.
     Every step replaces all days of the range, also those that have no rows
     any more, and no other day; transforms read the file days of the range and
@@ -83,20 +84,13 @@ def run_files(
     """
     boxes = boxes or HOUSEHOLD_BOXES
     sink.shared_dir(spark)  # a clear error if the cluster names no shared folder
-    paths = {name: os.path.join(store, name) for name in TABLES}
+    store = as_store(store)
+    paths = {name: store.path(name) for name in TABLES}
     lo, hi = day_range_bounds(day_from, day_to)
 
-    def stored(table, schema):
-        try:
-            return read_table(spark, paths[table], schema)
-        except AnalysisException:  # no such table yet (path not found)
-            return spark.createDataFrame([], schema)
-
     def readings(table, kind):
         """Rows of the range by date: file days of the range and the day before."""
-        days = stored(table, acq.brut_schema(kind)).where(
-            (F.col("day") >= F.lit(lo - dt.timedelta(days=1))) & (F.col("day") < F.lit(hi))
-        )
+        days = store.read(spark, table, acq.brut_schema(kind), lo - dt.timedelta(days=1), hi)
         return day_range(days, lo, hi).drop("day")
 
     # 1. raw tables: one scan per kind over all files of the range
@@ -104,18 +98,21 @@ def run_files(
         measures = acq.MEASURES[kind]
         brut = file_days(acq.read_acq(spark, acq_root, kind, lo, hi, boxes), measures)
         if kind == "logement":
-            state = stored("dernier_bon", last_good_schema(measures)).where(F.col("day") < F.lit(lo))
-            # written once to the shared folder: three steps read it
+            state = state_before(spark, store, measures, lo)
+            # written once to the shared folder: four steps read it
             brut, own = with_seeds(brut.checkpoint(eager=True), state, measures)
-            sink.replace_range(own, paths["dernier_bon"], lo, hi, ("capteur",))
-        sink.replace_range(brut.drop("file_name"), paths[f"brut_{kind}"], lo, hi, ("capteur", "date"))
+            store.replace(own, "dernier_bon", lo, hi, ("capteur",))
+            # later states were made without these days
+            after = rp.compact_state(state.unionByName(own), measures, hi)
+            store.replace(after, "etat", lo + dt.timedelta(days=1), dt.date.max, ("capteur",))
+        store.replace(brut.drop("file_name"), f"brut_{kind}", lo, hi, ("capteur", "date"))
 
     # 2. ghost readings of virtual sensors, from the household readings just
     #    stored, into their own table (a virtual sensor's file readings, if
     #    any, stay untouched)
     logement = readings("brut_logement", "logement")
     ghosts = vr.virtual_readings(dims["capteur"], logement, lo, hi)
-    sink.replace_range(sink.with_day(ghosts), paths["brut_virtuel"], lo, hi, ("capteur",))
+    store.replace(sink.with_day(ghosts), "brut_virtuel", lo, hi, ("capteur",))
 
     # 3. the factors that the readings of the range miss
     station, caisson = readings("brut_station", "station"), readings("brut_caisson", "caisson")
@@ -123,18 +120,18 @@ def run_files(
     missing = lk.missing_factors(
         known, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"], station
     )
-    sink.replace_range(missing.withColumn(sink.DAY, F.lit(lo)), paths["facteurs_manquants"], lo, hi)
+    store.replace(missing.withColumn(sink.DAY, F.lit(lo)), "facteurs_manquants", lo, hi)
     if strict:
-        report = stored("facteurs_manquants", f"factor_table STRING, key STRING, {sink.DAY} DATE")
-        check_factors(report.where(F.col(sink.DAY) == F.lit(lo)))
+        schema = f"factor_table STRING, key STRING, {sink.DAY} DATE"
+        check_factors(store.read(spark, "facteurs_manquants", schema, lo, lo + dt.timedelta(days=1)))
 
     # 4. transforms, each replacing its output days
     rows = logement.unionByName(readings("brut_virtuel", "logement"))
     out = household_balance(rows, dims, real_only=real_only)
-    sink.replace_range(sink.with_day(out), paths["test_logement"], lo, hi)
+    store.replace(sink.with_day(out), "test_logement", lo, hi)
     st = weather_station(station, dims["facteur_temperature"])
-    sink.replace_range(sink.with_day(st), paths["test_station"], lo, hi)
-    sink.replace_range(sink.with_day(calibrate_fanbox(caisson)), paths["test_caisson"], lo, hi)
+    store.replace(sink.with_day(st), "test_station", lo, hi)
+    store.replace(sink.with_day(calibrate_fanbox(caisson)), "test_caisson", lo, hi)
     return paths
 
 
@@ -143,6 +140,19 @@ def last_good_schema(measures) -> str:
     return f"capteur STRING, usable DATE, {values}, day DATE"
 
 
+def state_before(spark, store, measures, day: dt.date) -> DataFrame:
+    """The last good values that the days from ``day`` on are seeded from.
+
+    The newest merged state up to that day, one row per sensor, and the rows of
+    the files since then; not the history."""
+    schema = last_good_schema(measures)
+    known = max((d for d in store.days(spark, "etat") if d <= day), default=None)
+    since = store.read(spark, "dernier_bon", schema, known, day)
+    if known is None:
+        return since
+    return store.read(spark, "etat", schema, known, known + dt.timedelta(days=1)).unionByName(since)
+
+
 def day_range_bounds(day_from, day_to):
     def as_date(d):
         if isinstance(d, dt.datetime):

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,26 +66,51 @@ def replace_days(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,),
     )
 
 
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    try:
-        return set(spark.read.schema("none INT").parquet(folder).inputFiles())
-    except AnalysisException:  # no such folder
-        return set()
+def hadoop_path(spark: SparkSession, path: str):
+    """``path`` for the file system that Spark itself uses."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def day_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """The stored days of a table and their folders, from one listing of the table's folder."""
+    folder = hadoop_path(spark, path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        name = status.getPath().getName()
+        if name.startswith(f"{DAY}=") and status.isDirectory():
+            try:
+                out[dt.date.fromisoformat(name.split("=", 1)[1])] = f"{path}/{name}"
+            except ValueError:  # rows without a day
+                continue
+    return out
+
+
+def _files(spark: SparkSession, path: str, day_from: dt.date, day_to: dt.date) -> dict[str, set[str]]:
+    """The files of the stored days of a range, by day folder: one listing for all days."""
+    folders = [f for d, f in day_folders(spark, path).items() if day_from <= d < day_to]
+    out: dict[str, set[str]] = {}
+    if folders:
+        for file in spark.read.schema("none INT").parquet(*folders).inputFiles():
+            out.setdefault(re.search(rf"/({DAY}=[^/]*)/", file)[1], set()).add(file)
+    return out
 
 
 def replace_range(df: DataFrame, path: str, day_from: dt.date, day_to: dt.date, sort_by: Sequence[str] = ()) -> None:
     """Replace all days of ``[day_from, day_to)``, also those without new rows.
 
     The days with rows are overwritten by one write; stored days of the range
-    that it left as they were had no rows and are then overwritten with nothing."""
+    that it left as they were had no rows and are then overwritten with nothing.
+    The files are listed once before and once after, whatever the range."""
     spark = df.sparkSession
-    days = [day_from + dt.timedelta(days=i) for i in range((day_to - day_from).days)]
-    before = {d: _files(spark, f"{path}/{DAY}={d}") for d in days}
-    replace_days(df.where(F.col(DAY).between(days[0], days[-1])), path, (DAY,), sort_by)
+    before = _files(spark, path, day_from, day_to)
+    inside = (F.col(DAY) >= F.lit(day_from)) & (F.col(DAY) < F.lit(day_to))
+    replace_days(df.where(inside), path, (DAY,), sort_by)
+    after = _files(spark, path, day_from, day_to)
     empty = spark.createDataFrame([], df.drop(DAY).schema)
-    for d in days:
-        if before[d] & _files(spark, f"{path}/{DAY}={d}"):
-            empty.write.mode("overwrite").parquet(f"{path}/{DAY}={d}")
+    for folder, files in before.items():
+        if files & after.get(folder, set()):
+            empty.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
