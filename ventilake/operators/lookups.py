@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bands as bd
+
 
 def one_row_per_key(dim: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     """Make a factor table unique on ``key`` (largest value wins), so a join
@@ -56,49 +58,42 @@ def attach_factor(
     return out
 
 
-def band_arrays(bands: DataFrame, coefficients: Sequence[str]) -> DataFrame:
-    """The bands of each sensor as one array column ``bands`` (dimension-sized work).
-
-    SQL NULLs are read as 0.0, as a JDBC ``getDouble`` does; empty bands can
-    match nothing and are left out.  A sensor has a handful of bands."""
-    cols = ["borne_inf", "borne_sup", *coefficients]
-    b = bands.select("capteur_facteur", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
-    b = b.where("borne_inf < borne_sup").groupBy("capteur_facteur")
-    return b.agg(F.collect_list(F.struct(*cols)).alias("bands"))
-
-
-def winning_band(bands: Column, value: Column) -> Column:
-    """The band with ``borne_inf <= value < borne_sup`` (null if none).
-
-    Of several the one with the highest ``borne_inf`` wins, ties go to the
-    larger of the other columns: the order of the structs themselves."""
-    return F.array_max(F.filter(bands, lambda b: (value >= b["borne_inf"]) & (value < b["borne_sup"])))
-
-
 def band_lookup(
-    df: DataFrame, bands: DataFrame, coefficients: Sequence[str], sensor: str, value: str, prefix: str
+    df: DataFrame, bands: DataFrame, coefficients: Sequence[str], sensor: str, value: str, prefix: str, most: int = bd.MOST
 ) -> DataFrame:
     """J4/J5 for a frame without the sensor dimension: adds ``<prefix>matched``
-    and ``<prefix><column>`` of the winning band.  One row per reading."""
-    arrays = band_arrays(bands, coefficients).select(
-        F.col("capteur_facteur").alias(prefix + "key"), F.col("bands").alias(prefix + "bands")
+    and ``<prefix><column>`` of the winning band.  One row per reading.
+
+    The band with ``borne_inf <= value < borne_sup`` wins, of several the one with
+    the highest ``borne_inf``; sensors with more than ``most`` bands are looked up in
+    pages (finding them runs jobs)."""
+    pages = bd.band_pages(bands, coefficients, most)
+    index = bd.band_index(bands, coefficients, pages).select(
+        F.col("capteur_facteur").alias(prefix + "key"), F.col("points").alias(prefix + "points"), F.col("winners").alias(prefix + "winners")
     )
-    joined = df.join(arrays, df[sensor] == arrays[prefix + "key"], "left")
-    won = joined.withColumn(prefix + "band", winning_band(F.col(prefix + "bands"), F.col(value)))
+    won = df.join(index, df[sensor] == index[prefix + "key"], "left")
+    band = bd.winner(F.col(prefix + "points"), F.col(prefix + "winners"), F.col(value), 2 * most)
+    if pages is not None:
+        won = bd.paged_winner(won, pages, sensor, F.col(value), prefix + "paged")
+        band = F.coalesce(band, F.col(prefix + "paged"))
+    won = won.withColumn(prefix + "band", band)
     names = ["borne_inf", "borne_sup", *coefficients]
     won = won.withColumns(
         {prefix + "matched": F.col(prefix + "band").isNotNull()}
         | {prefix + c: F.col(prefix + "band")[c] for c in names}
     )
-    return won.drop(prefix + "key", prefix + "bands", prefix + "band")
+    return won.drop(*[prefix + c for c in ("key", "points", "winners", "band", "paged")])
 
 
-def sensor_dimension(dims: dict[str, DataFrame], coefficients: dict[str, Sequence[str]]) -> DataFrame:
+def sensor_dimension(
+    dims: dict[str, DataFrame], coefficients: dict[str, Sequence[str]], pages: dict[str, bd.Pages | None] | None = None
+) -> DataFrame:
     """Everything the household transform looks up, one row per sensor.
 
-    The sensor table with its temperature and position factors, its band
-    arrays and its household's surface factor: all joins here are between
-    dimension tables, so the readings are joined once."""
+    The sensor table with its temperature and position factors, its
+    breakpoints and winning bands and its household's surface factor: all joins
+    here are between dimension tables, so the readings are joined once.
+    Sensors that are in ``pages`` have no arrays here."""
     d = dims["capteur"].select(
         "id_capteur", "logement", "piece", "type", F.coalesce(F.col("reel"), F.lit(False)).alias("reel")
     )
@@ -106,10 +101,12 @@ def sensor_dimension(dims: dict[str, DataFrame], coefficients: dict[str, Sequenc
     d = attach_factor(d, dims["facteur_debit_position1"], "id_capteur", "capteur_facteur", "__fct_p1", default=0.0)
     d = attach_factor(d, dims["facteur_somme_surface_equivalente"], "logement", "logement_facteur", "__fct_s")
     for table, names in coefficients.items():
-        arrays = band_arrays(dims[table], names).select(
-            F.col("capteur_facteur").alias("__bk"), F.col("bands").alias(f"__bands_{table}")
+        index = bd.band_index(dims[table], names, (pages or {}).get(table)).select(
+            F.col("capteur_facteur").alias("__bk"),
+            F.col("points").alias(f"__points_{table}"),
+            F.col("winners").alias(f"__winners_{table}"),
         )
-        d = d.join(arrays, d["id_capteur"] == arrays["__bk"], "left").drop("__bk")
+        d = d.join(index, d["id_capteur"] == index["__bk"], "left").drop("__bk")
     return d
 
 

@@ -21,7 +21,7 @@ from ..operators import virtual as vr
 from ..sinks import tables as sink
 from ..sinks.stores import FolderStore, ManifestStore, as_store
 from ..sources import acq
-from .household import check_factors, day_range, household_balance
+from .household import band_pages, check_factors, day_range, household_balance
 from .ingest import file_days, with_seeds
 from .weather import calibrate_fanbox, weather_station
 
@@ -127,7 +127,7 @@ def run_files(
 
     # 4. transforms, each replacing its output days
     rows = logement.unionByName(readings("brut_virtuel", "logement"))
-    out = household_balance(rows, dims, real_only=real_only)
+    out = household_balance(rows, dims, real_only=real_only, pages=band_pages(dims))
     store.replace(sink.with_day(out), "test_logement", lo, hi)
     st = weather_station(station, dims["facteur_temperature"])
     store.replace(sink.with_day(st), "test_station", lo, hi)

@@ -7,8 +7,8 @@ database lookups and six aggregate join-backs:
    readings are joined with it once: calibrated temperature/hr for real
    sensors, 0.0 for virtual ones (F2, F3);
 2. household means (A1, A2) joined back; virtual sensors take them (P4);
-3. F4-F11 as column expressions; the bands of the sensor are an array, from
-   which each reading takes the winning one;
+3. F4-F11 as column expressions; a sensor's breakpoints and winning bands are
+   arrays that each reading searches (``operators.bands``);
 4. household totals of extracted flow and equivalent surface (A3, F15, A5,
    A6), joined back; F16, F12.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
 from ..functions.naming import ntz_literal
+from ..operators import bands as bd
 from ..operators import household as hh
 from ..operators import lookups as lk
 
@@ -79,23 +80,34 @@ def check_factors(missing: DataFrame) -> None:
         raise ValueError(f"missing required factors (first {len(sample)}): {keys}")
 
 
-def calibrated_flow(filled: DataFrame) -> DataFrame:
+def band_pages(dims: dict[str, DataFrame], most: int = bd.MOST) -> dict[str, bd.Pages | None]:
+    """The pages of sensors with more bands than one array should hold (this runs jobs)."""
+    return {table: bd.band_pages(dims[table], names, most) for table, names in BANDS.items()}
+
+
+def calibrated_flow(filled: DataFrame, pages: dict[str, bd.Pages | None] | None = None) -> DataFrame:
     """Phase 3: J3, J4, J5 and F4-F11 (debit_*, co2, debit_produit, surface, humidity)."""
     real = F.col("reel")
+    # band keys: raw position for real sensors, household hr for virtual ones (J4);
+    # always the raw position for the pressure bands
+    searched = {
+        "__p2": ("facteur_debit_position2", F.when(real, F.col("raw_debit_position_1")).otherwise(F.col("hr"))),
+        "__q2": ("facteur_debit_pression2", F.col("raw_debit_position_1")),
+    }
+    found = {}
+    for name, (table, key) in searched.items():
+        found[name] = bd.winner(F.col(f"__points_{table}"), F.col(f"__winners_{table}"), key)
+        if pages and pages.get(table) is not None:
+            filled = bd.paged_winner(filled, pages[table], "capteur", key, f"{name}_paged")
+            found[name] = F.coalesce(found[name], F.col(f"{name}_paged"))
     stage = filled.withColumns(
-        {
+        found
+        | {
             "debit_position_1": F.when(
                 real, fx.flow_position_1("raw_debit_position_1", "__fct_p1", "piece")
             ).otherwise(F.lit(0.0)),
             "debit_pression_1": F.when(real, fx.flow_pressure_1("raw_debit_pression_1")).otherwise(F.lit(0.0)),
             "co2": F.when(real, fx.co2("raw_co2", "type")).otherwise(F.lit(0.0)),
-            # band keys: raw position for real sensors, household hr for virtual ones (J4);
-            # always the raw position for the pressure bands
-            "__p2": lk.winning_band(
-                F.col("__bands_facteur_debit_position2"),
-                F.when(real, F.col("raw_debit_position_1")).otherwise(F.col("hr")),
-            ),
-            "__q2": lk.winning_band(F.col("__bands_facteur_debit_pression2"), F.col("raw_debit_position_1")),
         }
     )
     stage = stage.withColumns(
@@ -147,14 +159,17 @@ def day_range(df: DataFrame, day_from=None, day_to=None, column: str = "date") -
     return df
 
 
-def household_stages(readings: DataFrame, dims: dict[str, DataFrame], real_only: bool = False) -> dict[str, DataFrame]:
+def household_stages(
+    readings: DataFrame, dims: dict[str, DataFrame], real_only: bool = False, pages: dict[str, bd.Pages | None] | None = None
+) -> dict[str, DataFrame]:
     """All intermediate frames of T4 (used by the operator-level queries).
 
     ``real_only``: household means over real sensors only (the original counts
-    virtual sensors as 0.0).  Nothing runs while the frames are built."""
-    climate = calibrated_climate(readings, lk.sensor_dimension(dims, BANDS))
+    virtual sensors as 0.0).  ``pages`` (:func:`band_pages`): for sensors with very
+    many bands.  Nothing runs while the frames are built."""
+    climate = calibrated_climate(readings, lk.sensor_dimension(dims, BANDS, pages))
     filled = hh.fill_virtual(climate, hh.household_means(climate, real_only=real_only))
-    flow = calibrated_flow(filled)
+    flow = calibrated_flow(filled, pages)
     return {"climate": climate, "filled": filled, "flow": flow.drop("__fct_s"), "final": balance(flow)}
 
 
@@ -165,6 +180,7 @@ def household_balance(
     day_to=None,
     real_only: bool = False,
     strict: bool = False,
+    pages: dict[str, bd.Pages | None] | None = None,
 ) -> DataFrame:
     """T4: test_logement rows for readings of ``[day_from, day_to)``.
 
@@ -180,4 +196,4 @@ def household_balance(
         check_factors(
             lk.missing_factors(known, dims["facteur_temperature"], dims["facteur_somme_surface_equivalente"])
         )
-    return household_stages(readings, dims, real_only)["final"].select(*OUTPUT_COLUMNS)
+    return household_stages(readings, dims, real_only, pages)["final"].select(*OUTPUT_COLUMNS)
