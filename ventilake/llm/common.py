@@ -19,15 +19,23 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """64-bit key of a row's id and text, never null: the same for repeated rows, another for another text or id."""
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """128 bits that name a row's id and text, never null: the same for repeated rows, others for another text or id."""
     rank = F.col(id_col).cast("long")
-    return F.xxhash64(rank.isNull(), F.coalesce(rank, F.lit(0)), text_key(text_col))
-
-
-def text_key(text_col: str = "text") -> Column:
-    """64-bit key of a text, a null one as empty."""
-    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return [F.xxhash64(F.lit(k), rank.isNull(), F.coalesce(rank, F.lit(0)), text) for k in (1, 2)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

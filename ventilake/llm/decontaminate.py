@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, id_text, text_key
+from ventilake.llm.common import checkpointed, fresh, id_text
 
 WINDOW = 10
 BATCH_WINDOWS = 500_000
@@ -115,7 +115,7 @@ def batches(benchmark: DataFrame, id_col: str, text_col: str, size: int, limit:
 def _hits(docs: DataFrame, held: Broadcast, size: int, every: bool) -> DataFrame:
     """``doc_id, key, n_words, hits (starts and lengths in turn), items``; documents without hits only if ``every``.
 
-    ``key`` is a digest of the text."""
+    ``key`` is the md5 of the text."""
     cache: list = []
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +133,7 @@ def _hits(docs: DataFrame, held: Broadcast, size: int, every: bool) -> DataFrame
                         spans += (start, s.length)
                         owners.update(s.patterns[p])
                 if every or spans:
-                    key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    key = hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
                     out.append((doc_id, key, len(words), spans, [names[k] for k in owners]))
             yield pd.DataFrame(out, columns=["doc_id", "key", "n_words", "hits", "items"]).astype({"doc_id": "Int64"})
 
@@ -178,6 +178,16 @@ def _passes(rows: DataFrame, parts: Iterable[list[tuple[str, str]]], size: int)
     return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
 
 
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, size: int, batch_windows: int) -> DataFrame:
+    rows = id_text(docs, id_col, text_col)
+    share = docs.sparkSession.sparkContext.broadcast
+    rest = batches(benchmark, item_col, item_text_col, size, batch_windows)
+    first, second = next(rest, []), next(rest, None)
+    if second is None:
+        return _hits(rows, share(first), size, every=True)
+    return _passes(rows, chain([first, second], rest), size)
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -189,20 +199,24 @@ def decontaminate(
     batch_windows: int = BATCH_WINDOWS,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
-    rows = id_text(docs, id_col, text_col)
-    share = docs.sparkSession.sparkContext.broadcast
-    rest = batches(benchmark, item_col, item_text_col, size, batch_windows)
-    first, second = next(rest, []), next(rest, None)
-    if second is None:
-        merged = _hits(rows, share(first), size, every=True)
-    else:
-        merged = _passes(rows, chain([first, second], rest), size)
+    merged = _found(docs, benchmark, id_col, text_col, item_col, item_text_col, size, batch_windows)
     out = merged.mapInPandas(_digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark window, whatever their id; all columns stay."""
-    keyed = docs.withColumn("_key", text_key(text_col))
-    bad = decontaminate(keyed, benchmark, "_key", text_col, **options).where("contaminated")
-    return keyed.join(bad.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    size: int = WINDOW,
+    batch_windows: int = BATCH_WINDOWS,
+) -> DataFrame:
+    """``docs`` without the rows whose text (named by its md5) holds a benchmark window, whatever their id; all columns stay."""
+    (key,) = fresh(docs, "text_md5")
+    bad = _found(docs, benchmark, id_col, text_col, item_col, item_text_col, size, batch_windows).where(F.size("hits") > 0)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.withColumn(key, F.unhex(F.md5(text.cast("binary"))))
+    return keyed.join(bad.select(F.col("key").alias(key)).distinct(), key, "left_anti").select(*docs.columns)

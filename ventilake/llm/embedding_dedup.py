@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ventilake.llm.common import checkpointed
-from ventilake.llm.components import connected_components
+from ventilake.llm.components import connected_components, forest
 
 THRESHOLD = 0.98
 PASSES = 16
@@ -111,22 +111,6 @@ def pairs_in_order(x: np.ndarray, groups: np.ndarray, window: int, threshold: fl
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``n`` rows the smallest row it is connected with through the pairs."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _classes(rows: DataFrame, kind: str, passes: int) -> DataFrame:
     """One row per distinct vector of a label: ``cid, label, dim, vector (bytes), keys, weight, vec_id, k1, k2``."""
     usable = rows.where(_usable(F.col("vector")) & F.col("label").isNotNull())

@@ -23,7 +23,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import ASCII_SPACE, checkpointed, id_text
+from ventilake.llm.common import ASCII_SPACE, checkpointed, fresh, id_text
 
 SALTS = 32
 _TOP = 2**63 - 1
@@ -99,10 +99,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The row that stays has the longest text and of these the smallest id (a null
     id last).  Rows are told apart by digest and rank, not by id: of repeated rows
-    one stays, and rows with one id and different texts are judged one by one."""
-    best = groups(docs, id_col, text_col, SALTS, sha256).select(F.col("digest").alias("_digest"), F.col("rank").alias("_rank"))
+    one stays, and rows with one id and different texts are judged one by one (those
+    whose texts differ in white space alone and are equally long count as repeated)."""
+    digest, rank = fresh(docs, "text_digest", "text_rank")
+    best = groups(docs, id_col, text_col, SALTS, sha256).select(F.col("digest").alias(digest), F.col("rank").alias(rank))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumns({"_digest": sha256(squeezed(text)), "_rank": _rank(F.col(id_col).cast("long"), text)})
+    rows = docs.withColumns({digest: sha256(squeezed(text)), rank: _rank(F.col(id_col).cast("long"), text)})
     # copies in one input partition are dropped before the shuffle
-    rows = rows.dropDuplicates(["_digest", "_rank"])
-    return rows.join(best, ["_digest", "_rank"], "left_semi").select(*docs.columns)
+    rows = rows.dropDuplicates([digest, rank])
+    return rows.join(best, [digest, rank], "left_semi").select(*docs.columns)

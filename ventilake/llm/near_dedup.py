@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, id_text, row_key
+from ventilake.llm.common import checkpointed, fresh, id_text, row_keys
 from ventilake.llm.components import connected_components
 
 WORDS = 5
@@ -57,8 +57,6 @@ PERMS = 72
 ROWS = 6
 #: similarity threshold in hundredths
 THRESHOLD = 85
-#: candidate ids are broadcast up to this count (40 MB), joined by shuffle beyond it
-BROADCAST_IDS = 2_000_000
 _BLOCK = 1 << 15
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -140,16 +138,18 @@ def _signatures(rows: DataFrame, perms: int, per_band: int) -> DataFrame:
         factors = multipliers(perms)
         for frame in frames:
             out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for doc_id, also, text in zip(frame["doc_id"], frame["also"], frame["text"], strict=True):
                 s = shingle_set(text)
                 if len(s):
                     values = np.concatenate(min_max(s, factors))
-                    out.append((doc_id, len(s), digest_of(s), band_keys(values, per_band), sketch(values)))
+                    out.append((doc_id, also, len(s), digest_of(s), band_keys(values, per_band), sketch(values)))
                 else:
-                    out.append((doc_id, 0, None, [], []))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "bands", "sketch"]).astype({"doc_id": "Int64"})
+                    out.append((doc_id, also, 0, None, [], []))
+            columns = ["doc_id", "also", "n_shingles", "digest", "bands", "sketch"]
+            yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
-    return rows.mapInPandas(sign, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
+    schema = "doc_id long, also long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+    return rows.mapInPandas(sign, schema)
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -165,8 +165,7 @@ def _sets_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFram
     """The sets of the wanted ids of ``classes`` (``id, digest, doc_id``), built again from the texts: one row per id."""
     wanted = checkpointed(classes.join(wanted, "id", "left_semi").select("id", "digest", "doc_id"))
     ids = wanted.select("doc_id").distinct()
-    side = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
-    sets = _sets(rows.join(side, "doc_id", "left_semi")).join(wanted.select("id", "digest"), "digest")
+    sets = _sets(rows.join(ids, "doc_id", "left_semi")).join(wanted.select("id", "digest"), "digest")
     return checkpointed(sets.select("id", "shingles").dropDuplicates(["id"]))
 
 
@@ -220,8 +219,11 @@ def class_components(
     rank = (F.pmod(F.xxhash64("id", "band"), F.lit(1 << 20)) * F.col("size") / float(1 << 20)).alias("rank")
     members = members.select("band", "id", "n_shingles", "own", "size", rank)
     low, high = 0, 8
+    component = None
     while True:
-        component = connected_components(links)
+        # what is connected already goes on as stars, only the new links are added
+        stars = links if component is None else links.union(component.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        component = checkpointed(connected_components(stars))
         open_ = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = open_.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.max("size").alias("n"))
         mixed = checkpointed(mixed.where("c0 != c1").where(F.col("n") > low).select("band"))
@@ -240,48 +242,69 @@ def class_components(
             & (_agreeing(F.col("sketch"), F.col("sketch_x"), -(-values // 16), values, threshold) if values else F.lit(True))
         )
         pairs = pairs.select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b"))
-        links = checkpointed(links.union(_confirmed(pairs, sets, threshold)))
+        links = checkpointed(_confirmed(pairs, sets, threshold))
         low, high = high, high * 8
 
 
-def near_dedup(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: int = THRESHOLD,
-    perms: int = PERMS,
-    rows_per_band: int = ROWS,
-) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
-    rows = id_text(docs, id_col, text_col)
+def _grouped(rows: DataFrame, threshold: int, perms: int, rows_per_band: int) -> DataFrame:
+    """``doc_id, also, n_shingles, component (a number of its own, null without shingles), component_id`` for
+    rows of ``doc_id, also, text``; ``also`` is carried along."""
     signed = checkpointed(_signatures(rows, perms, rows_per_band))
     known = signed.where("digest is not null").groupBy("digest")
     classes = known.agg(
         F.min("doc_id").alias("doc_id"),
         *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")],
     )
-    classes = checkpointed(classes.withColumn("id", F.xxhash64("digest")))
+    # a number of its own for every class, fixed by writing the table
+    classes = checkpointed(classes.withColumn("id", F.monotonically_increasing_id()))
     named = classes.where("doc_id is not null")
     component = class_components(named, lambda ids: _sets_of(rows, named, ids), threshold, 2 * perms)
     smallest = component.join(classes, "id").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = component.join(smallest, "component").select("id", "component_id")
-    of_class = classes.join(of_class, "id", "left").select("digest", F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = signed.drop("bands", "sketch").join(of_class, "digest", "left").withColumn(
-        "component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    of_class = component.join(smallest, "component").select("id", "component", "component_id")
+    of_class = classes.join(of_class, "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    out = signed.drop("bands", "sketch").join(of_class, "digest", "left")
+    own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "also", "n_shingles", "component", own.alias("component_id"))
+
+
+def near_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: int = THRESHOLD,
+    perms: int = PERMS,
+    rows_per_band: int = ROWS,
+) -> DataFrame:
+    """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
+    rows = id_text(docs, id_col, text_col).withColumn("also", F.lit(0).cast("long"))
+    out = _grouped(rows, threshold, perms, rows_per_band)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     return out.select("doc_id", "n_shingles", "component_id", kept)
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: int = THRESHOLD,
+    perms: int = PERMS,
+    rows_per_band: int = ROWS,
+) -> DataFrame:
     """``docs`` with one row of each component; all columns stay.
 
-    The row with the smallest id stays (a null id last).  Rows are told apart by a
-    key of id and text: those with a null id are compared like others, of repeated
+    The row with the smallest id stays (a null id last).  Rows are told apart by 128
+    bits of id and text: those with a null id are compared like others, of repeated
     rows one stays, and rows with one id and different texts are judged one by one."""
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
-    linked = near_dedup(keyed, "_key", text_col, **options).select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    ids = keyed.select("_key", F.col(id_col).cast("long").alias("id")).distinct()
-    order = F.struct(F.col("id").isNull().alias("without"), "id", "_key")
-    best = linked.join(ids, "_key").groupBy("component_id").agg(F.min(order).alias("best")).select("best._key")
-    return keyed.dropDuplicates(["_key"]).join(checkpointed(best), "_key", "left_semi").select(*docs.columns)
+    a, b = fresh(docs, "row_key_a", "row_key_b")
+    keyed = docs.withColumns(dict(zip((a, b), row_keys(id_col, text_col), strict=True)))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    rows = keyed.select(F.col(a).alias("doc_id"), F.col(b).alias("also"), text)
+    linked = _grouped(rows, threshold, perms, rows_per_band).select("doc_id", "also", "component").distinct()
+    ids = keyed.select(F.col(a).alias("doc_id"), F.col(b).alias("also"), F.col(id_col).cast("long").alias("id")).distinct()
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "doc_id", "also")
+    best = linked.where("component is not null").join(ids, ["doc_id", "also"]).groupBy("component").agg(F.min(order).alias("best"))
+    best = best.select("best.doc_id", "best.also").union(linked.where("component is null").select("doc_id", "also"))
+    best = checkpointed(best.select(F.col("doc_id").alias(a), F.col("also").alias(b)))
+    return keyed.dropDuplicates([a, b]).join(best, [a, b], "left_semi").select(*docs.columns)

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import fold, id_text
+from ventilake.llm.common import fold, fresh, id_text
 
 SAMPLE = 4_000
 FOLDS = 3
@@ -167,4 +167,5 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those below the cut; all columns stay."""
     model = fit(docs, labels, id_col, text_col, **options)
-    return with_score(docs, model, text_col, "_quality").where("_quality >= 0.5").drop("_quality")
+    (score,) = fresh(docs, "quality_score")
+    return with_score(docs, model, text_col, score).where(F.col(score) >= 0.5).select(*docs.columns)
