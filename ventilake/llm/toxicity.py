@@ -11,15 +11,17 @@ A document is the set of its words: every distinct lower-cased word and the
 word's first four and five characters, each hashed to a column.  A column's
 weight counts once however often the word occurs, so a few toxic words decide
 also in a long text.  Only columns that speak for the positive class take part
-(at least ``support`` positives, and one in 200, hold them and the prior-corrected share of
+(at least ``support`` positives hold them and the prior-corrected share of
 positives among the documents that do is at least ``share``), their weights are
-not negative and weights below ``floor`` of the largest are set to nothing, so
+not negative, those of rare columns shrunk (by half where one positive in 200 holds
+the column), and weights below ``floor`` of the largest are set to nothing, so
 the many neutral words of a long text add up to nothing.  The cut between the classes is
 the one with the smallest non-negative 0-1 risk on the sample, estimated the
 same way; scores are 0.5 there.
 
 The prior is counted over all training labels.  The sample is bounded by
-``positives`` and ``unlabelled`` rows, chosen by hash of the id; training takes
+``positives`` and ``unlabelled`` rows, chosen by hash of the id, and
+``SAMPLE_COLUMNS`` columns of each (32 KB); training takes
 place on the driver, scoring in Arrow batches on the executors.
 
 Defined cases: null and empty texts have no columns and get the intercept's
@@ -40,11 +42,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import fold, id_text
+from ventilake.llm.common import fold, fresh, id_text
 
 COLUMNS = 1 << 18
 POSITIVES = 4_000
 UNLABELLED = 12_000
+#: a sampled document brings at most this many columns, those of the smallest mixed numbers
+SAMPLE_COLUMNS = 1 << 13
 FOLDS = 5
 #: A-Z to a-z, digits, punctuation and control characters to spaces, the rest of UTF-8 as it is
 _CUT = bytes(c if c >= 0x80 or chr(c).islower() else c + 32 if chr(c).isupper() else 32 for c in range(256))
@@ -63,6 +67,13 @@ def columns_of(text: str | None, columns: int = COLUMNS) -> np.ndarray:
     return np.unique(np.fromiter(map(zlib.crc32, parts), dtype=np.int64, count=len(parts)) % columns)
 
 
+def sampled(columns: np.ndarray, most: int = SAMPLE_COLUMNS) -> np.ndarray:
+    """What a document brings into the sample; a choice of its columns, the same ones in every document, if there are very many."""
+    if len(columns) > most:
+        columns = np.sort(columns[np.argsort(columns * 40503 % 65521, kind="stable")[:most]])
+    return columns.astype(np.int32)
+
+
 class Lookup(dict):
     """Word to those of its columns that have a weight, worked out once per word."""
 
@@ -123,13 +134,14 @@ def train(
     rate: float = 0.5,
     l2: float = 2e-4,
     floor: float = 0.05,
+    shrink: float = 0.005,
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise the non-negative risk with logistic loss (adaptive gradient steps)."""
     w, g2 = np.zeros(columns), np.full(columns, 1e-8)
     bias, b2 = float(np.log(prior / (1 - prior))), 1e-8
     n_pos, n_unl = _counts(positive, columns), _counts(unlabelled, columns)
     likely = prior * (n_pos / len(positive)) / ((n_unl + 1) / len(unlabelled))
-    speaking = (n_pos >= max(support, 0.005 * len(positive))) & (likely >= share)
+    speaking = (n_pos >= support) & (likely >= share)
     pos, unl = (Bags([s[speaking[s]] for s in sets]) for sets in (positive, unlabelled))
     rng = np.random.default_rng(5)
     for _ in range(epochs):
@@ -152,6 +164,7 @@ def train(
             gb = float(dp.sum() + dn.sum())
             b2 += gb * gb
             bias -= 0.1 * rate * gb / np.sqrt(b2)
+    w *= n_pos / (n_pos + shrink * len(positive))
     w[w < floor * w.max()] = 0.0
     (po, pc), (uo, uc) = pos.take(np.arange(len(positive))), unl.take(np.arange(len(unlabelled)))
     return w, -_cut(np.bincount(po, w[pc], len(positive)), np.bincount(uo, w[uc], len(unlabelled)), prior)
@@ -163,10 +176,12 @@ def _sample(docs: DataFrame, chosen: DataFrame) -> list[tuple[int, np.ndarray]]:
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"positive": frame["positive"], "doc_id": frame["doc_id"], "columns": [columns_of(t).astype(np.int32).tobytes() for t in frame["text"]]})
+            yield pd.DataFrame({"positive": frame["positive"], "doc_id": frame["doc_id"], "columns": [sampled(columns_of(t)).tobytes() for t in frame["text"]]})
 
-    found = rows.mapInPandas(build, "positive int, doc_id long, columns binary").collect()
-    return [(r["positive"], np.frombuffer(r["columns"], dtype=np.int32).astype(np.int64)) for r in sorted(found, key=lambda r: (r["doc_id"], r["columns"]))]
+    found = rows.mapInPandas(build, "positive int, doc_id long, columns binary").toArrow().sort_by([("doc_id", "ascending"), ("columns", "ascending")])
+    # views of the gathered bytes, no copies
+    columns = [np.frombuffer(v.as_buffer(), dtype=np.int32) for v in found["columns"]]
+    return list(zip(found["positive"].to_pylist(), columns, strict=True))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id: str = "doc_id", positives: int = POSITIVES, unlabelled: int = UNLABELLED, folds: int = FOLDS, held_out: int = 0) -> tuple[np.ndarray, float]:
@@ -219,4 +234,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents scored 0.5 or more; all columns stay."""
     model = fit(docs, labels, id_col, text_col, **options)
-    return with_score(docs, model, text_col, "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    (score,) = fresh(docs, "toxicity")
+    return with_score(docs, model, text_col, score).where(F.col(score) < 0.5).select(*docs.columns)
