@@ -272,7 +272,7 @@ def test_a_run_longer_than_what_is_read_at_once_is_followed(spark):
 def test_units_that_overlap_what_is_kept_stay(spark):
     words = _words(random.Random(23), 60, 10**7)
     rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words))], DOCS)
-    got = pd8._occurrences(rows, 24, 25, 6, 10, 80).collect()  # a window at every other position or so
+    got = pd8._occurrences(rows, 24, 25, 10, 80).collect()  # a window at every other position or so
     assert len(got) > 20 and all(r["removed"] == (r["doc_id"] == 2) for r in got)
 
 
@@ -329,3 +329,43 @@ def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
     assert all(80 <= like(sets[2 * k], sets[2 * k + 1]) < 85 for k in range(30))
     left = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), "")
     assert sorted(r["doc_id"] for r in left.collect()) == [2 * k for k in range(30)]
+
+
+def test_filters_leave_columns_of_any_name_alone(spark):
+    """Columns named like the filters' own, in any case of letters, come back as they were."""
+    from ventilake.llm.quality import keep_good
+    from ventilake.llm.toxicity import drop_toxic
+
+    text = " ".join(f"w{i}" for i in range(30))
+    names = ["row_key_a", "ROW_KEY_B", "text_digest", "text_rank", "Text_MD5", "toxicity", "quality_score", "_key", "also", "component", "key", "hits"]
+    rows = [(1, text, "first"), (2, text, "copy"), (3, text + " more", "near"), (4, "another text", "x"), (None, text, "nameless"), (5, None, "null"), (5, "", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string").withColumns({n: F.concat(F.lit(f"{n}-"), "note") for n in names})
+    bench = spark.createDataFrame([(1, "another text")], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = {
+        "exact": (drop_exact_copies(df), {"first", "near", "x", None}),
+        "near": (nd.drop_near_copies(df), {"first", "x", "null", "empty"}),
+        "bench": (drop_contaminated(df, bench), {"first", "copy", "near", "nameless", "null", "empty"}),
+        "toxic": (drop_toxic(df, labels), {r[2] for r in rows}),
+        "quality": (keep_good(df, labels), None),
+    }
+    for name, (out, want) in kept.items():
+        assert out.columns == df.columns, name
+        found = out.collect()
+        assert all(r[n] == f"{n}-{r['note']}" for r in found for n in names), name
+        if want is not None:
+            # of the two empty texts with one id either may stay, or both where shingles decide
+            got = {r["note"] for r in found} - ({"null", "empty"} if name != "bench" else set())
+            assert got == {w for w in want if w not in ((None, "null", "empty") if name != "bench" else (None,))}, name
+
+
+def test_components_of_many_tasks(spark, monkeypatch):
+    from ventilake.llm import components as cp
+
+    rnd = random.Random(12)
+    links = [(rnd.randrange(900), rnd.randrange(900)) for _ in range(500)] + [(5000, 5000 + k) for k in range(400)] + [(7000 + k, 7001 + k) for k in range(150)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(6)
+    want = {r["id"]: r["component"] for r in connected_components(df).collect()}
+    monkeypatch.setattr(cp, "LINKS_PER_TASK", 90)
+    assert {r["id"]: r["component"] for r in connected_components(df).collect()} == want
+    assert len({c for i, c in want.items() if i >= 5000}) == 2 and want[7150] == 7000

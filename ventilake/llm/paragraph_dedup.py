@@ -11,23 +11,26 @@ Two kinds of units are compared, as one set each of five-word shingles:
   more that two documents share holds at least one window that is the same in
   both, wherever the run begins.
 
-1. Each set gets bands of three MinHash values.  A paragraph has ten: a pair at
-   Jaccard 0.8 is missed with probability 7.7e-4, at 0.9 with 2e-6, a copy
-   never.  A window has six (0.013 at 0.8), and a passage has several windows.
-2. Units that share a band with one of another document are candidates.  Equal sets
-   form a class, and classes are compared on their full sets (exact Jaccard) by
-   the rounds of hubs that ``near_dedup`` describes, never in all pairs.
-3. Components of similar classes that occur in two or more documents are the
+1. All texts are cut once; each document's units are kept packed, 25 bytes a unit
+   and the bands of its paragraphs.  A unit is named by 128 bits of its set.
+2. Units of one name are combined map-side first, so copies cost one row however
+   often they occur.  Equal windows need no more: a passage holds one that is the
+   same in both documents.
+3. Distinct paragraphs get bands of three MinHash values, ten each: a pair at
+   Jaccard 0.8 is missed with probability 7.7e-4, at 0.9 with 2e-6.  Those that
+   share a band are compared on their full sets (exact Jaccard) by the rounds of
+   hubs that ``near_dedup`` describes, never in all pairs.
+4. Components of similar classes that occur in two or more documents are the
    repeats.  One occurrence, in the smallest id at the smallest position, stays;
    all others are to be removed, save units of the same document that overlap it.
-4. A window to be removed is aligned with the first document that has the same
+5. A window to be removed is aligned with the first document that has the same
    set, or else with what stays.  Windows that follow each other at one distance
    from there are one run.  Each run is extended word by word as long as both
    documents go on alike, and every window is reported with the span of its run;
    a paragraph is reported as it is.
 
 ``repeated_paragraphs`` does all of this.  ``repeated_passages`` reports the
-windows alone, without step 4.
+windows alone, without step 5.
 
 Defined cases: null, empty and blank texts have no units; repeats within one
 document alone are no repeats; rows that repeat an id count as one document (a
@@ -48,19 +51,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ventilake.llm.common import checkpointed, id_text
-from ventilake.llm.near_dedup import BROADCAST_IDS, WORDS, class_components, multipliers, shingle_hashes, words_of
+from ventilake.llm.near_dedup import WORDS, class_components, multipliers, shingle_hashes, words_of
 
 WORDS_PER_UNIT = 24
 #: shared runs of this many words hold a common window for certain
 RUN = 51
-BANDS = 6
-#: bands of a paragraph, which has no second unit to be found by
 PARAGRAPH_BANDS = 10
+#: sets of fewer shingles are similar to no other set at the threshold (4 and 5 shingles can reach 0.8)
+LEAST = 4
 ROWS = 3
 #: similarity threshold in hundredths
 THRESHOLD = 80
-#: keys of shared bands are broadcast up to this count (16 MB), joined by shuffle beyond it
-BROADCAST_KEYS = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = (1 << 32) - 1
 
@@ -87,15 +88,23 @@ def starts_of(hashes: np.ndarray, per_unit: int, stretch: int) -> np.ndarray:
     return at
 
 
-def unit_sets(hashes: np.ndarray, starts: np.ndarray, per_unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each start: the sorted shingles, which of them are first of equals, and a 64-bit id of the set."""
+def _mixed(shingles: np.ndarray, factor: int) -> np.ndarray:
+    mixed = (shingles ^ (shingles >> np.uint64(33))) * np.uint64(factor)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+#: two independent sums over a set's shingles name it
+_NAMES = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+def window_sets(hashes: np.ndarray, starts: np.ndarray, per_unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each start: the two numbers that name the set of its shingles, and the set's size."""
     units = np.sort(hashes[starts[:, None] + np.arange(per_unit - WORDS + 1)], axis=1)
     first = np.ones(units.shape, dtype=bool)
     first[:, 1:] = units[:, 1:] != units[:, :-1]
-    mixed = (units ^ (units >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed ^= mixed >> np.uint64(29)
-    ids = (mixed * first).sum(axis=1, dtype=np.uint64) + first.sum(axis=1).astype(np.uint64)
-    return units, first, ids.view(np.int64)
+    size = first.sum(axis=1)
+    names = [(_mixed(units, f) * first).sum(axis=1, dtype=np.uint64) + size.astype(np.uint64) for f in _NAMES]
+    return np.stack(names, axis=1).view(np.int64), size
 
 
 def paragraphs(text: str | None) -> tuple[list[bytes], list[tuple[int, int]]]:
@@ -119,7 +128,7 @@ def paragraphs(text: str | None) -> tuple[list[bytes], list[tuple[int, int]]]:
 
 
 def span_sets(words: list[bytes], hashes: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles of all spans one after the other, sorted within each; where each begins; first of equals; ids as ``unit_sets``."""
+    """Shingles of all spans one after the other, sorted within each; where each begins; first of equals; names as ``window_sets``."""
     parts = [
         hashes[a : a + n - WORDS + 1] if n >= WORDS else np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n]))], dtype=np.uint64)
         for a, n in spans
@@ -131,18 +140,17 @@ def span_sets(words: list[bytes], hashes: np.ndarray, spans: list[tuple[int, int
     first = np.ones(len(every), dtype=bool)
     first[1:] = every[1:] != every[:-1]
     first[begins] = True
-    mixed = (every ^ (every >> np.uint64(33))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed ^= mixed >> np.uint64(29)
-    ids = np.add.reduceat(mixed * first, begins) + np.add.reduceat(first.astype(np.uint64), begins)
-    return every, begins, first, ids.view(np.int64)
+    size = np.add.reduceat(first.astype(np.uint64), begins)
+    names = [np.add.reduceat(_mixed(every, f) * first, begins) + size for f in _NAMES]
+    return every, begins, first, np.stack(names, axis=1).view(np.int64)
 
 
 def _folded(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
 
 
-def _keys(low: list[np.ndarray], bands: int, most: int) -> list[np.ndarray]:
-    """One array of band keys for each of ``most`` bands, 0 beyond the first ``bands``."""
+def _keys(low: list[np.ndarray], bands: int) -> np.ndarray:
+    """Band keys, a row of ``bands`` for each set."""
     keys = []
     for b in range(bands):
         key = np.full(len(low[0]), b + 1, dtype=np.uint64)
@@ -150,57 +158,103 @@ def _keys(low: list[np.ndarray], bands: int, most: int) -> list[np.ndarray]:
             key = (key ^ value.astype(np.uint64)) * _ODD
             key ^= key >> np.uint64(29)
         keys.append(key.view(np.int64))
-    return keys + [np.zeros(len(low[0]), dtype=np.int64)] * (most - bands)
+    return np.stack(keys, axis=1)
+
+
+def _cut(text: str, per_unit: int, run: int, of_paragraph: int, factors: np.ndarray) -> tuple[int, bytes, bytes, bytes, bytes]:
+    """A text's units, packed: how many are paragraphs, (start, length) of all, names, sizes, and the paragraphs' bands.
+
+    Paragraphs come first; those of fewer than ``LEAST`` shingles have no bands."""
+    words, spans = paragraphs(text)
+    hashes = shingle_hashes(words)
+    at, names, sizes, keys = [], [], [], b""
+    if of_paragraph and spans:
+        every, begins, first, ids = span_sets(words, hashes, spans)
+        n = np.add.reduceat(first, begins, dtype=np.int32)
+        x = _folded(every)
+        low = [np.minimum.reduceat(x * f, begins) for f in factors]
+        keys = _keys(low, of_paragraph)[n >= LEAST].tobytes()
+        at.append(np.array(spans, dtype=np.int32))
+        names.append(ids)
+        sizes.append(n)
+    starts = starts_of(hashes, per_unit, run - per_unit + 1)
+    for i in range(0, len(starts), 50_000):
+        some = starts[i : i + 50_000]
+        ids, n = window_sets(hashes, some, per_unit)
+        at.append(np.stack([some, np.full(len(some), per_unit)], axis=1).astype(np.int32))
+        names.append(ids)
+        sizes.append(n.astype(np.int32))
+    many = len(spans) if of_paragraph else 0
+    return many, *(np.concatenate(c).tobytes() if c else b"" for c in (at, names, sizes)), keys
+
+
+def _units(rows: DataFrame, per_unit: int, run: int, of_paragraph: int) -> DataFrame:
+    """One row per document: its units, packed as by ``_cut``."""
 
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        factors = multipliers(max(1, of_paragraph) * ROWS)
+        for frame in frames:
+            out = [(d, *_cut(t, per_unit, run, of_paragraph, factors)) for d, t in zip(frame["doc_id"], frame["text"], strict=True)]
+            yield pd.DataFrame(out, columns=["doc_id", "paragraphs", "at", "names", "sizes", "bands"])
 
-def _units(rows: DataFrame, per_unit: int, run: int, bands: int, of_paragraph: int) -> DataFrame:
-    """One row per unit: ``doc_id, start, length, is_window, id, n_shingles, b0, b1, ...``; paragraphs if they have bands."""
-    most = max(bands, of_paragraph)
-    names = [f"b{i}" for i in range(most)]
-    kinds = ["int64", "int32", "int32", "bool", "int64", "int64"] + ["int64"] * most
+    schema = "doc_id long, paragraphs int, at binary, names binary, sizes binary, bands binary"
+    return rows.where("doc_id is not null").mapInPandas(cut, schema)
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        factors = multipliers(most * ROWS)
+
+def _unpacked(units: DataFrame, places: bool) -> DataFrame:
+    """One row per unit: ``doc_id, k1, k2``, with ``places`` also ``start, length, is_window``."""
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for i in range(0, len(frame), 1000):
+                some = frame.iloc[i : i + 1000]
+                names = np.frombuffer(b"".join(some["names"]), dtype=np.int64).reshape(-1, 2)
+                many = np.array([len(v) for v in some["sizes"]]) // 4
+                doc = np.repeat(some["doc_id"].to_numpy(), many)
+                if not places:
+                    # a unit that a document holds twice counts once
+                    yield pd.DataFrame({"doc_id": doc, "k1": names[:, 0], "k2": names[:, 1]}).drop_duplicates()
+                    continue
+                at = np.frombuffer(b"".join(some["at"]), dtype=np.int32).reshape(-1, 2)
+                within = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                window = within >= np.repeat(some["paragraphs"].to_numpy(), many)
+                yield pd.DataFrame({"doc_id": doc, "k1": names[:, 0], "k2": names[:, 1], "start": at[:, 0], "length": at[:, 1], "is_window": window})
+
+    schema = "doc_id long, k1 long, k2 long" + (", start int, length int, is_window boolean" if places else "")
+    columns = ["doc_id", "paragraphs", "names", "sizes"] + (["at"] if places else [])
+    return units.select(*columns).mapInPandas(unpack, schema)
+
+
+def _banded(units: DataFrame, of_paragraph: int) -> DataFrame:
+    """One row per paragraph that has bands, repeated ones of a batch once: ``k1, k2, n_shingles, bands, doc_id, start, length``."""
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             parts = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                words, spans = paragraphs(text)
-                hashes = shingle_hashes(words)
-                if of_paragraph and spans:
-                    every, begins, first, ids = span_sets(words, hashes, spans)
-                    x = _folded(every)
-                    low = [np.minimum.reduceat(x * f, begins) for f in factors[: of_paragraph * ROWS]]
-                    at = np.array(spans, dtype=np.int32)
-                    n = np.add.reduceat(first.astype(np.int64), begins)
-                    kind = np.zeros(len(at), dtype=bool)
-                    parts.append((np.full(len(at), doc_id), at[:, 0], at[:, 1], kind, ids, n, *_keys(low, of_paragraph, most)))
-                starts = starts_of(hashes, per_unit, run - per_unit + 1)
-                for i in range(0, len(starts), 50_000):
-                    some = starts[i : i + 50_000]
-                    units, first, ids = unit_sets(hashes, some, per_unit)
-                    x = _folded(units)
-                    low = [(x * f).min(axis=1) for f in factors[: bands * ROWS]]
-                    size, kind = np.full(len(some), per_unit), np.ones(len(some), dtype=bool)
-                    parts.append((np.full(len(some), doc_id), some, size, kind, ids, first.sum(axis=1), *_keys(low, bands, most)))
-            columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0)] * len(kinds)
-            columns = [c.astype(k) for c, k in zip(columns, kinds, strict=True)]
-            yield pd.DataFrame(dict(zip(["doc_id", "start", "length", "is_window", "id", "n_shingles", *names], columns, strict=True)))
-
-    schema = "doc_id long, start int, length int, is_window boolean, id long, n_shingles long, " + ", ".join(f"{n} long" for n in names)
-    return rows.where("doc_id is not null").mapInPandas(cut, schema)
+            for doc_id, many, at, names, sizes, bands in frame.itertuples(index=False):
+                n = np.frombuffer(sizes, dtype=np.int32)[:many]
+                on = np.flatnonzero(n >= LEAST)
+                if len(on):
+                    names_, at_ = np.frombuffer(names, dtype=np.int64).reshape(-1, 2)[on], np.frombuffer(at, dtype=np.int32).reshape(-1, 2)[on]
+                    keys = np.frombuffer(bands, dtype=np.int64).reshape(len(on), of_paragraph)
+                    parts.append(pd.DataFrame({"k1": names_[:, 0], "k2": names_[:, 1], "n_shingles": n[on], "bands": list(keys), "doc_id": doc_id, "start": at_[:, 0], "length": at_[:, 1]}))
+            if parts:
+                yield pd.concat(parts, ignore_index=True).drop_duplicates(["k1", "k2"])
+
+    schema = "k1 long, k2 long, n_shingles long, bands array<long>, doc_id long, start int, length int"
+    return units.select("doc_id", "paragraphs", "at", "names", "sizes", "bands").mapInPandas(unpack, schema)
 
 
 def _with_text(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """``doc_id, text, wanted``: the texts of the documents of ``wanted`` (``doc_id, wanted``), kept in the shared folder."""
-    wanted = checkpointed(wanted)
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS // 8 else wanted
-    return rows.join(side, "doc_id").select("doc_id", "text", "wanted")
+    return rows.join(checkpointed(wanted), "doc_id").select("doc_id", "text", "wanted")
 
 
 def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, shingles`` of the wanted ids, built again at one of their places (``id, doc_id, start, length``)."""
+    """``id, shingles`` of the wanted ids, built again at one of their places (``id, k1, k2, doc_id, start, length``)."""
     place = F.shiftleft(F.col("start").cast("long"), 32) + F.col("length")
-    chosen = places.join(wanted, "id", "left_semi").groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
+    wanted = checkpointed(places.join(wanted, "id", "left_semi"))
+    chosen = wanted.groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -214,42 +268,44 @@ def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame
                     ids += own.tolist()
                     ends = [*begins[1:].tolist(), len(every)]
                     sets += [every[a:b][first[a:b]].view(np.int64) for a, b in zip(begins.tolist(), ends, strict=True)]
-            yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "shingles": sets})
+            yield pd.DataFrame({"k1": [i[0] for i in ids], "k2": [i[1] for i in ids], "shingles": sets})
+
+    sets = _with_text(rows, chosen).select("text", "wanted").mapInPandas(build, "k1 long, k2 long, shingles array<long>")
+    return checkpointed(sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"]))
+
 
-    sets = _with_text(rows, chosen).select("text", "wanted").mapInPandas(build, "id long, shingles array<long>")
-    return checkpointed(sets.join(places.select("id"), "id", "left_semi").dropDuplicates(["id"]))
+def _linked(rows: DataFrame, units: DataFrame, of_paragraph: int, threshold: int) -> DataFrame:
+    """``k1, k2, component``: the paragraphs that are similar to another one, and the component they are in."""
+    distinct = _banded(units, of_paragraph).dropDuplicates(["k1", "k2"])
+    # a number of its own for every paragraph, fixed by writing the table
+    distinct = checkpointed(distinct.withColumn("id", F.monotonically_increasing_id()))
+    places = distinct.select("id", "k1", "k2", "doc_id", "start", "length")
+    component = class_components(distinct.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold)
+    return checkpointed(places.select("id", "k1", "k2").join(component, "id").select("k1", "k2", "component"))
 
 
-def _occurrences(rows: DataFrame, per_unit: int, run: int, bands: int, of_paragraph: int, threshold: int) -> DataFrame:
+def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, threshold: int) -> DataFrame:
     """Units that repeat: ``doc_id, start, length, is_window, passage_id, like, kept, n_docs, removed``.
 
     ``kept`` (``doc_id, start, length``) is the occurrence that stays, ``like`` the
     first one with the same set if that is in an earlier document, else ``kept``."""
-    units = _units(rows, per_unit, run, bands, of_paragraph)
-    keys = F.explode(F.filter(F.array(*[f"b{i}" for i in range(max(bands, of_paragraph))]), lambda k: k != 0)).alias("key")
-    held = units.select("doc_id", keys).groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = checkpointed(held.where("low != high").select("key"))
-    side = F.broadcast(shared) if shared.count() <= BROADCAST_KEYS else shared
-    found = units.select("doc_id", "start", "length", "is_window", "id", "n_shingles", keys).join(side, "key", "left_semi")
-    found = checkpointed(found)
+    units = checkpointed(_units(rows, per_unit, run, of_paragraph))
+    held = _unpacked(units, False).groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    if of_paragraph:
+        held = held.join(_linked(rows, units, of_paragraph, threshold), ["k1", "k2"], "left")
+    else:
+        held = held.withColumn("component", F.lit(None).cast("long"))
+    known = held.where("component is not null or low != high").select("k1", "k2", "component")
+    # a passage of equal sets alone gets a number below 0
+    known = checkpointed(known.withColumn("own", -F.monotonically_increasing_id() - 1))
+    known = known.select("k1", "k2", F.coalesce("component", "own").alias("passage_id"))
+    place = checkpointed(_unpacked(units, True).join(known, ["k1", "k2"]))
     unit = F.struct("doc_id", "start", "length")
-    classes = checkpointed(
-        found.groupBy("id").agg(
-            F.first("n_shingles").alias("n_shingles"),
-            F.collect_set("key").alias("bands"),  # at most as many as a unit has
-            F.min(unit).alias("place"),
-        )
-    )
-    places = classes.select("id", "place.doc_id", "place.start", "place.length")
-    component = class_components(classes, lambda ids: _sets_of(rows, places, ids), threshold)
-    known = classes.select("id", F.col("place").alias("like")).join(component, "id", "left")
-    known = known.select("id", "like", F.coalesce("component", "id").alias("passage_id"))
-    place = found.select("doc_id", "start", "length", "is_window", "id").distinct().join(known, "id")
-    place = checkpointed(place.drop("id"))
+    like = place.groupBy("k1", "k2").agg(F.min(unit).alias("like"))
     each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
     each = each.where(F.col("kept.doc_id") != F.col("last"))
     n_docs = place.select("passage_id", "doc_id").distinct().groupBy("passage_id").agg(F.count("*").alias("n_docs"))
-    out = place.join(each.select("passage_id", "kept").join(n_docs, "passage_id"), "passage_id")
+    out = place.distinct().join(each.select("passage_id", "kept").join(n_docs, "passage_id"), "passage_id").join(like, ["k1", "k2"]).drop("k1", "k2")
     # units of the document that keeps the passage stay as far as they overlap, one after the other, what is kept
     order = Window.partitionBy("passage_id", "doc_id").orderBy("start", "length", "is_window")
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -323,11 +379,10 @@ def repeated_passages(
     text_col: str = "text",
     per_unit: int = WORDS_PER_UNIT,
     run: int = RUN,
-    bands: int = BANDS,
     threshold: int = THRESHOLD,
 ) -> DataFrame:
     """One row per window that repeats: ``doc_id, start, end, passage_id, n_docs, removed`` (positions in words)."""
-    out = _occurrences(id_text(docs, id_col, text_col), per_unit, run, bands, 0, threshold)
+    out = _occurrences(id_text(docs, id_col, text_col), per_unit, run, 0, threshold)
     start = F.col("start").cast("long")
     return out.select("doc_id", start.alias("start"), (start + F.col("length")).alias("end"), "passage_id", "n_docs", "removed")
 
@@ -338,13 +393,12 @@ def repeated_paragraphs(
     text_col: str = "text",
     per_unit: int = WORDS_PER_UNIT,
     run: int = RUN,
-    bands: int = BANDS,
     of_paragraph: int = PARAGRAPH_BANDS,
     threshold: int = THRESHOLD,
 ) -> DataFrame:
     """One row per paragraph that repeats, and per window that repeats with the span of its run; columns as ``repeated_passages``."""
     rows = id_text(docs, id_col, text_col)
-    found = checkpointed(_occurrences(rows, per_unit, run, bands, of_paragraph, threshold))
+    found = checkpointed(_occurrences(rows, per_unit, run, of_paragraph, threshold))
     removed = found.where("is_window and removed")
     runs = _runs(rows, removed, per_unit, run - per_unit + 1)
     own = runs.select("doc_id", "start", "passage_id", F.lit(True).alias("is_window"), "low", "high")
