@@ -63,7 +63,20 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
+#: shuffles of a finished action go at once (a running cluster would keep them until the driver's next collection)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read from it from then on."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read from it from then on.
+
+    The shuffles that made it are removed as soon as it is written: nothing reads
+    them again, and a chain of steps holds the files of one step at a time."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(_CLEANUP, before)

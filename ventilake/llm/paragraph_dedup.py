@@ -149,16 +149,21 @@ def _folded(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
 
 
-def _keys(low: list[np.ndarray], bands: int) -> np.ndarray:
-    """Band keys, a row of ``bands`` for each set."""
-    keys = []
-    for b in range(bands):
-        key = np.full(len(low[0]), b + 1, dtype=np.uint64)
-        for value in low[ROWS * b : ROWS * (b + 1)]:
-            key = (key ^ value.astype(np.uint64)) * _ODD
-            key ^= key >> np.uint64(29)
-        keys.append(key.view(np.int64))
-    return np.stack(keys, axis=1)
+def _keys(low: np.ndarray) -> np.ndarray:
+    """Band keys of sets, ``[set, band]``, from their smallest images ``[permutation, set]``."""
+    low = low.astype(np.uint64).reshape(-1, ROWS, low.shape[1])
+    keys = np.repeat(np.arange(1, len(low) + 1, dtype=np.uint64)[:, None], low.shape[2], axis=1)
+    for k in range(ROWS):
+        keys = (keys ^ low[:, k]) * _ODD
+        keys ^= keys >> np.uint64(29)
+    return np.ascontiguousarray(keys.T).view(np.int64)
+
+
+def _lowest(x: np.ndarray, factors: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The smallest image of each set under each permutation, some permutations at a time if there are very many shingles."""
+    step = max(1, (1 << 22) // max(1, len(x)))
+    parts = [np.minimum.reduceat(x[None, :] * factors[i : i + step, None], begins, axis=1) for i in range(0, len(factors), step)]
+    return np.concatenate(parts)
 
 
 def _cut(text: str, per_unit: int, run: int, of_paragraph: int, factors: np.ndarray) -> tuple[int, bytes, bytes, bytes, bytes]:
@@ -171,9 +176,7 @@ def _cut(text: str, per_unit: int, run: int, of_paragraph: int, factors: np.ndar
     if of_paragraph and spans:
         every, begins, first, ids = span_sets(words, hashes, spans)
         n = np.add.reduceat(first, begins, dtype=np.int32)
-        x = _folded(every)
-        low = [np.minimum.reduceat(x * f, begins) for f in factors]
-        keys = _keys(low, of_paragraph)[n >= LEAST].tobytes()
+        keys = _keys(_lowest(_folded(every), factors, begins))[n >= LEAST].tobytes()
         at.append(np.array(spans, dtype=np.int32))
         names.append(ids)
         sizes.append(n)
@@ -230,16 +233,19 @@ def _banded(units: DataFrame, of_paragraph: int) -> DataFrame:
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parts = []
-            for doc_id, many, at, names, sizes, bands in frame.itertuples(index=False):
-                n = np.frombuffer(sizes, dtype=np.int32)[:many]
-                on = np.flatnonzero(n >= LEAST)
-                if len(on):
-                    names_, at_ = np.frombuffer(names, dtype=np.int64).reshape(-1, 2)[on], np.frombuffer(at, dtype=np.int32).reshape(-1, 2)[on]
-                    keys = np.frombuffer(bands, dtype=np.int64).reshape(len(on), of_paragraph)
-                    parts.append(pd.DataFrame({"k1": names_[:, 0], "k2": names_[:, 1], "n_shingles": n[on], "bands": list(keys), "doc_id": doc_id, "start": at_[:, 0], "length": at_[:, 1]}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True).drop_duplicates(["k1", "k2"])
+            for i in range(0, len(frame), 1000):
+                some = frame.iloc[i : i + 1000]
+                many = np.array([len(v) for v in some["sizes"]]) // 4
+                doc = np.repeat(some["doc_id"].to_numpy(), many)
+                within = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                n = np.frombuffer(b"".join(some["sizes"]), dtype=np.int32)
+                on = np.flatnonzero((within < np.repeat(some["paragraphs"].to_numpy(), many)) & (n >= LEAST))
+                names = np.frombuffer(b"".join(some["names"]), dtype=np.int64).reshape(-1, 2)[on]
+                at = np.frombuffer(b"".join(some["at"]), dtype=np.int32).reshape(-1, 2)[on]
+                keys = np.frombuffer(b"".join(some["bands"]), dtype=np.int64).reshape(-1, of_paragraph)
+                _, first = np.unique(names, axis=0, return_index=True)
+                on, names, at, keys = on[first], names[first], at[first], keys[first]
+                yield pd.DataFrame({"k1": names[:, 0], "k2": names[:, 1], "n_shingles": n[on], "bands": list(keys), "doc_id": doc[on], "start": at[:, 0], "length": at[:, 1]})
 
     schema = "k1 long, k2 long, n_shingles long, bands array<long>, doc_id long, start int, length int"
     return units.select("doc_id", "paragraphs", "at", "names", "sizes", "bands").mapInPandas(unpack, schema)
