@@ -77,6 +77,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        return df.checkpoint(eager=True)
+        # a query takes this setting when it is made
+        return df.select("*").checkpoint(eager=True)
     finally:
         spark.conf.set(_CLEANUP, before)

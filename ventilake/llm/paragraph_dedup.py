@@ -240,6 +240,8 @@ def _banded(units: DataFrame, of_paragraph: int) -> DataFrame:
                 within = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
                 n = np.frombuffer(b"".join(some["sizes"]), dtype=np.int32)
                 on = np.flatnonzero((within < np.repeat(some["paragraphs"].to_numpy(), many)) & (n >= LEAST))
+                if not len(on):
+                    continue
                 names = np.frombuffer(b"".join(some["names"]), dtype=np.int64).reshape(-1, 2)[on]
                 at = np.frombuffer(b"".join(some["at"]), dtype=np.int32).reshape(-1, 2)[on]
                 keys = np.frombuffer(b"".join(some["bands"]), dtype=np.int64).reshape(-1, of_paragraph)
