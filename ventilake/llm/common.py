@@ -81,3 +81,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove what ``checkpointed`` wrote for frames that nothing reads any more, as Spark's cleaner would some time later."""
+    for df in frames:
+        spark = df.sparkSession
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed
+from ventilake.llm.common import checkpointed, forget
 
 
 #: a task of the contractions takes this many links
@@ -90,10 +90,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     # each partition contracts its own links before they are counted
     edges = checkpointed(_contract(edges))
     tasks = 1 + edges.count() // LINKS_PER_TASK
-    edges = checkpointed(_contract(edges, tasks))
+    first, edges = edges, checkpointed(_contract(edges, tasks))
+    forget(first)
     state = None
     for _ in range(max_rounds if tasks > 1 else 0):
-        edges = checkpointed(_star(_star(edges, True, tasks), False, tasks))
+        before, edges = edges, checkpointed(_star(_star(edges, True, tasks), False, tasks))
+        forget(before)
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, fresh, id_text, row_keys
+from ventilake.llm.common import checkpointed, forget, fresh, id_text, row_keys
 from ventilake.llm.components import connected_components
 
 WORDS = 5
@@ -166,7 +166,9 @@ def _sets_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFram
     wanted = checkpointed(classes.join(wanted, "id", "left_semi").select("id", "digest", "doc_id"))
     ids = wanted.select("doc_id").distinct()
     sets = _sets(rows.join(ids, "doc_id", "left_semi")).join(wanted.select("id", "digest"), "digest")
-    return checkpointed(sets.select("id", "shingles").dropDuplicates(["id"]))
+    sets = checkpointed(sets.select("id", "shingles").dropDuplicates(["id"]))
+    forget(wanted)
+    return sets
 
 
 def _reachable(n_a: Column, own_a: Column, n_b: Column, own_b: Column, threshold: int) -> Column:
@@ -210,7 +212,8 @@ def class_components(
     hubs = hubs.where("size > 1").select(
         "band", "size", F.col("h.o.id").alias("hub"), F.col("h.o.own").alias("hub_own"), F.col("h.n_shingles").alias("hub_n")
     )
-    members = checkpointed(members.join(hubs, "band"))
+    written = members = checkpointed(members.join(hubs, "band"))
+    forget(candidates)
     pairs = members.where(F.col("id") != F.col("hub")).where(
         _reachable(F.col("n_shingles"), F.col("own"), F.col("hub_n"), F.col("hub_own"), threshold)
     )
@@ -223,11 +226,13 @@ def class_components(
     while True:
         # what is connected already goes on as stars, only the new links are added
         stars = links if component is None else links.union(component.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        component = checkpointed(connected_components(stars))
+        before, component = component, checkpointed(connected_components(stars))
+        forget(links, *[before] * (before is not None))
         open_ = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = open_.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.max("size").alias("n"))
         mixed = checkpointed(mixed.where("c0 != c1").where(F.col("n") > low).select("band"))
         if mixed.isEmpty():
+            forget(sets, written, mixed)
             return component
         open_ = open_.join(mixed, "band")
         open_ = open_.join(classes.select("id", "bands", *["sketch"] * bool(values)), "id")
@@ -243,6 +248,7 @@ def class_components(
         )
         pairs = pairs.select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b"))
         links = checkpointed(_confirmed(pairs, sets, threshold))
+        forget(mixed)
         low, high = high, high * 8
 
 

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, id_text
+from ventilake.llm.common import checkpointed, forget, id_text
 from ventilake.llm.near_dedup import WORDS, class_components, multipliers, shingle_hashes, words_of
 
 WORDS_PER_UNIT = 24
@@ -279,7 +279,9 @@ def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame
             yield pd.DataFrame({"k1": [i[0] for i in ids], "k2": [i[1] for i in ids], "shingles": sets})
 
     sets = _with_text(rows, chosen).select("text", "wanted").mapInPandas(build, "k1 long, k2 long, shingles array<long>")
-    return checkpointed(sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"]))
+    sets = checkpointed(sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"]))
+    forget(wanted)
+    return sets
 
 
 def _linked(rows: DataFrame, units: DataFrame, of_paragraph: int, threshold: int) -> DataFrame:
@@ -289,7 +291,9 @@ def _linked(rows: DataFrame, units: DataFrame, of_paragraph: int, threshold: int
     distinct = checkpointed(distinct.withColumn("id", F.monotonically_increasing_id()))
     places = distinct.select("id", "k1", "k2", "doc_id", "start", "length")
     component = class_components(distinct.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold)
-    return checkpointed(places.select("id", "k1", "k2").join(component, "id").select("k1", "k2", "component"))
+    linked = checkpointed(places.select("id", "k1", "k2").join(component, "id").select("k1", "k2", "component"))
+    forget(distinct, component)
+    return linked
 
 
 def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, threshold: int) -> DataFrame:
@@ -308,6 +312,7 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     known = checkpointed(known.withColumn("own", -F.monotonically_increasing_id() - 1))
     known = known.select("k1", "k2", F.coalesce("component", "own").alias("passage_id"))
     place = checkpointed(_unpacked(units, True).join(known, ["k1", "k2"]))
+    forget(units)
     unit = F.struct("doc_id", "start", "length")
     like = place.groupBy("k1", "k2").agg(F.min(unit).alias("like"))
     each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
