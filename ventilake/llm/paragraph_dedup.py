@@ -328,8 +328,14 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     return out.withColumn("removed", (F.col("doc_id") != F.col("kept.doc_id")) | (apart > 0)).drop("apart")
 
 
-def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
-    """``doc_id, at, side, words``: hashes of up to ``size`` words after ``at`` (``side`` 1) or before it, nearest first (-1)."""
+#: blocks of words that are compared at once where a run goes on
+BLOCKS = 64
+
+
+def _beside(rows: DataFrame, places: DataFrame, size: int, step: int) -> DataFrame:
+    """``doc_id, at, side, words``: hashes of up to ``size`` blocks of ``step`` words after ``at`` (``side`` 1) or before it (-1).
+
+    Nearest first; a block that the text does not fill is left out."""
     place = F.col("at").cast("long") * 2 + (F.col("side") > 0).cast("long")
     wanted = places.groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
 
@@ -340,20 +346,40 @@ def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
                 words = words_of(text)
                 for p in map(int, wanted):
                     at, after = p >> 1, p & 1
-                    some = words[at : at + size] if after else words[max(0, at - size) : at][::-1]
-                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, some), dtype=np.uint64, count=len(some))
-                    out.append((doc_id, at, 2 * after - 1, hashes.view(np.int64)))
+                    some = words[at : at + size * step] if after else words[max(0, at - size * step) : at][::-1]
+                    n = len(some) // step
+                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, some[: n * step]), dtype=np.uint64, count=n * step).reshape(n, step)
+                    block = hashes[:, 0].copy()
+                    for k in range(1, step):
+                        block = (block ^ (block >> np.uint64(29))) * _ODD ^ hashes[:, k]
+                    out.append((doc_id, at, 2 * after - 1, block.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "at", "side", "words"])
 
     found = _with_text(rows, wanted).mapInPandas(read, "doc_id long, at long, side int, words array<long>")
     return found.groupBy("doc_id", "at", "side").agg(F.max("words").alias("words"))
 
 
+def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int, step: int) -> DataFrame:
+    """The sides of runs moved over the blocks that both documents have alike; ``on`` where all of them are."""
+    other = F.col("at") - F.col("distance")
+    places = open_.select("doc_id", "at", "side").union(open_.select("kept_id", other, "side")).distinct()
+    beside = checkpointed(_beside(rows, places, size, step))
+    kept = beside.select(F.col("doc_id").alias("kept_id"), F.col("at").alias("other"), "side", F.col("words").alias("there"))
+    own = beside.withColumnRenamed("words", "here")
+    pairs = open_.select(*run, "side", "at", other.alias("other")).join(own, ["doc_id", "at", "side"]).join(kept, ["kept_id", "other", "side"])
+    unlike = F.array_position(F.zip_with("here", "there", lambda a, b: a.eqNullSafe(b)), False)
+    alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here"))
+    out = checkpointed(pairs.select(*run, "side", (F.col("at") + F.col("side") * alike * step).alias("at"), (alike == size).alias("on")))
+    forget(beside)
+    return out
+
+
 def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> DataFrame:
     """The removed windows with the span ``low, high`` that their run shares with the document they are ``like``.
 
-    ``size`` words are read beyond each end, eight times as many in each later
-    round, where the documents were alike to the last of them."""
+    ``size`` words are read beyond each end.  Where the documents were alike to the
+    last of them, blocks of so many words are compared by their hashes, ``BLOCKS`` a
+    round, and then the words of the first block that differs."""
     run = ["doc_id", "kept_id", "distance", "run"]
     windows = removed.select(
         "doc_id", "start", "passage_id", F.col("like.doc_id").alias("kept_id"), (F.col("start") - F.col("like.start")).alias("distance")
@@ -364,24 +390,15 @@ def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> Data
     windows = checkpointed(windows.withColumn("run", F.sum("gap").over(order)).drop("gap"))
     ends = windows.groupBy(*run).agg(F.min("start").alias("low"), F.max(F.col("start") + per_unit).alias("high"))
     sides = F.array(F.struct(F.lit(-1).alias("side"), F.col("low").alias("at")), F.struct(F.lit(1).alias("side"), F.col("high").alias("at")))
-    open_ = checkpointed(ends.select(*run, F.explode(sides).alias("e")).select(*run, "e.side", F.col("e.at").cast("long").alias("at")))
-    closed = None
-    while True:
-        other = F.col("at") - F.col("distance")
-        places = open_.select("doc_id", "at", "side").union(open_.select("kept_id", other, "side")).distinct()
-        beside = checkpointed(_beside(rows, places, size))
-        own = beside.withColumnRenamed("words", "here")
-        kept = beside.select(F.col("doc_id").alias("kept_id"), F.col("at").alias("other"), "side", F.col("words").alias("there"))
-        pairs = open_.withColumn("other", other).join(own, ["doc_id", "at", "side"]).join(kept, ["kept_id", "other", "side"])
-        unlike = F.array_position(F.zip_with("here", "there", lambda a, b: a.eqNullSafe(b)), False)
-        alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here"))
-        step = checkpointed(pairs.select(*run, "side", (F.col("at") + F.col("side") * alike).alias("at"), (alike == size).alias("on")))
-        done = step.where("not on").drop("on")
-        closed = done if closed is None else closed.union(done)
-        open_ = step.where("on").drop("on")
-        if open_.isEmpty():
-            break
-        size *= 8
+    open_ = ends.select(*run, F.explode(sides).alias("e")).select(*run, "e.side", F.col("e.at").cast("long").alias("at"))
+    step = _further(rows, open_, run, size, 1)
+    closed, open_, ready = step.where("not on"), step.where("on"), None
+    while not open_.isEmpty():
+        step = _further(rows, open_, run, BLOCKS, size)
+        ended, open_ = step.where("not on"), step.where("on")
+        ready = ended if ready is None else ready.union(ended)
+    if ready is not None:
+        closed = closed.union(_further(rows, ready, run, size, 1))
     spans = closed.groupBy(*run).agg(F.min("at").alias("low"), F.max("at").alias("high"))
     return checkpointed(windows.join(spans, run).select("doc_id", "start", "passage_id", "kept_id", "distance", "low", "high"))
 
