@@ -269,6 +269,36 @@ def test_a_run_longer_than_what_is_read_at_once_is_followed(spark):
     assert [(r["low"], r["high"]) for r in got] == [(2, 702)]
 
 
+def test_runs_of_any_length_end_where_the_words_differ(spark):
+    own = lambda i, n: [f"d{i}w{k}" for k in range(n)]
+    rows, windows, expected = [], [], {}
+    for i, n in enumerate([24, 25, 51, 52, 53, 79, 80, 81, 107, 136, 1000, 1816, 1817, 5000]):
+        shared = [f"s{i}x{k}" for k in range(n)]
+        before, after = own(2 * i, 3 + i), own(2 * i + 1, i % 3)
+        rows += [(2 * i, " ".join(shared)), (2 * i + 1, " ".join(before + shared + after))]
+        for at in {0, (n - 24) // 2, n - 24}:
+            windows.append((2 * i + 1, len(before) + at, at, (2 * i, at, 24)))
+            expected[2 * i + 1, len(before) + at] = (len(before), len(before) + n)
+    removed = spark.createDataFrame(windows, "doc_id long, start int, passage_id long, like struct<doc_id:long,start:int,length:int>")
+    got = pd8._runs(spark.createDataFrame(rows + rows[:3], DOCS), removed, 24, 28).collect()
+    assert {(r["doc_id"], r["start"]): (r["low"], r["high"]) for r in got} == expected
+
+
+def test_names_of_stretches_and_the_lengths_asked_for():
+    rnd = random.Random(41)
+    words = [w.encode() for w in _words(rnd, 60, 3)]
+    text = pd8._Stretches(words)
+    spans = [(a, b) for a in range(61) for b in range(a, 61)]
+    names = text.names(np.array([a for a, _ in spans]), np.array([b for _, b in spans]))
+    seen = {}
+    for (a, b), name in zip(spans, names.tolist(), strict=True):
+        assert seen.setdefault(name, words[a:b]) == words[a:b]
+    assert len(seen) == len({tuple(words[a:b]) for a, b in spans})
+    assert pd8._Stretches([]).names(np.array([0]), np.array([0])).tolist() == [0]
+    assert pd8._lengths(0, 28, 0, 0).tolist() == [] and pd8._lengths(30, 28, 28, 1).tolist() == [29, 30]
+    assert pd8._lengths(120, 28, 0, 0).tolist() == [*range(1, 29), 56, 112]
+
+
 def test_units_that_overlap_what_is_kept_stay(spark):
     words = _words(random.Random(23), 60, 10**7)
     rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words))], DOCS)

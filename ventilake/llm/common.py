@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,11 +84,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
 
 
+def written(df: DataFrame) -> str:
+    """The folder below the shared one in which ``df`` is now a Parquet table, whose size Spark knows; its shuffles go as in ``checkpointed``."""
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove what is below a folder of the shared one that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Remove what ``checkpointed`` wrote for frames that nothing reads any more, as Spark's cleaner would some time later."""
     for df in frames:
         spark = df.sparkSession
         file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
         if file.isDefined():
-            path = spark._jvm.org.apache.hadoop.fs.Path(file.get())
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, file.get())

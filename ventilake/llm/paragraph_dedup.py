@@ -25,8 +25,8 @@ Two kinds of units are compared, as one set each of five-word shingles:
    all others are to be removed, save units of the same document that overlap it.
 5. A window to be removed is aligned with the first document that has the same
    set, or else with what stays.  Windows that follow each other at one distance
-   from there are one run.  Each run is extended word by word as long as both
-   documents go on alike, and every window is reported with the span of its run;
+   from there are one run.  Each run is extended as long as both documents go on
+   alike word by word (names of stretches, doubled and then narrowed), and every window is reported with the span of its run;
    a paragraph is reported as it is.
 
 ``repeated_paragraphs`` does all of this.  ``repeated_passages`` reports the
@@ -42,7 +42,7 @@ count words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import checkpointed, forget, id_text
+from ventilake.llm.common import checkpointed, forget, id_text, remove, written
 from ventilake.llm.near_dedup import WORDS, class_components, multipliers, shingle_hashes, words_of
 
 WORDS_PER_UNIT = 24
@@ -253,9 +253,16 @@ def _banded(units: DataFrame, of_paragraph: int) -> DataFrame:
     return units.select("doc_id", "paragraphs", "at", "names", "sizes", "bands").mapInPandas(unpack, schema)
 
 
-def _with_text(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, text, wanted``: the texts of the documents of ``wanted`` (``doc_id, wanted``), kept in the shared folder."""
-    return rows.join(checkpointed(wanted), "doc_id").select("doc_id", "text", "wanted")
+def _read(rows: DataFrame, wanted: DataFrame, build: Callable, schema: str, finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` reads in the texts of the documents of ``wanted`` (``doc_id, wanted``), finished and kept in the shared folder.
+
+    ``wanted`` is written as a table, so Spark knows its size: a small one goes to
+    where the texts are read, and only a large one moves the texts."""
+    folder = written(wanted)
+    asked = rows.sparkSession.read.parquet(folder)
+    out = checkpointed(finish(rows.join(asked, "doc_id").select("doc_id", "text", "wanted").mapInPandas(build, schema)))
+    remove(rows.sparkSession, folder)
+    return out
 
 
 def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -278,8 +285,10 @@ def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame
                     sets += [every[a:b][first[a:b]].view(np.int64) for a, b in zip(begins.tolist(), ends, strict=True)]
             yield pd.DataFrame({"k1": [i[0] for i in ids], "k2": [i[1] for i in ids], "shingles": sets})
 
-    sets = _with_text(rows, chosen).select("text", "wanted").mapInPandas(build, "k1 long, k2 long, shingles array<long>")
-    sets = checkpointed(sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"]))
+    def named(sets: DataFrame) -> DataFrame:
+        return sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"])
+
+    sets = _read(rows, chosen, build, "k1 long, k2 long, shingles array<long>", named)
     forget(wanted)
     return sets
 
@@ -328,48 +337,87 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     return out.withColumn("removed", (F.col("doc_id") != F.col("kept.doc_id")) | (apart > 0)).drop("apart")
 
 
-#: blocks of words that are compared at once where a run goes on
-BLOCKS = 64
+#: lengths that are compared at once where a run is narrowed down
+LENGTHS = 64
+#: two primes below 2^31 and a base for each; a stretch of words is named by its two remainders
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1103515245, 69069069)
+
+
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(1, dtype=np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:n]
+
+
+class _Stretches:
+    """Names of a text's stretches of words, each in constant time after one pass over the text."""
+
+    def __init__(self, words: list[bytes]):
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+        self.n, self.of = len(words), []
+        for base, prime in zip(_BASES, _PRIMES, strict=True):
+            # below 2^63 for any text of less than 2^32 words
+            terms = hashes % np.uint64(prime) * _powers(base, prime, self.n) % np.uint64(prime)
+            sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(terms, dtype=np.uint64)])
+            self.of.append((np.uint64(prime), sums, _powers(pow(base, -1, prime), prime, self.n + 1)))
 
+    def names(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        a, b = ((sums[end] - sums[begin]) % prime * back[begin] % prime for prime, sums, back in self.of)
+        return ((a << np.uint64(31)) | b).view(np.int64)
 
-def _beside(rows: DataFrame, places: DataFrame, size: int, step: int) -> DataFrame:
-    """``doc_id, at, side, words``: hashes of up to ``size`` blocks of ``step`` words after ``at`` (``side`` 1) or before it (-1).
 
-    Nearest first; a block that the text does not fill is left out."""
-    place = F.col("at").cast("long") * 2 + (F.col("side") > 0).cast("long")
-    wanted = places.groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
+def _lengths(left: int, size: int, low: int, step: int) -> np.ndarray:
+    """Lengths up to ``left``: with ``step`` 0 all up to ``size`` and then its doubles, else ``low`` and so many steps more."""
+    if step:
+        return low + step * np.arange(1, min(LENGTHS, (left - low) // step) + 1)
+    doubles = size << np.arange(1, max(1, (left // size).bit_length()))
+    return np.concatenate([np.arange(1, min(size, left) + 1), doubles])
+
+
+def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """``doc_id, at, side, low, step, names``: names of the stretches of ``_lengths`` after ``at`` (``side`` 1) or before it (-1)."""
+    ask = ["at", "side", "low", "step"]
+    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct(*ask)).alias("wanted"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for doc_id, text, wanted in zip(frame["doc_id"], frame["text"], frame["wanted"], strict=True):
-                words = words_of(text)
-                for p in map(int, wanted):
-                    at, after = p >> 1, p & 1
-                    some = words[at : at + size * step] if after else words[max(0, at - size * step) : at][::-1]
-                    n = len(some) // step
-                    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, some[: n * step]), dtype=np.uint64, count=n * step).reshape(n, step)
-                    block = hashes[:, 0].copy()
-                    for k in range(1, step):
-                        block = (block ^ (block >> np.uint64(29))) * _ODD ^ hashes[:, k]
-                    out.append((doc_id, at, 2 * after - 1, block.view(np.int64)))
-            yield pd.DataFrame(out, columns=["doc_id", "at", "side", "words"])
-
-    found = _with_text(rows, wanted).mapInPandas(read, "doc_id long, at long, side int, words array<long>")
-    return found.groupBy("doc_id", "at", "side").agg(F.max("words").alias("words"))
-
-
-def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int, step: int) -> DataFrame:
-    """The sides of runs moved over the blocks that both documents have alike; ``on`` where all of them are."""
+                text = _Stretches(words_of(text))
+                for p in wanted:
+                    at, side, low, step = (int(p[c]) for c in ask)
+                    if not 0 <= at <= text.n:
+                        continue  # a place of another text with this id
+                    n = _lengths(text.n - at if side > 0 else at, size, low, step)
+                    out.append((doc_id, at, side, low, step, text.names(at + 0 * n, at + n) if side > 0 else text.names(at - n, at + 0 * n)))
+            yield pd.DataFrame(out, columns=["doc_id", *ask, "names"])
+
+    schema = "doc_id long, at long, side int, low long, step long, names array<long>"
+    return _read(rows, wanted, read, schema, lambda found: found.groupBy("doc_id", *ask).agg(F.max("names").alias("names")))
+
+
+def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int) -> DataFrame:
+    """The sides of runs, ``low`` raised to the greatest length asked for at which both documents are alike.
+
+    ``step`` is then the distance of the lengths to ask for next, -1 where ``low`` is exact."""
     other = F.col("at") - F.col("distance")
-    places = open_.select("doc_id", "at", "side").union(open_.select("kept_id", other, "side")).distinct()
-    beside = checkpointed(_beside(rows, places, size, step))
-    kept = beside.select(F.col("doc_id").alias("kept_id"), F.col("at").alias("other"), "side", F.col("words").alias("there"))
-    own = beside.withColumnRenamed("words", "here")
-    pairs = open_.select(*run, "side", "at", other.alias("other")).join(own, ["doc_id", "at", "side"]).join(kept, ["kept_id", "other", "side"])
+    places = open_.select("doc_id", "at", "side", "low", "step").union(open_.select("kept_id", other, "side", "low", "step")).distinct()
+    beside = _beside(rows, places, size)
+    kept = beside.select(F.col("doc_id").alias("kept_id"), F.col("at").alias("other"), "side", "low", "step", F.col("names").alias("there"))
+    own = beside.withColumnRenamed("names", "here")
+    pairs = open_.select(*run, "side", "at", other.alias("other"), "low", "step")
+    pairs = pairs.join(own, ["doc_id", "at", "side", "low", "step"]).join(kept, ["kept_id", "other", "side", "low", "step"])
     unlike = F.array_position(F.zip_with("here", "there", lambda a, b: a.eqNullSafe(b)), False)
-    alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here"))
-    out = checkpointed(pairs.select(*run, "side", (F.col("at") + F.col("side") * alike * step).alias("at"), (alike == size).alias("on")))
+    alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here")).cast("long")
+    pairs = pairs.select(*run, "side", "at", "low", "step", alike.alias("alike"))
+    double = (F.lit(size) * F.pow(F.lit(2.0), F.col("alike") - size)).cast("long")
+    low = F.when(F.col("step") > 0, F.col("low") + F.col("step") * F.col("alike")).when(F.col("alike") < size, F.col("alike")).otherwise(double)
+    # the exact length is less than so much more
+    width = F.when(F.col("step") > 0, F.col("step")).when(F.col("alike") < size, F.lit(1)).otherwise(double)
+    step = F.when(width <= 1, F.lit(-1)).otherwise(F.ceil(width / LENGTHS)).cast("long")
+    out = checkpointed(pairs.select(*run, "side", "at", low.alias("low"), step.alias("step")))
     forget(beside)
     return out
 
@@ -377,9 +425,9 @@ def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int, step:
 def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> DataFrame:
     """The removed windows with the span ``low, high`` that their run shares with the document they are ``like``.
 
-    ``size`` words are read beyond each end.  Where the documents were alike to the
-    last of them, blocks of so many words are compared by their hashes, ``BLOCKS`` a
-    round, and then the words of the first block that differs."""
+    Stretches of words beyond each end are compared by name: all of up to ``size``
+    words, then each of twice the length; between the last that is alike and the next,
+    ``LENGTHS`` lengths a round.  So the rounds grow with the logarithm of the length."""
     run = ["doc_id", "kept_id", "distance", "run"]
     windows = removed.select(
         "doc_id", "start", "passage_id", F.col("like.doc_id").alias("kept_id"), (F.col("start") - F.col("like.start")).alias("distance")
@@ -391,14 +439,13 @@ def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> Data
     ends = windows.groupBy(*run).agg(F.min("start").alias("low"), F.max(F.col("start") + per_unit).alias("high"))
     sides = F.array(F.struct(F.lit(-1).alias("side"), F.col("low").alias("at")), F.struct(F.lit(1).alias("side"), F.col("high").alias("at")))
     open_ = ends.select(*run, F.explode(sides).alias("e")).select(*run, "e.side", F.col("e.at").cast("long").alias("at"))
-    step = _further(rows, open_, run, size, 1)
-    closed, open_, ready = step.where("not on"), step.where("on"), None
-    while not open_.isEmpty():
-        step = _further(rows, open_, run, BLOCKS, size)
-        ended, open_ = step.where("not on"), step.where("on")
-        ready = ended if ready is None else ready.union(ended)
-    if ready is not None:
-        closed = closed.union(_further(rows, ready, run, size, 1))
+    nothing = F.lit(0).cast("long")
+    open_, closed = open_.withColumns({"low": nothing, "step": nothing}), None
+    while closed is None or not open_.isEmpty():
+        step = _further(rows, open_, run, size)
+        ended, open_ = step.where("step < 0"), step.where("step > 0")
+        closed = ended if closed is None else closed.union(ended)
+    closed = closed.withColumn("at", F.col("at") + F.col("side") * F.col("low"))
     spans = closed.groupBy(*run).agg(F.min("at").alias("low"), F.max("at").alias("high"))
     return checkpointed(windows.join(spans, run).select("doc_id", "start", "passage_id", "kept_id", "distance", "low", "high"))
 
