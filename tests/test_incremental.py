@@ -1,0 +1,154 @@
+"""Only changed files are loaded, and lines that do not parse are kept apart."""
+
+import datetime as dt
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_household import _dims
+from test_sources_sinks import STATION_LINES, _write
+from ventilake.functions.fixed import HOUSEHOLD_BOXES
+from ventilake.plans import incremental as inc
+from ventilake.plans.daily import KINDS
+from ventilake.plans.ingest import file_days
+from ventilake.sinks import stores
+from ventilake.sinks import tables as sink
+from ventilake.sources import acq
+
+D = [dt.date(2021, 2, k) for k in range(1, 9)]
+
+
+def _house(day, box="162", at="10:00", value="2600"):
+    return f"Salle 1 {box} le {day:02d} 02 2021.acq", [f"{day:02d}/02/2021 {at}\t{value}\t400\t100\t200\t409"]
+
+
+def _load(spark, root, store, dims, first, end, boxes, **options):
+    """The first step of ``run_files`` alone, for household files."""
+    lines = acq.read_acq(spark, root, "logement", first, end, boxes)
+    store.replace(file_days(lines, acq.MEASURES["logement"]).drop("file_name"), "brut_logement", first, end)
+
+
+def _rows(store, spark, table, kind="logement"):
+    return sorted(map(str, store.read(spark, table, acq.brut_schema(kind)).collect()))
+
+
+def test_spans_of_days():
+    assert inc.spans([]) == []
+    assert inc.spans([D[0], D[1], D[3]]) == [(D[0], D[2]), (D[3], D[4])]
+
+
+def test_the_listing_opens_no_file(spark, tmpdir_fresh):
+    name, lines = _house(3)
+    _write(tmpdir_fresh, name, lines)
+    _write(os.path.join(tmpdir_fresh, "sub"), "Station météo 05 le 04 02 2021.acq", STATION_LINES)
+    _write(tmpdir_fresh, "random.acq", ["x"])
+    files = inc.listing(spark, tmpdir_fresh, D[0], D[7])
+    assert sorted(r["day"] for r in files.collect()) == [D[2], D[3]]
+    # the file's content is not among the columns that the scan reads
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+    assert inc.listing(spark, tmpdir_fresh, D[4], D[7]).count() == 0
+
+
+def test_files_that_differ_from_those_loaded(spark):
+    schema, t = inc.LOADED_SCHEMA, dt.datetime(2021, 3, 1)
+    loaded = spark.createDataFrame([("a", 1, t, D[0]), ("b", 1, t, D[1]), ("c", 1, t, D[2]), ("d", 1, t, D[3])], schema)
+    now = spark.createDataFrame([("a", 1, t, D[0]), ("b", 2, t, D[1]), ("c", 1, t + dt.timedelta(seconds=1), D[2]), ("e", 1, t, D[4])], schema)
+    assert inc.changed_days(now, loaded) == [D[1], D[2], D[3], D[4]]  # longer, newer, gone, new
+    assert inc.changed_days(loaded, loaded) == [] and inc.changed_days(now.limit(0), loaded.limit(0)) == []
+
+
+@pytest.mark.parametrize("make", [stores.FolderStore, stores.ManifestStore])
+def test_a_second_run_loads_changed_days_only(spark, tmpdir_fresh, make, monkeypatch):
+    root, store, dims, loads = tmpdir_fresh, make(sink.shared_dir(spark, "incremental")), {}, []
+
+    def counted(spark, root, store, dims, first, end, *args, **kwargs):
+        loads.append((first, end))
+        _load(spark, root, store, dims, first, end, *args, **kwargs)
+
+    monkeypatch.setattr(inc, "run_files", counted)
+    for day in (2, 3, 5):
+        _write(root, *_house(day))
+    assert inc.run_changed(spark, root, store, dims, D[0], D[7]) == [(D[1], D[3]), (D[4], D[5])]
+    first = _rows(store, spark, "brut_logement")
+    assert len(first) == 3
+    assert inc.run_changed(spark, root, store, dims, D[0], D[7]) == [] and len(loads) == 2
+
+    _write(root, *_house(3, value="2700000"))  # another length
+    os.remove(os.path.join(root, _house(5)[0]))
+    assert inc.run_changed(spark, root, store, dims, "2021-02-01", "2021-02-08") == [(D[2], D[3]), (D[4], D[5])]
+    second = _rows(store, spark, "brut_logement")
+    assert len(second) == 2 and len(set(first) & set(second)) == 1
+    fresh = make(sink.shared_dir(spark, "in_order"))
+    _load(spark, root, fresh, dims, D[0], D[7], HOUSEHOLD_BOXES)
+    assert second == _rows(fresh, spark, "brut_logement")
+    assert inc.run_changed(spark, root, store, dims, D[0], D[7]) == []
+
+
+def test_a_stopped_load_is_seen_by_the_next_run(spark, tmpdir_fresh, monkeypatch):
+    store, dims = stores.ManifestStore(sink.shared_dir(spark, "stopped")), {}
+    _write(tmpdir_fresh, *_house(2))
+    _write(tmpdir_fresh, *_house(4))
+
+    def stopped(spark, root, store, dims, first, end, *args, **kwargs):
+        if first == D[3]:
+            raise RuntimeError("stopped")
+        _load(spark, root, store, dims, first, end, *args, **kwargs)
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="stopped"):
+        m.setattr(inc, "run_files", stopped)
+        inc.run_changed(spark, tmpdir_fresh, store, dims, D[0], D[7])
+    monkeypatch.setattr(inc, "run_files", _load)
+    assert inc.run_changed(spark, tmpdir_fresh, store, dims, D[0], D[7]) == [(D[3], D[4])]
+    _write(tmpdir_fresh, *_house(2, at="10:30", value="26001"))
+    assert inc.run_changed(spark, tmpdir_fresh, store, dims, D[0], D[7], through=True) == [(D[1], D[7])]
+
+
+BAD = {
+    "logement": ("Salle 1 162 le 03 02 2021.acq", [
+        ("03/02/2021 10:00\t2600\t400\t100\t200\t409", None),
+        ("03/02/2021 10:01\t\t400\t100\t200\t409", None),  # a missing measure
+        ("03/02/2021 10:02\t1\t2\t3\t4\t5\tmore", None),  # a further column
+        ("03/02/2021 10:03\t2600\tx\t100\t200\t409", "number"),
+        ("03/02/2021 10:04\t2600\t400", "columns"),
+        ("31/31/2021 10:05\t2600\t400\t100\t200\t409", "date"),
+        ("\t2600\t400\t100\t200\t409", "date"),
+        ("é\tx", "columns"),
+    ]),
+    "caisson": ("caisson 12 le 03 02 2021.acq", [
+        ("03/02/2021 10:00\tnote\t0\t0\t100\t200\t5", None),  # a column that is not read
+        ("03/02/2021 10:01\t0\t0\t0\t1,5\t200\t5", "number"),
+    ]),
+    "station": ("Station météo 05 le 03 02 2021.acq", [
+        ("03/02/2021 00:00\t4500\t1\t512\t10\t400", None), ("bad\tx\t1\t1\t1\t1", "date"),
+    ]),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_checked_lines_are_those_of_the_plain_read(spark, tmpdir_fresh, kind):
+    name, lines = BAD[kind]
+    _write(tmpdir_fresh, name, [line for line, _ in lines] + ["", "  "])
+    checked = acq.read_acq_checked(spark, tmpdir_fresh, kind)
+    assert {r["line"]: r["reason"] for r in checked.collect()} == dict(lines)
+    plain = acq.read_acq(spark, tmpdir_fresh, kind)
+    sound = checked.where("reason is null").drop("reason", "line")
+    dates = [line.split("\t")[0] for line, reason in lines if reason is None]
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(sound) == key(plain.where(F.col("Date").isin(dates))) and sound.columns == plain.columns
+
+
+def test_lines_read_are_rows_stored_and_rejected(spark, tmpdir_fresh):
+    for name, lines in BAD.values():
+        _write(tmpdir_fresh, name, [line for line, _ in lines])
+    store = stores.ManifestStore(sink.shared_dir(spark, "quarantine"))
+    assert inc.run_changed(spark, tmpdir_fresh, store, _dims(spark), D[0], D[7], quarantine=True) == [(D[2], D[3])]
+    for kind, (name, lines) in BAD.items():
+        stored = store.read(spark, f"brut_{kind}", acq.brut_schema(kind)).count()
+        rejects = store.read(spark, f"rejets_{kind}", "file_name STRING, line STRING, reason STRING, day DATE").collect()
+        assert stored + len(rejects) == len(lines) and {r["file_name"] for r in rejects} == {name} and {r["day"] for r in rejects} == {D[2]}
+        assert {(r["line"], r["reason"]) for r in rejects} == {(line, reason) for line, reason in lines if reason}
+    assert inc.run_changed(spark, tmpdir_fresh, store, {}, D[0], D[7], quarantine=True) == []
+    empty = tempfile.mkdtemp(prefix="ventilake-test-")
+    assert acq.read_acq_checked(spark, empty, "station").count() == 0 and inc.listing(spark, empty).count() == 0

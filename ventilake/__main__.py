@@ -15,7 +15,8 @@ from __future__ import annotations
 import argparse
 import os
 
-from .plans.daily import run_files
+from .plans.daily import TABLES, run_files
+from .plans.incremental import run_changed
 from .session import build_session
 
 DIMENSIONS = (
@@ -52,6 +53,8 @@ def main(argv=None, spark=None) -> dict[str, str]:
     run.add_argument("--jdbc-driver")
     run.add_argument("--strict", action="store_true", help="stop before the outputs if a required factor is missing")
     run.add_argument("--real-only", action="store_true", help="household means over real sensors only")
+    run.add_argument("--quarantine", action="store_true", help="keep lines that do not parse apart, with file and reason")
+    run.add_argument("--changed-only", action="store_true", help="load only the days whose files changed since they were loaded")
     run.add_argument("--master", default=None, help="default: the launcher's (spark-submit)")
     run.add_argument("--shuffle-partitions", type=int, default=200)
     args = parser.parse_args(argv)
@@ -60,9 +63,12 @@ def main(argv=None, spark=None) -> dict[str, str]:
     if spark is None:
         spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     dims = load_dimensions(spark, args)
-    return run_files(
-        spark, args.acq, args.store, dims, args.day_from, args.day_to, strict=args.strict, real_only=args.real_only
-    )
+    span = (args.day_from, args.day_to)
+    options = {"strict": args.strict, "real_only": args.real_only, "quarantine": args.quarantine}
+    if args.changed_only:
+        run_changed(spark, args.acq, args.store, dims, *span, **options)
+        return {name: os.path.join(args.store, name) for name in TABLES}
+    return run_files(spark, args.acq, args.store, dims, *span, **options)
 
 
 if __name__ == "__main__":

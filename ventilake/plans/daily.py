@@ -22,7 +22,7 @@ from ..sinks import tables as sink
 from ..sinks.stores import FolderStore, ManifestStore, as_store
 from ..sources import acq
 from .household import band_pages, check_factors, day_range, household_balance
-from .ingest import file_days, with_seeds
+from .ingest import file_days, rejected, with_seeds
 from .weather import calibrate_fanbox, weather_station
 
 MEASURES = ("temperature", "hr", "debit_position_1", "debit_pression_1", "co2")
@@ -34,6 +34,7 @@ TABLES = (
     "etat",
     *[f"test_{k}" for k in KINDS],
     "facteurs_manquants",
+    *[f"rejets_{k}" for k in KINDS],
 )
 
 
@@ -63,6 +64,7 @@ def run_files(
     boxes=None,
     strict: bool = False,
     real_only: bool = False,
+    quarantine: bool = False,
 ) -> dict[str, str]:
     """The whole daily chain for ``[day_from, day_to)``, from .acq files to outputs.
 
@@ -80,6 +82,9 @@ def run_files(
 
     ``strict``: stop before the outputs if a required factor is missing (the
     report is written).  ``real_only``: household means over real sensors only.
+    ``quarantine``: lines that do not parse go to ``rejets_<kind>`` with their file,
+    text and reason instead of being stored with nulls, so the lines of the files
+    are the rows stored and those rejected.
     Returns the table paths.
     """
     boxes = boxes or HOUSEHOLD_BOXES
@@ -96,7 +101,13 @@ def run_files(
     # 1. raw tables: one scan per kind over all files of the range
     for kind in KINDS:
         measures = acq.MEASURES[kind]
-        brut = file_days(acq.read_acq(spark, acq_root, kind, lo, hi, boxes), measures)
+        if quarantine:
+            lines = acq.read_acq_checked(spark, acq_root, kind, lo, hi, boxes)
+            store.replace(rejected(lines), f"rejets_{kind}", lo, hi, ("file_name",))
+            lines = lines.where("reason is null").drop("line", "reason")
+        else:
+            lines = acq.read_acq(spark, acq_root, kind, lo, hi, boxes)
+        brut = file_days(lines, measures)
         if kind == "logement":
             state = state_before(spark, store, measures, lo)
             # written once to the shared folder: four steps read it

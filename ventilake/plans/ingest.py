@@ -49,6 +49,11 @@ def file_days(lines: DataFrame, measures: Sequence[str], tiebreak: Sequence[str]
     return ingest_lines(lines, measures, tiebreak).withColumn("day", nm.file_day("file_name"))
 
 
+def rejected(lines: DataFrame) -> DataFrame:
+    """The lines of ``read_acq_checked`` that are not loaded: ``file_name, line, reason, day`` of their file."""
+    return lines.where("reason is not null").select("file_name", "line", "reason", nm.file_day("file_name").alias("day"))
+
+
 def with_seeds(brut: DataFrame, state: DataFrame | None, measures: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """T3 for files of one or more days: ``brut`` seeded, and its own last good values.
 

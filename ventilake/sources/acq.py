@@ -69,6 +69,18 @@ def kind_filter(kind: str, name: str = "file_name", boxes: Sequence[str] = X.HOU
     raise ValueError(f"unknown kind {kind!r}")
 
 
+def _selected(df: DataFrame, kind: str, day_from, day_to, boxes: Sequence[str]) -> DataFrame:
+    """Rows of the files of ``kind`` and of the days ``[day_from, day_to)`` in their names, with ``file_name`` (decoded)."""
+    df = df.withColumn("file_name", nm.decode_file_name(F.col("_metadata.file_name")))
+    df = df.where(kind_filter(kind, "file_name", boxes))
+    day = nm.file_day("file_name")
+    if day_from is not None:
+        df = df.where(day >= F.lit(day_from).cast("date"))
+    if day_to is not None:
+        df = df.where(day < F.lit(day_to).cast("date"))
+    return df
+
+
 def read_acq(
     spark: SparkSession,
     root: str,
@@ -93,12 +105,49 @@ def read_acq(
         .option("pathGlobFilter", "*.acq")
         .csv(root)
     )
-    df = df.withColumn("file_name", nm.decode_file_name(F.col("_metadata.file_name")))
-    df = df.where(kind_filter(kind, "file_name", boxes))
-    if day_from is not None or day_to is not None:
-        day = nm.file_day("file_name")
-        if day_from is not None:
-            df = df.where(day >= F.lit(day_from).cast("date"))
-        if day_to is not None:
-            df = df.where(day < F.lit(day_to).cast("date"))
-    return df.select("file_name", "Date", *MEASURES[kind])
+    return _selected(df, kind, day_from, day_to, boxes).select("file_name", "Date", *MEASURES[kind])
+
+
+#: why a line is rejected, in the order in which the reasons are looked at
+REASONS = ("columns", "date", "number")
+
+
+def read_acq_checked(
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    day_from=None,
+    day_to=None,
+    boxes: Sequence[str] = X.HOUSEHOLD_BOXES,
+) -> DataFrame:
+    """As ``read_acq``, with ``line`` (the text of the line) and ``reason``, null for a sound line.
+
+    ``columns``: fewer than the layout has; ``date``: it does not parse; ``number``:
+    a measure that is there does not parse.  An empty field is a missing measure and
+    further columns are ignored, as in ``read_acq``.  Blank lines are no lines."""
+    schema = SCHEMAS[kind]
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.acq").text(root)
+    df = _selected(df, kind, day_from, day_to, boxes).where(F.trim("value") != "")
+    parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"sep": "\t"})
+    df = df.select("file_name", F.col("value").alias("line"), F.split("value", "\t").alias("fields"), parsed.alias("p"))
+    bad = F.lit(False)
+    for i, name in enumerate(schema.names):
+        if name in MEASURES[kind]:
+            bad = bad | (F.col("p")[name].isNull() & (F.trim(F.get("fields", F.lit(i))) != ""))
+    tests = (F.size("fields") < len(schema), nm.parse_acq_timestamp("p.Date").isNull(), bad)
+    reason = F.coalesce(*[F.when(t, F.lit(r)) for t, r in zip(tests, REASONS, strict=True)])
+    return df.select("file_name", "p.Date", *[f"p.{m}" for m in MEASURES[kind]], "line", reason.alias("reason"))
+
+
+def list_acq(
+    spark: SparkSession, root: str, kind: str, day_from=None, day_to=None, boxes: Sequence[str] = X.HOUSEHOLD_BOXES
+) -> DataFrame:
+    """The .acq files of ``kind`` as ``path, size, modified, day``, from the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.acq").load(root)
+    files = _selected(files.select("_metadata"), kind, day_from, day_to, boxes)
+    return files.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        nm.file_day("file_name").alias("day"),
+    )
