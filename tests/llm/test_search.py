@@ -127,6 +127,20 @@ def _brute_pii(text):
     return sorted(out)
 
 
+def test_matches_of_many_blocks_are_placed_with_what_stands_before(spark):
+    rnd = random.Random(17)
+    texts = [None, "", "no digits", "12", " 7é 8"] + [
+        "".join(rnd.choice(["é", "ab ", "\n", "12", "3 ", " " * 40]) for _ in range(n)) for n in (30, 1500, 6000)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    found = df.select("doc_id", pii._found(F.coalesce("text", F.lit("")), "[0-9]+", None).alias("f")).collect()
+    for r in found:
+        text = texts[r["doc_id"]] or ""
+        wanted = [(m.start(), m.end(), m.group(), text[max(0, m.start() - pii._REACH) : m.start()]) for m in re.finditer("[0-9]+", text)]
+        assert [tuple(x) for x in r["f"]] == wanted
+    assert max(len(r["f"]) for r in found) > 2 * pii._BLOCK
+
+
 def test_pii_base_spans_equal_plain_regexes(spark):
     rnd = random.Random(3)
     parts = ["a@b.co_x@d.com", "é🙂", "z@y.io", "1.2.3.4.5.6.7.8", "300.1.1.1.2", "0001.2.3.4", "4111-1111-1111-1111",

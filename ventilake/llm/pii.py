@@ -64,6 +64,8 @@ CONTEXT = {
 }
 AGAINST = r"(?i)(?:version|isbn|order|serial|invoice|article|chapter|\bno\.)[^\n]{0,12}$"
 _REACH = 32
+#: matches whose positions are added up in one array
+_BLOCK = 512
 
 
 def _digits(text: Column) -> Column:
@@ -98,22 +100,49 @@ def _checked(kind: str, text: Column) -> Column:
     }[kind]
 
 
+_SPAN = "struct<start:int,end:int,match:string,before:string>"
+
+
 def _found(text: Column, pattern: str, needs: str | None) -> Column:
-    """All matches as ``array<struct<start, end, match>>``."""
+    """All matches as ``array<struct<start, end, match, before>>``; ``before``: up to ``_REACH`` characters in front.
+
+    Linear in the text: an array grows by copying, so positions are added up within
+    blocks of matches, and what stands before a block from the blocks' lengths."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if needs is not None:
         matches = F.when(F.contains(text, F.lit(needs)), matches).otherwise(F.array().cast("array<string>"))
     between = F.split(text, pattern, -1)
-    sizes = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), matches, lambda b, m: F.struct(F.length(b).alias("gap"), m.alias("m")))
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    sizes = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), matches, lambda b, m: F.struct(F.length(b).alias("gap"), F.right(b, F.lit(_REACH)).alias("b"), m.alias("m")))
+    empty = F.array().cast(f"array<{_SPAN}>")
+    tail = lambda *parts: F.right(F.concat(*parts), F.lit(_REACH)).alias("tail")
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match")))).alias("out"))
+        span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match"), tail(acc["tail"], x["b"]).alias("before"))
+        return F.struct(end.alias("at"), tail(acc["tail"], x["b"], x["m"]), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def placed(block: Column, at: Column, before: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), before.alias("tail"), empty.alias("out")), add, lambda acc: acc["out"])
+
+    def in_blocks(sizes: Column) -> Column:
+        n_blocks = F.ceil(F.size(sizes) / _BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda i: F.slice(sizes, i * _BLOCK + 1, F.lit(_BLOCK)))
+        nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
+        over = lambda acc, x: F.struct((acc["at"] + x["gap"] + F.length(x["m"])).alias("at"), tail(acc["tail"], x["b"], x["m"]))
+        wholes = F.transform(blocks, lambda block: F.aggregate(block, nothing, over))
+        begin = F.struct(*[F.lit(v).alias(n) for n, v in (("at", 0), ("tail", ""))], F.array().cast("array<struct<at:int,tail:string>>").alias("out"))
+
+        def follow(acc: Column, x: Column) -> Column:
+            here = F.array(F.struct(acc["at"].alias("at"), acc["tail"].alias("tail")))
+            return F.struct((acc["at"] + x["at"]).alias("at"), tail(acc["tail"], x["tail"]), F.concat(acc["out"], here).alias("out"))
+
+        begins = F.aggregate(wholes, begin, follow, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, begins, lambda block, at: placed(block, at["at"], at["tail"])))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    return F.when(F.size(matches) > 0, F.aggregate(sizes, start, add, lambda acc: acc["out"])).otherwise(empty)
+    # a lambda's variable is computed once, an expression inside a lambda once for every element
+    found = F.transform(F.array(sizes), lambda s: F.when(F.size(s) > _BLOCK, in_blocks(s)).otherwise(placed(s, F.lit(0), F.lit(""))))
+    return F.when(F.size(matches) > 0, F.get(found, F.lit(0))).otherwise(empty)
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:
@@ -121,10 +150,10 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return (out.when(no, -1) if no is not None else out).otherwise(-1 if no is None else 0).cast("int")
 
 
-def _votes(kind: str, text: Column, span: Column, strict: bool) -> list[Column]:
+def _votes(kind: str, span: Column, strict: bool) -> list[Column]:
     """The labelers' votes on a span, in the order of ``LABELERS``: 1 yes, -1 no, 0 abstains."""
     m = span["match"]
-    digits, before = _digits(m), F.substring(text, F.greatest(span["start"] - _REACH + 1, F.lit(1)), F.least(F.lit(_REACH), span["start"]))
+    digits, before = _digits(m), span["before"]
     last = F.lower(F.regexp_extract(m, r"([A-Za-z0-9-]+)$", 1))
     checksum = {
         "email": m.rlike(r"(?:\.|dot[)\]]?) ?[A-Za-z]{2,}$"),
@@ -156,7 +185,7 @@ def _spans(text: Column, kind: str, strict: bool) -> Column:
         found = F.filter(found, lambda s: _checked(kind, s["match"]))
 
     def voted(s: Column) -> Column:
-        votes = [v.alias(n) for n, v in zip(LABELERS, _votes(kind, text, s, strict), strict=True)]
+        votes = [v.alias(n) for n, v in zip(LABELERS, _votes(kind, s, strict), strict=True)]
         return F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end"), F.lit(strict).alias("base"), *votes)
 
     return F.transform(found, voted)
