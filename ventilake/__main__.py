@@ -17,6 +17,7 @@ import os
 
 from .plans.daily import TABLES, run_files
 from .plans.incremental import run_changed
+from .plans.partials import PARTIALS, refresh
 from .session import build_session
 
 DIMENSIONS = (
@@ -55,6 +56,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
     run.add_argument("--real-only", action="store_true", help="household means over real sensors only")
     run.add_argument("--quarantine", action="store_true", help="keep lines that do not parse apart, with file and reason")
     run.add_argument("--changed-only", action="store_true", help="load only the days whose files changed since they were loaded")
+    run.add_argument("--partials", action="store_true", help="bring the stored partial sums per household-day up to date")
     run.add_argument("--master", default=None, help="default: the launcher's (spark-submit)")
     run.add_argument("--shuffle-partitions", type=int, default=200)
     args = parser.parse_args(argv)
@@ -67,8 +69,13 @@ def main(argv=None, spark=None) -> dict[str, str]:
     options = {"strict": args.strict, "real_only": args.real_only, "quarantine": args.quarantine}
     if args.changed_only:
         run_changed(spark, args.acq, args.store, dims, *span, **options)
-        return {name: os.path.join(args.store, name) for name in TABLES}
-    return run_files(spark, args.acq, args.store, dims, *span, **options)
+        paths = {name: os.path.join(args.store, name) for name in TABLES}
+    else:
+        paths = run_files(spark, args.acq, args.store, dims, *span, **options)
+    if args.partials:
+        refresh(spark, args.store, dims, *span)
+        paths[PARTIALS] = os.path.join(args.store, PARTIALS)
+    return paths
 
 
 if __name__ == "__main__":

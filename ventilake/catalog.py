@@ -21,9 +21,10 @@ from .operators import household as hh
 from .operators import lookups as lk
 from .operators import repair as rp
 from .operators import virtual as vr
-from .plans import daily, ingest
+from .plans import daily, ingest, partials
 from .plans import household as t4
 from .plans import weather as t5
+from .sinks import stores
 from .sinks import tables as sink
 from .sources import acq
 from .sources import driver_tables as dtab
@@ -229,6 +230,21 @@ def q_daily_real_hr(spark, sf_dir):
     return hh.daily_real_hr(_climate(spark, sf_dir))
 
 
+def q_daily_hr_partials(spark, sf_dir):
+    """A7 from stored partial sums: all raw days are stored, the sample day is
+    replaced by its first twelve hours, and only its partial sums are made anew."""
+    store, dims = stores.ManifestStore(sink.shared_dir(spark, "partials")), _dimensions(spark, sf_dir)
+    raw = _brut_logement(spark, sf_dir).drop("rid")
+    lo, hi = _day_span(raw)
+    store.replace(sink.with_day(raw), "brut_logement", lo, hi, ("capteur", "date"))
+    partials.refresh(spark, store, dims, lo, hi)
+    stored = store.read(spark, "brut_logement", acq.brut_schema("logement"))
+    morning = src.slice_days(stored, SAMPLE_DAY).where(F.hour("date") < 12)
+    store.replace(morning, "brut_logement", SAMPLE_DAY, SAMPLE_DAY + dt.timedelta(days=1), ("capteur", "date"))
+    partials.refresh(spark, store, dims, lo, hi)
+    return partials.real_means(spark, store, lo, hi)
+
+
 # -- weather station and fan box -----------------------------------------------
 
 
@@ -279,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "household_surface_sum": q_household_surface_sum,
     "household_balance": q_household_balance,
     "daily_real_hr": q_daily_real_hr,
+    "daily_hr_partials": q_daily_hr_partials,
     "wind_sector": q_wind_sector,
     "wind_speed_class": q_wind_speed_class,
     "weather_station": q_weather_station,

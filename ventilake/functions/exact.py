@@ -35,3 +35,36 @@ def exact_mean(value: Column) -> Column:
     """Aggregate: the mean of a double column, independent of the order of rows."""
     count = F.count(value)
     return F.when(count > 0, exact_sum(value) / count)
+
+
+#: what is kept of a group so that it can be merged with others
+PARTIAL = f"STRUCT<somme: DECIMAL(38,{SCALE}), brute: DOUBLE, autres: LONG, n: LONG>"
+
+
+def partial_sum(value: Column) -> Column:
+    """Aggregate: what a group gives to the sum and mean of a larger one (``PARTIAL``)."""
+    other = F.count(F.when(F.abs(value) >= F.lit(LIMIT), 1))
+    return F.struct(
+        F.sum(_fixed(value)).alias("somme"),
+        F.when(other > 0, F.sum(value)).alias("brute"),
+        other.alias("autres"),
+        F.count(value).alias("n"),
+    ).cast(PARTIAL)
+
+
+def merged_count(partial: Column) -> Column:
+    """Aggregate over partials: the number of values."""
+    return F.coalesce(F.sum(partial["n"]), F.lit(0))
+
+
+def merged_sum(partial: Column) -> Column:
+    """Aggregate over partials: :func:`exact_sum` of all their values, with the same bits for any
+    split into partials (but for a plain sum, which depends on the order there as here)."""
+    plain = F.sum(F.coalesce(partial["brute"], partial["somme"].cast("double")))
+    return F.when(F.sum(partial["autres"]) > 0, plain).otherwise(F.sum(partial["somme"]).cast("double"))
+
+
+def merged_mean(partial: Column) -> Column:
+    """Aggregate over partials: :func:`exact_mean` of all their values."""
+    count = merged_count(partial)
+    return F.when(count > 0, merged_sum(partial) / count)

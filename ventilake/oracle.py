@@ -400,6 +400,11 @@ FROM s1b"""
     q["household_balance"] = _brut_stages() + household_output()
     q["daily_real_hr"] = _brut_stages() + f"""SELECT CAST(dayofyear(date) AS INTEGER) AS jour, logement, {r4(exact_mean('h1'))} AS hr_moyen
 FROM s1b WHERE reel GROUP BY dayofyear(date), logement"""
+    # the sample day was replaced by its first twelve hours
+    q["daily_hr_partials"] = _brut_stages() + f"""SELECT CAST(dayofyear(date) AS INTEGER) AS jour, logement,
+       {r4(exact_mean('t1'))} AS temperature_moyenne, {r4(exact_mean('h1'))} AS hr_moyen, count(h1) AS mesures_hr
+FROM s1b WHERE reel AND NOT (CAST(date AS DATE) = DATE '{SAMPLE_DAY}' AND hour(date) >= 12)
+GROUP BY dayofyear(date), logement"""
 
     q["wind_sector"] = with_(RAW, STATION_DAY, station_wind("st")) + "SELECT rid, capteur, date, o AS orientation, bousole FROM wind2"
     q["wind_speed_class"] = with_(RAW, STATION_DAY, station_wind("st")) + f"SELECT rid, capteur, date, {r4('v')} AS vitesse_vent, tranche_vent FROM wind2"

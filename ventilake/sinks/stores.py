@@ -21,6 +21,7 @@ its number taken, reads the manifest again and puts its range on top.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
 import uuid
@@ -62,6 +63,16 @@ class FolderStore:
         """Replace all days of ``[day_from, day_to)`` by the rows of ``df`` (column ``day``)."""
         tables.replace_range(df, self.path(table), day_from, day_to, sort_by)
 
+    def replace_some(self, df: DataFrame, table: str, days: Sequence[dt.date], sort_by: Sequence[str] = ()) -> None:
+        """Replace ``days``, which need not follow each other, by one write; each of them must have rows."""
+        tables.replace_days(df.where(F.col(DAY).isin(list(days))), self.path(table), (DAY,), sort_by)
+
+    def stamps(self, spark: SparkSession, table: str, day_from: dt.date, day_to: dt.date) -> dict[dt.date, str]:
+        """A text per stored day of the range that changes whenever the day is replaced (from its file names)."""
+        files = tables.day_files(spark, self.path(table), day_from, day_to)
+        names = {folder: "\n".join(sorted(os.path.basename(f) for f in held)) for folder, held in files.items()}
+        return {dt.date.fromisoformat(k.split("=", 1)[1]): hashlib.sha256(v.encode()).hexdigest() for k, v in names.items()}
+
     def days(self, spark: SparkSession, table: str) -> list[dt.date]:
         """The stored days, from the folder names."""
         return sorted(tables.day_folders(spark, self.path(table)))
@@ -111,11 +122,11 @@ class ManifestStore:
         day = dt.date.fromisoformat
         return numbers[-1], [Entry(day(e["from"]), day(e["to"]), e["version"]) for e in json.loads(text)]
 
-    def publish(self, spark: SparkSession, table: str, new: Entry, attempts: int = 20) -> int:
-        """Switch the days of ``new`` to its version, by one rename; the number of the new manifest."""
+    def publish(self, spark: SparkSession, table: str, *new: Entry, attempts: int = 20) -> int:
+        """Switch the days of each entry to its version, by one rename; the number of the new manifest."""
         for _ in range(attempts):
             number, entries = self.manifest(spark, table)
-            body = [{"from": str(e.day_from), "to": str(e.day_to), "version": e.version} for e in put(entries, new)]
+            body = [{"from": str(e.day_from), "to": str(e.day_to), "version": e.version} for e in reduce(put, new, entries)]
             fs, folder, _ = self._manifests(spark, table)
             beside = tables.hadoop_path(spark, f"{folder.toString()}/_{uuid.uuid4().hex}")
             stream = fs.create(beside, False)
@@ -129,13 +140,25 @@ class ManifestStore:
 
     def replace(self, df: DataFrame, table: str, day_from: dt.date, day_to: dt.date, sort_by: Sequence[str] = ()) -> None:
         """Replace all days of ``[day_from, day_to)`` by the rows of ``df`` (column ``day``), all at once."""
+        version = self._write(df.where((F.col(DAY) >= F.lit(day_from)) & (F.col(DAY) < F.lit(day_to))), table, sort_by)
+        self.publish(df.sparkSession, table, Entry(day_from, day_to, version))
+
+    def replace_some(self, df: DataFrame, table: str, days: Sequence[dt.date], sort_by: Sequence[str] = ()) -> None:
+        """Replace ``days``, which need not follow each other, by one write and one switch."""
+        version = self._write(df.where(F.col(DAY).isin(list(days))), table, sort_by)
+        self.publish(df.sparkSession, table, *[Entry(d, d + dt.timedelta(days=1), version) for d in days])
+
+    def _write(self, df: DataFrame, table: str, sort_by: Sequence[str]) -> str:
         version = f"v{uuid.uuid4().hex}"
-        inside = df.where((F.col(DAY) >= F.lit(day_from)) & (F.col(DAY) < F.lit(day_to)))
-        out = tables.rebalanced(inside, (DAY,))
+        out = tables.rebalanced(df, (DAY,))
         if sort_by:
             out = out.sortWithinPartitions(DAY, *sort_by)
         out.write.partitionBy(DAY).parquet(f"{self.path(table)}/version={version}")
-        self.publish(df.sparkSession, table, Entry(day_from, day_to, version))
+        return version
+
+    def stamps(self, spark: SparkSession, table: str, day_from: dt.date, day_to: dt.date) -> dict[dt.date, str]:
+        """A text per stored day of the range that changes whenever the day is replaced: its version."""
+        return {d: v for d, v in self._versions(spark, table) if day_from <= d < day_to}
 
     def read(self, spark: SparkSession, table: str, schema: str, day_from: dt.date | None = None, day_to: dt.date | None = None) -> DataFrame:
         """Rows of the days ``[day_from, day_to)`` in their current versions (either may be left out)."""
@@ -158,10 +181,13 @@ class ManifestStore:
 
     def days(self, spark: SparkSession, table: str) -> list[dt.date]:
         """The stored days: those of the current versions that have rows."""
-        out = []
-        for e in self.manifest(spark, table)[1]:
-            out += [d for d in tables.day_folders(spark, f"{self.path(table)}/version={e.version}") if e.day_from <= d < e.day_to]
-        return sorted(out)
+        return sorted(d for d, _ in self._versions(spark, table))
+
+    def _versions(self, spark: SparkSession, table: str) -> list[tuple[dt.date, str]]:
+        """The days that have rows, each with its current version: one listing per version."""
+        entries = self.manifest(spark, table)[1]
+        held = {v: tables.day_folders(spark, f"{self.path(table)}/version={v}") for v in {e.version for e in entries}}
+        return [(d, e.version) for e in entries for d in held[e.version] if e.day_from <= d < e.day_to]
 
     def vacuum(self, spark: SparkSession, table: str) -> list[str]:
         """Remove older manifests and the versions that the newest one does not name; the versions removed.

@@ -86,7 +86,7 @@ def day_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
     return out
 
 
-def _files(spark: SparkSession, path: str, day_from: dt.date, day_to: dt.date) -> dict[str, set[str]]:
+def day_files(spark: SparkSession, path: str, day_from: dt.date, day_to: dt.date) -> dict[str, set[str]]:
     """The files of the stored days of a range, by day folder: one listing for all days."""
     folders = [f for d, f in day_folders(spark, path).items() if day_from <= d < day_to]
     out: dict[str, set[str]] = {}
@@ -103,10 +103,10 @@ def replace_range(df: DataFrame, path: str, day_from: dt.date, day_to: dt.date,
     that it left as they were had no rows and are then overwritten with nothing.
     The files are listed once before and once after, whatever the range."""
     spark = df.sparkSession
-    before = _files(spark, path, day_from, day_to)
+    before = day_files(spark, path, day_from, day_to)
     inside = (F.col(DAY) >= F.lit(day_from)) & (F.col(DAY) < F.lit(day_to))
     replace_days(df.where(inside), path, (DAY,), sort_by)
-    after = _files(spark, path, day_from, day_to)
+    after = day_files(spark, path, day_from, day_to)
     empty = spark.createDataFrame([], df.drop(DAY).schema)
     for folder, files in before.items():
         if files & after.get(folder, set()):
