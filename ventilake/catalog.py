@@ -21,7 +21,7 @@ from .operators import household as hh
 from .operators import lookups as lk
 from .operators import repair as rp
 from .operators import virtual as vr
-from .plans import daily, ingest, partials
+from .plans import daily, ingest, partials, placed
 from .plans import household as t4
 from .plans import weather as t5
 from .sinks import stores
@@ -226,6 +226,15 @@ def q_household_balance(spark, sf_dir):
     return t4.household_balance(_brut_logement(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
+def q_household_balance_placed(spark, sf_dir):
+    """T4 from readings stored by household and slot: written once, then read without moving them."""
+    store, dims = stores.ManifestStore(sink.shared_dir(spark, "placed")), _dimensions(spark, sf_dir)
+    raw = _brut_logement(spark, sf_dir).drop("rid")
+    lo, hi = _day_span(raw)
+    store.replace(sink.with_day(raw), "brut_logement", lo, hi, ("capteur", "date"))
+    return placed.placed_balance(placed.place(spark, store, dims, lo, hi), dims)
+
+
 def q_daily_real_hr(spark, sf_dir):
     return hh.daily_real_hr(_climate(spark, sf_dir))
 
@@ -294,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "household_flow_sum": q_household_flow_sum,
     "household_surface_sum": q_household_surface_sum,
     "household_balance": q_household_balance,
+    "household_balance_placed": q_household_balance_placed,
     "daily_real_hr": q_daily_real_hr,
     "daily_hr_partials": q_daily_hr_partials,
     "wind_sector": q_wind_sector,

@@ -398,6 +398,7 @@ FROM s1b"""
     q["household_flow_sum"] = _brut_stages() + f"SELECT rid, capteur, logement, date, type, {r4('sde_row')} AS somme_debits_extraits FROM s9"
     q["household_surface_sum"] = _brut_stages() + f"SELECT rid, capteur, logement, date, type, {r4('a4_row')} AS somme_surface_equivalente FROM s9"
     q["household_balance"] = _brut_stages() + household_output()
+    q["household_balance_placed"] = q["household_balance"]
     q["daily_real_hr"] = _brut_stages() + f"""SELECT CAST(dayofyear(date) AS INTEGER) AS jour, logement, {r4(exact_mean('h1'))} AS hr_moyen
 FROM s1b WHERE reel GROUP BY dayofyear(date), logement"""
     # the sample day was replaced by its first twelve hours

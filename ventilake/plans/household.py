@@ -15,6 +15,8 @@ database lookups and six aggregate join-backs:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +58,16 @@ def _with_rid(readings: DataFrame) -> DataFrame:
     return readings.withColumn("rid", F.lit(None).cast("bigint"))
 
 
-def calibrated_climate(readings: DataFrame, sensors: DataFrame) -> DataFrame:
+def calibrated_climate(readings: DataFrame, sensors: DataFrame, placed: Sequence[str] = ()) -> DataFrame:
     """Phase 1: J1 + J2 + F2 + F3.  ``sensors``: :func:`lookups.sensor_dimension`.
-    Keeps the raw counts as ``raw_*`` columns."""
+    Keeps the raw counts as ``raw_*`` columns.  ``placed``: columns that both sides
+    are stored or shuffled by, joined on as well (``plans.placed``)."""
     # the measures travel as one array: every branch that an aggregate is joined
     # back to then asks for the same columns, and the shuffles below are reused
-    r = _with_rid(readings).select("rid", "capteur", "date", F.array(*MEASURES).alias("__raw"))
-    joined = hh.keyed(r.join(sensors, r["capteur"] == sensors["id_capteur"], "inner").drop("id_capteur"))
+    r = _with_rid(readings).select("rid", "capteur", "date", *placed, F.array(*MEASURES).alias("__raw"))
+    at = {c: f"__at_{c}" for c in placed}
+    same = [F.col("capteur") == F.col("id_capteur"), *[F.col(c) == F.col(a) for c, a in at.items()]]
+    joined = hh.keyed(r.join(sensors.withColumnsRenamed(at), same, "inner").drop("id_capteur", *at.values()))
     joined = joined.withColumns({f"raw_{m}": F.col("__raw")[i] for i, m in enumerate(MEASURES)}).drop("__raw")
     t = fx.temperature("raw_temperature", "__fct_t")
     return joined.withColumn("temperature", F.when(F.col("reel"), t).otherwise(F.lit(0.0))).withColumn(
@@ -143,9 +148,9 @@ def calibrated_flow(filled: DataFrame, pages: dict[str, bd.Pages | None] | None
     return stage.drop(*[c for c in stage.columns if c.startswith("__") and c != "__fct_s"])
 
 
-def balance(flow: DataFrame) -> DataFrame:
+def balance(flow: DataFrame, keys: Sequence[str] = hh.KEYS) -> DataFrame:
     """Phase 4: household totals, real pressure and real flow."""
-    out = flow.join(hh.household_totals(flow), list(hh.KEYS), "inner")
+    out = flow.join(hh.household_totals(flow, keys), list(keys), "inner")
     out = out.withColumn("pression_reelle", fx.real_pressure("somme_debits_extraits", "somme_surface_equivalente"))
     return out.withColumn("debit_reelle", fx.real_flow("somme_surface_equivalente", "pression_reelle"))
 
@@ -168,9 +173,16 @@ def household_stages(
     virtual sensors as 0.0).  ``pages`` (:func:`band_pages`): for sensors with very
     many bands.  Nothing runs while the frames are built."""
     climate = calibrated_climate(readings, lk.sensor_dimension(dims, BANDS, pages))
-    filled = hh.fill_virtual(climate, hh.household_means(climate, real_only=real_only))
+    return climate_stages(climate, real_only, pages)
+
+
+def climate_stages(
+    climate: DataFrame, real_only: bool = False, pages: dict[str, bd.Pages | None] | None = None, keys: Sequence[str] = hh.KEYS
+) -> dict[str, DataFrame]:
+    """Phases 2 to 4 on the rows of phase 1; ``keys`` make up a household-minute."""
+    filled = hh.fill_virtual(climate, hh.household_means(climate, keys, real_only), keys)
     flow = calibrated_flow(filled, pages)
-    return {"climate": climate, "filled": filled, "flow": flow.drop("__fct_s"), "final": balance(flow)}
+    return {"climate": climate, "filled": filled, "flow": flow.drop("__fct_s"), "final": balance(flow, keys)}
 
 
 def household_balance(
