@@ -127,3 +127,24 @@ def test_means_read_partial_sums_only(spark):
         g = got.pop(r["logement"])
         assert (g["temperature_moyenne"], g["hr_moyen"], g["mesures_hr"]) == (r["t"], r["h"], r["n"])
     assert not got and {r["mois"] for r in out.collect()} == {dt.date(2021, 2, 1)}
+
+
+def test_command_line_keeps_partial_sums(spark, tmpdir_fresh):
+    import os
+
+    from test_sources_sinks import _write
+    from ventilake.__main__ import DIMENSIONS, main
+
+    root, dims_dir, dims = os.path.join(tmpdir_fresh, "acq"), os.path.join(tmpdir_fresh, "dims"), _dims(spark)
+    _write(root, "Salle 1 162 le 03 02 2021.acq", ["03/02/2021 10:00\t2600\t400\t100\t200\t409"])
+    sensor = spark.createDataFrame([("162", "L1", "Sejour", "EA", True)], dims["capteur"].schema)
+    dims["capteur"] = dims["capteur"].union(sensor)
+    factor = spark.createDataFrame([("162", 1.0)], dims["facteur_temperature"].schema)
+    dims["facteur_temperature"] = dims["facteur_temperature"].union(factor)
+    for name in DIMENSIONS:
+        dims[name].coalesce(1).write.parquet(os.path.join(dims_dir, name))
+    store = sink.shared_dir(spark, "cli_partials")
+    args = ["run", "2021-02-03", "2021-02-04", "--acq", root, "--store", store, "--dims", dims_dir, "--partials"]
+    assert pt.PARTIALS in main(args, spark=spark)
+    rows = pt.real_means(spark, store, "2021-02-03", "2021-02-04").collect()
+    assert [(r["jour"], r["logement"], r["mesures_hr"]) for r in rows] == [(34, "L1", 1)]
