@@ -102,3 +102,16 @@ def test_a_hot_household_lies_in_many_buckets(spark):
     )
     at = pl.with_place(hot, pl.households(_dims(spark)["capteur"])).groupBy(*pl.PLACE).count().collect()
     assert len(at) == pl.SLOTS and max(r["count"] for r in at) < 2 * 5000 / pl.SLOTS
+
+
+def test_a_sensor_goes_to_the_slots_that_hold_its_readings_alone(spark, monkeypatch):
+    store, dims = _filled(spark, stores.ManifestStore)
+    idle = spark.range(1000).select(F.concat(F.lit("idle"), "id").alias("id_capteur"), F.lit("L1").alias("logement"))
+    dims["capteur"] = dims["capteur"].unionByName(idle, allowMissingColumns=True)
+    table = pl.place(spark, store, dims, D[0], D[4], buckets=4)
+    sent, climate = [], pl.calibrated_climate
+    monkeypatch.setattr(pl, "calibrated_climate", lambda readings, sensors, at: sent.append(sensors) or climate(readings, sensors, at))
+    got = _rows(pl.placed_balance(table, dims, buckets=4))
+    assert got and got == _direct(spark, store, dims, D[0], D[4])
+    here = {(r["capteur"], r["logement"], r[pl.SLOT]) for r in table.collect()}
+    assert sorted(sent[0].select("id_capteur", *pl.PLACE).collect()) == sorted(here)

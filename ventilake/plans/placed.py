@@ -4,8 +4,9 @@ The joins and aggregates of the household transform all work within one
 household-minute.  :func:`place` stores the readings of a range of days with their
 household and a slot (a hash of the minute, ``SLOTS`` of them), bucketed and sorted by
 (household, slot).  The sensors are joined on (household, slot, sensor): one row per
-sensor and slot, a dimension times a constant, is shuffled to the buckets instead of
-the readings.  Means, totals and their join-backs are grouped by (household, slot, minute),
+sensor and slot that hold readings is shuffled to the buckets instead of the readings.
+These places are few columns of few rows, found within the buckets and written first;
+a sensor without readings goes nowhere.  Means, totals and their join-backs are grouped by (household, slot, minute),
 which lies within a bucket as well.  With ``SETTINGS`` no reading is moved, whether the
 sensors are broadcast or not; without them the rows are the same.  A household that holds a third of all rows is
 spread over its slots.
@@ -105,14 +106,21 @@ def place(
     return spark.table(name)
 
 
+def places(placed: DataFrame) -> DataFrame:
+    """Sensor, household and slot of the placed readings, each once, kept in the checkpoint folder."""
+    return placed.select("capteur", *PLACE).distinct().checkpoint(eager=True)
+
+
 def placed_balance(
     placed: DataFrame, dims: dict[str, DataFrame], slots: int = SLOTS, buckets: int = BUCKETS, real_only: bool = False, pages=None
 ) -> DataFrame:
-    """T4 on placed readings: the rows of ``household.household_balance``.
+    """T4 on placed readings: the rows of ``household.household_balance`` (:func:`places` runs a job).
 
+    ``slots``: those of the placed table, read from its rows.
     ``pages`` (``household.band_pages``): sensors with very many bands are looked up by a
     join of their own, which may move the readings."""
     sensors = lk.sensor_dimension(dims, BANDS, pages)
-    every = sensors.withColumn(SLOT, F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    at = places(placed).withColumnRenamed("capteur", "id_capteur")
+    every = sensors.join(at, ["id_capteur", "logement"])
     climate = calibrated_climate(placed, every.repartition(buckets, *PLACE), PLACE)
     return climate_stages(climate, real_only, pages, KEYS)["final"].select(*OUTPUT_COLUMNS)
