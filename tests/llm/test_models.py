@@ -130,3 +130,21 @@ def test_pipeline_stages_take_effect(spark):
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.collect()}
     norm = ["".join(r["text"].split()) for r in kept.collect()]
     assert len(norm) == len(set(norm))
+
+
+def test_the_toxicity_sample_is_trained_on_by_a_task(spark, monkeypatch):
+    texts = [f"vile {w} talk" if i % 3 == 0 else f"kind {w} talk" for i, w in enumerate("abcdefghij" * 6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(len(texts))], "doc_id long, toxic int")
+
+    def gathered(self):
+        raise AssertionError("the sample came to the driver")
+
+    monkeypatch.setattr(type(docs), "toArrow", gathered)
+    weights, bias = tx.fit(docs, labels)
+    chosen = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5]
+    sets = {i: tx.sampled(tx.columns_of(texts[i])) for i in chosen}
+    order = sorted(chosen, key=lambda i: (i, sets[i].tobytes()))
+    toxic = [i for i in order if i % 3 == 0]
+    want, cut = tx.train([sets[i] for i in toxic], [sets[i] for i in order], len(toxic) / len(order))
+    assert want.any() and (weights == want).all() and bias == cut

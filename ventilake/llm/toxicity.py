@@ -21,8 +21,8 @@ same way; scores are 0.5 there.
 
 The prior is counted over all training labels.  The sample is bounded by
 ``positives`` and ``unlabelled`` rows, chosen by hash of the id, and
-``SAMPLE_COLUMNS`` columns of each (32 KB); training takes
-place on the driver, scoring in Arrow batches on the executors.
+``SAMPLE_COLUMNS`` columns of each (32 KB); one task trains on it, the driver
+gets the weights that are not zero, and Arrow batches are scored on the executors.
 
 Defined cases: null and empty texts have no columns and get the intercept's
 score; without positive or without unlabelled rows every score is the prior
@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventilake.llm.common import fold, fresh, id_text
+from ventilake.llm.common import checkpointed, fold, forget, fresh, id_text
 
 COLUMNS = 1 << 18
 POSITIVES = 4_000
@@ -170,18 +170,40 @@ def train(
     return w, -_cut(np.bincount(po, w[pc], len(positive)), np.bincount(uo, w[uc], len(unlabelled)), prior)
 
 
-def _sample(docs: DataFrame, chosen: DataFrame) -> list[tuple[int, np.ndarray]]:
-    """The columns of the chosen documents (``doc_id, positive``), a bounded number."""
+def _sample(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``positive, doc_id, columns`` of the chosen documents (``doc_id, positive``), a bounded number, kept in the shared folder."""
     rows = docs.join(F.broadcast(chosen), "doc_id")
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"positive": frame["positive"], "doc_id": frame["doc_id"], "columns": [sampled(columns_of(t)).tobytes() for t in frame["text"]]})
 
-    found = rows.mapInPandas(build, "positive int, doc_id long, columns binary").toArrow().sort_by([("doc_id", "ascending"), ("columns", "ascending")])
-    # views of the gathered bytes, no copies
-    columns = [np.frombuffer(v.as_buffer(), dtype=np.int32) for v in found["columns"]]
-    return list(zip(found["positive"].to_pylist(), columns, strict=True))
+    return checkpointed(rows.mapInPandas(build, "positive int, doc_id long, columns binary"))
+
+
+def _trained(sample: DataFrame, prior: float) -> tuple[np.ndarray, float]:
+    """The model of a sample, trained by one task: only weights that are not zero come to the driver."""
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pos, unl = [], []
+        for frame in frames:
+            for positive, columns in zip(frame["positive"], frame["columns"], strict=True):
+                (pos if positive else unl).append(np.frombuffer(columns, dtype=np.int32))
+        if not pos or not unl:
+            weights, bias = np.zeros(COLUMNS), float(np.log(prior / (1 - prior)))
+        else:
+            weights, bias = train(pos, unl, prior)
+        kept = np.flatnonzero(weights)
+        yield pd.DataFrame({"at": [kept.astype(np.int32).tobytes()], "weights": [weights[kept].tobytes()], "bias": [bias]})
+
+    # the sample is in the shared folder already, so one task reads it and nothing else
+    rows = sample.coalesce(1).sortWithinPartitions("doc_id", "columns").select("positive", "columns")
+    model = rows.mapInPandas(learn, "at binary, weights binary, bias double").first()
+    weights = np.zeros(COLUMNS)
+    if model is None:  # a table without partitions
+        return weights, float(np.log(prior / (1 - prior)))
+    weights[np.frombuffer(model["at"], dtype=np.int32)] = np.frombuffer(model["weights"])
+    return weights, model["bias"]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id: str = "doc_id", positives: int = POSITIVES, unlabelled: int = UNLABELLED, folds: int = FOLDS, held_out: int = 0) -> tuple[np.ndarray, float]:
@@ -195,12 +217,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = F.xxhash64("doc_id")
     plus = marked.where("y > 0").orderBy(order, "doc_id").limit(positives).select("doc_id", F.lit(1).alias("positive"))
     rest = marked.orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(0).alias("positive"))
-    sets = _sample(id_text(docs, id_col, text_col), plus.union(rest))
-    pos, unl = [s for k, s in sets if k], [s for k, s in sets if not k]
-    prior = toxic / seen
-    if not pos or not unl:
-        return np.zeros(COLUMNS), float(np.log(prior / (1 - prior)))
-    return train(pos, unl, prior)
+    sample = _sample(id_text(docs, id_col, text_col), plus.union(rest))
+    model = _trained(sample, toxic / seen)
+    forget(sample)
+    return model
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", score_col: str = "score") -> DataFrame:
