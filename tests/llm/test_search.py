@@ -24,7 +24,7 @@ DOCS = "doc_id long, text string"
 def test_oracle_sql(spark, name):
     out = q.queries()[name](spark, SF_SMALL)
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     columns = sorted(out.columns)
     got = sorted(map(str, (tuple(r[c] for c in columns) for r in out.collect())))
