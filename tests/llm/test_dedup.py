@@ -1,6 +1,7 @@
 """Exact, near and passage deduplication against brute force."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ventilake.llm import near_dedup as nd
 from ventilake.llm import paragraph_dedup as pd8
+from ventilake.llm.common import shared_folder
 from ventilake.llm.components import connected_components
 from ventilake.llm.decontaminate import drop_contaminated
 from ventilake.llm.exact_dedup import drop_exact_copies, exact_dedup
@@ -311,6 +313,46 @@ def test_paragraphs_of_an_empty_table_and_of_one_document(spark):
     assert pd8.repeated_paragraphs(spark.createDataFrame([(1, "a b c\na b c")], DOCS)).collect() == []
 
 
+def _bytes_below(folder):
+    sizes = []
+    for d, _, names in os.walk(folder):
+        sizes += [os.path.getsize(os.path.join(d, f)) for f in names]
+    return sum(sizes)
+
+
+def test_the_units_are_gone_while_paragraphs_are_compared(spark, monkeypatch):
+    rnd = random.Random(51)
+    alike = _words(rnd, 40, 10**7)
+    rows = [(i, "\n".join(" ".join(_words(rnd, 12, 10**7)) for _ in range(100))) for i in range(60)]
+    rows += [(60, " ".join(alike)), (61, " ".join([*alike[:-1], "else"]))]
+    folder = shared_folder(spark).removeprefix("file:")
+    before, held = _bytes_below(folder), []
+
+    def compared(*args):
+        held.append(_bytes_below(folder) - before)
+        return nd.class_components(*args)
+
+    monkeypatch.setattr(pd8, "class_components", compared)
+    got = pd8.repeated_paragraphs(spark.createDataFrame(rows, DOCS)).select("doc_id", "start", "end", "removed").collect()
+    assert {(60, 0, 40, False), (61, 0, 40, True)} <= {tuple(r) for r in got}
+    # 6,000 lines that resemble no other one, of 25 bytes and ten bands each, are not kept until then
+    assert held[0] < 6000 * 25
+
+
+def test_paragraphs_of_rows_that_repeat_an_id_are_compared_once(spark):
+    rnd = random.Random(52)
+    a, other = _words(rnd, 40, 10**7), _words(rnd, 30, 10**7)
+    line, edited = " ".join(a), " ".join([*a[:-1], "else"])
+    rows = [(1, line), (1, line), (1, line + "\n" + " ".join(other)), (1, " ".join(other)), (2, edited), (2, edited + "\nand"), (None, line)]
+    docs = spark.createDataFrame(rows, DOCS)
+    places = pd8._candidates(pd8._units(docs, 24, 51, 10), 10)
+    sets = pd8._sets_of(docs, places, places.select("id")).collect()
+    # both lines and the two blocks that hold them
+    assert sorted(len(r["shingles"]) for r in sets) == [36, 36, 37, 66] and len({r["id"] for r in sets}) == 4
+    got = {tuple(r) for r in pd8.repeated_paragraphs(docs).select("doc_id", "start", "end", "n_docs", "removed").collect()}
+    assert {(1, 0, 40, 2, False), (2, 0, 40, 2, True)} <= got
+
+
 # -- the filters of the pipeline, with null and repeated ids ---------------------------
 
 

@@ -19,7 +19,8 @@ Two kinds of units are compared, as one set each of five-word shingles:
 3. Distinct paragraphs get bands of three MinHash values, ten each: a pair at
    Jaccard 0.8 is missed with probability 7.7e-4, at 0.9 with 2e-6.  Those that
    share a band are compared on their full sets (exact Jaccard) by the rounds of
-   hubs that ``near_dedup`` describes, never in all pairs.
+   hubs that ``near_dedup`` describes, never in all pairs.  Until then only they
+   and the units that occur in several documents are kept.
 4. Components of similar classes that occur in two or more documents are the
    repeats.  One occurrence, in the smallest id at the smallest position, stays;
    all others are to be removed, save units of the same document that overlap it.
@@ -63,7 +64,6 @@ ROWS = 3
 #: similarity threshold in hundredths
 THRESHOLD = 80
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_LENGTH = (1 << 32) - 1
 
 
 def starts_of(hashes: np.ndarray, per_unit: int, stretch: int) -> np.ndarray:
@@ -267,41 +267,52 @@ def _read(rows: DataFrame, wanted: DataFrame, build: Callable, schema: str, fini
 
 def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """``id, shingles`` of the wanted ids, built again at one of their places (``id, k1, k2, doc_id, start, length``)."""
-    place = F.shiftleft(F.col("start").cast("long"), 32) + F.col("length")
-    wanted = checkpointed(places.join(wanted, "id", "left_semi"))
-    chosen = wanted.groupBy("doc_id").agg(F.collect_set(place).alias("wanted"))
+    ask = ["id", "k1", "k2", "start", "length"]
+    chosen = places.join(wanted, "id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct(*ask)).alias("wanted"))
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids, sets = [], []
             for text, wanted in zip(frame["text"], frame["wanted"], strict=True):
                 words = words_of(text)
-                spans = [(p >> 32, p & _LENGTH) for p in sorted(map(int, wanted))]
-                spans = [(a, n) for a, n in spans if a + n <= len(words)]
-                if spans:
-                    every, begins, first, own = span_sets(words, shingle_hashes(words), spans)
-                    ids += own.tolist()
+                some = [p for p in wanted if p["start"] + p["length"] <= len(words)]
+                if some:
+                    every, begins, first, own = span_sets(words, shingle_hashes(words), [(p["start"], p["length"]) for p in some])
                     ends = [*begins[1:].tolist(), len(every)]
-                    sets += [every[a:b][first[a:b]].view(np.int64) for a, b in zip(begins.tolist(), ends, strict=True)]
-            yield pd.DataFrame({"k1": [i[0] for i in ids], "k2": [i[1] for i in ids], "shingles": sets})
-
-    def named(sets: DataFrame) -> DataFrame:
-        return sets.join(wanted.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "shingles").dropDuplicates(["id"])
-
-    sets = _read(rows, chosen, build, "k1 long, k2 long, shingles array<long>", named)
-    forget(wanted)
+                    for p, name, a, b in zip(some, own.tolist(), begins.tolist(), ends, strict=True):
+                        # another text with this id may hold something else there
+                        if name == [p["k1"], p["k2"]]:
+                            ids.append(p["id"])
+                            sets.append(every[a:b][first[a:b]].view(np.int64))
+            yield pd.DataFrame({"id": ids, "shingles": sets})
+
+    sets = _read(rows, chosen, build, "id long, shingles array<long>", lambda found: found)
+    if not sets.groupBy("id").count().where("count > 1").isEmpty():
+        # rows that repeat a doc_id
+        found, sets = sets, checkpointed(sets.dropDuplicates(["id"]))
+        forget(found)
     return sets
 
 
-def _linked(rows: DataFrame, units: DataFrame, of_paragraph: int, threshold: int) -> DataFrame:
-    """``k1, k2, component``: the paragraphs that are similar to another one, and the component they are in."""
+def _candidates(units: DataFrame, of_paragraph: int) -> DataFrame:
+    """The distinct paragraphs that share a band with another one: ``id, k1, k2, n_shingles, doc_id, start, length, bands`` (the shared ones)."""
     distinct = _banded(units, of_paragraph).dropDuplicates(["k1", "k2"])
     # a number of its own for every paragraph, fixed by writing the table
     distinct = checkpointed(distinct.withColumn("id", F.monotonically_increasing_id()))
-    places = distinct.select("id", "k1", "k2", "doc_id", "start", "length")
-    component = class_components(distinct.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold)
+    members = distinct.select("id", F.explode("bands").alias("band"))
+    shared = members.groupBy("band").count().where("count > 1").select("band")
+    bands = members.join(shared, "band").groupBy("id").agg(F.collect_list("band").alias("bands"))
+    out = checkpointed(distinct.drop("bands").join(bands, "id"))
+    forget(distinct)
+    return out
+
+
+def _linked(rows: DataFrame, candidates: DataFrame, threshold: int) -> DataFrame:
+    """``k1, k2, component``: the paragraphs that are similar to another one, and the component they are in."""
+    places = candidates.select("id", "k1", "k2", "doc_id", "start", "length")
+    component = class_components(candidates.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold)
     linked = checkpointed(places.select("id", "k1", "k2").join(component, "id").select("k1", "k2", "component"))
-    forget(distinct, component)
+    forget(component)
     return linked
 
 
@@ -312,16 +323,24 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     first one with the same set if that is in an earlier document, else ``kept``."""
     units = checkpointed(_units(rows, per_unit, run, of_paragraph))
     held = _unpacked(units, False).groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    names = held.where("low != high").select("k1", "k2", F.lit(True).alias("equal"))
     if of_paragraph:
-        held = held.join(_linked(rows, units, of_paragraph, threshold), ["k1", "k2"], "left")
-    else:
-        held = held.withColumn("component", F.lit(None).cast("long"))
-    known = held.where("component is not null or low != high").select("k1", "k2", "component")
+        candidates = _candidates(units, of_paragraph)
+        names = names.join(candidates.select("k1", "k2"), ["k1", "k2"], "full")
     # a passage of equal sets alone gets a number below 0
-    known = checkpointed(known.withColumn("own", -F.monotonically_increasing_id() - 1))
-    known = known.select("k1", "k2", F.coalesce("component", "own").alias("passage_id"))
-    place = checkpointed(_unpacked(units, True).join(known, ["k1", "k2"]))
+    names = checkpointed(names.withColumn("own", -F.monotonically_increasing_id() - 1))
+    # all that can repeat; the rest of the units is not kept while paragraphs are compared
+    place = checkpointed(_unpacked(units, True).join(names.select("k1", "k2"), ["k1", "k2"]))
     forget(units)
+    passage = F.col("own")
+    known = names
+    if of_paragraph:
+        linked = _linked(rows, candidates, threshold)
+        forget(candidates)
+        known = names.join(linked, ["k1", "k2"], "left").where("component is not null or equal")
+        passage = F.coalesce("component", "own")
+    possible, place = place, checkpointed(place.join(known.select("k1", "k2", passage.alias("passage_id")), ["k1", "k2"]))
+    forget(possible)
     unit = F.struct("doc_id", "start", "length")
     like = place.groupBy("k1", "k2").agg(F.min(unit).alias("like"))
     each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
