@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ventilake.llm import near_dedup as nd
 from ventilake.llm import paragraph_dedup as pd8
-from ventilake.llm.common import shared_folder
+from ventilake.llm.common import checkpointed, shared_folder
 from ventilake.llm.components import connected_components
 from ventilake.llm.decontaminate import drop_contaminated
 from ventilake.llm.exact_dedup import drop_exact_copies, exact_dedup
@@ -328,9 +328,9 @@ def test_the_units_are_gone_while_paragraphs_are_compared(spark, monkeypatch):
     folder = shared_folder(spark).removeprefix("file:")
     before, held = _bytes_below(folder), []
 
-    def compared(*args):
+    def compared(*args, **kwargs):
         held.append(_bytes_below(folder) - before)
-        return nd.class_components(*args)
+        return nd.class_components(*args, **kwargs)
 
     monkeypatch.setattr(pd8, "class_components", compared)
     got = pd8.repeated_paragraphs(spark.createDataFrame(rows, DOCS)).select("doc_id", "start", "end", "removed").collect()
@@ -353,6 +353,49 @@ def test_paragraphs_of_rows_that_repeat_an_id_are_compared_once(spark):
     assert {(1, 0, 40, 2, False), (2, 0, 40, 2, True)} <= got
 
 
+def test_pairs_of_a_common_band_that_cannot_be_linked_are_not_compared(spark, monkeypatch):
+    rnd = np.random.default_rng(53)
+    universe = rnd.integers(0, 2**64, 100, dtype=np.uint64)
+    sets = [np.sort(rnd.choice(universe, 75, replace=False)) for _ in range(60)]  # Jaccard 0.6 or so
+    for k in (7, 31):
+        twin = sets[k].copy()
+        twin[0] = np.setdiff1d(universe, sets[k])[0]
+        sets.append(np.sort(twin))
+    table = [(i, s.view(np.int64).tolist(), pd8._cells(s).tolist()) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(table, "id long, shingles array<long>, cells array<long>")
+    classes = spark.createDataFrame([(i, 75, [1]) for i in range(62)], "id long, n_shingles long, bands array<long>")
+    compared, confirmed = [], nd._confirmed
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return confirmed(pairs, *args)
+
+    monkeypatch.setattr(nd, "_confirmed", counted)
+    got = nd.class_components(classes, lambda ids: checkpointed(table.join(ids, "id")), 80, words=pd8.CELL_WORDS).collect()
+    assert {tuple(r) for r in got} == {(7, 7), (60, 7), (31, 31), (61, 31)}
+    # the hub's 61, then the links alone of the 1,830
+    assert compared[0] == 61 and sum(compared[1:]) <= 10
+
+
+def test_cells_bound_what_sets_have_in_common(spark):
+    rnd = np.random.default_rng(54)
+    rows, linked = [], set()
+    for k, n in enumerate([1, 4, 20, 200, 900, 3000] * 20):
+        a = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n - rnd.integers(0, n // 5 + 1)], rnd.integers(0, 2**64, n // 9, dtype=np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= 80 * (len(a) + len(b) - common):
+            linked.add(k)
+        row = [k]
+        for s in (a, b):
+            cells = pd8._cells(s)
+            row += [len(s), len(s) - int(np.bitwise_count(cells.view(np.uint64)).sum()), *cells.tolist()]
+        rows.append(tuple(row))
+    columns = [c + x for x in ("", "_x") for c in ("n_shingles", "spare", *(f"cell{i}" for i in range(pd8.CELL_WORDS)))]
+    left = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ["k", *columns])).where(nd._reach_by_cells(pd8.CELL_WORDS, 80))
+    assert len(linked) > 20 and linked <= {r["k"] for r in left.collect()}
+
+
 # -- the filters of the pipeline, with null and repeated ids ---------------------------
 
 

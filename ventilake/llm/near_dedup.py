@@ -177,6 +177,15 @@ def _reachable(n_a: Column, own_a: Column, n_b: Column, own_b: Column, threshold
     return 100 * common >= threshold * (n_a + n_b - common)
 
 
+def _reach_by_cells(words: int, threshold: int) -> Column:
+    """Whether two sets can reach the threshold, as the cells both occupy and the fewer shingles beyond one a cell
+    (``cell0 ..., spare`` of one, with ``_x`` of the other) are at least as many as what they have in common."""
+    most = F.least("spare", "spare_x")
+    for i in range(words):
+        most = most + F.bit_count(F.col(f"cell{i}").bitwiseAND(F.col(f"cell{i}_x")))
+    return (100 + threshold) * most >= threshold * (F.col("n_shingles") + F.col("n_shingles_x"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
@@ -190,13 +199,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def class_components(
-    classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: int = THRESHOLD, values: int = 0
+    classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: int = THRESHOLD, values: int = 0, words: int = 0
 ) -> DataFrame:
     """``id, component`` of the classes (``id, n_shingles, bands``) that are linked with another.
 
     ``sets_of`` turns a table of ids into ``id, shingles``, the full sets, kept
     in the shared folder.  ``values``: how many signature values the column
-    ``sketch`` holds; without sketches every pair of the rounds is compared."""
+    ``sketch`` holds; without sketches every pair of the rounds is compared.
+    ``words``: how many 64-bit words the column ``cells`` of the sets holds, a bit
+    for each cell that a shingle falls in; pairs of the rounds that cannot reach
+    the threshold by their cells are left out, which loses no link."""
     members = classes.select("id", "n_shingles", F.explode("bands").alias("band"))
     shared = members.groupBy("band").count().where("count > 1").select("band")
     candidates = checkpointed(members.join(shared, "band"))
@@ -236,6 +248,10 @@ def class_components(
             return component
         open_ = open_.join(mixed, "band")
         open_ = open_.join(classes.select("id", "bands", *["sketch"] * bool(values)), "id")
+        if words:
+            cells = [f"cell{i}" for i in range(words)]
+            open_ = open_.join(sets.select("id", *[F.col("cells")[i].alias(c) for i, c in enumerate(cells)]), "id")
+            open_ = open_.withColumn("spare", F.col("n_shingles") - sum(map(F.bit_count, cells), F.lit(0)))
         x = open_.where((F.col("rank") >= low) & (F.col("rank") < high)).select([F.col(c).alias(f"{c}_x") for c in open_.columns])
         # a pair is looked at in the first band that it shares, and there alone
         first = F.array_min(F.array_intersect("bands", "bands_x"))
@@ -243,6 +259,7 @@ def class_components(
             (F.struct("rank", "id") > F.struct("rank_x", "id_x"))
             & (F.col("component") != F.col("component_x"))
             & _reachable(F.col("n_shingles"), F.col("own"), F.col("n_shingles_x"), F.col("own_x"), threshold)
+            & (_reach_by_cells(words, threshold) if words else F.lit(True))
             & (first == F.col("band"))
             & (_agreeing(F.col("sketch"), F.col("sketch_x"), -(-values // 16), values, threshold) if values else F.lit(True))
         )

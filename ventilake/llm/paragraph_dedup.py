@@ -61,6 +61,8 @@ PARAGRAPH_BANDS = 10
 #: sets of fewer shingles are similar to no other set at the threshold (4 and 5 shingles can reach 0.8)
 LEAST = 4
 ROWS = 3
+#: 64-bit words of the cells that bound what two sets share; tight for sets of up to some hundred shingles
+CELL_WORDS = 16
 #: similarity threshold in hundredths
 THRESHOLD = 80
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -265,14 +267,21 @@ def _read(rows: DataFrame, wanted: DataFrame, build: Callable, schema: str, fini
     return out
 
 
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    """``CELL_WORDS`` words with a bit set for every cell, by leading bits, that a shingle falls in."""
+    at = np.zeros(CELL_WORDS * 64, dtype=bool)
+    at[shingles >> np.uint64(65 - (CELL_WORDS * 64).bit_length())] = True
+    return np.packbits(at).view(np.int64)
+
+
 def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, shingles`` of the wanted ids, built again at one of their places (``id, k1, k2, doc_id, start, length``)."""
+    """``id, shingles, cells`` of the wanted ids, built again at one of their places (``id, k1, k2, doc_id, start, length``)."""
     ask = ["id", "k1", "k2", "start", "length"]
     chosen = places.join(wanted, "id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct(*ask)).alias("wanted"))
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, sets = [], []
+            ids, sets, cells = [], [], []
             for text, wanted in zip(frame["text"], frame["wanted"], strict=True):
                 words = words_of(text)
                 some = [p for p in wanted if p["start"] + p["length"] <= len(words)]
@@ -284,9 +293,10 @@ def _sets_of(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame
                         if name == [p["k1"], p["k2"]]:
                             ids.append(p["id"])
                             sets.append(every[a:b][first[a:b]].view(np.int64))
-            yield pd.DataFrame({"id": ids, "shingles": sets})
+                            cells.append(_cells(every[a:b]))
+            yield pd.DataFrame({"id": ids, "shingles": sets, "cells": cells})
 
-    sets = _read(rows, chosen, build, "id long, shingles array<long>", lambda found: found)
+    sets = _read(rows, chosen, build, "id long, shingles array<long>, cells array<long>", lambda found: found)
     if not sets.groupBy("id").count().where("count > 1").isEmpty():
         # rows that repeat a doc_id
         found, sets = sets, checkpointed(sets.dropDuplicates(["id"]))
@@ -310,7 +320,7 @@ def _candidates(units: DataFrame, of_paragraph: int) -> DataFrame:
 def _linked(rows: DataFrame, candidates: DataFrame, threshold: int) -> DataFrame:
     """``k1, k2, component``: the paragraphs that are similar to another one, and the component they are in."""
     places = candidates.select("id", "k1", "k2", "doc_id", "start", "length")
-    component = class_components(candidates.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold)
+    component = class_components(candidates.select("id", "n_shingles", "bands"), lambda ids: _sets_of(rows, places, ids), threshold, words=CELL_WORDS)
     linked = checkpointed(places.select("id", "k1", "k2").join(component, "id").select("k1", "k2", "component"))
     forget(component)
     return linked
