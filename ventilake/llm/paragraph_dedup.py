@@ -333,24 +333,28 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     first one with the same set if that is in an earlier document, else ``kept``."""
     units = checkpointed(_units(rows, per_unit, run, of_paragraph))
     held = _unpacked(units, False).groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    names = held.where("low != high").select("k1", "k2", F.lit(True).alias("equal"))
+    names = held.withColumn("equal", F.col("low") != F.col("high")).select("k1", "k2", "equal")
     if of_paragraph:
         candidates = _candidates(units, of_paragraph)
-        names = names.join(candidates.select("k1", "k2"), ["k1", "k2"], "full")
-    # a passage of equal sets alone gets a number below 0
-    names = checkpointed(names.withColumn("own", -F.monotonically_increasing_id() - 1))
+        names = names.join(candidates.select("k1", "k2", F.lit(True).alias("banded")), ["k1", "k2"], "left").where("equal or banded").drop("banded")
+    else:
+        names = names.where("equal")
+    names = checkpointed(names.withColumn("at", F.monotonically_increasing_id()))
     # all that can repeat; the rest of the units is not kept while paragraphs are compared
     place = checkpointed(_unpacked(units, True).join(names.select("k1", "k2"), ["k1", "k2"]))
     forget(units)
-    passage = F.col("own")
-    known = names
+    # a passage of equal sets alone gets a number below 0, without gaps within what a task wrote
+    task = F.shiftright("at", 33)
+    own = -(F.shiftleft(task, 33) + F.row_number().over(Window.partitionBy(task).orderBy("at")))
+    passage, known = own, names
     if of_paragraph:
         linked = _linked(rows, candidates, threshold)
         forget(candidates)
         known = names.join(linked, ["k1", "k2"], "left").where("component is not null or equal")
-        passage = F.coalesce("component", "own")
-    possible, place = place, checkpointed(place.join(known.select("k1", "k2", passage.alias("passage_id")), ["k1", "k2"]))
-    forget(possible)
+        passage = F.coalesce("component", own)
+    known = checkpointed(known.select("k1", "k2", passage.alias("passage_id")))
+    possible, place = place, checkpointed(place.join(known, ["k1", "k2"]))
+    forget(names, known, possible)
     unit = F.struct("doc_id", "start", "length")
     like = place.groupBy("k1", "k2").agg(F.min(unit).alias("like"))
     each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
