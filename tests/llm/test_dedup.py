@@ -286,6 +286,66 @@ def test_runs_of_any_length_end_where_the_words_differ(spark):
     assert {(r["doc_id"], r["start"]): (r["low"], r["high"]) for r in got} == expected
 
 
+def test_runs_that_go_over_into_each_other_are_followed_once(spark, monkeypatch):
+    shared = [f"s{k}" for k in range(420)]
+    other = list(shared)
+    other[25 + 26 * 7] = "else"  # between the windows at 182 and 208
+    inside = list(shared)
+    inside[26 * 7 + 3] = "else"  # in the window at 182, which is taken for alike
+    rows = [(0, " ".join(shared)), (1, "x " + " ".join(shared) + " y"), (2, " ".join(other)), (3, " ".join(inside))]
+    windows = [(d, at + (d == 1), at, (0, at, 24)) for d in (1, 2, 3) for at in range(0, 380, 26)]
+    asked, further = [], pd8._further
+
+    def counted(rows, open_, *args):
+        asked.append(open_.where("side < 2").count())
+        return further(rows, open_, *args)
+
+    monkeypatch.setattr(pd8, "_further", counted)
+    removed = spark.createDataFrame(windows, "doc_id long, start int, passage_id long, like struct<doc_id:long,start:int,length:int>")
+    got = {(r["doc_id"], r["start"]): (r["low"], r["high"]) for r in pd8._runs(spark.createDataFrame(rows, DOCS), removed, 24, 28).collect()}
+    assert len(got) == len(windows)
+    for (doc_id, start), span in got.items():
+        if doc_id == 1:
+            assert span == (1, 421)
+        elif doc_id == 2:
+            assert span == ((0, 207) if start <= 182 else (208, 420))
+        else:
+            # the window itself goes on as far as the words beside it are alike
+            assert span == ((0, 185) if start < 182 else (0, 420) if start == 182 else (186, 420))
+    # both sides of 45 windows at first, then the ends of few stretches only
+    assert asked[0] == 90 and all(n <= 6 for n in asked[1:])
+
+
+def test_texts_cut_together_have_the_units_they_have_alone():
+    rnd = random.Random(61)
+    texts = ["", " \n", "a", "a b c d", "a b c d e", "a " * 200, "x y\n\nz w\n\n"]
+    for n in range(120):
+        seps = rnd.choice([[" "], [" "] * 9 + ["\n", "\n\n"], [" ", "\n"]])
+        vocabulary = rnd.choice([1, 2, 5, 40, 10**6])
+        texts.append("".join(f"w{rnd.randrange(vocabulary)}{rnd.choice(seps)}" for _ in range(n)))
+    factors = nd.multipliers(30)
+    together = pd8._cut(texts, 24, 51, 10, factors)
+    for text, (many, at, names, sizes, bands) in zip(texts, together, strict=True):
+        assert pd8._cut([text], 24, 51, 10, factors) == [(many, at, names, sizes, bands)]
+        words, spans = pd8.paragraphs(text)
+        at = np.frombuffer(at, dtype=np.int32).reshape(-1, 2).tolist()
+        starts = pd8.starts_of(nd.shingle_hashes(words), 24, 28).tolist()
+        assert many == len(spans) and [tuple(p) for p in at] == spans + [(a, 24) for a in starts]
+        sets = [nd.shingle_set(" ".join(w.decode() for w in words[a : a + n])) for a, n in at]
+        assert np.frombuffer(sizes, dtype=np.int32).tolist() == [len(s) for s in sets]
+        sums = [[(pd8._mixed(s, f).sum(dtype=np.uint64) + np.uint64(len(s))).view(np.int64) for f in pd8._NAMES] for s in sets]
+        assert np.frombuffer(names, dtype=np.int64).reshape(-1, 2).tolist() == sums
+        lowest = [(pd8._folded(s) * factors[:, None]).min(axis=1) for s in sets[:many] if len(s) >= pd8.LEAST]
+        keys = pd8._keys(np.stack(lowest, axis=1)).tobytes() if lowest else b""
+        assert bands == keys
+
+
+def test_long_texts_are_cut_by_themselves(monkeypatch):
+    monkeypatch.setattr(pd8, "_TOGETHER", 10)
+    assert list(pd8._portions(["a" * 4, "b" * 6, "c", "d" * 50, "", "e"])) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(pd8._portions([])) == []
+
+
 def test_names_of_stretches_and_the_lengths_asked_for():
     rnd = random.Random(41)
     words = [w.encode() for w in _words(rnd, 60, 3)]

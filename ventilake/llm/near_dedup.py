@@ -213,12 +213,16 @@ def class_components(
     shared = members.groupBy("band").count().where("count > 1").select("band")
     candidates = checkpointed(members.join(shared, "band"))
     sets = sets_of(candidates.select("id").distinct())
-    own = (
-        sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
-    )
-    members = candidates.join(own, "id", "left").na.fill(0, ["own"])
-    members = members.where(100 * (F.col("n_shingles") - F.col("own")) >= threshold * F.col("n_shingles"))
+    if words:
+        # the cells bound each pair more closely
+        members = candidates.withColumn("own", F.lit(0).cast("long"))
+    else:
+        own = (
+            sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+            .agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+        )
+        members = candidates.join(own, "id", "left").na.fill(0, ["own"])
+        members = members.where(100 * (F.col("n_shingles") - F.col("own")) >= threshold * F.col("n_shingles"))
     order = F.struct("own", F.xxhash64("id"), "id")
     hubs = members.groupBy("band").agg(F.min(F.struct(order.alias("o"), "n_shingles")).alias("h"), F.count("*").alias("size"))
     hubs = hubs.where("size > 1").select(
@@ -247,14 +251,15 @@ def class_components(
             forget(sets, written, mixed)
             return component
         open_ = open_.join(mixed, "band")
-        open_ = open_.join(classes.select("id", "bands", *["sketch"] * bool(values)), "id")
+        if not words or values:
+            open_ = open_.join(classes.select("id", "bands", *["sketch"] * bool(values)), "id")
         if words:
             cells = [f"cell{i}" for i in range(words)]
             open_ = open_.join(sets.select("id", *[F.col("cells")[i].alias(c) for i, c in enumerate(cells)]), "id")
             open_ = open_.withColumn("spare", F.col("n_shingles") - sum(map(F.bit_count, cells), F.lit(0)))
         x = open_.where((F.col("rank") >= low) & (F.col("rank") < high)).select([F.col(c).alias(f"{c}_x") for c in open_.columns])
-        # a pair is looked at in the first band that it shares, and there alone
-        first = F.array_min(F.array_intersect("bands", "bands_x"))
+        # a pair is looked at in the first band that it shares, and there alone; the few that their cells leave are told apart later
+        first = F.col("band") if "bands" not in open_.columns else F.array_min(F.array_intersect("bands", "bands_x"))
         pairs = open_.join(x, F.col("band") == F.col("band_x")).where(
             (F.struct("rank", "id") > F.struct("rank_x", "id_x"))
             & (F.col("component") != F.col("component_x"))

@@ -11,8 +11,8 @@ Two kinds of units are compared, as one set each of five-word shingles:
   more that two documents share holds at least one window that is the same in
   both, wherever the run begins.
 
-1. All texts are cut once; each document's units are kept packed, 25 bytes a unit
-   and the bands of its paragraphs.  A unit is named by 128 bits of its set.
+1. All texts are cut once, some at a time in one array; each document's units are kept
+   packed, 25 bytes a unit and the bands of its paragraphs.  A unit is named by 128 bits of its set.
 2. Units of one name are combined map-side first, so copies cost one row however
    often they occur.  Equal windows need no more: a passage holds one that is the
    same in both documents.
@@ -27,7 +27,8 @@ Two kinds of units are compared, as one set each of five-word shingles:
 5. A window to be removed is aligned with the first document that has the same
    set, or else with what stays.  Windows that follow each other at one distance
    from there are one run.  Each run is extended as long as both documents go on
-   alike word by word (names of stretches, doubled and then narrowed), and every window is reported with the span of its run;
+   alike word by word (names of stretches, doubled and then narrowed); runs that go over
+   into each other are followed as one.  Every window is reported with the span of its run;
    a paragraph is reported as it is.
 
 ``repeated_paragraphs`` does all of this.  ``repeated_passages`` reports the
@@ -43,6 +44,7 @@ count words.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -99,16 +101,6 @@ def _mixed(shingles: np.ndarray, factor: int) -> np.ndarray:
 _NAMES = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
-def window_sets(hashes: np.ndarray, starts: np.ndarray, per_unit: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start: the two numbers that name the set of its shingles, and the set's size."""
-    units = np.sort(hashes[starts[:, None] + np.arange(per_unit - WORDS + 1)], axis=1)
-    first = np.ones(units.shape, dtype=bool)
-    first[:, 1:] = units[:, 1:] != units[:, :-1]
-    size = first.sum(axis=1)
-    names = [(_mixed(units, f) * first).sum(axis=1, dtype=np.uint64) + size.astype(np.uint64) for f in _NAMES]
-    return np.stack(names, axis=1).view(np.int64), size
-
-
 def paragraphs(text: str | None) -> tuple[list[bytes], list[tuple[int, int]]]:
     """The words of a text, and start and length in words of its lines and of its blocks of several lines."""
     words: list[bytes] = []
@@ -130,7 +122,7 @@ def paragraphs(text: str | None) -> tuple[list[bytes], list[tuple[int, int]]]:
 
 
 def span_sets(words: list[bytes], hashes: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles of all spans one after the other, sorted within each; where each begins; first of equals; names as ``window_sets``."""
+    """Shingles of all spans one after the other, sorted within each; where each begins; first of equals; the two numbers that name each set."""
     parts = [
         hashes[a : a + n - WORDS + 1] if n >= WORDS else np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n]))], dtype=np.uint64)
         for a, n in spans
@@ -161,36 +153,148 @@ def _keys(low: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(keys.T).view(np.int64)
 
 
-def _lowest(x: np.ndarray, factors: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The smallest image of each set under each permutation, some permutations at a time if there are very many shingles."""
-    step = max(1, (1 << 22) // max(1, len(x)))
-    parts = [np.minimum.reduceat(x[None, :] * factors[i : i + step, None], begins, axis=1) for i in range(0, len(factors), step)]
-    return np.concatenate(parts)
-
+def _repeating(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each hash the place of the last equal one before it in its text, -1 if there is none."""
+    last = np.full(len(hashes), -1, dtype=np.int64)
+    texts = np.flatnonzero(ends > begins)
+    bits = np.uint64(len(begins).bit_length())
+    of = np.repeat(texts.astype(np.uint64), (ends - begins)[texts])
+    every = np.concatenate([hashes[a:b] for a, b in zip(begins[texts], ends[texts], strict=True)] or [hashes[:0]])
+    # equal in the leading bits within one text: only these texts are looked at closely
+    keys = np.sort((of << (np.uint64(64) - bits)) | (every >> bits))
+    for i in np.unique(keys[1:][keys[1:] == keys[:-1]] >> (np.uint64(64) - bits)).tolist():
+        own = hashes[begins[i] : ends[i]]
+        order = np.argsort(own, kind="stable")
+        same = np.flatnonzero(own[order[1:]] == own[order[:-1]])
+        last[begins[i] + order[same + 1]] = begins[i] + order[same]
+    return last
+
+
+def _over(ufunc: np.ufunc, values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``ufunc`` over each ``values[begin:end]`` of the last axis, none of them empty."""
+    if not len(begins):
+        return values[..., :0]
+    # one value more, as an end may be the array's
+    values = np.concatenate([values, values[..., -1:]], axis=-1)
+    return ufunc.reduceat(values, np.stack([begins, ends], axis=1).ravel(), axis=-1)[..., ::2]
+
+
+def _first_lowest(h: np.ndarray, width: int) -> np.ndarray:
+    """The place of the smallest value of each stretch of ``width``, the first of equals."""
+    at, reach = np.arange(len(h)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        a, b = at[: len(at) - step], at[step:]
+        at, reach = np.where(h[b] < h[a], b, a), reach + step
+    return at
 
-def _cut(text: str, per_unit: int, run: int, of_paragraph: int, factors: np.ndarray) -> tuple[int, bytes, bytes, bytes, bytes]:
-    """A text's units, packed: how many are paragraphs, (start, length) of all, names, sizes, and the paragraphs' bands.
 
-    Paragraphs come first; those of fewer than ``LEAST`` shingles have no bands."""
-    words, spans = paragraphs(text)
+def _starts_in(hashes: np.ndarray, begins: np.ndarray, lengths: np.ndarray, per_unit: int, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """``starts_of`` for texts of so many words that begin there: the starts, in order, and the texts they are in."""
+    places = lengths - per_unit + 1
+    h = hashes * _ODD
+    h ^= h >> np.uint64(31)
+    long = np.flatnonzero(places > stretch)
+    windows = (places - stretch + 1)[long]
+    text = np.repeat(long, windows)
+    first = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows - begins[long], windows)
+    at = _first_lowest(h, stretch)[first] if len(first) else first
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = at[1:] != at[:-1]
+    at, text = at[new], text[new]
+    # texts of one stretch at most, or with equal hashes one after the other, by themselves
+    tied = np.unique(text[1:][(h[at[1:]] == h[at[:-1]]) & (text[1:] == text[:-1])])
+    single = np.concatenate([tied, np.flatnonzero((places > 0) & (places <= stretch))])
+    if not len(single):
+        return at, text
+    keep = ~np.isin(text, tied)
+    ats, texts = [at[keep]], [text[keep]]
+    for i in single.tolist():
+        own = begins[i] + starts_of(hashes[begins[i] : begins[i] + lengths[i] - WORDS + 1], per_unit, stretch)
+        ats.append(own)
+        texts.append(np.full(len(own), i))
+    at, text = np.concatenate(ats), np.concatenate(texts)
+    order = np.argsort(at)
+    return at[order], text[order]
+
+
+def _cut(texts: list[str], per_unit: int, run: int, of_paragraph: int, factors: np.ndarray) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
+    """Each text's units, packed: how many are paragraphs, (start, length) of all, names, sizes, and the paragraphs' bands.
+
+    Paragraphs come first; those of fewer than ``LEAST`` shingles have no bands.  The
+    texts follow each other in one array; a shingle that reaches into the next text is in no unit."""
+    words: list[bytes] = []
+    spans: list[tuple[int, int]] = []
+    begins, many = [], []
+    for text in texts:
+        own, of_text = paragraphs(text)
+        begins.append(len(words))
+        many.append(len(of_text) if of_paragraph else 0)
+        if of_paragraph:
+            spans += [(len(words) + a, n) for a, n in of_text]
+        words += own
+    begin = np.array(begins, dtype=np.int64)
+    lengths = np.diff(begin, append=len(words))
     hashes = shingle_hashes(words)
-    at, names, sizes, keys = [], [], [], b""
-    if of_paragraph and spans:
-        every, begins, first, ids = span_sets(words, hashes, spans)
-        n = np.add.reduceat(first, begins, dtype=np.int32)
-        keys = _keys(_lowest(_folded(every), factors, begins))[n >= LEAST].tobytes()
-        at.append(np.array(spans, dtype=np.int32))
-        names.append(ids)
-        sizes.append(n)
-    starts = starts_of(hashes, per_unit, run - per_unit + 1)
-    for i in range(0, len(starts), 50_000):
-        some = starts[i : i + 50_000]
-        ids, n = window_sets(hashes, some, per_unit)
-        at.append(np.stack([some, np.full(len(some), per_unit)], axis=1).astype(np.int32))
-        names.append(ids)
-        sizes.append(n.astype(np.int32))
-    many = len(spans) if of_paragraph else 0
-    return many, *(np.concatenate(c).tobytes() if c else b"" for c in (at, names, sizes)), keys
+    starts, window_of = _starts_in(hashes, begin, lengths, per_unit, run - per_unit + 1)
+    at = np.concatenate([np.array(spans, dtype=np.int64).reshape(-1, 2), np.stack([starts, np.full(len(starts), per_unit)], axis=1)])
+    text = np.concatenate([np.repeat(np.arange(len(texts)), many), window_of])
+    paragraph = np.arange(len(at)) < len(spans)
+
+    # sums over the shingles of a unit, as differences of sums from the beginning
+    size, names = np.ones(len(at), dtype=np.int64), np.empty((len(at), 2), dtype=np.uint64)
+    whole = np.flatnonzero(at[:, 1] >= WORDS)
+    low, high = at[whole, 0], at[whole].sum(axis=1) - WORDS + 1
+    size[whole] = high - low
+    for k, factor in enumerate(_NAMES):
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(hashes, factor), dtype=np.uint64)])
+        names[whole, k] = sums[high] - sums[low] + size[whole].astype(np.uint64)
+    # a shingle counts once in a unit
+    last = _repeating(hashes, begin, begin + np.maximum(lengths - WORDS + 1, 0))
+    again = np.flatnonzero(_over(np.maximum, last, low, high) >= low) if (last >= 0).any() else []
+    for i in again:
+        own = np.unique(hashes[low[i] : high[i]])
+        size[whole[i]] = len(own)
+        names[whole[i]] = [_mixed(own, f).sum(dtype=np.uint64) + np.uint64(len(own)) for f in _NAMES]
+    short = np.flatnonzero(at[:, 1] < WORDS)
+    if len(short):
+        own = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n])) for a, n in at[short].tolist()], dtype=np.uint64)
+        for k, factor in enumerate(_NAMES):
+            names[short, k] = _mixed(own, factor) + np.uint64(1)
+
+    on = np.flatnonzero(paragraph & (size >= LEAST))
+    keys, folded = np.empty((0, of_paragraph), dtype=np.int64), _folded(hashes)
+    if len(on):
+        step = max(1, (1 << 22) // len(folded))
+        low, high = at[on, 0], at[on].sum(axis=1) - WORDS + 1
+        keys = _keys(np.concatenate([_over(np.minimum, folded * factors[i : i + step, None], low, high) for i in range(0, len(factors), step)]))
+
+    order = np.argsort(text, kind="stable")
+    at[:, 0] -= begin[text]
+    at, names, size = at[order].astype(np.int32), names[order], size[order].astype(np.int32)
+    end = np.cumsum(np.bincount(text, minlength=len(texts))).tolist()
+    banded = np.cumsum(np.bincount(text[on], minlength=len(texts))).tolist()
+    out, a, k = [], 0, 0
+    for n, b, m in zip(many, end, banded, strict=True):
+        out.append((n, at[a:b].tobytes(), names[a:b].tobytes(), size[a:b].tobytes(), keys[k:m].tobytes()))
+        a, k = b, m
+    return out
+
+
+#: characters of the texts that are cut together
+_TOGETHER = 1 << 19
+
+
+def _portions(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """From where to where the texts are cut together; a long text by itself."""
+    begin = held = 0
+    for i, text in enumerate(texts):
+        if i > begin and held + len(text) > _TOGETHER:
+            yield begin, i
+            begin, held = i, 0
+        held += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def _units(rows: DataFrame, per_unit: int, run: int, of_paragraph: int) -> DataFrame:
@@ -199,8 +303,12 @@ def _units(rows: DataFrame, per_unit: int, run: int, of_paragraph: int) -> DataF
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         factors = multipliers(max(1, of_paragraph) * ROWS)
         for frame in frames:
-            out = [(d, *_cut(t, per_unit, run, of_paragraph, factors)) for d, t in zip(frame["doc_id"], frame["text"], strict=True)]
-            yield pd.DataFrame(out, columns=["doc_id", "paragraphs", "at", "names", "sizes", "bands"])
+            texts, out = frame["text"].tolist(), []
+            for a, b in _portions(texts):
+                out += _cut(texts[a:b], per_unit, run, of_paragraph, factors)
+            out = pd.DataFrame(out, columns=["paragraphs", "at", "names", "sizes", "bands"])
+            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
+            yield out
 
     schema = "doc_id long, paragraphs int, at binary, names binary, sizes binary, bands binary"
     return rows.where("doc_id is not null").mapInPandas(cut, schema)
@@ -310,8 +418,10 @@ def _candidates(units: DataFrame, of_paragraph: int) -> DataFrame:
     # a number of its own for every paragraph, fixed by writing the table
     distinct = checkpointed(distinct.withColumn("id", F.monotonically_increasing_id()))
     members = distinct.select("id", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").count().where("count > 1").select("band")
-    bands = members.join(shared, "band").groupBy("id").agg(F.collect_list("band").alias("bands"))
+    # moved and sorted once: a band is shared if a neighbour has it too
+    order = Window.partitionBy("band").orderBy("id")
+    beside = F.coalesce(F.lag("id").over(order), F.lead("id").over(order)).alias("beside")
+    bands = members.select("id", "band", beside).where("beside is not null").groupBy("id").agg(F.collect_list("band").alias("bands"))
     out = checkpointed(distinct.drop("bands").join(bands, "id"))
     forget(distinct)
     return out
@@ -357,10 +467,14 @@ def _occurrences(rows: DataFrame, per_unit: int, run: int, of_paragraph: int, th
     forget(names, known, possible)
     unit = F.struct("doc_id", "start", "length")
     like = place.groupBy("k1", "k2").agg(F.min(unit).alias("like"))
-    each = place.groupBy("passage_id").agg(F.min(unit).alias("kept"), F.max("doc_id").alias("last"))
-    each = each.where(F.col("kept.doc_id") != F.col("last"))
-    n_docs = place.select("passage_id", "doc_id").distinct().groupBy("passage_id").agg(F.count("*").alias("n_docs"))
-    out = place.distinct().join(each.select("passage_id", "kept").join(n_docs, "passage_id"), "passage_id").join(like, ["k1", "k2"]).drop("k1", "k2")
+    # start and length in one number, so that the smallest is the first
+    first = F.min(F.shiftleft(F.col("start").cast("long"), 32) + F.col("length")).alias("first")
+    each = place.groupBy("passage_id", "doc_id").agg(first).groupBy("passage_id")
+    each = each.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min_by("first", "doc_id").alias("first"), F.count("*").alias("n_docs"))
+    start, length = F.shiftright("first", 32).cast("int"), F.col("first").bitwiseAND(F.lit(2**32 - 1)).cast("int")
+    kept = F.struct(F.col("low").alias("doc_id"), start.alias("start"), length.alias("length"))
+    each = each.where("low != high").select("passage_id", kept.alias("kept"), "n_docs")
+    out = place.distinct().join(each, "passage_id").join(like, ["k1", "k2"]).drop("k1", "k2")
     # units of the document that keeps the passage stay as far as they overlap, one after the other, what is kept
     order = Window.partitionBy("passage_id", "doc_id").orderBy("start", "length", "is_window")
     before = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -377,13 +491,26 @@ _PRIMES = (2147483647, 2147483629)
 _BASES = (1103515245, 69069069)
 
 
-def _powers(base: int, prime: int, n: int) -> np.ndarray:
+#: powers are kept from text to text as far as this
+_KEPT = 1 << 18
+
+
+@functools.cache
+def _first_powers(base: int, prime: int) -> np.ndarray:
+    return _powers_up_to(base, prime, _KEPT)
+
+
+def _powers_up_to(base: int, prime: int, n: int) -> np.ndarray:
     out = np.ones(1, dtype=np.uint64)
     while len(out) < n:
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
     return out[:n]
 
 
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    return _first_powers(base, prime)[:n] if n <= _KEPT else _powers_up_to(base, prime, n)
+
+
 class _Stretches:
     """Names of a text's stretches of words, each in constant time after one pass over the text."""
 
@@ -402,7 +529,9 @@ class _Stretches:
 
 
 def _lengths(left: int, size: int, low: int, step: int) -> np.ndarray:
-    """Lengths up to ``left``: with ``step`` 0 all up to ``size`` and then its doubles, else ``low`` and so many steps more."""
+    """Lengths up to ``left``: with ``step`` 0 all up to ``size`` and then its doubles, below 0 ``low`` alone, else ``low`` and so many steps more."""
+    if step < 0:
+        return np.arange(low, min(low, left) + 1)
     if step:
         return low + step * np.arange(1, min(LENGTHS, (left - low) // step) + 1)
     doubles = size << np.arange(1, max(1, (left // size).bit_length()))
@@ -410,7 +539,7 @@ def _lengths(left: int, size: int, low: int, step: int) -> np.ndarray:
 
 
 def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
-    """``doc_id, at, side, low, step, names``: names of the stretches of ``_lengths`` after ``at`` (``side`` 1) or before it (-1)."""
+    """``doc_id, at, side, low, step, names``: names of the stretches of ``_lengths`` after ``at`` (``side`` 1 or 2) or before it (-1)."""
     ask = ["at", "side", "low", "step"]
     wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct(*ask)).alias("wanted"))
 
@@ -418,13 +547,20 @@ def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
         for frame in frames:
             out = []
             for doc_id, text, wanted in zip(frame["doc_id"], frame["text"], frame["wanted"], strict=True):
-                text = _Stretches(words_of(text))
+                text, asked, begin, end = _Stretches(words_of(text)), [], [], []
                 for p in wanted:
-                    at, side, low, step = (int(p[c]) for c in ask)
+                    at, side, low, step = (p[c] for c in ask)
                     if not 0 <= at <= text.n:
                         continue  # a place of another text with this id
                     n = _lengths(text.n - at if side > 0 else at, size, low, step)
-                    out.append((doc_id, at, side, low, step, text.names(at + 0 * n, at + n) if side > 0 else text.names(at - n, at + 0 * n)))
+                    here = np.full(len(n), at)
+                    begin.append(here if side > 0 else at - n)
+                    end.append(at + n if side > 0 else here)
+                    asked.append((doc_id, at, side, low, step))
+                if asked:
+                    names = text.names(np.concatenate(begin), np.concatenate(end))
+                    names = np.split(names, np.cumsum([len(n) for n in begin])[:-1])
+                    out += [(*p, n) for p, n in zip(asked, names, strict=True)]
             yield pd.DataFrame(out, columns=["doc_id", *ask, "names"])
 
     schema = "doc_id long, at long, side int, low long, step long, names array<long>"
@@ -434,7 +570,8 @@ def _beside(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
 def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int) -> DataFrame:
     """The sides of runs, ``low`` raised to the greatest length asked for at which both documents are alike.
 
-    ``step`` is then the distance of the lengths to ask for next, -1 where ``low`` is exact."""
+    ``step`` is then the distance of the lengths to ask for next, -1 where ``low`` is exact.
+    Where one length alone was asked for, ``low`` is 1 if they are alike there and 0 if not."""
     other = F.col("at") - F.col("distance")
     places = open_.select("doc_id", "at", "side", "low", "step").union(open_.select("kept_id", other, "side", "low", "step")).distinct()
     beside = _beside(rows, places, size)
@@ -446,9 +583,10 @@ def _further(rows: DataFrame, open_: DataFrame, run: list[str], size: int) -> Da
     alike = F.when(unlike > 0, unlike - 1).otherwise(F.size("here")).cast("long")
     pairs = pairs.select(*run, "side", "at", "low", "step", alike.alias("alike"))
     double = (F.lit(size) * F.pow(F.lit(2.0), F.col("alike") - size)).cast("long")
-    low = F.when(F.col("step") > 0, F.col("low") + F.col("step") * F.col("alike")).when(F.col("alike") < size, F.col("alike")).otherwise(double)
+    exact = (F.col("step") < 0) | (F.col("alike") < size)
+    low = F.when(F.col("step") > 0, F.col("low") + F.col("step") * F.col("alike")).when(exact, F.col("alike")).otherwise(double)
     # the exact length is less than so much more
-    width = F.when(F.col("step") > 0, F.col("step")).when(F.col("alike") < size, F.lit(1)).otherwise(double)
+    width = F.when(F.col("step") > 0, F.col("step")).when(exact, F.lit(1)).otherwise(double)
     step = F.when(width <= 1, F.lit(-1)).otherwise(F.ceil(width / LENGTHS)).cast("long")
     out = checkpointed(pairs.select(*run, "side", "at", low.alias("low"), step.alias("step")))
     forget(beside)
@@ -470,17 +608,43 @@ def _runs(rows: DataFrame, removed: DataFrame, per_unit: int, size: int) -> Data
     windows = windows.withColumn("gap", F.coalesce(gap.cast("int"), F.lit(0)))
     windows = checkpointed(windows.withColumn("run", F.sum("gap").over(order)).drop("gap"))
     ends = windows.groupBy(*run).agg(F.min("start").alias("low"), F.max(F.col("start") + per_unit).alias("high"))
-    sides = F.array(F.struct(F.lit(-1).alias("side"), F.col("low").alias("at")), F.struct(F.lit(1).alias("side"), F.col("high").alias("at")))
-    open_ = ends.select(*run, F.explode(sides).alias("e")).select(*run, "e.side", F.col("e.at").cast("long").alias("at"))
-    nothing = F.lit(0).cast("long")
-    open_, closed = open_.withColumns({"low": nothing, "step": nothing}), None
-    while closed is None or not open_.isEmpty():
+    order = Window.partitionBy("doc_id", "kept_id", "distance").orderBy("run")
+    ends = ends.withColumns({"gap": F.lead("low").over(order) - F.col("high"), "back": F.col("low") - F.lag("high").over(order)})
+    ends = checkpointed(ends)
+    nothing, one = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    low, high, length = (c.cast("long") for c in (F.col("low"), F.col("high"), F.col("high") - F.col("low")))
+    side = lambda k, at, n, step: F.struct(F.lit(k).alias("side"), at.alias("at"), n.alias("low"), step.alias("step"))
+    # of runs that follow each other closely also whether the whole run is alike
+    near = F.coalesce(F.col("gap") <= size, F.lit(False)) | F.coalesce(F.col("back") <= size, F.lit(False))
+    sides = F.array(side(-1, low, nothing, nothing), side(1, high, nothing, nothing), F.when(near, side(2, low, length, one)))
+    open_ = ends.select(*run, F.explode(sides).alias("e")).where("e is not null").select(*run, "e.*")
+    step = _further(rows, open_, run, size)
+    chain = _chains(ends, step, run)
+    first, last = (F.col("side") < 0) & (F.col("run") == F.col("chain")), (F.col("side") == 1) & F.col("last")
+    sides = step.join(chain, run).where(first | last).select(*run[:-1], F.col("chain").alias("run"), "side", "at", "low", "step")
+    closed, open_ = sides.where("step < 0"), sides.where("step > 0")
+    while not open_.isEmpty():
         step = _further(rows, open_, run, size)
-        ended, open_ = step.where("step < 0"), step.where("step > 0")
-        closed = ended if closed is None else closed.union(ended)
+        closed, open_ = closed.union(step.where("step < 0")), step.where("step > 0")
     closed = closed.withColumn("at", F.col("at") + F.col("side") * F.col("low"))
-    spans = closed.groupBy(*run).agg(F.min("at").alias("low"), F.max("at").alias("high"))
-    return checkpointed(windows.join(spans, run).select("doc_id", "start", "passage_id", "kept_id", "distance", "low", "high"))
+    spans = closed.groupBy(*run).agg(F.min("at").alias("low"), F.max("at").alias("high")).withColumnRenamed("run", "chain")
+    windows = windows.join(chain, run).join(spans, [*run[:-1], "chain"])
+    return checkpointed(windows.select("doc_id", "start", "passage_id", "kept_id", "distance", "low", "high"))
+
+
+def _chains(ends: DataFrame, step: DataFrame, run: list[str]) -> DataFrame:
+    """``chain`` of every run: the first of those that go over into each other, whose spans are one; ``last`` is true for the chain's last.
+
+    Both runs are alike word by word, and so is what lies between."""
+    ahead = step.where("side = 1").select(*run, F.col("low").alias("ahead"))
+    whole = step.where("side = 2 and low = 1").select(*run, F.lit(True).alias("whole"))
+    runs = ends.select(*run, "gap").join(ahead, run, "left").join(whole, run, "left").withColumn("whole", F.col("whole").isNotNull())
+    order = Window.partitionBy(*run[:-1]).orderBy("run")
+    on = F.col("whole") & F.lead("whole").over(order) & (F.col("ahead") >= F.col("gap"))
+    runs = runs.withColumn("on", F.coalesce(on, F.lit(False)))
+    begins = ~F.coalesce(F.lag("on").over(order), F.lit(False))
+    chain = F.max(F.when(begins, F.col("run"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return checkpointed(runs.select(*run, chain.alias("chain"), (~F.col("on")).alias("last")))
 
 
 def repeated_passages(
